@@ -11,6 +11,7 @@ same results):
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 
@@ -39,4 +40,4 @@ class RiskParams:
 
     @property
     def sharpe_scale(self) -> float:
-        return self.periods ** 0.5
+        return math.sqrt(self.periods)

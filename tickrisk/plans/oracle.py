@@ -43,6 +43,208 @@ SELECT ticker, window_start, window_end, n_ticks, base_price, last_price,
 FROM returns WHERE NOT isnan(return_value)
 """
 
+Q = "(CAST(1000 AS DOUBLE) / 1001)"
+A = "(CAST(1 AS DOUBLE) / 1001)"
+SEED_TS = "TIMESTAMP '2024-01-05 00:00:00'"
+
+STATS = RETURNS + f""",
+ports AS (
+  SELECT DISTINCT 'P' || CAST(user_id % 3 AS VARCHAR) AS portfolio_id
+  FROM events WHERE event_type = 'signup'),
+holdings AS (
+  SELECT DISTINCT 'P' || CAST(user_id % 3 AS VARCHAR) AS portfolio_id,
+         'T' || CAST(k AS VARCHAR) AS ticker
+  FROM events CROSS JOIN range(10) r(k) WHERE event_type = 'signup'),
+seedmeans AS (
+  SELECT portfolio_id, 'T' || CAST(k AS VARCHAR) AS ticker,
+         CASE WHEN k = 8 THEN CAST(0 AS DOUBLE) ELSE CAST(k + 1 AS DOUBLE) / 1000 END AS mean0
+  FROM ports CROSS JOIN range(9) r(k)),
+seedcov AS (
+  SELECT portfolio_id, 'T' || CAST(i AS VARCHAR) AS i, 'T' || CAST(j AS VARCHAR) AS j,
+         CAST(1 + least(i, j) AS DOUBLE) / 10000
+           + CASE WHEN i = j THEN CAST(1 AS DOUBLE) / 1000 ELSE 0 END AS cov0
+  FROM ports CROSS JOIN range(10) a(i) CROSS JOIN range(10) b(j)
+  WHERE NOT ((i = 0 AND j = 7) OR (i = 7 AND j = 0))),
+applied AS (
+  SELECT h.portfolio_id, r.ticker, r.window_end AS order_ts, r.return_value,
+         {SEED_TS} AS seed_ts
+  FROM returns r JOIN holdings h ON h.ticker = r.ticker
+  WHERE NOT isnan(r.return_value) AND r.window_end >= {SEED_TS}),
+s1 AS (
+  SELECT a.portfolio_id, a.ticker, a.order_ts, a.return_value, m.mean0,
+         row_number() OVER (PARTITION BY a.portfolio_id, a.ticker ORDER BY a.order_ts) AS n
+  FROM applied a JOIN seedmeans m ON m.portfolio_id = a.portfolio_id AND m.ticker = a.ticker),
+s2 AS (
+  SELECT *, sum(return_value * pow({Q}, -n)) OVER (PARTITION BY portfolio_id, ticker
+            ORDER BY order_ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS zm
+  FROM s1),
+s3 AS (
+  SELECT *, CASE WHEN mean0 <> 0 THEN pow({Q}, n) * (mean0 + {A} * zm) ELSE mean0 END AS mean
+  FROM s2),
+s4 AS (
+  SELECT *, coalesce(lag(mean) OVER (PARTITION BY portfolio_id, ticker ORDER BY order_ts),
+                     mean0) AS mean_prev
+  FROM s3),
+s5 AS (
+  SELECT s4.*, d.cov0 AS var0,
+         (return_value - mean_prev) * (return_value - mean) AS x
+  FROM s4 LEFT JOIN seedcov d
+    ON d.portfolio_id = s4.portfolio_id AND d.i = s4.ticker AND d.j = s4.ticker),
+s6 AS (
+  SELECT *, sum(x * pow({Q}, -n)) OVER (PARTITION BY portfolio_id, ticker
+            ORDER BY order_ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS zv
+  FROM s5),
+series AS (
+  SELECT portfolio_id, ticker, order_ts, n, return_value, mean0, mean, var0,
+         CASE WHEN mean0 <> 0 AND var0 IS NOT NULL AND var0 <> 0
+              THEN pow({Q}, n) * (var0 + {A} * zv) ELSE var0 END AS var
+  FROM s6),
+cnt AS (
+  SELECT portfolio_id, ticker, count(*) AS n FROM applied GROUP BY portfolio_id, ticker),
+flags AS (
+  SELECT portfolio_id, ticker, CASE WHEN mean0 <> 0 THEN 1 ELSE 0 END AS g FROM seedmeans),
+snap AS (
+  SELECT event_id AS seq, epoch_us(ts) // 1000 AS ts_ms,
+         'P' || CAST(user_id % 3 AS VARCHAR) AS portfolio_id
+  FROM events WHERE event_type = 'signup'),
+wl AS (
+  SELECT s.portfolio_id, s.seq, s.ts_ms, 'T' || CAST(k AS VARCHAR) AS ticker,
+         CAST((s.seq + k) % 10 + 1 AS DOUBLE) / 55 AS w
+  FROM snap s CROSS JOIN range(10) r(k))"""
+
+
+def _risk(grid: str, tkey: list[str], p: str) -> str:
+    """CTEs computing expected return, variance, risk and Sharpe per trigger
+    key from a grid ``(*tkey, ticker, w, n, mean, var, g)``; names prefixed
+    with ``p``."""
+    k = ", ".join(tkey)
+    gik = ", ".join(f"gi.{c}" for c in tkey)
+    on = " AND ".join(f"gj.{c} = gi.{c}" for c in tkey)
+    return f""",
+{p}er AS (
+  SELECT {k}, list_sum(list_sort(list(w * coalesce(mean, 0.0)))) AS expected_return
+  FROM {grid} GROUP BY {k}),
+{p}off AS (
+  SELECT {gik}, gi.ticker AS i, gi.w AS w_i,
+         gj.w * c.cov0 * pow({Q}, gi.n * gj.g + gj.n * gi.g) AS t
+  FROM {grid} gi
+  JOIN seedcov c ON c.portfolio_id = gi.portfolio_id AND c.i = gi.ticker AND c.i <> c.j
+  JOIN {grid} gj ON {on} AND gj.ticker = c.j),
+{p}diag AS (
+  SELECT {k}, ticker AS i, w AS w_i, w * var AS t FROM {grid} WHERE var IS NOT NULL),
+{p}rows AS (
+  SELECT {k}, i, any_value(w_i) AS w_i, list_sum(list_sort(list(t))) AS rs
+  FROM (SELECT * FROM {p}off UNION ALL SELECT * FROM {p}diag) GROUP BY {k}, i),
+{p}var AS (
+  SELECT {k}, list_sum(list_sort(list(w_i * rs))) AS variance FROM {p}rows GROUP BY {k}),
+{p}m1 AS (
+  SELECT e.*, coalesce(v.variance, 0.0) AS variance
+  FROM {p}er e LEFT JOIN {p}var v USING ({k})),
+{p}m2 AS (
+  SELECT *, CASE WHEN variance < 0 THEN CAST('NaN' AS DOUBLE) ELSE sqrt(variance) END AS risk
+  FROM {p}m1),
+{p}met AS (
+  SELECT *, CASE
+      WHEN isnan(sqrt(CAST(52 AS DOUBLE)) * (expected_return - CAST('0.0018' AS DOUBLE)))
+           OR isnan(risk) THEN CAST('NaN' AS DOUBLE)
+      WHEN risk <> 0 THEN sqrt(CAST(52 AS DOUBLE)) * (expected_return - CAST('0.0018' AS DOUBLE)) / risk
+      WHEN expected_return - CAST('0.0018' AS DOUBLE) > 0 THEN CAST('Infinity' AS DOUBLE)
+      WHEN expected_return - CAST('0.0018' AS DOUBLE) < 0 THEN CAST('-Infinity' AS DOUBLE)
+      ELSE CAST('NaN' AS DOUBLE) END AS sharpe
+  FROM {p}m2)"""
+
+
+FINAL = STATS + """,
+fin AS (
+  SELECT k.portfolio_id, k.ticker, coalesce(c.n, 0) AS n,
+         coalesce(s.mean, m.mean0) AS mean, coalesce(s.var, d.cov0) AS var
+  FROM (SELECT portfolio_id, ticker FROM seedmeans
+        UNION SELECT portfolio_id, i FROM seedcov WHERE i = j) k
+  LEFT JOIN cnt c ON c.portfolio_id = k.portfolio_id AND c.ticker = k.ticker
+  LEFT JOIN series s ON s.portfolio_id = k.portfolio_id AND s.ticker = k.ticker
+                    AND s.n = coalesce(c.n, 0)
+  LEFT JOIN seedmeans m ON m.portfolio_id = k.portfolio_id AND m.ticker = k.ticker
+  LEFT JOIN seedcov d ON d.portfolio_id = k.portfolio_id AND d.i = k.ticker AND d.j = k.ticker),
+fgrid AS (
+  SELECT w.portfolio_id, w.seq, w.ticker, w.w, coalesce(f.n, 0) AS n, f.mean, f.var,
+         CASE WHEN m.mean0 IS NOT NULL AND m.mean0 <> 0 THEN 1 ELSE 0 END AS g
+  FROM wl w
+  LEFT JOIN fin f ON f.portfolio_id = w.portfolio_id AND f.ticker = w.ticker
+  LEFT JOIN seedmeans m ON m.portfolio_id = w.portfolio_id AND m.ticker = w.ticker)""" \
+    + _risk("fgrid", ["portfolio_id", "seq"], "f")
+
+TKEY = ["portfolio_id", "o_ts", "o_side", "o_seq", "o_tie"]
+
+ASOF = STATS + """,
+tr AS (
+  SELECT portfolio_id, order_ts AS o_ts, 1 AS o_side, CAST(0 AS BIGINT) AS o_seq,
+         ticker AS o_tie, CAST(NULL AS BIGINT) AS wseq, 1 AS is_stats FROM applied
+  UNION ALL
+  SELECT portfolio_id, make_timestamp(ts_ms * 1000) AS o_ts, 2 AS o_side, seq AS o_seq,
+         '' AS o_tie, seq AS wseq, 0 AS is_stats FROM snap),
+tr2 AS (
+  SELECT *, last_value(wseq IGNORE NULLS) OVER w AS wid, sum(is_stats) OVER w AS n_stats
+  FROM tr
+  WINDOW w AS (PARTITION BY portfolio_id ORDER BY o_ts, o_side, o_seq, o_tie
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cand AS (
+  SELECT portfolio_id, o_ts, o_side, o_seq, o_tie, wid FROM tr2
+  WHERE wid IS NOT NULL AND n_stats > 0),
+tg1 AS (
+  SELECT c.portfolio_id, c.o_ts, c.o_side, c.o_seq, c.o_tie, w.ticker, w.w,
+         (SELECT count(*) FROM applied a
+          WHERE a.portfolio_id = c.portfolio_id AND a.ticker = w.ticker
+            AND (a.order_ts < c.o_ts
+                 OR (a.order_ts = c.o_ts AND (c.o_side > 1 OR a.ticker <= c.o_tie)))) AS n
+  FROM cand c JOIN wl w ON w.portfolio_id = c.portfolio_id AND w.seq = c.wid),
+tgrid AS (
+  SELECT t.*, coalesce(s.mean, m.mean0) AS mean, coalesce(s.var, d.cov0) AS var,
+         CASE WHEN m.mean0 IS NOT NULL AND m.mean0 <> 0 THEN 1 ELSE 0 END AS g
+  FROM tg1 t
+  LEFT JOIN series s ON s.portfolio_id = t.portfolio_id AND s.ticker = t.ticker AND s.n = t.n
+  LEFT JOIN seedmeans m ON m.portfolio_id = t.portfolio_id AND m.ticker = t.ticker
+  LEFT JOIN seedcov d ON d.portfolio_id = t.portfolio_id AND d.i = t.ticker AND d.j = t.ticker)""" \
+    + _risk("tgrid", TKEY, "t") + """,
+emit AS (
+  SELECT *, lag(expected_return) OVER w AS pe, lag(risk) OVER w AS pr,
+         row_number() OVER w AS rn
+  FROM tmet
+  WINDOW w AS (PARTITION BY portfolio_id ORDER BY o_ts, o_side, o_seq, o_tie))"""
+
+METRICS_COLS = """portfolio_id, o_ts, o_side, o_seq, o_tie,
+       round(expected_return, 8) AS expected_return, round(risk, 8) AS risk,
+       round(sharpe, 8) AS sharpe"""
+
 ORACLE: dict[str, str] = {
     "log_return": LOG_RETURN,
+    "stats_seed_join": "WITH " + STATS + """
+SELECT portfolio_id, ticker, order_ts, round(return_value, 8) AS return_value, seed_ts
+FROM applied""",
+    "ew_mean": "WITH " + STATS + """
+SELECT portfolio_id, ticker, order_ts, n, round(mean, 8) AS mean FROM series""",
+    "ew_variance": "WITH " + STATS + """
+SELECT portfolio_id, ticker, order_ts, n, round(var, 8) AS var FROM series
+WHERE var0 IS NOT NULL""",
+    "cov_decay": "WITH " + STATS + f"""
+SELECT c.portfolio_id, c.i, c.j, coalesce(ci.n, 0) AS n_i, coalesce(cj.n, 0) AS n_j,
+       round(c.cov0 * pow({Q}, coalesce(ci.n, 0) * coalesce(gj.g, 0)
+                              + coalesce(cj.n, 0) * coalesce(gi.g, 0)), 8) AS cov
+FROM seedcov c
+LEFT JOIN cnt ci ON ci.portfolio_id = c.portfolio_id AND ci.ticker = c.i
+LEFT JOIN cnt cj ON cj.portfolio_id = c.portfolio_id AND cj.ticker = c.j
+LEFT JOIN flags gi ON gi.portfolio_id = c.portfolio_id AND gi.ticker = c.i
+LEFT JOIN flags gj ON gj.portfolio_id = c.portfolio_id AND gj.ticker = c.j
+WHERE c.i <> c.j""",
+    "expected_return": "WITH " + FINAL + """
+SELECT portfolio_id, seq, round(expected_return, 8) AS expected_return FROM fmet""",
+    "portfolio_risk": "WITH " + FINAL + """
+SELECT portfolio_id, seq, round(variance, 8) AS variance, round(risk, 8) AS risk FROM fmet""",
+    "sharpe": "WITH " + FINAL + """
+SELECT portfolio_id, seq, round(expected_return, 8) AS expected_return,
+       round(risk, 8) AS risk, round(sharpe, 8) AS sharpe FROM fmet""",
+    "metrics_asof": "WITH " + ASOF + f"""
+SELECT {METRICS_COLS} FROM tmet""",
+    "metrics_emit_on_change": "WITH " + ASOF + f"""
+SELECT {METRICS_COLS} FROM emit
+WHERE rn = 1 OR expected_return IS DISTINCT FROM pe OR risk IS DISTINCT FROM pr""",
 }

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from tickrisk.functions.ieee import round8
 from tickrisk.functions.parse import to_ntz
+from tickrisk.operators import metrics as mt
 from tickrisk.operators import ticks as tk
 from tickrisk.params import RiskParams
 from tickrisk.plans import standin
+from tickrisk.plans.batch import RiskJob
 from tickrisk.session import configure
 
 TEST_WINDOW = "1 day"
@@ -44,10 +46,98 @@ def q_log_return(spark: SparkSession, sf_dir: str) -> DataFrame:
         "last_traded_time")
 
 
+def job(spark: SparkSession, sf_dir: str, params: RiskParams = TEST_PARAMS) -> RiskJob:
+    """The batch job over the stand-in inputs of ``sf_dir``."""
+    ev = _ev(spark, sf_dir)
+    return RiskJob(ticks_raw=standin.price_ticks(ev),
+                   stats_records=standin.stats_seeds(ev),
+                   weight_snapshots=standin.weight_snapshots(ev),
+                   holdings=standin.holdings(ev),
+                   params=params)
+
+
+def q_stats_seed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + J3: returns fanned out to holding portfolios, kept from the seed on."""
+    a = job(spark, sf_dir).applied
+    return a.select("portfolio_id", "ticker", to_ntz("order_ts").alias("order_ts"),
+                    round8("return_value").alias("return_value"), to_ntz("seed_ts").alias("seed_ts"))
+
+
+def q_ew_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: mean of the ticker after each applied return."""
+    s = job(spark, sf_dir).series
+    return s.select("portfolio_id", "ticker", to_ntz("order_ts").alias("order_ts"), "n",
+                    round8("mean").alias("mean"))
+
+
+def q_ew_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: diagonal covariance of the ticker after each applied return."""
+    s = job(spark, sf_dir).series.filter(F.col("var0").isNotNull())
+    return s.select("portfolio_id", "ticker", to_ntz("order_ts").alias("order_ts"), "n",
+                    round8("var").alias("var"))
+
+
+def q_cov_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Off-diagonal covariance after all applied returns."""
+    o = job(spark, sf_dir).offdiag
+    return o.select("portfolio_id", "i", "j", "n_i", "n_j", round8("cov").alias("cov"))
+
+
+def _vs_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = job(spark, sf_dir)
+    return mt.metrics_vs_state(j.weights, j.final_state, j.seed, j.params)
+
+
+def q_expected_return(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: expected return of every weight snapshot against the final statistics."""
+    m = _vs_final(spark, sf_dir)
+    return m.select("portfolio_id", "seq", round8("expected_return").alias("expected_return"))
+
+
+def q_portfolio_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: variance and risk of every weight snapshot against the final statistics."""
+    m = _vs_final(spark, sf_dir)
+    return m.select("portfolio_id", "seq", round8("variance").alias("variance"),
+                    round8("risk").alias("risk"))
+
+
+def q_sharpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: Sharpe ratio of every weight snapshot against the final statistics."""
+    m = _vs_final(spark, sf_dir)
+    return m.select("portfolio_id", "seq", round8("expected_return").alias("expected_return"),
+                    round8("risk").alias("risk"), round8("sharpe").alias("sharpe"))
+
+
+def _metrics_out(df: DataFrame) -> DataFrame:
+    return df.select("portfolio_id", to_ntz("o_ts").alias("o_ts"), "o_side", "o_seq", "o_tie",
+                     round8("expected_return").alias("expected_return"),
+                     round8("risk").alias("risk"), round8("sharpe").alias("sharpe"))
+
+
+def q_metrics_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics candidate of every trigger (weights x updated statistics)."""
+    return _metrics_out(job(spark, sf_dir).candidates)
+
+
+def q_metrics_emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates whose (E, risk) changed: the published metrics."""
+    return _metrics_out(job(spark, sf_dir).emitted)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_return": q_log_return,
+    "stats_seed_join": q_stats_seed_join,
+    "ew_mean": q_ew_mean,
+    "ew_variance": q_ew_variance,
+    "cov_decay": q_cov_decay,
+    "expected_return": q_expected_return,
+    "portfolio_risk": q_portfolio_risk,
+    "sharpe": q_sharpe,
+    "metrics_asof": q_metrics_asof,
+    "metrics_emit_on_change": q_metrics_emit_on_change,
 }
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["log_return"](spark, sf_dir)
+    """Published metrics records of the whole job."""
+    return mt.to_metrics_record(job(spark, sf_dir).emitted)
