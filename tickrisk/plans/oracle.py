@@ -211,6 +211,27 @@ emit AS (
   FROM tmet
   WINDOW w AS (PARTITION BY portfolio_id ORDER BY o_ts, o_side, o_seq, o_tie))"""
 
+WEIGHTS = """
+snap AS (
+  SELECT event_id AS seq, epoch_us(ts) // 1000 AS ts_ms,
+         'P' || CAST(user_id % 3 AS VARCHAR) AS portfolio_id
+  FROM events WHERE event_type = 'signup'),
+wl AS (
+  SELECT s.portfolio_id, s.seq, s.ts_ms, 'T' || CAST(k AS VARCHAR) AS ticker,
+         CAST((s.seq + k) % 10 + 1 AS DOUBLE) / 55 AS w
+  FROM snap s CROSS JOIN range(10) r(k)),
+wrows AS (
+  SELECT seq, portfolio_id, ticker, w,
+         CASE WHEN seq % 2 = 0
+              THEN strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M:%S')
+              ELSE strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%dT%H:%M:%SZ') END AS time
+  FROM wl),
+wparsed AS (
+  SELECT *, epoch_ms(CAST(CASE WHEN NOT (contains(time, 'T') AND contains(time, 'Z'))
+                               THEN replace(time, ' ', 'T') || 'Z' ELSE time END
+                          AS TIMESTAMP)) AS time_ms
+  FROM wrows)"""
+
 METRICS_COLS = """portfolio_id, o_ts, o_side, o_seq, o_tie,
        round(expected_return, 8) AS expected_return, round(risk, 8) AS risk,
        round(sharpe, 8) AS sharpe"""
@@ -247,4 +268,30 @@ SELECT {METRICS_COLS} FROM tmet""",
     "metrics_emit_on_change": "WITH " + ASOF + f"""
 SELECT {METRICS_COLS} FROM emit
 WHERE rn = 1 OR expected_return IS DISTINCT FROM pe OR risk IS DISTINCT FROM pr""",
+    "weights_explode": "WITH " + WEIGHTS + """
+SELECT 'weights' AS bucket, ticker AS measurement, 'Portfolio ID' AS tag_key, portfolio_id,
+       'weight' AS field, round(w, 8) AS value, ts_ms AS time_ms
+FROM wl""",
+    "weight_time_parse": "WITH " + WEIGHTS + """
+SELECT seq, portfolio_id, ticker, time, time_ms FROM wparsed""",
+    "weights_rows_to_map": "WITH " + WEIGHTS + """,
+dedup AS (
+  SELECT portfolio_id, time_ms, ticker, arg_max(w, seq) AS weight
+  FROM wparsed GROUP BY portfolio_id, time_ms, ticker)
+SELECT portfolio_id, time_ms, ticker, round(weight, 8) AS weight,
+       count(*) OVER (PARTITION BY portfolio_id, time_ms) AS n_tickers
+FROM dedup""",
+    "metric_points": "WITH " + ASOF + """,
+emitted AS (
+  SELECT * FROM emit
+  WHERE rn = 1 OR expected_return IS DISTINCT FROM pe OR risk IS DISTINCT FROM pr)
+SELECT 'my-bucket' AS bucket, 'Sharpe_Ratio' AS measurement, 'Portfolio ID' AS tag_key,
+       portfolio_id, 'Sharpe Ratio' AS field, round(sharpe, 8) AS value,
+       epoch_ms(o_ts) AS time_ms FROM emitted
+UNION ALL
+SELECT 'my-bucket', 'Risk', 'Portfolio ID', portfolio_id, 'Risk', round(risk, 8),
+       epoch_ms(o_ts) FROM emitted
+UNION ALL
+SELECT 'my-bucket', 'Expected_Return', 'Portfolio ID', portfolio_id, 'Expected Return',
+       round(expected_return, 8), epoch_ms(o_ts) FROM emitted""",
 }

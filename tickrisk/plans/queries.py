@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from tickrisk.functions.ieee import round8
 from tickrisk.functions.parse import to_ntz
 from tickrisk.operators import metrics as mt
+from tickrisk.operators import points as pt
 from tickrisk.operators import ticks as tk
+from tickrisk.operators import weights as wt
 from tickrisk.params import RiskParams
 from tickrisk.plans import standin
 from tickrisk.plans.batch import RiskJob
@@ -124,6 +126,35 @@ def q_metrics_emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics_out(job(spark, sf_dir).emitted)
 
 
+def q_weights_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight snapshots -> one point per non-null weight."""
+    p = pt.weight_points(standin.weight_snapshots(_ev(spark, sf_dir)))
+    return p.select(*[round8(c).alias(c) if c == "value" else c for c in pt.POINT_COLS])
+
+
+def q_weight_time_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lenient weight-row time text -> epoch millis."""
+    t = wt.typed_weight_rows(standin.weight_rows(_ev(spark, sf_dir)))
+    return t.select("seq", "portfolio_id", "ticker", "time", "time_ms")
+
+
+def q_weights_rows_to_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text weight rows -> weight map per (portfolio, time), exploded."""
+    snaps = wt.rows_to_snapshots(wt.typed_weight_rows(standin.weight_rows(_ev(spark, sf_dir))))
+    return (snaps.select("portfolio_id", F.col("timestamp").alias("time_ms"),
+                         F.size("weights").cast("bigint").alias("n_tickers"),
+                         F.explode("weights").alias("ticker", "weight"))
+            .select("portfolio_id", "time_ms", "ticker", round8("weight").alias("weight"),
+                    "n_tickers"))
+
+
+def q_metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published metrics -> three points each."""
+    rec = mt.to_metrics_record(job(spark, sf_dir).emitted)
+    p = pt.metric_points(rec)
+    return p.select(*[round8(c).alias(c) if c == "value" else c for c in pt.POINT_COLS])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_return": q_log_return,
     "stats_seed_join": q_stats_seed_join,
@@ -135,6 +166,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sharpe": q_sharpe,
     "metrics_asof": q_metrics_asof,
     "metrics_emit_on_change": q_metrics_emit_on_change,
+    "weights_explode": q_weights_explode,
+    "weight_time_parse": q_weight_time_parse,
+    "weights_rows_to_map": q_weights_rows_to_map,
+    "metric_points": q_metric_points,
 }
 
 
