@@ -12,9 +12,10 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 
     ``small`` is counted (one cheap job over a small table); when it holds at
     most ``max_rows`` rows it is broadcast, otherwise the join is a shuffled
-    sort-merge join and AQE's skew handling splits hot keys.
+    sort-merge join and AQE's skew handling splits hot keys. A streaming
+    ``big`` side with a static ``small`` side gives a stream-static join.
     """
-    if small.isStreaming or big.isStreaming:
+    if small.isStreaming:
         return big.join(small, on=on, how=how)
     n = small.count()
     if n <= max_rows:

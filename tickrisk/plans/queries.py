@@ -38,7 +38,10 @@ def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_log_return(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _ev(spark, sf_dir)
     ticks = tk.typed_ticks(standin.price_ticks(ev))
-    r = tk.log_returns(ticks, window=TEST_WINDOW)
+    return q_log_return_select(tk.log_returns(ticks, window=TEST_WINDOW))
+
+
+def q_log_return_select(r: DataFrame) -> DataFrame:
     return r.select(
         "ticker",
         to_ntz("window_start").alias("window_start"),
