@@ -25,11 +25,12 @@ states give bit-identical metrics, which exact change detection relies on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickrisk.functions.ieee import ieee_div, sorted_sum
 from tickrisk.operators import stats as st
+from tickrisk.operators.joins import join_small
 from tickrisk.operators.scan import block_of, forward_fill, previous_row, running_sum
 from tickrisk.params import RiskParams
 
@@ -50,30 +51,31 @@ def _risk_from_grid(grid: DataFrame, seed: DataFrame, tkey: list[str],
 
     ``grid``: ``*tkey, ticker, w, mean, var, n, g`` (one row per weighted
     ticker of the trigger; ``tkey`` includes ``portfolio_id``).
+
+    The trigger's ticker states are gathered once by a window over the
+    trigger key (N rows, N = tickers in the weights); each row carries its
+    seed covariance row ``cov0[i][*]`` (size-checked join) and evaluates
+    ``rs_i = sum_j w_j * cov_ij`` with higher-order functions, so no N x N
+    pair rows are shuffled. ``var = sum_i w_i * rs_i``.
     """
-    e = (grid.groupBy(*tkey)
-         .agg(sorted_sum(F.collect_list(F.col("w") * F.coalesce("mean", F.lit(0.0))))
-              .alias("expected_return")))
-    c_off = st.seed_cov(seed).filter(F.col("i") != F.col("j"))
-    gi = grid.select(*tkey, F.col("ticker").alias("i"), F.col("w").alias("w_i"),
-                     F.col("n").alias("n_i"), F.col("g").alias("g_i"))
-    gj = grid.select(*tkey, F.col("ticker").alias("j"), F.col("w").alias("w_j"),
-                     F.col("n").alias("n_j"), F.col("g").alias("g_j"))
-    off = (gi.join(c_off, ["portfolio_id", "i"])
-           .join(gj, tkey + ["j"])
-           .select(*tkey, "i", "w_i",
-                   (F.col("w_j") * F.col("cov0") * F.pow(
-                       F.lit(params.decay),
-                       st.decay_exponent(F.col("n_i"), F.col("n_j"), F.col("g_i"), F.col("g_j"))
-                       .cast("double"))).alias("t")))
-    diag = (grid.filter(F.col("var").isNotNull())
-            .select(*tkey, F.col("ticker").alias("i"), F.col("w").alias("w_i"),
-                    (F.col("w") * F.col("var")).alias("t")))
-    rows = (off.unionByName(diag).groupBy(*tkey, "i")
-            .agg(F.first("w_i").alias("w_i"), sorted_sum(F.collect_list("t")).alias("rs")))
-    v = rows.groupBy(*tkey).agg(
-        sorted_sum(F.collect_list(F.col("w_i") * F.col("rs"))).alias("variance"))
-    out = e.join(v, tkey, "left").withColumn("variance", F.coalesce("variance", F.lit(0.0)))
+    q = F.lit(params.decay)
+    rows = st.seed_cov_rows(seed)
+    d = join_small(grid, rows, on=["portfolio_id", "ticker"], how="left")
+    peers = F.collect_list(F.struct(F.col("ticker").alias("j"), F.col("w").alias("w"),
+                                    F.col("n").alias("n"), F.col("g").alias("g"))
+                           ).over(Window.partitionBy(*tkey))
+    me, n_i, g_i = F.col("ticker"), F.col("n"), F.col("g")
+    off = F.transform(
+        F.filter(peers, lambda p: (p["j"] != me) & F.try_element_at(F.col("row"), p["j"]).isNotNull()),
+        lambda p: p["w"] * F.try_element_at(F.col("row"), p["j"]) * F.pow(
+            q, st.decay_exponent(n_i, p["n"], g_i, p["g"]).cast("double")))
+    terms = F.when(F.col("var").isNotNull(),
+                   F.concat(off, F.array(F.col("w") * F.col("var")))).otherwise(off)
+    d = d.select(*tkey, "w", "mean",
+                 F.when(F.size(terms) > 0, sorted_sum(terms)).alias("rs"))
+    out = d.groupBy(*tkey).agg(
+        sorted_sum(F.collect_list(F.col("w") * F.coalesce("mean", F.lit(0.0)))).alias("expected_return"),
+        sorted_sum(F.collect_list(F.col("w") * F.col("rs"))).alias("variance"))
     return finish_metrics(out, params)
 
 

@@ -53,6 +53,11 @@ def seed_cov(seed: DataFrame) -> DataFrame:
             .select("portfolio_id", "i", F.explode("row").alias("j", "cov0")))
 
 
+def seed_cov_rows(seed: DataFrame) -> DataFrame:
+    """Covariance rows ``(portfolio_id, ticker, row map<j, cov0>)`` of the seeds."""
+    return seed.select("portfolio_id", F.explode("covarianceMatrix").alias("ticker", "row"))
+
+
 def seed_diag(seed: DataFrame) -> DataFrame:
     return (seed_cov(seed).filter(F.col("i") == F.col("j"))
             .select("portfolio_id", F.col("i").alias("ticker"), F.col("cov0").alias("var0")))

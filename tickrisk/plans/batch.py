@@ -71,6 +71,12 @@ class RiskJob:
     def weights(self) -> DataFrame:
         return mt.weights_long(self.weight_snapshots)
 
+    @cached_property
+    def vs_final(self) -> DataFrame:
+        """Metrics of every weight snapshot against the final statistics."""
+        return materialize(mt.metrics_vs_state(self.weights, self.final_state, self.seed,
+                                               self.params), "vs_final", self.materialize)
+
     @cached_property
     def grid(self) -> DataFrame:
         return materialize(mt.trigger_grid(self.applied, self.series, self.seed,

@@ -51,14 +51,26 @@ def q_log_return_select(r: DataFrame) -> DataFrame:
         "last_traded_time")
 
 
+_JOBS: dict = {}
+
+
 def job(spark: SparkSession, sf_dir: str, params: RiskParams = TEST_PARAMS) -> RiskJob:
-    """The batch job over the stand-in inputs of ``sf_dir``."""
-    ev = _ev(spark, sf_dir)
-    return RiskJob(ticks_raw=standin.price_ticks(ev),
-                   stats_records=standin.stats_seeds(ev),
-                   weight_snapshots=standin.weight_snapshots(ev),
-                   holdings=standin.holdings(ev),
-                   params=params)
+    """The batch job over the stand-in inputs of ``sf_dir``.
+
+    One job per (session, directory, parameters): the registered queries are
+    outputs of the same job and share its materialised stages, as the
+    original job computes all its outputs in one topology.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), params)
+    if key not in _JOBS:
+        ev = _ev(spark, sf_dir)
+        _JOBS[key] = RiskJob(ticks_raw=standin.price_ticks(ev),
+                             stats_records=standin.stats_seeds(ev),
+                             weight_snapshots=standin.weight_snapshots(ev),
+                             holdings=standin.holdings(ev),
+                             params=params)
+    configure(spark)
+    return _JOBS[key]
 
 
 def q_stats_seed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +101,7 @@ def q_cov_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vs_final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = job(spark, sf_dir)
-    return mt.metrics_vs_state(j.weights, j.final_state, j.seed, j.params)
+    return job(spark, sf_dir).vs_final
 
 
 def q_expected_return(spark: SparkSession, sf_dir: str) -> DataFrame:
