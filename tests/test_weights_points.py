@@ -68,3 +68,17 @@ def test_avro_schemas_match_structs():
     assert stats["fields"][3]["type"] == {"type": "map", "values": {"type": "map", "values": "double"}}
     assert [f["name"] for f in json.loads(AVRO["portfolio_metrics"])["fields"]] == \
         ["portfolioId", "risk", "expectedReturn", "sharpRatio", "timestamp"]
+
+
+def test_map_metrics_matches_python_rule(spark):
+    from tickrisk.functions.ieee import map_metrics
+    from step_oracle import metrics as py_metrics
+    w = {"A": 0.6, "B": 0.4, "Z": 0.5}
+    means = {"A": 0.01, "B": 0.02}
+    cov = {"A": {"A": 0.04, "B": 0.01}, "B": {"A": 0.01, "B": 0.09}}
+    df = spark.createDataFrame([(w, means, cov)], "w map<string,double>, m map<string,double>, "
+                                                  "c map<string,map<string,double>>")
+    r = df.select(map_metrics("w", "m", "c").alias("x")).first()["x"]
+    e, var, risk, sharpe = py_metrics(w, means, cov)
+    assert (r["expected_return"], r["variance"], r["risk"], r["sharpe"]) == \
+        __import__("pytest").approx((e, var, risk, sharpe))

@@ -65,3 +65,27 @@ def sorted_sum(values) -> Column:
 def round8(x) -> Column:
     """Round to 8 decimals (result comparisons across engines)."""
     return F.round(_c(x), 8)
+
+
+def map_metrics(weights, means, cov, periods: int = 52, risk_free: float = 0.0018) -> Column:
+    """A2/A3/P10 on wire maps: ``struct(expected_return, variance, risk, sharpe)``.
+
+    ``weights``/``means``: ``map<string,double>``; ``cov``:
+    ``map<string,map<string,double>>``; missing entries count as 0 (P5).
+    Terms are summed in ascending order, as in the long-form operators.
+    """
+    import math
+
+    w, m, c = _c(weights), _c(means), _c(cov)
+    ents = F.map_entries(w)
+    e = sorted_sum(F.transform(ents, lambda x: x["value"] * map_get_or_zero(m, x["key"])))
+
+    def row_sum(x):
+        row = F.coalesce(F.try_element_at(c, x["key"]), F.create_map().cast("map<string,double>"))
+        return x["value"] * sorted_sum(F.transform(ents, lambda y: y["value"] * map_get_or_zero(row, y["key"])))
+
+    var = sorted_sum(F.transform(ents, row_sum))
+    risk = F.sqrt(var)
+    sharpe = ieee_div(F.lit(math.sqrt(periods)) * (e - F.lit(risk_free)), risk)
+    return F.struct(e.alias("expected_return"), var.alias("variance"), risk.alias("risk"),
+                    sharpe.alias("sharpe"))

@@ -34,9 +34,22 @@ def returns_stream(ticks_raw: DataFrame, params: RiskParams, strict: bool = True
     return tk.log_returns(ticks, window=params.window, watermark=params.watermark)
 
 
+def _control_watermark(df: DataFrame, delay: str | None) -> DataFrame:
+    """Optional watermark on a control stream (statistics, weights).
+
+    Off by default: the global watermark is the minimum over the sources, so
+    a quiet control stream with a watermark would hold back every window.
+    """
+    if not delay:
+        return df
+    return (df.withColumn("_ctl_ts", F.timestamp_millis("timestamp"))
+            .withWatermark("_ctl_ts", delay).drop("_ctl_ts"))
+
+
 def stats_stream(ticks_raw: DataFrame, params: RiskParams, holdings: DataFrame | None = None,
                  seeds: DataFrame | None = None, seed_stream: DataFrame | None = None,
-                 portfolio_id: str = "portf1", stamp: str = "event") -> DataFrame:
+                 portfolio_id: str = "portf1", stamp: str = "event",
+                 control_watermark: str | None = None) -> DataFrame:
     """Query A body: updated statistics records, one per applied return.
 
     ``seeds`` (static statistics records) become the processor's initial
@@ -53,6 +66,7 @@ def stats_stream(ticks_raw: DataFrame, params: RiskParams, holdings: DataFrame |
                     F.lit(None).cast("map<string,double>").alias("meanReturns"),
                     F.lit(None).cast("map<string,map<string,double>>").alias("covarianceMatrix"))
     if seed_stream is not None:
+        seed_stream = _control_watermark(seed_stream, control_watermark)
         s = seed_stream.select(
             "portfolio_id", F.lit("seed").alias("kind"),
             F.timestamp_millis("timestamp").alias("o_ts"), F.lit(0).alias("o_side"),
@@ -71,12 +85,13 @@ def stats_stream(ticks_raw: DataFrame, params: RiskParams, holdings: DataFrame |
 
 
 def metrics_stream(stats_records: DataFrame, weight_snapshots: DataFrame,
-                   params: RiskParams) -> DataFrame:
+                   params: RiskParams, control_watermark: str | None = None) -> DataFrame:
     """Query B body: emitted metrics (``processors.METRICS_OUT``).
 
     ``stats_records``: Query A output (``o_ts`` = the return's order time);
     ``weight_snapshots``: ``seq, timestamp, portfolio_id, weights``.
     """
+    weight_snapshots = _control_watermark(weight_snapshots, control_watermark)
     s = stats_records.select(
         "portfolio_id", F.lit("stats").alias("kind"), F.col("o_ts").cast("timestamp").alias("o_ts"),
         F.lit(1).alias("o_side"), F.lit(0).cast("bigint").alias("o_seq"),
