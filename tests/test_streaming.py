@@ -26,6 +26,7 @@ def _rows(df, cols):
     ("stream_ew_mean", "ew_mean", ["portfolio_id", "ticker", "order_ts", "n", "mean"]),
     ("stream_metrics", "metrics_emit_on_change",
      ["portfolio_id", "o_ts", "o_side", "o_seq", "expected_return", "risk"]),
+    ("stream_ew_variance", "ew_variance", ["portfolio_id", "ticker", "order_ts", "n", "var"]),
 ])
 def test_stream_equals_batch(spark, stream_q, batch_q, cols):
     s = SQ.STREAM_QUERIES[stream_q](spark, SF)

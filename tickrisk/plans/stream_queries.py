@@ -92,8 +92,23 @@ def q_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics_out(_run(m, root, "metrics"))
 
 
+def q_stream_ew_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4/A5 streaming, factored mode: state keyed by (portfolio, ticker);
+    diagonal covariance after each applied return."""
+    static, stream = _events(spark, sf_dir)
+    root = scratch_path(spark, "stream-factored")
+    s = tp.ticker_stats_stream(_tick_stream(spark, static, stream, root), TEST_PARAMS,
+                               seeds=standin.stats_seeds(static),
+                               holdings=standin.holdings(static))
+    out = _run(s, root, "series")
+    return (out.filter(F.col("mean").isNotNull() & F.col("var").isNotNull())
+            .select("portfolio_id", "ticker", to_ntz("o_ts").alias("order_ts"), "n",
+                    round8("var").alias("var")))
+
+
 STREAM_QUERIES = {
     "stream_log_return": q_stream_log_return,
     "stream_ew_mean": q_stream_ew_mean,
     "stream_metrics": q_stream_metrics,
+    "stream_ew_variance": q_stream_ew_variance,
 }

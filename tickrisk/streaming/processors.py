@@ -1,6 +1,6 @@
-"""Keyed stateful processors (record mode) for ``transformWithStateInPandas``.
+"""Keyed stateful processors for ``transformWithStateInPandas``.
 
-Both processors are keyed by ``portfolio_id``; their state lives in the
+Record mode: two processors keyed by ``portfolio_id``; their state lives in the
 state store (RocksDB provider). Within a micro-batch the rows of a key are
 sorted by the order key ``(o_ts, o_side, o_seq, o_tie)`` before folding, so
 a batch that holds the whole input gives the batch results exactly; across
@@ -20,6 +20,9 @@ NaN equals NaN, 0.0 differs from -0.0).
 
 State is loaded into dicts once per key and batch, folded in Python, and the
 changed entries written back.
+
+Factored mode: ``TickerStatsProcessor`` keyed by ``(portfolio_id, ticker)``
+keeps ``(n, mean, var)`` per key; off-diagonal cells follow from the counts.
 """
 
 from __future__ import annotations
@@ -243,3 +246,69 @@ class MetricsProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+TICKER_STATS_OUT = ("portfolio_id string, ticker string, o_ts timestamp, n long, "
+                    "return_value double, mean double, var double")
+
+
+class TickerStatsProcessor(StatefulProcessor):
+    """Factored mode of the statistics update, keyed by ``(portfolio_id, ticker)``.
+
+    Mean and diagonal covariance of a ticker depend only on its own returns,
+    so the state of one key is ``(seed_ms, n, mean, var)`` and each return
+    costs O(1); a hot portfolio is spread over its tickers' keys. The
+    per-record rule is applied as is (same arithmetic): the mean is stored
+    only for a non-zero old mean, the diagonal is updated only for a non-zero
+    new mean and non-zero cell. Off-diagonal cells follow from the tick
+    counts ``n`` (``stats.decay_exponent``). Keys without a seed entry are
+    dropped (such a ticker has no cell to update). Emits one row per applied
+    return.
+    """
+
+    def __init__(self, count: int = 1000):
+        self.n_div = count + 1
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState(
+            "ticker_state", "seed_ms long, n long, has_mean boolean, mean double, "
+                            "has_var boolean, var double")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        if self.state.exists():
+            return
+        r = initialState.iloc[0]
+        has_m = not pd.isna(r["mean0"])
+        has_v = not pd.isna(r["var0"])
+        self.state.update((int(r["seed_ms"]), 0, has_m, float(r["mean0"]) if has_m else 0.0,
+                           has_v, float(r["var0"]) if has_v else 0.0))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if not self.state.exists():
+            for _ in rows:
+                pass
+            return
+        seed_ms, n, has_m, m, has_v, c = self.state.get()
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values("o_ts", kind="mergesort")
+        out = []
+        for r in pdf.itertuples(index=False):
+            if _ms(r.o_ts) < seed_ms:
+                continue
+            ret = float(r.return_value)
+            old = m if has_m else 0.0
+            new = old + (ret - old) / self.n_div
+            if old != 0.0:
+                m = new
+            mo = m if has_m else 0.0
+            if has_v and mo != 0.0 and c != 0.0:
+                c = c + ((ret - old) * (ret - mo) - c) / self.n_div
+            n += 1
+            out.append((key[0], key[1], r.o_ts, n, ret, m if has_m else None,
+                        c if has_v else None))
+        self.state.update((seed_ms, n, has_m, m, has_v, c))
+        if out:
+            yield pd.DataFrame(out, columns=["portfolio_id", "ticker", "o_ts", "n",
+                                             "return_value", "mean", "var"])
+
+    def close(self) -> None:
+        pass

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from tickrisk.operators import stats as st
 from tickrisk.operators import ticks as tk
 from tickrisk.params import RiskParams
-from tickrisk.streaming.processors import (METRICS_OUT, STATS_OUT, MetricsProcessor,
-                                           StatsUpdateProcessor)
+from tickrisk.streaming.processors import (METRICS_OUT, STATS_OUT, TICKER_STATS_OUT,
+                                           MetricsProcessor, StatsUpdateProcessor,
+                                           TickerStatsProcessor)
 
 
 def returns_stream(ticks_raw: DataFrame, params: RiskParams, strict: bool = True,
@@ -84,6 +85,31 @@ def stats_stream(ticks_raw: DataFrame, params: RiskParams, holdings: DataFrame |
         initialState=init)
 
 
+def ticker_stats_stream(ticks_raw: DataFrame, params: RiskParams, seeds: DataFrame,
+                        holdings: DataFrame | None = None,
+                        portfolio_id: str = "portf1") -> DataFrame:
+    """Query A, factored mode: per (portfolio, ticker) series rows
+    (``processors.TICKER_STATS_OUT``), state keyed by (portfolio, ticker).
+
+    ``seeds``: static statistics records; their first record per portfolio
+    is exploded to one initial state per (portfolio, ticker) of its maps.
+    """
+    r = returns_stream(ticks_raw, params)
+    r = r.select("ticker", F.col("window_end").alias("o_ts"), "return_value")
+    r = tk.assign_portfolios(r, holdings, portfolio_id)
+    seed = st.first_seed(seeds)
+    keys = (st.seed_means(seed).select(*st.PT)
+            .unionByName(st.seed_cov_rows(seed).select(*st.PT)).distinct())
+    init = (keys.join(st.seed_means(seed), st.PT, "left")
+            .join(st.seed_diag(seed), st.PT, "left")
+            .join(seed.select("portfolio_id", F.col("timestamp").alias("seed_ms")), "portfolio_id"))
+    return r.select("portfolio_id", "ticker", "o_ts", "return_value").groupBy(
+        "portfolio_id", "ticker").transformWithStateInPandas(
+        statefulProcessor=TickerStatsProcessor(params.count),
+        outputStructType=TICKER_STATS_OUT, outputMode="Append", timeMode="None",
+        initialState=init.groupBy("portfolio_id", "ticker"))
+
+
 def metrics_stream(stats_records: DataFrame, weight_snapshots: DataFrame,
                    params: RiskParams, control_watermark: str | None = None) -> DataFrame:
     """Query B body: emitted metrics (``processors.METRICS_OUT``).
