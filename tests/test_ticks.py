@@ -48,7 +48,11 @@ def test_window_rules(spark):
     assert r["neg"]["return_value"] == pytest.approx(math.log(2.0), abs=1e-12)
     # only the last tick's current price counts
     assert r["three"]["return_value"] == pytest.approx(math.log(1.2), abs=1e-12)
-    assert r["three"]["last_traded_time"].startswith("2024-01-01T10:00:00.3")
+    assert r["three"]["last_traded_ts"] == T0 + dt.timedelta(seconds=0.3)
+    # the exact text of the last tick's time on request
+    txt = tk.log_returns(tk.typed_ticks(_raw(spark, rows)), window="2 seconds", keep_text=True)
+    assert {x["ticker"]: x["last_traded_time"] for x in txt.collect()}["three"] == \
+        "2024-01-01T10:00:00.300000Z"
 
 
 def test_windows_split_by_time(spark):
@@ -75,6 +79,14 @@ def test_malformed_price_raises_or_quarantines(spark):
     assert bad.count() == 1 and good.count() == 1
 
 
+def test_unparseable_time_fails_fast_or_nulls(spark):
+    raw = _raw(spark, [("A", "10", "11", 0.5)]).withColumn(
+        "field_last_traded_time", F.lit("2024-01-01 10:00:00"))
+    with pytest.raises(Exception):
+        tk.typed_ticks(raw).collect()
+    assert tk.typed_ticks(raw, strict=False).first()["event_ts"] is None
+
+
 def test_event_time_option(spark):
     raw = _raw(spark, [("A", "10", "11", 0.5)])
     t = tk.typed_ticks(raw, event_time=True).collect()[0]

@@ -27,10 +27,18 @@ def parse_price(text, strict: bool = True) -> Column:
     return text.cast("double") if strict else text.try_cast("double")
 
 
-def iso_offset_to_ts(text) -> Column:
-    """ISO offset date-time text -> TIMESTAMP; NULL when no zone is given."""
+def iso_offset_to_ts(text, strict: bool = False) -> Column:
+    """ISO offset date-time text -> TIMESTAMP.
+
+    Lenient: NULL when no zone is given or the text does not parse. Strict:
+    such text raises (fail fast, like the original's timestamp assigner).
+    """
     text = _c(text)
-    return F.when(text.rlike(_OFFSET_SUFFIX), text.try_cast("timestamp"))
+    ok = text.rlike(_OFFSET_SUFFIX)
+    if not strict:
+        return F.when(ok, text.try_cast("timestamp"))
+    return F.when(ok, text.cast("timestamp")).otherwise(
+        F.raise_error(F.concat(F.lit("time without zone offset: "), text)).cast("timestamp"))
 
 
 def iso_offset_to_millis(text) -> Column:

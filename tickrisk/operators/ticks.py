@@ -10,8 +10,11 @@ Rules (per (ticker, window), by arrival order ``seq``):
 5. ``ln(last/base)`` with IEEE results; NaN gives no row (0 and -Infinity
    are kept).
 
-First/last by arrival are ``min_by``/``max_by`` aggregates, so the window is
-a partial + final hash aggregate (map-side combine), not a buffered group.
+First/last by arrival are ``min_by``/``max_by`` aggregates over fixed-width
+values (prices, parsed last-traded time), so the window is a partial + final
+*hash* aggregate (map-side combine), not a buffered group. The last tick's
+time text is informational in the original (never read downstream);
+``keep_text=True`` carries it too, at the cost of a sort-based aggregate.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ def typed_ticks(raw: DataFrame, strict: bool = True, order_col: str = "seq",
     processing time), or the parsed last-traded time with ``event_time``.
     Only the four used wire fields are read (column pruning reaches the scan).
     """
-    ev_ts = iso_offset_to_ts(F.col(TICK_TIME))
+    ev_ts = iso_offset_to_ts(F.col(TICK_TIME), strict=strict)
     return raw.select(
         F.col(order_col).alias("seq"),
         (ev_ts if event_time else F.col(time_col).cast("timestamp")).alias("ts"),
@@ -51,28 +54,33 @@ def quarantine_split(ticks: DataFrame):
     return ticks.filter(~bad), ticks.filter(bad)
 
 
-def window_first_last(ticks: DataFrame, window: str) -> DataFrame:
+def window_first_last(ticks: DataFrame, window: str, keep_text: bool = False) -> DataFrame:
     """A1: first/last tick of every (ticker, tumbling window) by arrival."""
-    return (ticks.groupBy("ticker", F.window("ts", window).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n_ticks"),
-                 F.min_by(F.struct("opening_price", "last_traded_time"), "seq").alias("first"),
-                 F.max_by(F.struct("current_price", "last_traded_time"), "seq").alias("last")))
+    aggs = [F.count(F.lit(1)).alias("n_ticks"),
+            F.min_by("opening_price", "seq").alias("first_open"),
+            F.max_by("current_price", "seq").alias("last_current"),
+            F.max_by("event_ts", "seq").alias("last_traded_ts")]
+    if keep_text:
+        aggs.append(F.max_by("last_traded_time", "seq").alias("last_traded_time"))
+    return ticks.groupBy("ticker", F.window("ts", window).alias("w")).agg(*aggs)
 
 
-def log_returns(ticks: DataFrame, window: str = "2 seconds", watermark: str | None = None) -> DataFrame:
+def log_returns(ticks: DataFrame, window: str = "2 seconds", watermark: str | None = None,
+                keep_text: bool = False) -> DataFrame:
     """Windowed log return per ticker.
 
     Output: ``ticker, window_start, window_end, n_ticks, base_price,
-    last_price, return_value, last_traded_time`` (window bounds TIMESTAMP).
-    With ``watermark`` set the aggregate runs in append mode on streams.
+    last_price, return_value, last_traded_ts`` (+ ``last_traded_time`` text
+    with ``keep_text``). With ``watermark`` set the aggregate runs in append
+    mode on streams.
     """
     if watermark:
         ticks = ticks.withWatermark("ts", watermark)
-    g = window_first_last(ticks, window)
-    base = F.col("first.opening_price")
-    last = F.when(F.col("n_ticks") > 1, F.col("last.current_price")).otherwise(base)
+    g = window_first_last(ticks, window, keep_text)
+    base = F.col("first_open")
+    last = F.when(F.col("n_ticks") > 1, F.col("last_current")).otherwise(base)
     ratio = F.when(base != 0, last / base)
-    out = g.select(
+    cols = [
         "ticker",
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
@@ -80,8 +88,9 @@ def log_returns(ticks: DataFrame, window: str = "2 seconds", watermark: str | No
         base.alias("base_price"),
         last.alias("last_price"),
         ieee_ln(ratio).alias("return_value"),
-        F.col("last.last_traded_time").alias("last_traded_time"),
-    )
+        "last_traded_ts",
+    ] + (["last_traded_time"] if keep_text else [])
+    out = g.select(*cols)
     return out.filter((F.col("base_price") != 0) & ~F.isnan("return_value"))
 
 

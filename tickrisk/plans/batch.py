@@ -42,7 +42,7 @@ class RiskJob:
     @cached_property
     def portfolio_returns(self) -> DataFrame:
         r = self.returns.select("ticker", F.col("window_end").alias("order_ts"),
-                                "return_value", "last_traded_time")
+                                "return_value", "last_traded_ts")
         return tk.assign_portfolios(r, self.holdings, self.portfolio_id)
 
     @cached_property

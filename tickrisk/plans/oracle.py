@@ -23,13 +23,13 @@ win AS (
   SELECT ticker, date_trunc('day', ts) AS window_start, count(*) AS n_ticks,
          arg_min(opening_price, seq) AS base_price,
          arg_max(current_price, seq) AS last_current,
-         arg_max(last_traded_time, seq) AS last_traded_time
+         CAST(arg_max(last_traded_time, seq) AS TIMESTAMP) AS last_traded_ts
   FROM ticks GROUP BY ticker, date_trunc('day', ts)),
 rets AS (
   SELECT ticker, window_start, window_start + INTERVAL 1 DAY AS window_end, n_ticks,
          base_price,
          CASE WHEN n_ticks > 1 THEN last_current ELSE base_price END AS last_price,
-         last_traded_time
+         last_traded_ts
   FROM win),
 returns AS (
   SELECT *, CASE WHEN last_price / base_price = 0 THEN CAST('-Infinity' AS DOUBLE)
@@ -39,7 +39,7 @@ returns AS (
 
 LOG_RETURN = "WITH " + RETURNS + """
 SELECT ticker, window_start, window_end, n_ticks, base_price, last_price,
-       round(return_value, 8) AS return_value, last_traded_time
+       round(return_value, 8) AS return_value, last_traded_ts
 FROM returns WHERE NOT isnan(return_value)
 """
 

@@ -48,7 +48,7 @@ def q_log_return_select(r: DataFrame) -> DataFrame:
         to_ntz("window_end").alias("window_end"),
         "n_ticks", "base_price", "last_price",
         round8("return_value").alias("return_value"),
-        "last_traded_time")
+        to_ntz("last_traded_ts").alias("last_traded_ts"))
 
 
 _JOBS: dict = {}
