@@ -2,6 +2,7 @@
 from the checkpoint continues to the same result."""
 
 import datetime as dt
+import math
 import tempfile
 
 import pytest
@@ -82,3 +83,65 @@ def test_portfolio_metrics_rules():
     assert e == pytest.approx(0.014) and var == pytest.approx(0.0336)
     assert sharpe == pytest.approx(52 ** 0.5 * 0.0122 / 0.1833030278)
     assert portfolio_metrics({"A": 1.0}, {"A": 0.1}, {"A": {"A": 0.0}})[3] == float("inf")
+
+
+def _write(spark, rows, schema, path):
+    spark.createDataFrame(rows, schema).write.mode("append").parquet(path)
+
+
+def test_seed_stream_first_wins_and_drops_early_returns(spark):
+    """Seeds as a stream (kind='seed' rows): the first seed wins, a return
+    ordered before it is dropped, a second seed is ignored."""
+    from tickrisk.params import RiskParams
+    from tickrisk.schemas import PORTFOLIO_STATS
+    from pyspark.sql import types as T
+    root = tempfile.mkdtemp(prefix="seedstream-")
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    tick_schema = ("seq long, arrival_ts timestamp, ticker string, field_opening_price string, "
+                   "field_cours_courant string, field_last_traded_time string")
+    ticks = []
+    for k, (sec, o, c) in enumerate([(0.5, "10", "10"), (1.0, "10", "11"),      # window [0,2) -> before seed
+                                     (4.5, "10", "10"), (5.0, "10", "12"),      # window [4,6)
+                                     (600, "1", "1")]):                         # sentinel (closes windows)
+        ts = t0 + dt.timedelta(seconds=sec)
+        ticks.append((k, ts, "A" if sec < 600 else "S", o, c, ts.strftime("%Y-%m-%dT%H:%M:%S.%fZ")))
+    _write(spark, ticks, tick_schema, f"{root}/ticks")
+    seed_t = T.StructType([T.StructField("seq", T.LongType())] + PORTFOLIO_STATS.fields)
+    ms = int((t0 - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+    _write(spark, [(1, ms + 3000, "portf1", {"A": 0.01}, {"A": {"A": 0.04}}),
+                   (2, ms + 3500, "portf1", {"A": 5.0}, {"A": {"A": 5.0}})], seed_t, f"{root}/seeds")
+    params = RiskParams(window="2 seconds", watermark="1 second")
+    ts_stream = file_source(spark, f"{root}/ticks", tick_schema, stream=True)
+    sd_stream = file_source(spark, f"{root}/seeds", seed_t, stream=True)
+    s = tp.stats_stream(ts_stream, params, seed_stream=sd_stream)
+    tp.run_available_now(s, f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out").collect()
+    assert len(out) == 1                                  # only the [4,6) window is applied
+    r = out[0]
+    ret = math.log(1.2)
+    m1 = 0.01 + (ret - 0.01) / 1001
+    assert r["meanReturns"]["A"] == pytest.approx(m1, rel=1e-12)
+    assert r["covarianceMatrix"]["A"]["A"] == pytest.approx(
+        0.04 + ((ret - 0.01) * (ret - m1) - 0.04) / 1001, rel=1e-12)
+
+
+def test_points_writer_foreach_batch(spark):
+    from tickrisk.sources.sinks import points_writer
+    root = tempfile.mkdtemp(prefix="points-stream-")
+    _write(spark, [(1, 1000, "P", {"A": 0.5, "B": None})],
+           "seq long, timestamp long, portfolio_id string, weights map<string,double>",
+           f"{root}/w")
+    snaps = file_source(spark, f"{root}/w",
+                        "seq long, timestamp long, portfolio_id string, weights map<string,double>",
+                        stream=True)
+    q = (snaps.writeStream.foreachBatch(points_writer(f"{root}/pts", kind="weights"))
+         .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    pts = spark.read.parquet(f"{root}/pts").collect()
+    assert [(p["bucket"], p["measurement"], p["value"]) for p in pts] == [("weights", "A", 0.5)]
+
+
+def test_kafka_source_needs_package(spark):
+    from tickrisk.sources.streams import kafka_source
+    with pytest.raises(Exception):
+        kafka_source(spark, "localhost:1", "intraday-stock-prices", "price_tick", stream=False).schema
