@@ -25,7 +25,8 @@ states give bit-identical metrics, which exact change detection relies on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickrisk.functions.ieee import ieee_div, sorted_sum
@@ -52,33 +53,47 @@ def _risk_from_grid(grid: DataFrame, seed: DataFrame, tkey: list[str],
     ``grid``: ``*tkey, ticker, w, mean, var, n, g`` (one row per weighted
     ticker of the trigger; ``tkey`` includes ``portfolio_id``).
 
-    The trigger's ticker states are gathered once by a window over the
-    trigger key (N rows, N = tickers in the weights); each row carries its
-    seed covariance row ``cov0[i][*]`` (size-checked join) and evaluates
-    ``rs_i = sum_j w_j * cov_ij`` with higher-order functions, so no N x N
-    pair rows are shuffled. ``var = sum_i w_i * rs_i``.
+    ``grid`` should arrive hash-partitioned by the trigger key (see
+    ``partition_by_trigger``); the seed's off-diagonal cells are joined by a
+    size-checked broadcast; the pair join on ``(trigger, j)``, the row sums
+    ``rs_i = sum_j w_j * cov_ij`` and the totals then stay inside the
+    trigger's partition (no further shuffle). The work is O(N^2) per trigger
+    (N = weighted tickers), as in the original; ``var = sum_i w_i * rs_i``.
     """
     q = F.lit(params.decay)
-    rows = st.seed_cov_rows(seed)
-    d = join_small(grid, rows, on=["portfolio_id", "ticker"], how="left")
-    peers = F.collect_list(F.struct(F.col("ticker").alias("j"), F.col("w").alias("w"),
-                                    F.col("n").alias("n"), F.col("g").alias("g"))
-                           ).over(Window.partitionBy(*tkey))
-    me, n_i, g_i = F.col("ticker"), F.col("n"), F.col("g")
-    off = F.transform(
-        F.filter(peers, lambda p: (p["j"] != me) & F.try_element_at(F.col("row"), p["j"]).isNotNull()),
-        lambda p: p["w"] * F.try_element_at(F.col("row"), p["j"]) * F.pow(
-            q, st.decay_exponent(n_i, p["n"], g_i, p["g"]).cast("double")))
-    terms = F.when(F.col("var").isNotNull(),
-                   F.concat(off, F.array(F.col("w") * F.col("var")))).otherwise(off)
-    d = d.select(*tkey, "w", "mean",
-                 F.when(F.size(terms) > 0, sorted_sum(terms)).alias("rs"))
-    out = d.groupBy(*tkey).agg(
-        sorted_sum(F.collect_list(F.col("w") * F.coalesce("mean", F.lit(0.0)))).alias("expected_return"),
-        sorted_sum(F.collect_list(F.col("w") * F.col("rs"))).alias("variance"))
+    g = grid
+    c_off = st.seed_cov(seed).filter(F.col("i") != F.col("j"))
+    gi = g.select(*tkey, F.col("ticker").alias("i"), F.col("w").alias("w_i"),
+                  F.col("n").alias("n_i"), F.col("g").alias("g_i"))
+    gj = g.select(*tkey, F.col("ticker").alias("j"), F.col("w").alias("w_j"),
+                  F.col("n").alias("n_j"), F.col("g").alias("g_j"))
+    off = (join_small(gi, c_off, on=["portfolio_id", "i"])
+           .join(gj, tkey + ["j"])
+           .select(*tkey, "i", "w_i",
+                   (F.col("w_j") * F.col("cov0") * F.pow(
+                       q, st.decay_exponent(F.col("n_i"), F.col("n_j"), F.col("g_i"),
+                                            F.col("g_j")).cast("double"))).alias("t")))
+    diag = (g.filter(F.col("var").isNotNull())
+            .select(*tkey, F.col("ticker").alias("i"), F.col("w").alias("w_i"),
+                    (F.col("w") * F.col("var")).alias("t")))
+    rows = (off.unionByName(diag).groupBy(*tkey, "i")
+            .agg(F.first("w_i").alias("w_i"), sorted_sum(F.collect_list("t")).alias("rs")))
+    v = rows.groupBy(*tkey).agg(
+        sorted_sum(F.collect_list(F.col("w_i") * F.col("rs"))).alias("variance"))
+    e = g.groupBy(*tkey).agg(
+        sorted_sum(F.collect_list(F.col("w") * F.coalesce("mean", F.lit(0.0))))
+        .alias("expected_return"))
+    out = e.join(v, tkey, "left").withColumn("variance", F.coalesce("variance", F.lit(0.0)))
     return finish_metrics(out, params)
 
 
+def partition_by_trigger(grid: DataFrame, tkey: list[str] | None = None) -> DataFrame:
+    """Hash-partition a grid by its trigger key once and keep it (memory and
+    disk; recomputable from lineage) so that every branch of the quadratic
+    form reuses that partitioning. Unpersist after use."""
+    return grid.repartition(*(tkey or TKEY)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def finish_metrics(df: DataFrame, params: RiskParams) -> DataFrame:
     """P10: risk and Sharpe ratio from ``expected_return`` and ``variance``."""
     risk = F.sqrt("variance")
@@ -93,11 +108,15 @@ def metrics_vs_state(weights: DataFrame, state: DataFrame, seed: DataFrame,
     ``weights``: long form; ``state``: ``portfolio_id, ticker, n, mean, var``
     (e.g. ``stats.final_state``). Output per ``(portfolio_id, seq)``.
     """
+    return _risk_from_grid(state_grid(weights, state, seed), seed, ["portfolio_id", "seq"], params)
+
+
+def state_grid(weights: DataFrame, state: DataFrame, seed: DataFrame) -> DataFrame:
+    """Grid of every weight snapshot's tickers against one statistics state."""
     g = st.live_flags(seed)
-    grid = (weights.join(state.select(*st.PT, "n", "mean", "var"), st.PT, "left")
+    return (weights.join(state.select(*st.PT, "n", "mean", "var"), st.PT, "left")
             .join(g, st.PT, "left")
             .withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint")))
-    return _risk_from_grid(grid, seed, ["portfolio_id", "seq"], params)
 
 
 def triggers(applied: DataFrame, snapshots: DataFrame, params: RiskParams) -> DataFrame:

@@ -74,8 +74,13 @@ class RiskJob:
     @cached_property
     def vs_final(self) -> DataFrame:
         """Metrics of every weight snapshot against the final statistics."""
-        return materialize(mt.metrics_vs_state(self.weights, self.final_state, self.seed,
-                                               self.params), "vs_final", self.materialize)
+        grid = mt.state_grid(self.weights, self.final_state, self.seed)
+        g = mt.partition_by_trigger(grid, ["portfolio_id", "seq"])
+        try:
+            return materialize(mt._risk_from_grid(g, self.seed, ["portfolio_id", "seq"], self.params),
+                               "vs_final", self.materialize)
+        finally:
+            g.unpersist()
 
     @cached_property
     def grid(self) -> DataFrame:
@@ -85,8 +90,12 @@ class RiskJob:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return materialize(mt.risk_from_grid(self.grid, self.seed, self.params),
-                           "candidates", self.materialize)
+        g = mt.partition_by_trigger(self.grid)
+        try:
+            return materialize(mt.risk_from_grid(g, self.seed, self.params),
+                               "candidates", self.materialize)
+        finally:
+            g.unpersist()
 
     @cached_property
     def emitted(self) -> DataFrame:

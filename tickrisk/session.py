@@ -26,6 +26,7 @@ def build_session(master: str = "local[8]", app: str = "tickrisk",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
          .config("spark.driver.memory", "16g"))
@@ -37,8 +38,14 @@ def build_session(master: str = "local[8]", app: str = "tickrisk",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Session settings the operators rely on (idempotent)."""
+    """Session settings the operators rely on (idempotent).
+
+    ``requireAllClusterKeysForCoPartition=false`` lets a join on
+    ``(trigger, ticker)`` reuse a partitioning on the trigger key, so the
+    per-trigger pair join runs inside the partition instead of reshuffling.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
