@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickrisk.operators.scan import (block_of, ew_scan, forward_fill, previous_row,
-                                     running_sum)
+                                     running, running_sum)
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -38,13 +38,15 @@ def test_scans_match_bruteforce(data, seconds):
     out = running_sum(df, ["k"], order, "blk", "one", "cnt")
     out = forward_fill(out, ["k"], order, "blk", "v", "ff")
     out = previous_row(out, ["k"], order, "blk", ["x"], "prev")
-    got = out.select("k", "ts", "seq", "cnt", "ff", F.col("prev.x").alias("px")) \
+    out = running(out, ["k"], order, "blk", sums={"cnt2": "one"}, lasts={"ff2": "v"})
+    got = out.select("k", "ts", "seq", "cnt", "ff", "cnt2", "ff2", F.col("prev.x").alias("px")) \
         .toPandas().sort_values(["k", "ts", "seq"]).reset_index(drop=True)
     exp = pdf.copy()
     exp["cnt"] = exp.groupby("k").cumcount() + 1
     exp["ff"] = exp.groupby("k")["v"].ffill()
     exp["px"] = exp.groupby("k")["x"].shift(1)
-    assert list(got["cnt"]) == list(exp["cnt"])
+    assert list(got["cnt"]) == list(exp["cnt"]) == list(got["cnt2"])
+    pd.testing.assert_series_equal(got["ff2"], exp["ff"], check_names=False)
     pd.testing.assert_series_equal(got["ff"], exp["ff"], check_names=False)
     pd.testing.assert_series_equal(got["px"], exp["px"], check_names=False)
 

@@ -87,7 +87,7 @@ def events_for_fold(seeds, rets, snaps):
 @pytest.fixture(scope="module", params=[86400 * 2, 86400 * 100])
 def case(spark, request):
     seeds, rets, snaps = build_case()
-    params = RiskParams(block_seconds=request.param)
+    params = RiskParams(block_seconds=request.param, series_block_seconds=request.param)
     stats_df = spark.createDataFrame(seeds, STATS_T)
     rets_df = spark.createDataFrame(rets, RET_T)
     snaps_df = spark.createDataFrame(snaps, SNAP_T)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tickrisk.functions.ieee import ieee_div, sorted_sum
 from tickrisk.operators import stats as st
 from tickrisk.operators.joins import join_small
-from tickrisk.operators.scan import block_of, forward_fill, previous_row, running_sum
+from tickrisk.operators.scan import block_of, previous_row, running, running_sum
 from tickrisk.params import RiskParams
 
 ORDER = ["o_ts", "o_side", "o_seq", "o_tie"]
@@ -132,8 +132,8 @@ def triggers(applied: DataFrame, snapshots: DataFrame, params: RiskParams) -> Da
         F.col("seq").cast("bigint").alias("o_seq"), F.lit("").alias("o_tie"),
         F.col("seq").cast("bigint").alias("wseq"), F.lit(0).alias("is_stats"))
     tr = st_tr.unionByName(w_tr).withColumn("_blk", block_of("o_ts", params.block_seconds))
-    tr = forward_fill(tr, ["portfolio_id"], ORDER, "_blk", "wseq", "wid")
-    tr = running_sum(tr, ["portfolio_id"], ORDER, "_blk", "is_stats", "n_stats")
+    tr = running(tr, ["portfolio_id"], ORDER, "_blk",
+                 sums={"n_stats": "is_stats"}, lasts={"wid": "wseq"})
     return tr.drop("_blk")
 
 

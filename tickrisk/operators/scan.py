@@ -42,6 +42,38 @@ def _before(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str,
+            sums: dict[str, str] | None = None, lasts: dict[str, str] | None = None) -> DataFrame:
+    """Several running values of one key order in a single two-level pass.
+
+    ``sums``: ``{out: col}`` running sums; ``lasts``: ``{out: col}`` last
+    non-null values (as-of). One level-1 window, one block aggregate, one
+    level-2 window and one join back, whatever the number of outputs.
+    """
+    keys, order = list(keys), list(order)
+    sums, lasts = dict(sums or {}), dict(lasts or {})
+    kb = keys + [block]
+    w1 = _running(kb, order)
+    d = df.select("*", *[F.sum(c).over(w1).alias(f"_ls_{o}") for o, c in sums.items()],
+                  *[F.last(c, ignorenulls=True).over(w1).alias(f"_ll_{o}") for o, c in lasts.items()])
+    aggs = [F.sum(c).alias(f"_bs_{o}") for o, c in sums.items()]
+    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_bl_{o}")
+             for o, c in lasts.items()]
+    blk = d.groupBy(*kb).agg(*aggs)
+    w2 = _before(keys, [block])
+    carry = blk.select(*kb,
+                       *[F.coalesce(F.sum(f"_bs_{o}").over(w2), F.lit(0)).alias(f"_cs_{o}")
+                         for o in sums],
+                       *[F.last(f"_bl_{o}", ignorenulls=True).over(w2).alias(f"_cl_{o}")
+                         for o in lasts])
+    d = d.join(carry, on=kb)
+    outs = [(F.col(f"_cs_{o}") + F.col(f"_ls_{o}")).alias(o) for o in sums]
+    outs += [F.coalesce(f"_ll_{o}", f"_cl_{o}").alias(o) for o in lasts]
+    tmp = [f"_{k}_{o}" for o in sums for k in ("ls", "cs")] + \
+          [f"_{k}_{o}" for o in lasts for k in ("ll", "cl")]
+    return d.select(*[c for c in d.columns if c not in tmp], *outs)
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str,
                 value: str, out: str) -> DataFrame:
     """``out`` = sum of ``value`` over the rows of the key up to this row."""

@@ -85,7 +85,7 @@ def ew_series(applied: DataFrame, seed: DataFrame, params: RiskParams) -> DataFr
     q, a = params.decay, params.gain
     m0 = seed_means(seed)
     d = applied.join(m0, on=PT)
-    d = d.withColumn("_blk", block_of("order_ts", params.block_seconds))
+    d = d.withColumn("_blk", block_of("order_ts", params.series_block_seconds))
     d = ew_scan(d, PT, ["order_ts"], "_blk", "return_value", "mean0", q, a,
                 out="_m", prev_out="_mp", idx_out="n")
     live = F.col("mean0") != 0

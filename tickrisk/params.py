@@ -23,8 +23,13 @@ class RiskParams:
     window: str = "2 seconds"
     watermark: str = "1 minute"
     # Rows of one (key, block) are scanned by one task; blocks are time
-    # buckets of the order timestamp (see operators.scan).
+    # buckets of the order timestamp (see operators.scan). Per-portfolio
+    # trigger scans use ``block_seconds``; per-(portfolio, ticker) statistics
+    # series (at most one return per window) use ``series_block_seconds``.
+    # The level-2 carry costs O(blocks^2) per key, so blocks should not be
+    # needlessly small.
     block_seconds: int = 3600
+    series_block_seconds: int = 86400
 
     @property
     def n(self) -> int:

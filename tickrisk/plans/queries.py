@@ -27,7 +27,8 @@ from tickrisk.plans.batch import RiskJob
 from tickrisk.session import configure
 
 TEST_WINDOW = "1 day"
-TEST_PARAMS = RiskParams(window=TEST_WINDOW, block_seconds=7 * 86400)
+TEST_PARAMS = RiskParams(window=TEST_WINDOW, block_seconds=7 * 86400,
+                         series_block_seconds=7 * 86400)
 
 
 def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
