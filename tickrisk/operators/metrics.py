@@ -161,27 +161,87 @@ def trigger_grid(applied: DataFrame, series: DataFrame, seed: DataFrame,
         F.col("wid").isNotNull() & (F.col("n_stats") > 0)).select(*TKEY, "wid")
     wl = weights_long(snapshots).select("portfolio_id", F.col("seq").alias("wid"), "ticker", "w")
     grid = cand.join(wl, ["portfolio_id", "wid"]).drop("wid")
-    # tick count of every grid ticker at its trigger: returns of the same
-    # (portfolio, ticker) ordered up to the trigger (a return sorts before a
-    # grid row with the same order key).
+    return ticker_state_at(grid, applied, series, seed, params, extra=["w"])
+
+
+def ticker_state_at(grid: DataFrame, applied: DataFrame, series: DataFrame, seed: DataFrame,
+                    params: RiskParams, extra: list[str] | None = None) -> DataFrame:
+    """As-of statistics of ``(trigger, ticker)`` rows: ``*TKEY, ticker,
+    *extra, n, mean, var, g, mean0, var0``.
+
+    ``n`` = applied returns of the (portfolio, ticker) ordered up to the
+    trigger (a return sorts before a grid row with the same order key),
+    counted by a two-level running sum; mean and variance are looked up in
+    the statistics series by ``n`` (seed values when ``n = 0``).
+    """
+    extra = list(extra or [])
     rets = applied.select("portfolio_id", "ticker", F.col("order_ts").alias("o_ts"),
                           F.lit(1).alias("o_side"), F.lit(0).cast("bigint").alias("o_seq"),
                           F.col("ticker").alias("o_tie"), F.lit(0).alias("o_kind"),
-                          F.lit(1).alias("is_ret"), F.lit(None).cast("double").alias("w"))
-    u = (grid.withColumn("o_kind", F.lit(1)).withColumn("is_ret", F.lit(0))
+                          F.lit(1).alias("is_ret"),
+                          *[F.lit(None).cast(grid.schema[c].dataType).alias(c) for c in extra])
+    u = (grid.select(*TKEY, "ticker", *extra).withColumn("o_kind", F.lit(1))
+         .withColumn("is_ret", F.lit(0))
          .unionByName(rets)
          .withColumn("_blk", block_of("o_ts", params.block_seconds)))
     u = running_sum(u, st.PT, ORDER + ["o_kind"], "_blk", "is_ret", "n")
     grid = u.filter(F.col("is_ret") == 0).drop("o_kind", "is_ret", "_blk")
     ser = series.select(*st.PT, "n", F.col("mean").alias("_m"), F.col("var").alias("_v"))
-    grid = (grid.join(ser, st.PT + ["n"], "left")
+    return (grid.join(ser, st.PT + ["n"], "left")
             .join(st.seed_means(seed), st.PT, "left")
             .join(st.seed_diag(seed), st.PT, "left")
-            .select(*TKEY, "ticker", "w", "n",
+            .select(*TKEY, "ticker", *extra, "n",
                     F.coalesce("_m", "mean0").alias("mean"),
                     F.coalesce("_v", "var0").alias("var"),
-                    (F.col("mean0").isNotNull() & (F.col("mean0") != 0)).alias("g")))
-    return grid
+                    (F.col("mean0").isNotNull() & (F.col("mean0") != 0)).alias("g"),
+                    "mean0", "var0"))
+
+
+def record_grid(applied: DataFrame, series: DataFrame, seed: DataFrame,
+                params: RiskParams) -> DataFrame:
+    """K1 batch twin, step 1: every ticker of the seed at every applied return."""
+    tr = applied.select("portfolio_id", F.col("order_ts").alias("o_ts"), F.lit(1).alias("o_side"),
+                        F.lit(0).cast("bigint").alias("o_seq"), F.col("ticker").alias("o_tie"))
+    sc = st.seed_cov(seed)
+    tickers = (st.seed_means(seed).select(*st.PT)
+               .unionByName(sc.select("portfolio_id", F.col("i").alias("ticker")))
+               .unionByName(sc.select("portfolio_id", F.col("j").alias("ticker")))
+               .distinct())
+    grid = join_small(tr, tickers, on=["portfolio_id"])
+    return ticker_state_at(grid, applied, series, seed, params)
+
+
+def statistics_records(grid: DataFrame, seed: DataFrame, params: RiskParams) -> DataFrame:
+    """K1 batch twin, step 2: the whole statistics record after each applied
+    return (``processors.STATS_OUT`` columns): mean map of the seeded
+    tickers and covariance map (diagonal from the series, off-diagonal
+    ``cov0 * q**e``, written symmetric, P13). ``grid`` from ``record_grid``,
+    ideally partitioned by the trigger key; O(N^2) per record, like the
+    original's emission.
+    """
+    q = F.lit(params.decay)
+    c_off = st.seed_cov(seed).filter(F.col("i") != F.col("j"))
+    gi = grid.select(*TKEY, F.col("ticker").alias("i"), F.col("n").alias("n_i"),
+                     F.col("g").alias("g_i"))
+    gj = grid.select(*TKEY, F.col("ticker").alias("j"), F.col("n").alias("n_j"),
+                     F.col("g").alias("g_j"))
+    off = (join_small(gi, c_off, on=["portfolio_id", "i"]).join(gj, TKEY + ["j"])
+           .select(*TKEY, "i", "j", (F.col("cov0") * F.pow(q, st.decay_exponent(
+               F.col("n_i"), F.col("n_j"), F.col("g_i"), F.col("g_j")).cast("double"))).alias("c")))
+    diag = grid.filter(F.col("var0").isNotNull()).select(
+        *TKEY, F.col("ticker").alias("i"), F.col("ticker").alias("j"), F.col("var").alias("c"))
+    rows = (off.unionByName(diag).groupBy(*TKEY, "i")
+            .agg(F.map_from_entries(F.collect_list(F.struct("j", "c"))).alias("row")))
+    cov = rows.groupBy(*TKEY).agg(
+        F.map_from_entries(F.collect_list(F.struct("i", "row"))).alias("covarianceMatrix"))
+    means = grid.groupBy(*TKEY).agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("mean0").isNotNull(),
+                                                 F.struct("ticker", "mean")))).alias("meanReturns"),
+        F.max(F.when(F.col("ticker") == F.col("o_tie"), F.col("n"))).alias("n"))
+    return (means.join(cov, TKEY, "left")
+            .select("portfolio_id", "o_ts", F.col("o_tie").alias("ticker"), "n",
+                    F.unix_millis(F.col("o_ts").cast("timestamp")).alias("timestamp"),
+                    "meanReturns", "covarianceMatrix"))
 
 
 def emit_on_change(cand: DataFrame, params: RiskParams) -> DataFrame:

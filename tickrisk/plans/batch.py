@@ -88,6 +88,17 @@ class RiskJob:
                                            self.weight_snapshots, self.params),
                            "grid", self.materialize)
 
+    @cached_property
+    def records(self) -> DataFrame:
+        """K1 batch twin: the whole statistics record after each applied return."""
+        g = mt.partition_by_trigger(mt.record_grid(self.applied, self.series, self.seed,
+                                                   self.params))
+        try:
+            return materialize(mt.statistics_records(g, self.seed, self.params),
+                               "stats_records", self.materialize)
+        finally:
+            g.unpersist()
+
     @cached_property
     def candidates(self) -> DataFrame:
         g = mt.partition_by_trigger(self.grid)

@@ -175,6 +175,28 @@ fgrid AS (
 
 TKEY = ["portfolio_id", "o_ts", "o_side", "o_seq", "o_tie"]
 
+RECORDS = STATS + f""",
+trg AS (SELECT portfolio_id, order_ts AS o_ts, ticker AS o_tie FROM applied),
+rtk AS (
+  SELECT DISTINCT portfolio_id, ticker FROM (
+    SELECT portfolio_id, ticker FROM seedmeans
+    UNION ALL SELECT portfolio_id, i FROM seedcov
+    UNION ALL SELECT portfolio_id, j FROM seedcov)),
+rg AS (
+  SELECT t.portfolio_id, t.o_ts, t.o_tie, k.ticker,
+         (SELECT count(*) FROM applied a
+          WHERE a.portfolio_id = t.portfolio_id AND a.ticker = k.ticker
+            AND (a.order_ts < t.o_ts OR (a.order_ts = t.o_ts AND a.ticker <= t.o_tie))) AS n
+  FROM trg t JOIN rtk k ON k.portfolio_id = t.portfolio_id),
+rs AS (
+  SELECT r.*, m.mean0, d.cov0 AS var0,
+         coalesce(s.mean, m.mean0) AS mean, coalesce(s.var, d.cov0) AS var,
+         CASE WHEN m.mean0 IS NOT NULL AND m.mean0 <> 0 THEN 1 ELSE 0 END AS g
+  FROM rg r
+  LEFT JOIN series s ON s.portfolio_id = r.portfolio_id AND s.ticker = r.ticker AND s.n = r.n
+  LEFT JOIN seedmeans m ON m.portfolio_id = r.portfolio_id AND m.ticker = r.ticker
+  LEFT JOIN seedcov d ON d.portfolio_id = r.portfolio_id AND d.i = r.ticker AND d.j = r.ticker)"""
+
 ASOF = STATS + """,
 tr AS (
   SELECT portfolio_id, order_ts AS o_ts, 1 AS o_side, CAST(0 AS BIGINT) AS o_seq,
@@ -256,6 +278,20 @@ LEFT JOIN cnt cj ON cj.portfolio_id = c.portfolio_id AND cj.ticker = c.j
 LEFT JOIN flags gi ON gi.portfolio_id = c.portfolio_id AND gi.ticker = c.i
 LEFT JOIN flags gj ON gj.portfolio_id = c.portfolio_id AND gj.ticker = c.j
 WHERE c.i <> c.j""",
+    "stats_records": "WITH " + RECORDS + f"""
+SELECT portfolio_id, o_ts AS order_ts, o_tie AS ticker, 'mean' AS kind, ticker AS i, '' AS j,
+       round(mean, 8) AS value
+FROM rs WHERE mean0 IS NOT NULL
+UNION ALL
+SELECT portfolio_id, o_ts, o_tie, 'cov', ticker, ticker, round(var, 8) FROM rs
+WHERE var0 IS NOT NULL
+UNION ALL
+SELECT a.portfolio_id, a.o_ts, a.o_tie, 'cov', a.ticker, b.ticker,
+       round(c.cov0 * pow({Q}, a.n * b.g + b.n * a.g), 8)
+FROM rs a
+JOIN seedcov c ON c.portfolio_id = a.portfolio_id AND c.i = a.ticker AND c.i <> c.j
+JOIN rs b ON b.portfolio_id = a.portfolio_id AND b.o_ts = a.o_ts AND b.o_tie = a.o_tie
+         AND b.ticker = c.j""",
     "expected_return": "WITH " + FINAL + """
 SELECT portfolio_id, seq, round(expected_return, 8) AS expected_return FROM fmet""",
     "portfolio_risk": "WITH " + FINAL + """

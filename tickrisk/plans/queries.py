@@ -101,6 +101,25 @@ def q_cov_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("portfolio_id", "i", "j", "n_i", "n_j", round8("cov").alias("cov"))
 
 
+def explode_records(rec: DataFrame) -> DataFrame:
+    """Statistics records -> ``(portfolio_id, order_ts, ticker, kind, i, j, value)``."""
+    means = rec.select("portfolio_id", "o_ts", "ticker", F.lit("mean").alias("kind"),
+                       F.explode("meanReturns").alias("i", "value")).withColumn("j", F.lit(""))
+    cov = (rec.select("portfolio_id", "o_ts", "ticker",
+                      F.explode("covarianceMatrix").alias("i", "row"))
+           .select("portfolio_id", "o_ts", "ticker", F.lit("cov").alias("kind"), "i",
+                   F.explode("row").alias("j", "value")))
+    return means.unionByName(cov).select(
+        "portfolio_id", to_ntz("o_ts").alias("order_ts"), "ticker", "kind", "i", "j",
+        round8("value").alias("value"))
+
+
+def q_stats_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1/P13 batch twin: every cell of the statistics record emitted after
+    each applied return (mean map and symmetric covariance map)."""
+    return explode_records(job(spark, sf_dir).records)
+
+
 def _vs_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job(spark, sf_dir).vs_final
 
@@ -176,6 +195,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ew_mean": q_ew_mean,
     "ew_variance": q_ew_variance,
     "cov_decay": q_cov_decay,
+    "stats_records": q_stats_records,
     "expected_return": q_expected_return,
     "portfolio_risk": q_portfolio_risk,
     "sharpe": q_sharpe,

@@ -62,19 +62,34 @@ def q_stream_log_return(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_log_return_select(_run(r, root, "returns"))
 
 
-def _stats_records(spark: SparkSession, sf_dir: str, root: str):
-    static, stream = _events(spark, sf_dir)
-    s = tp.stats_stream(_tick_stream(spark, static, stream, root), TEST_PARAMS,
-                        holdings=standin.holdings(static), seeds=standin.stats_seeds(static))
-    _run(s, root, "stats")
-    return static, stream
+_RUNS: dict = {}
+
+
+def _stats_records(spark: SparkSession, sf_dir: str) -> str:
+    """Run Query A (record mode) once per session and directory; returns the
+    folder holding its ``stats`` sink."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _RUNS:
+        root = scratch_path(spark, "stream-stats")
+        static, stream = _events(spark, sf_dir)
+        s = tp.stats_stream(_tick_stream(spark, static, stream, root), TEST_PARAMS,
+                            holdings=standin.holdings(static), seeds=standin.stats_seeds(static))
+        _run(s, root, "stats")
+        _RUNS[key] = root
+    return _RUNS[key]
+
+
+def q_stream_stats_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 streaming (record mode): every cell of every emitted statistics record."""
+    from tickrisk.plans.queries import explode_records
+    root = _stats_records(spark, sf_dir)
+    return explode_records(spark.read.parquet(f"{root}/stats"))
 
 
 def q_stream_ew_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4/T6/J1/A4 streaming (record mode): mean of the updated ticker in each
     emitted statistics record."""
-    root = scratch_path(spark, "stream-stats")
-    _stats_records(spark, sf_dir, root)
+    root = _stats_records(spark, sf_dir)
     rec = spark.read.parquet(f"{root}/stats")
     m = F.try_element_at("meanReturns", F.col("ticker"))
     return (rec.filter(m.isNotNull())
@@ -85,9 +100,10 @@ def q_stream_ew_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5/T6/J2/W1 streaming (record mode): Query A, then Query B over its
     records and the weight snapshots; the published metrics."""
+    stats_root = _stats_records(spark, sf_dir)
     root = scratch_path(spark, "stream-metrics")
-    static, stream = _stats_records(spark, sf_dir, root)
-    stats_in = file_source(spark, f"{root}/stats", STATS_OUT, stream=True)
+    static, stream = _events(spark, sf_dir)
+    stats_in = file_source(spark, f"{stats_root}/stats", STATS_OUT, stream=True)
     m = tp.metrics_stream(stats_in, standin.weight_snapshots(stream), TEST_PARAMS)
     return _metrics_out(_run(m, root, "metrics"))
 
@@ -111,4 +127,5 @@ STREAM_QUERIES = {
     "stream_ew_mean": q_stream_ew_mean,
     "stream_metrics": q_stream_metrics,
     "stream_ew_variance": q_stream_ew_variance,
+    "stream_stats_records": q_stream_stats_records,
 }
