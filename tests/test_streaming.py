@@ -147,3 +147,32 @@ def test_kafka_source_needs_package(spark):
     from tickrisk.sources.streams import kafka_source
     with pytest.raises(Exception):
         kafka_source(spark, "localhost:1", "intraday-stock-prices", "price_tick", stream=False).schema
+
+
+def test_console_sink_and_control_watermark(spark, capsys):
+    from tickrisk.sources.sinks import console_sink
+    from tickrisk.params import RiskParams
+    root = tempfile.mkdtemp(prefix="console-")
+    _write(spark, [(1, 1000, "P", {"A": 0.5})],
+           "seq long, timestamp long, portfolio_id string, weights map<string,double>", f"{root}/w")
+    snaps = file_source(spark, f"{root}/w",
+                        "seq long, timestamp long, portfolio_id string, weights map<string,double>",
+                        stream=True)
+    q = console_sink(snaps).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    assert q.exception() is None
+    stats = file_source(spark, f"{root}/w", "portfolio_id string, o_ts timestamp, ticker string, "
+                        "meanReturns map<string,double>, "
+                        "covarianceMatrix map<string,map<string,double>>", stream=True)
+    m = tp.metrics_stream(stats, snaps, RiskParams(), control_watermark="1 minute")
+    assert "EventTimeWatermark" in m._jdf.queryExecution().logical().toString()
+
+
+def test_processing_time_stamp(spark):
+    from tickrisk.operators.metrics import to_metrics_record
+    em = spark.createDataFrame([("P", dt.datetime(2024, 1, 1), 0.1, 0.2, 0.3)],
+                               "portfolio_id string, o_ts timestamp, risk double, "
+                               "expected_return double, sharpe double")
+    ev = to_metrics_record(em).first()["timestamp"]
+    now = to_metrics_record(em, stamp="processing").first()["timestamp"]
+    assert ev == 1704067200000 and now > ev
