@@ -223,3 +223,27 @@ def test_sticky_zero_and_unknown_ticker(spark):
     # tick of Z decays (Z, B) since B's mean is non-zero; (A, Z) stays: A's mean is 0
     assert off[("Z", "B")] == pytest.approx(0.02 * 1000 / 1001, rel=1e-12)
     assert off[("A", "Z")] == 0.01
+
+
+def test_job_guards_nonfinite_and_asymmetric(spark):
+    from tickrisk.plans.batch import RiskJob
+    sch = ("seq long, arrival_ts timestamp, ticker string, field_opening_price string, "
+           "field_cours_courant string, field_last_traded_time string")
+    t0 = dt.datetime(2024, 1, 2)
+    ticks = spark.createDataFrame(
+        [(1, t0, "A", "5", "1", "2024-01-02T00:00:00.000000Z"),
+         (2, t0 + dt.timedelta(seconds=1), "A", "1", "0", "2024-01-02T00:00:01.000000Z"),
+         (3, t0, "B", "5", "1", "2024-01-02T00:00:00.000000Z"),
+         (4, t0 + dt.timedelta(seconds=1), "B", "1", "6", "2024-01-02T00:00:01.000000Z")], sch)
+    sym = {"A": {"A": 0.04, "B": 0.01}, "B": {"A": 0.01, "B": 0.09}}
+    seeds = spark.createDataFrame([(0, 0, "portf1", {"A": 0.01, "B": 0.02}, sym)], STATS_T)
+    snaps = spark.createDataFrame([(1, 0, "portf1", {"A": 0.5, "B": 0.5})], SNAP_T)
+    p = RiskParams(window="1 day")
+    with pytest.raises(ValueError, match="infinite"):
+        RiskJob(ticks, seeds, snaps, params=p).applied
+    ok = RiskJob(ticks, seeds, snaps, params=p, nonfinite="drop").applied
+    assert [r["ticker"] for r in ok.collect()] == ["B"]
+    asym = spark.createDataFrame([(0, 0, "portf1", {"A": 0.01},
+                                   {"A": {"A": 0.04, "B": 0.01}, "B": {"B": 0.09}})], STATS_T)
+    with pytest.raises(ValueError, match="asymmetric"):
+        RiskJob(ticks, asym, snaps, params=p, nonfinite="drop").applied

@@ -176,3 +176,48 @@ def test_processing_time_stamp(spark):
     ev = to_metrics_record(em).first()["timestamp"]
     now = to_metrics_record(em, stamp="processing").first()["timestamp"]
     assert ev == 1704067200000 and now > ev
+
+
+def test_record_mode_infinite_return_matches_step_fold(spark):
+    """A zero last price gives -Infinity; the per-record rule then yields NaN
+    cells, which the record-mode processor reproduces."""
+    import sys, os
+    sys.path.insert(0, os.path.dirname(__file__))
+    from step_oracle import fold
+    from tickrisk.params import RiskParams
+    from tickrisk.schemas import PORTFOLIO_STATS
+    from pyspark.sql import types as T
+    root = tempfile.mkdtemp(prefix="inf-")
+    t0 = dt.datetime(2024, 1, 1)
+    sch = ("seq long, arrival_ts timestamp, ticker string, field_opening_price string, "
+           "field_cours_courant string, field_last_traded_time string")
+    rows = []
+    for k, (sec, tkr, o, c) in enumerate([(0.5, "A", "5", "1"), (1.0, "A", "1", "0"),
+                                          (4.5, "A", "10", "1"), (5.0, "A", "1", "12"),
+                                          (4.6, "B", "10", "11"), (600, "S", "1", "1")]):
+        ts = t0 + dt.timedelta(seconds=sec)
+        rows.append((k, ts, tkr, o, c, ts.strftime("%Y-%m-%dT%H:%M:%S.%fZ")))
+    _write(spark, rows, sch, f"{root}/ticks")
+    seed_t = T.StructType([T.StructField("seq", T.LongType())] + PORTFOLIO_STATS.fields)
+    means = {"A": 0.01, "B": 0.02}
+    cov = {"A": {"A": 0.04, "B": 0.01}, "B": {"A": 0.01, "B": 0.09}}
+    seeds = spark.createDataFrame([(0, 0, "portf1", means, cov)], seed_t)
+    params = RiskParams(window="2 seconds", watermark="1 second")
+    s = tp.stats_stream(file_source(spark, f"{root}/ticks", sch, stream=True), params, seeds=seeds)
+    tp.run_available_now(s, f"{root}/out", f"{root}/ckpt")
+    got = sorted(spark.read.parquet(f"{root}/out").collect(), key=lambda r: (r["o_ts"], r["ticker"]))
+    ev = [{"kind": "seed", "p": "portf1", "means": means, "cov": cov}]
+    # B has a lone tick in its window: return 0.0
+    for tkr, end, r in [("A", 2, float("-inf")), ("A", 6, math.log(1.2)), ("B", 6, 0.0)]:
+        key = (t0 + dt.timedelta(seconds=end), 1, 0, tkr)
+        ev.append({"kind": "ret", "p": "portf1", "ticker": tkr, "r": r, "key": key})
+    exp = fold(ev)["stats"]
+    assert len(got) == len(exp) == 3
+
+    def same(a, b):
+        return (math.isnan(a) and math.isnan(b)) or a == pytest.approx(b, rel=1e-12)
+    for g, (_, tkr, _, (m, c)) in zip(got, exp):
+        assert g["ticker"] == tkr
+        assert all(same(g["meanReturns"][k], v) for k, v in m.items())
+        assert all(same(g["covarianceMatrix"][i][j], v) for i, row in c.items() for j, v in row.items())
+    assert math.isnan(got[-1]["meanReturns"]["A"]) and math.isnan(got[-1]["covarianceMatrix"]["A"]["B"])

@@ -101,6 +101,22 @@ def ew_series(applied: DataFrame, seed: DataFrame, params: RiskParams) -> DataFr
                     "mean0", "mean_prev", "mean", "var0", "var")
 
 
+def asymmetric_cells(seed: DataFrame) -> DataFrame:
+    """Seed cells whose mirror cell differs or is missing (the factored form
+    needs a symmetric seed)."""
+    c = seed_cov(seed).filter(F.col("i") != F.col("j"))
+    m = c.select("portfolio_id", F.col("i").alias("j"), F.col("j").alias("i"),
+                 F.col("cov0").alias("mirror"))
+    return (c.join(m, ["portfolio_id", "i", "j"], "full")
+            .filter(~F.col("cov0").eqNullSafe(F.col("mirror"))))
+
+
+def nonfinite_returns(applied: DataFrame) -> DataFrame:
+    """Applied returns that are +-Infinity (NaN returns never get this far)."""
+    r = F.col("return_value")
+    return applied.filter(F.isnan(r) | (F.abs(r) == float("inf")))
+
+
 def tick_counts(applied: DataFrame) -> DataFrame:
     return applied.groupBy(*PT).agg(F.count(F.lit(1)).alias("n"))
 

@@ -30,6 +30,12 @@ class RiskJob:
     portfolio_id: str = "portf1"
     strict: bool = True
     materialize: str = "parquet"
+    # The factored statistics are exact for finite returns and symmetric
+    # seeds. "raise" (default) stops with a pointer to the streaming record
+    # mode, which applies the per-record rule in every case; "drop" removes
+    # infinite returns before the statistics (a documented deviation).
+    nonfinite: str = "raise"
+    check_symmetry: bool = True
 
     @cached_property
     def ticks(self) -> DataFrame:
@@ -51,8 +57,19 @@ class RiskJob:
 
     @cached_property
     def applied(self) -> DataFrame:
-        return materialize(st.apply_to_seed(self.portfolio_returns, self.seed), "applied",
-                           self.materialize)
+        a = materialize(st.apply_to_seed(self.portfolio_returns, self.seed), "applied",
+                        self.materialize)
+        if self.check_symmetry and st.asymmetric_cells(self.seed).limit(1).count() > 0:
+            raise ValueError("asymmetric covariance seed: the factored statistics assume "
+                             "cov[i][j] == cov[j][i]; use the streaming record mode")
+        if self.nonfinite == "drop":
+            return a.filter(~F.isnan("return_value")
+                            & (F.abs(F.col("return_value")) != float("inf")))
+        if st.nonfinite_returns(a).limit(1).count() > 0:
+            raise ValueError("infinite log return (zero or infinite price): the factored "
+                             "statistics cannot reproduce the per-record NaN propagation; "
+                             "use the streaming record mode or nonfinite='drop'")
+        return a
 
     @cached_property
     def series(self) -> DataFrame:

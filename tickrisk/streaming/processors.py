@@ -19,7 +19,9 @@ when ``(E, risk)`` differs from the last emitted pair (Java ``Double.equals``:
 NaN equals NaN, 0.0 differs from -0.0).
 
 State is loaded into dicts once per key and batch, folded in Python, and the
-changed entries written back.
+changed entries written back. NaN doubles become NULL on the way from pandas
+to Arrow; the record fields are never NULL, so ``topology`` restores NaN
+right after each processor (``restore_nan``).
 
 Factored mode: ``TickerStatsProcessor`` keyed by ``(portfolio_id, ticker)``
 keeps ``(n, mean, var)`` per key; off-diagonal cells follow from the counts.
@@ -249,7 +251,8 @@ class MetricsProcessor(StatefulProcessor):
 
 
 TICKER_STATS_OUT = ("portfolio_id string, ticker string, o_ts timestamp, n long, "
-                    "return_value double, mean double, var double")
+                    "return_value double, has_mean boolean, mean double, "
+                    "has_var boolean, var double")
 
 
 class TickerStatsProcessor(StatefulProcessor):
@@ -303,12 +306,12 @@ class TickerStatsProcessor(StatefulProcessor):
             if has_v and mo != 0.0 and c != 0.0:
                 c = c + ((ret - old) * (ret - mo) - c) / self.n_div
             n += 1
-            out.append((key[0], key[1], r.o_ts, n, ret, m if has_m else None,
-                        c if has_v else None))
+            out.append((key[0], key[1], r.o_ts, n, ret, has_m, m if has_m else None,
+                        has_v, c if has_v else None))
         self.state.update((seed_ms, n, has_m, m, has_v, c))
         if out:
             yield pd.DataFrame(out, columns=["portfolio_id", "ticker", "o_ts", "n",
-                                             "return_value", "mean", "var"])
+                                             "return_value", "has_mean", "mean", "has_var", "var"])
 
     def close(self) -> None:
         pass

@@ -28,6 +28,30 @@ from tickrisk.streaming.processors import (METRICS_OUT, STATS_OUT, TICKER_STATS_
                                            TickerStatsProcessor)
 
 
+def _nan_if_null(c):
+    return F.coalesce(c, F.lit(float("nan")))
+
+
+def restore_nan_stats(df: DataFrame) -> DataFrame:
+    """NULL map values of processor output -> NaN (record values are non-null)."""
+    return df.withColumn("meanReturns", F.transform_values(
+        "meanReturns", lambda k, v: _nan_if_null(v))).withColumn(
+        "covarianceMatrix", F.transform_values(
+            "covarianceMatrix", lambda k, row: F.transform_values(row, lambda k2, v: _nan_if_null(v))))
+
+
+def restore_nan_metrics(df: DataFrame) -> DataFrame:
+    for c in ("expected_return", "variance", "risk", "sharpe"):
+        df = df.withColumn(c, _nan_if_null(F.col(c)))
+    return df
+
+
+def restore_nan_ticker_stats(df: DataFrame) -> DataFrame:
+    return (df.withColumn("mean", F.when(F.col("has_mean"), _nan_if_null(F.col("mean"))))
+            .withColumn("var", F.when(F.col("has_var"), _nan_if_null(F.col("var"))))
+            .drop("has_mean", "has_var"))
+
+
 def returns_stream(ticks_raw: DataFrame, params: RiskParams, strict: bool = True,
                    event_time: bool = False) -> DataFrame:
     """T1/T2 + A1: streaming log returns (append mode, closed windows only)."""
@@ -79,10 +103,10 @@ def stats_stream(ticks_raw: DataFrame, params: RiskParams, holdings: DataFrame |
     init = None
     if seeds is not None:
         init = st.first_seed(seeds).groupBy("portfolio_id")
-    return rows.groupBy("portfolio_id").transformWithStateInPandas(
+    return restore_nan_stats(rows.groupBy("portfolio_id").transformWithStateInPandas(
         statefulProcessor=StatsUpdateProcessor(params.count, stamp),
         outputStructType=STATS_OUT, outputMode="Append", timeMode="None",
-        initialState=init)
+        initialState=init))
 
 
 def ticker_stats_stream(ticks_raw: DataFrame, params: RiskParams, seeds: DataFrame,
@@ -103,11 +127,12 @@ def ticker_stats_stream(ticks_raw: DataFrame, params: RiskParams, seeds: DataFra
     init = (keys.join(st.seed_means(seed), st.PT, "left")
             .join(st.seed_diag(seed), st.PT, "left")
             .join(seed.select("portfolio_id", F.col("timestamp").alias("seed_ms")), "portfolio_id"))
-    return r.select("portfolio_id", "ticker", "o_ts", "return_value").groupBy(
-        "portfolio_id", "ticker").transformWithStateInPandas(
-        statefulProcessor=TickerStatsProcessor(params.count),
-        outputStructType=TICKER_STATS_OUT, outputMode="Append", timeMode="None",
-        initialState=init.groupBy("portfolio_id", "ticker"))
+    return restore_nan_ticker_stats(
+        r.select("portfolio_id", "ticker", "o_ts", "return_value").groupBy(
+            "portfolio_id", "ticker").transformWithStateInPandas(
+            statefulProcessor=TickerStatsProcessor(params.count),
+            outputStructType=TICKER_STATS_OUT, outputMode="Append", timeMode="None",
+            initialState=init.groupBy("portfolio_id", "ticker")))
 
 
 def metrics_stream(stats_records: DataFrame, weight_snapshots: DataFrame,
@@ -130,9 +155,9 @@ def metrics_stream(stats_records: DataFrame, weight_snapshots: DataFrame,
         F.lit(None).cast("map<string,double>").alias("meanReturns"),
         F.lit(None).cast("map<string,map<string,double>>").alias("covarianceMatrix"),
         "weights")
-    return s.unionByName(w).groupBy("portfolio_id").transformWithStateInPandas(
+    return restore_nan_metrics(s.unionByName(w).groupBy("portfolio_id").transformWithStateInPandas(
         statefulProcessor=MetricsProcessor(params.periods, params.risk_free),
-        outputStructType=METRICS_OUT, outputMode="Append", timeMode="None")
+        outputStructType=METRICS_OUT, outputMode="Append", timeMode="None"))
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
