@@ -221,3 +221,27 @@ def test_record_mode_infinite_return_matches_step_fold(spark):
         assert all(same(g["meanReturns"][k], v) for k, v in m.items())
         assert all(same(g["covarianceMatrix"][i][j], v) for i, row in c.items() for j, v in row.items())
     assert math.isnan(got[-1]["meanReturns"]["A"]) and math.isnan(got[-1]["covarianceMatrix"]["A"]["B"])
+
+
+def test_driver_like_session_from_other_directory():
+    """A plain session (no library settings) in another working directory:
+    the processors ship by value and the state store is switched to RocksDB."""
+    import os
+    import subprocess
+    import sys as _sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]')"
+        ".config('spark.sql.shuffle.partitions', '2').config('spark.ui.enabled', 'false')"
+        ".getOrCreate()\n"
+        "spark.sparkContext.setLogLevel('ERROR')\n"
+        "import __spark_entry__ as E\n"
+        "print('ROWS', E.queries()['stream_metrics'](spark, %r).count())\n" % (repo, SF))
+    cwd = tempfile.mkdtemp(prefix="driver-cwd-")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([_sys.executable, "-c", code], cwd=cwd, env=env, capture_output=True,
+                         text=True, timeout=900)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+    assert int(out.stdout.split("ROWS")[1].split()[0]) > 0

@@ -74,6 +74,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    # transformWithState needs the RocksDB state store (multiple column families)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark

@@ -31,11 +31,18 @@ from __future__ import annotations
 
 import math
 import struct
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# The processors run in Python workers that need not have this package
+# installed: ship this module's classes and helpers by value in the task.
+# (The module depends only on the standard library, pandas and pyspark.)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ORDER = ["o_ts", "o_side", "o_seq", "o_tie"]
 
 STATS_OUT = ("portfolio_id string, o_ts timestamp, ticker string, n long, timestamp long, "
