@@ -51,14 +51,15 @@ def test_scans_match_bruteforce(data, seconds):
     pd.testing.assert_series_equal(got["px"], exp["px"], check_names=False)
 
 
-@pytest.mark.parametrize("seconds,seg_rows", [(60, 100000), (700, 5), (100000, 3)])
-def test_ew_scan_matches_recurrence(data, seconds, seg_rows):
+@pytest.mark.parametrize("seconds,seg_rows,epoch_rows", [
+    (60, 100000, 300000), (700, 5, 300000), (100000, 3, 300000), (60, 2, 7), (100000, 3, 5)])
+def test_ew_scan_matches_recurrence(data, seconds, seg_rows, epoch_rows):
     pdf, df = data
     df = df.withColumn("blk", block_of("ts", seconds)).withColumn(
         "init", F.when(F.col("k") == "a", 0.5).when(F.col("k") == "b", -2.0).otherwise(0.0))
     q, a = 1000 / 1001, 1 / 1001
     out = ew_scan(df, ["k"], ["ts", "seq"], "blk", "x", "init", q, a, "y",
-                  prev_out="yp", idx_out="n", seg_rows=seg_rows)
+                  prev_out="yp", idx_out="n", seg_rows=seg_rows, epoch_rows=epoch_rows)
     got = out.select("k", "ts", "seq", "y", "yp", "n").toPandas() \
         .sort_values(["k", "ts", "seq"]).reset_index(drop=True)
     inits = {"a": 0.5, "b": -2.0, "c": 0.0}

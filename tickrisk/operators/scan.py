@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 # Rows of one level-1 segment of the exponential scan: decay**-SEG_ROWS stays
 # finite (1000/1001 ** -100000 ~ 2.5e43), so no rebasing error builds up.
 SEG_ROWS = 100_000
+# Rows of one level-2 epoch: decay**-(EPOCH_ROWS + SEG_ROWS) ~ e**400 is finite.
+EPOCH_ROWS = 300_000
 
 
 def block_of(ts, seconds: int) -> Column:
@@ -123,19 +125,31 @@ def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], block
 def ew_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str,
             x, init: str, decay: float, gain: float, out: str,
             prev_out: str | None = None, idx_out: str | None = None,
-            seg_rows: int = SEG_ROWS) -> DataFrame:
+            seg_rows: int = SEG_ROWS, epoch_rows: int = EPOCH_ROWS) -> DataFrame:
     """Exponential recurrence ``y_k = decay*y_(k-1) + gain*x_k``, ``y_0 = init``.
 
-    Closed form per level-1 segment (local index ``j``):
-    ``y_j = decay**j * y_start + gain * decay**j * sum_(l<=j) x_l * decay**-l``;
-    a segment is summarised by its length ``L`` and end value from zero
-    ``S``; level 2 folds ``y <- decay**L * y + S`` over the preceding segments
-    of the key (``aggregate`` over their summaries). Segments hold at most
-    ``seg_rows`` rows of one block so ``decay**-j`` stays finite.
+    Level 1, per segment (at most ``seg_rows`` rows of one (key, block);
+    local index ``j``): ``y_j = decay**j * y_start + loc_j`` with
+    ``loc_j = gain * decay**j * sum_(l<=j) x_l * decay**-l``, a running sum
+    whose factors stay finite. A segment is summarised by its length ``L``
+    and ``S = loc_L``.
+
+    Level 2, per key, without gathering lists: with ``C`` rows before a
+    segment and ``D = C + L``,
+    ``y_start(g) = decay**C * init + sum_(g' < g) decay**(C - D_g') * S_g'``.
+    Segments are grouped into epochs of ``epoch_rows`` rows by ``C``; with
+    ``R`` the epoch's first row, ``y_start = decay**(C-R) * (T_epoch + W) +
+    decay**C * init`` where ``W`` is a running sum of ``decay**(R-D) * S`` over
+    the epoch's earlier segments (exponents above ``-(epoch_rows+seg_rows)``,
+    so finite) and ``T_epoch`` folds the few earlier epochs' totals.
+    Work is linear in the rows; only epoch totals (rows / ``epoch_rows`` per
+    key) meet in one task.
 
     ``init`` must be constant per key. Adds ``out`` (and optionally the value
     before this row, ``prev_out``, and the 1-based row index, ``idx_out``).
     """
+    if seg_rows >= epoch_rows or seg_rows + epoch_rows > 650_000:
+        raise ValueError("need seg_rows < epoch_rows and seg_rows + epoch_rows <= 650000")
     keys, order = list(keys), list(order)
     kb = keys + [block]
     kbs = kb + ["_sub"]
@@ -153,19 +167,29 @@ def ew_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str
         F.count(F.lit(1)).alias("_L"),
         F.max_by("_loc", "_j").alias("_S"),
         F.first(init, ignorenulls=True).cast("double").alias("_init"))
-    w2 = Window.partitionBy(*keys).orderBy(block, "_sub").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.select(
-        *kbs,
-        F.aggregate(F.coalesce(F.collect_list(F.struct("_L", "_S")).over(w2),
-                               F.array().cast("array<struct<_L:bigint,_S:double>>")),
-                    F.col("_init"),
-                    lambda acc, e: acc * F.pow(q, e["_L"].cast("double")) + e["_S"]).alias("_start"),
-        F.coalesce(F.sum("_L").over(w2), F.lit(0)).cast("bigint").alias("_base"))
+    seg = seg.withColumn("_C", F.coalesce(F.sum("_L").over(_before(keys, [block, "_sub"])),
+                                          F.lit(0)).cast("bigint"))
+    seg = seg.withColumn("_e", F.floor(F.col("_C") / F.lit(epoch_rows)).cast("bigint"))
+    seg = seg.withColumn("_u", F.pow(q, (F.col("_e") * F.lit(epoch_rows) - F.col("_C")
+                                         - F.col("_L")).cast("double")) * F.col("_S"))
+    seg = seg.withColumn("_W", F.coalesce(F.sum("_u").over(_before(keys + ["_e"], [block, "_sub"])),
+                                          F.lit(0.0)))
+    # earlier epochs: T_e = sum_(e' < e) decay**((e - e') * epoch_rows) * U_e'
+    qe = F.pow(q, F.lit(float(epoch_rows)))
+    ep = seg.groupBy(*keys, "_e").agg(F.sum("_u").alias("_U"))
+    ep = ep.select(*keys, "_e", F.aggregate(
+        F.coalesce(F.collect_list("_U").over(_before(keys, ["_e"])), F.array().cast("array<double>")),
+        F.lit(0.0), lambda acc, u: (acc + u) * qe).alias("_T"))
+    seg = seg.join(ep, keys + ["_e"])
+    seg = seg.select(*kbs, "_C", (
+        F.pow(q, (F.col("_C") - F.col("_e") * F.lit(epoch_rows)).cast("double"))
+        * (F.col("_T") + F.col("_W"))
+        + F.pow(q, F.col("_C").cast("double")) * F.col("_init")).alias("_start"))
     d = d.join(seg, on=kbs)
     d = d.withColumn(out, F.pow(q, F.col("_j")) * F.col("_start") + F.col("_loc"))
     if prev_out:
         d = d.withColumn(prev_out, F.when(F.col("_j") == 1, F.col("_start"))
                          .otherwise(F.pow(q, F.col("_j") - 1) * F.col("_start") + F.col("_loc_prev")))
     if idx_out:
-        d = d.withColumn(idx_out, (F.col("_base") + F.col("_j")).cast("bigint"))
-    return d.drop("_i", "_sub", "_j", "_z", "_loc", "_loc_prev", "_start", "_base")
+        d = d.withColumn(idx_out, (F.col("_C") + F.col("_j")).cast("bigint"))
+    return d.drop("_i", "_sub", "_j", "_z", "_loc", "_loc_prev", "_start", "_C")
