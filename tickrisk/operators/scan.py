@@ -11,8 +11,9 @@ blocks, time buckets of the order timestamp:
   key (a window over the small block table), and the carry is joined back.
 
 Only block summaries of one key meet in one task; their number is the time
-span divided by the block length, independent of the data volume. Order
-columns must make rows unique within a key.
+span divided by the block length, independent of the data volume. All
+levels are linear in their rows. Order columns must make rows unique within
+a key.
 """
 
 from __future__ import annotations

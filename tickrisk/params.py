@@ -26,8 +26,8 @@ class RiskParams:
     # buckets of the order timestamp (see operators.scan). Per-portfolio
     # trigger scans use ``block_seconds``; per-(portfolio, ticker) statistics
     # series (at most one return per window) use ``series_block_seconds``.
-    # The level-2 carry costs O(blocks^2) per key, so blocks should not be
-    # needlessly small.
+    # The block table of one key (span / block length rows) is scanned by
+    # one task at level 2.
     block_seconds: int = 3600
     series_block_seconds: int = 86400
 
