@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = 2_000_000) -> DataFrame:
+               max_rows: int = 1_000_000) -> DataFrame:
     """Equi-join that broadcasts ``small`` only after checking its size.
 
     ``small`` is counted (one cheap job over a small table); when it holds at

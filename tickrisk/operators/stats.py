@@ -80,25 +80,38 @@ def ew_series(applied: DataFrame, seed: DataFrame, params: RiskParams) -> DataFr
 
     Rows for tickers in the seed's mean map: ``portfolio_id, ticker,
     order_ts, n, return_value, mean0, mean_prev, mean, var0, var``.
-    ``n`` counts the applied returns of the (portfolio, ticker).
+    ``n`` counts the applied returns of the (portfolio, ticker). The batch
+    job materialises ``ew_mean_series`` before ``ew_var_series`` so that the
+    second scan reads a table, not the first scan's lineage.
     """
+    return ew_var_series(ew_mean_series(applied, seed, params), seed, params)
+
+
+def ew_mean_series(applied: DataFrame, seed: DataFrame, params: RiskParams) -> DataFrame:
+    """A4: ``portfolio_id, ticker, order_ts, n, return_value, mean0, mean_prev,
+    mean`` (the mean is stored only for a non-zero seed mean: sticky zero)."""
     q, a = params.decay, params.gain
-    m0 = seed_means(seed)
-    d = applied.join(m0, on=PT)
+    d = applied.select(*PT, "order_ts", "return_value").join(seed_means(seed), on=PT)
     d = d.withColumn("_blk", block_of("order_ts", params.series_block_seconds))
     d = ew_scan(d, PT, ["order_ts"], "_blk", "return_value", "mean0", q, a,
                 out="_m", prev_out="_mp", idx_out="n")
     live = F.col("mean0") != 0
-    d = (d.withColumn("mean", F.when(live, F.col("_m")).otherwise(F.col("mean0")))
-         .withColumn("mean_prev", F.when(live, F.col("_mp")).otherwise(F.col("mean0")))
-         .drop("_m", "_mp"))
-    d = d.join(seed_diag(seed), on=PT, how="left")
+    return d.select(*PT, "order_ts", "n", "return_value", "mean0",
+                    F.when(live, F.col("_mp")).otherwise(F.col("mean0")).alias("mean_prev"),
+                    F.when(live, F.col("_m")).otherwise(F.col("mean0")).alias("mean"))
+
+
+def ew_var_series(means: DataFrame, seed: DataFrame, params: RiskParams) -> DataFrame:
+    """A5: adds ``var0, var``; the diagonal is updated only for a non-zero
+    mean and a non-zero cell: ``c' = c + ((r - m)(r - m') - c)/N``."""
+    q, a = params.decay, params.gain
+    d = means.join(seed_diag(seed), on=PT, how="left")
+    d = d.withColumn("_blk", block_of("order_ts", params.series_block_seconds))
     x = (F.col("return_value") - F.col("mean_prev")) * (F.col("return_value") - F.col("mean"))
     d = ew_scan(d, PT, ["order_ts"], "_blk", x, "var0", q, a, out="_v")
-    upd = live & F.col("var0").isNotNull() & (F.col("var0") != 0)
-    d = d.withColumn("var", F.when(upd, F.col("_v")).otherwise(F.col("var0"))).drop("_v", "_blk")
-    return d.select("portfolio_id", "ticker", "order_ts", "n", "return_value",
-                    "mean0", "mean_prev", "mean", "var0", "var")
+    upd = (F.col("mean0") != 0) & F.col("var0").isNotNull() & (F.col("var0") != 0)
+    return d.select(*PT, "order_ts", "n", "return_value", "mean0", "mean_prev", "mean", "var0",
+                    F.when(upd, F.col("_v")).otherwise(F.col("var0")).alias("var"))
 
 
 def asymmetric_cells(seed: DataFrame) -> DataFrame:

@@ -95,7 +95,7 @@ def log_returns(ticks: DataFrame, window: str = "2 seconds", watermark: str | No
 
 
 def assign_portfolios(returns: DataFrame, holdings: DataFrame | None = None,
-                      portfolio_id: str = "portf1", broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                      portfolio_id: str = "portf1", broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """Fan a per-ticker return out to the portfolios holding it.
 
     Without ``holdings`` every return goes to the one constant portfolio.

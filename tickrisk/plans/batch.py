@@ -71,10 +71,15 @@ class RiskJob:
                              "use the streaming record mode or nonfinite='drop'")
         return a
 
+    @cached_property
+    def mean_series(self) -> DataFrame:
+        return materialize(st.ew_mean_series(self.applied, self.seed, self.params),
+                           "mean_series", self.materialize)
+
     @cached_property
     def series(self) -> DataFrame:
-        return materialize(st.ew_series(self.applied, self.seed, self.params), "series",
-                           self.materialize)
+        return materialize(st.ew_var_series(self.mean_series, self.seed, self.params),
+                           "series", self.materialize)
 
     @cached_property
     def offdiag(self) -> DataFrame:
