@@ -45,24 +45,30 @@ def _before(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _whole(keys: Sequence[str]):
+    return Window.partitionBy(*keys)
+
+
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str,
             sums: dict[str, str] | None = None, lasts: dict[str, str] | None = None) -> DataFrame:
     """Several running values of one key order in a single two-level pass.
 
     ``sums``: ``{out: col}`` running sums; ``lasts``: ``{out: col}`` last
-    non-null values (as-of). One level-1 window, one block aggregate, one
-    level-2 window and one join back, whatever the number of outputs.
+    non-null values (as-of). One level-1 window; the block summary is the
+    block's last row (no aggregate); one level-2 window over the block rows
+    and one join back, whatever the number of outputs.
     """
     keys, order = list(keys), list(order)
     sums, lasts = dict(sums or {}), dict(lasts or {})
     kb = keys + [block]
     w1 = _running(kb, order)
     d = df.select("*", *[F.sum(c).over(w1).alias(f"_ls_{o}") for o, c in sums.items()],
-                  *[F.last(c, ignorenulls=True).over(w1).alias(f"_ll_{o}") for o, c in lasts.items()])
-    aggs = [F.sum(c).alias(f"_bs_{o}") for o, c in sums.items()]
-    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_bl_{o}")
-             for o, c in lasts.items()]
-    blk = d.groupBy(*kb).agg(*aggs)
+                  *[F.last(c, ignorenulls=True).over(w1).alias(f"_ll_{o}") for o, c in lasts.items()],
+                  F.row_number().over(Window.partitionBy(*kb).orderBy(*order)).alias("_rn"),
+                  F.count(F.lit(1)).over(_whole(kb)).alias("_cnt"))
+    blk = d.filter(F.col("_rn") == F.col("_cnt")).select(
+        *kb, *[F.col(f"_ls_{o}").alias(f"_bs_{o}") for o in sums],
+        *[F.col(f"_ll_{o}").alias(f"_bl_{o}") for o in lasts])
     w2 = _before(keys, [block])
     carry = blk.select(*kb,
                        *[F.coalesce(F.sum(f"_bs_{o}").over(w2), F.lit(0)).alias(f"_cs_{o}")
@@ -72,38 +78,21 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str
     d = d.join(carry, on=kb)
     outs = [(F.col(f"_cs_{o}") + F.col(f"_ls_{o}")).alias(o) for o in sums]
     outs += [F.coalesce(f"_ll_{o}", f"_cl_{o}").alias(o) for o in lasts]
-    tmp = [f"_{k}_{o}" for o in sums for k in ("ls", "cs")] + \
-          [f"_{k}_{o}" for o in lasts for k in ("ll", "cl")]
+    tmp = {"_rn", "_cnt"} | {f"_{k}_{o}" for o in sums for k in ("ls", "cs")} | \
+        {f"_{k}_{o}" for o in lasts for k in ("ll", "cl")}
     return d.select(*[c for c in d.columns if c not in tmp], *outs)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str,
                 value: str, out: str) -> DataFrame:
     """``out`` = sum of ``value`` over the rows of the key up to this row."""
-    keys, order = list(keys), list(order)
-    kb = keys + [block]
-    d = df.withColumn("_loc", F.sum(value).over(_running(kb, order)))
-    tot = d.groupBy(*kb).agg(F.sum(value).alias("_tot"))
-    carry = tot.select(*kb, F.coalesce(F.sum("_tot").over(_before(keys, [block])), F.lit(0))
-                       .alias("_carry"))
-    return (d.join(carry, on=kb)
-            .withColumn(out, F.col("_carry") + F.col("_loc"))
-            .drop("_loc", "_carry"))
+    return running(df, keys, order, block, sums={out: value})
 
 
 def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str,
                  value: str, out: str) -> DataFrame:
     """``out`` = last non-null ``value`` of the key up to this row (as-of)."""
-    keys, order = list(keys), list(order)
-    kb = keys + [block]
-    v = F.col(value)
-    d = df.withColumn("_loc", F.last(v, ignorenulls=True).over(_running(kb, order)))
-    tail = d.groupBy(*kb).agg(F.max_by(v, F.when(v.isNotNull(), F.struct(*order))).alias("_tail"))
-    carry = tail.select(*kb, F.last("_tail", ignorenulls=True).over(_before(keys, [block]))
-                        .alias("_carry"))
-    return (d.join(carry, on=kb)
-            .withColumn(out, F.coalesce("_loc", "_carry"))
-            .drop("_loc", "_carry"))
+    return running(df, keys, order, block, lasts={out: value})
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str,
@@ -113,14 +102,14 @@ def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], block
     kb = keys + [block]
     w = Window.partitionBy(*kb).orderBy(*order)
     v = F.struct(*cols)
-    d = (df.withColumn("_lag", F.lag(v).over(w))
-         .withColumn("_first", F.row_number().over(w) == 1))
-    tail = d.groupBy(*kb).agg(F.max_by(v, F.struct(*order)).alias("_tail"))
+    d = df.select("*", F.lag(v).over(w).alias("_lag"), F.row_number().over(w).alias("_rn"),
+                  F.count(F.lit(1)).over(_whole(kb)).alias("_cnt"))
+    tail = d.filter(F.col("_rn") == F.col("_cnt")).select(*kb, v.alias("_tail"))
     carry = tail.select(*kb, F.lag("_tail").over(Window.partitionBy(*keys).orderBy(block))
                         .alias("_carry"))
     return (d.join(carry, on=kb)
-            .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")))
-            .drop("_lag", "_first", "_carry"))
+            .withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag")))
+            .drop("_lag", "_rn", "_cnt", "_carry"))
 
 
 def ew_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str,

@@ -40,7 +40,8 @@ def main():
     summary("log_return (A1)", j.returns)
     summary("applied (J3 + J1)", j.portfolio_returns)
     from tickrisk.operators import stats as st
-    summary("series (A4/A5)", st.ew_series(j.applied, j.seed, j.params))
+    summary("mean series (A4)", st.ew_mean_series(j.applied, j.seed, j.params))
+    summary("variance series (A5)", st.ew_var_series(j.mean_series, j.seed, j.params))
     summary("trigger grid (J2)", mt.trigger_grid(j.applied, j.series, j.seed,
                                                  j.weight_snapshots, j.params))
     g = mt.partition_by_trigger(j.grid)
