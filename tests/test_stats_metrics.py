@@ -84,10 +84,11 @@ def events_for_fold(seeds, rets, snaps):
     return [e for _, e in ev]
 
 
-@pytest.fixture(scope="module", params=[86400 * 2, 86400 * 100])
+@pytest.fixture(scope="module", params=[(3, 86400 * 2), (3, 86400 * 100), (11, 86400)])
 def case(spark, request):
-    seeds, rets, snaps = build_case()
-    params = RiskParams(block_seconds=request.param, series_block_seconds=request.param)
+    rnd_seed, block = request.param
+    seeds, rets, snaps = build_case(seed_=rnd_seed, days=12 if rnd_seed == 3 else 20)
+    params = RiskParams(block_seconds=block, series_block_seconds=block)
     stats_df = spark.createDataFrame(seeds, STATS_T)
     rets_df = spark.createDataFrame(rets, RET_T)
     snaps_df = spark.createDataFrame(snaps, SNAP_T)
@@ -247,3 +248,21 @@ def test_job_guards_nonfinite_and_asymmetric(spark):
                                    {"A": {"A": 0.04, "B": 0.01}, "B": {"B": 0.09}})], STATS_T)
     with pytest.raises(ValueError, match="asymmetric"):
         RiskJob(ticks, asym, snaps, params=p, nonfinite="drop").applied
+
+
+def test_emit_a_b_a_and_repeat(spark):
+    """Weights A, B, A, A after one applied return: three emitted, the
+    repeat suppressed (FIXTURES: 'A, B, A' and 'repeat')."""
+    seed = spark.createDataFrame(
+        [(1, ms(D0), "P", {"X": 0.01, "Y": 0.02},
+          {"X": {"X": 0.04, "Y": 0.01}, "Y": {"X": 0.01, "Y": 0.09}})], STATS_T)
+    rets = spark.createDataFrame([("P", "X", D0 + dt.timedelta(hours=1), 0.02)], RET_T)
+    wa, wb = {"X": 0.7, "Y": 0.3}, {"X": 0.2, "Y": 0.8}
+    snaps = spark.createDataFrame(
+        [(10 + k, ms(D0 + dt.timedelta(hours=2 + k)), "P", w) for k, w in enumerate([wa, wb, wa, wa])],
+        SNAP_T)
+    p = RiskParams()
+    applied = st.apply_to_seed(rets, seed)
+    cand = mt.metrics_asof(applied, st.ew_series(applied, seed, p), seed, snaps, p)
+    em = sorted(r["o_seq"] for r in mt.emit_on_change(cand, p).collect())
+    assert cand.count() == 4 and em == [10, 11, 12]
