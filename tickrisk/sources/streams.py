@@ -42,12 +42,16 @@ def single_file_glob(path: str) -> str:
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, record: str,
                  starting_offsets: str = "latest", stream: bool = True,
-                 mode: str = "FAILFAST", group_id: str | None = None) -> DataFrame:
+                 mode: str = "FAILFAST", group_id: str | None = None,
+                 order: str = "offset") -> DataFrame:
     """Kafka topic of Avro binary datums -> record columns.
 
     ``record`` is a key of ``schemas.AVRO`` (``price_tick``, ``weight_snapshot``,
-    ``weight_row``, ``portfolio_stats``). Adds ``seq`` (struct of Kafka
-    timestamp, partition, offset) and ``arrival_ts``.
+    ``weight_row``, ``portfolio_stats``). Adds ``seq`` and ``arrival_ts``
+    (Kafka timestamp). ``order="offset"``: ``seq`` is the offset, the arrival
+    order when records are keyed by ticker (one partition per ticker); a
+    long keeps the window aggregate hash-based. ``order="timestamp"``:
+    ``seq`` is the struct (timestamp, partition, offset) for unkeyed topics.
     """
     try:
         from pyspark.sql.avro.functions import from_avro
@@ -61,9 +65,10 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str, record: str,
     raw = reader.format("kafka").options(**opts).load()
     rec = from_avro(F.col("value"), AVRO[record], {"mode": mode}).alias("r")
     cols = [F.col(f"r.{f.name}").alias(f.name) for f in STRUCTS[record].fields]
-    return raw.select(
-        F.struct("timestamp", "partition", "offset").alias("seq"),
-        F.col("timestamp").alias("arrival_ts"), rec).select("seq", "arrival_ts", *cols)
+    seq = (F.col("offset") if order == "offset"
+           else F.struct("timestamp", "partition", "offset"))
+    return raw.select(seq.alias("seq"), F.col("timestamp").alias("arrival_ts"), rec) \
+        .select("seq", "arrival_ts", *cols)
 
 
 def avro_quarantine(df: DataFrame, record: str):
