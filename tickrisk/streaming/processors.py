@@ -100,6 +100,36 @@ def portfolio_metrics(weights: dict, means: dict, cov: dict, periods: int = 52,
     return e, var, risk, _ieee_div(math.sqrt(periods) * (e - risk_free), risk)
 
 
+def apply_return(means: dict, cov: dict, s: str, r: float, n_div: int) -> set:
+    """One return ``r`` of ticker ``s`` applied to a statistics record in place.
+
+    * the mean of ``s`` moves by ``(r - m)/n_div`` only when it is non-zero
+      (unknown tickers stay unknown, a zero mean stays zero);
+    * the cells of row ``s`` whose column has a non-zero mean (read after the
+      mean update) and a non-zero value move by ``(d_s*d_o - c)/n_div`` with
+      ``d_s = r - m_old`` and ``d_o = r - m_s`` on the diagonal, ``m_o - m_o``
+      (0, or NaN for a non-finite mean) elsewhere; each new value is written
+      to ``[s][o]`` and ``[o][s]``.
+
+    Every update reads only row ``s`` (as it was before this return), so the
+    order over cells does not matter. Returns the written cells.
+    """
+    m_old = means.get(s, 0.0)
+    if m_old != 0.0:
+        means[s] = m_old + (r - m_old) / n_div
+    row = dict(cov.get(s, {}))
+    live = {o for o, m in means.items() if m != 0.0}
+    written = set()
+    for o in live & {o for o, c in row.items() if c != 0.0}:
+        c = row[o]
+        d_o = (r - means[s]) if o == s else (means[o] - means[o])
+        v = c + ((r - m_old) * d_o - c) / n_div
+        cov.setdefault(s, {})[o] = v
+        cov.setdefault(o, {})[s] = v
+        written |= {(s, o), (o, s)}
+    return written
+
+
 class StatsUpdateProcessor(StatefulProcessor):
     def __init__(self, count: int = 1000, stamp: str = "event"):
         self.n_div = count + 1
@@ -151,26 +181,9 @@ class StatsUpdateProcessor(StatefulProcessor):
             if seed_ms is None or _ms(r.o_ts) < seed_ms:
                 continue                          # no statistics yet: dropped
             s, ret = r.ticker, float(r.return_value)
-            old = means.get(s, 0.0)
-            new = old + (ret - old) / n_div
-            if old != 0.0:
-                means[s] = new
+            dirty_c |= apply_return(means, cov, s, ret, n_div)
+            if s in means:
                 dirty_m.add(s)
-            row_s = cov.get(s, {})
-            for o in list(means.keys()):
-                mo = means.get(o, 0.0)
-                if mo == 0.0:
-                    continue
-                c = row_s.get(o, 0.0)
-                if c == 0.0:
-                    continue
-                ro = ret if o == s else mo
-                c2 = c + ((ret - old) * (ro - mo) - c) / n_div
-                cov.setdefault(s, {})[o] = c2
-                cov.setdefault(o, {})[s] = c2
-                dirty_c.add((s, o))
-                dirty_c.add((o, s))
-                row_s = cov[s]
             counts[s] = counts.get(s, 0) + 1
             dirty_n.add(s)
             stamp = (_ms(pd.Timestamp.now(tz="UTC")) if self.stamp == "processing"
