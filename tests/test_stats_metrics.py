@@ -6,7 +6,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickrisk.operators import metrics as mt
