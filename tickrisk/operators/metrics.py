@@ -26,7 +26,7 @@ states give bit-identical metrics, which exact change detection relies on.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickrisk.functions.ieee import ieee_div, sorted_sum
@@ -51,39 +51,52 @@ def _risk_from_grid(grid: DataFrame, seed: DataFrame, tkey: list[str],
     """Metrics per trigger from its grid rows.
 
     ``grid``: ``*tkey, ticker, w, mean, var, n, g`` (one row per weighted
-    ticker of the trigger; ``tkey`` includes ``portfolio_id``).
-
-    ``grid`` should arrive hash-partitioned by the trigger key (see
-    ``partition_by_trigger``); the seed's off-diagonal cells are joined by a
-    size-checked broadcast; the pair join on ``(trigger, j)``, the row sums
-    ``rs_i = sum_j w_j * cov_ij`` and the totals then stay inside the
-    trigger's partition (no further shuffle). The work is O(N^2) per trigger
-    (N = weighted tickers), as in the original; ``var = sum_i w_i * rs_i``.
+    ticker of the trigger; ``tkey`` includes ``portfolio_id``), ideally
+    hash-partitioned by the trigger key (``partition_by_trigger``).
+
+    No (i, j) pair rows are produced. Every grid row ``i`` carries its seed
+    covariance row (size-checked join) and the states of the trigger's
+    weighted tickers (a window over the trigger key: N entries). Both are
+    merged in one sorted array (by ticker, cell before peer) and adjacent
+    (cell, peer) entries give the terms ``w_j * cov_ij`` with
+    ``cov_ij = cov0 * q**e``; ``rs_i = sum_j w_j * cov_ij`` (diagonal from
+    the variance series) and ``var = sum_i w_i * rs_i``. O(N log N) per row,
+    O(N^2 log N) per trigger, inside the trigger's partition.
     """
     q = F.lit(params.decay)
-    g = grid
-    c_off = st.seed_cov(seed).filter(F.col("i") != F.col("j"))
-    gi = g.select(*tkey, F.col("ticker").alias("i"), F.col("w").alias("w_i"),
-                  F.col("n").alias("n_i"), F.col("g").alias("g_i"))
-    gj = g.select(*tkey, F.col("ticker").alias("j"), F.col("w").alias("w_j"),
-                  F.col("n").alias("n_j"), F.col("g").alias("g_j"))
-    off = (join_small(gi, c_off, on=["portfolio_id", "i"])
-           .join(gj, tkey + ["j"])
-           .select(*tkey, "i", "w_i",
-                   (F.col("w_j") * F.col("cov0") * F.pow(
-                       q, st.decay_exponent(F.col("n_i"), F.col("n_j"), F.col("g_i"),
-                                            F.col("g_j")).cast("double"))).alias("t")))
-    diag = (g.filter(F.col("var").isNotNull())
-            .select(*tkey, F.col("ticker").alias("i"), F.col("w").alias("w_i"),
-                    (F.col("w") * F.col("var")).alias("t")))
-    rows = (off.unionByName(diag).groupBy(*tkey, "i")
-            .agg(F.first("w_i").alias("w_i"), sorted_sum(F.collect_list("t")).alias("rs")))
-    v = rows.groupBy(*tkey).agg(
-        sorted_sum(F.collect_list(F.col("w_i") * F.col("rs"))).alias("variance"))
-    e = g.groupBy(*tkey).agg(
-        sorted_sum(F.collect_list(F.col("w") * F.coalesce("mean", F.lit(0.0))))
-        .alias("expected_return"))
-    out = e.join(v, tkey, "left").withColumn("variance", F.coalesce("variance", F.lit(0.0)))
+    entry = ("struct<j:string,tag:int,c:double,w:double,n:bigint,g:boolean>")
+    rows = st.seed_cov_rows(seed).select(
+        "portfolio_id", "ticker",
+        F.transform(F.map_entries("row"), lambda e: F.struct(
+            e["key"].alias("j"), F.lit(0).alias("tag"), e["value"].alias("c"),
+            F.lit(None).cast("double").alias("w"), F.lit(None).cast("bigint").alias("n"),
+            F.lit(None).cast("boolean").alias("g"))).alias("cells"))
+    d = join_small(grid, rows, on=["portfolio_id", "ticker"], how="left")
+    peers = F.collect_list(F.struct(
+        F.col("ticker").alias("j"), F.lit(1).alias("tag"), F.lit(None).cast("double").alias("c"),
+        F.col("w").alias("w"), F.col("n").alias("n"), F.col("g").alias("g"))
+    ).over(Window.partitionBy(*tkey))
+    d = d.select(*tkey, "ticker", "w", "mean", "var", "n", "g",
+                 F.array_sort(F.concat(F.coalesce("cells", F.array().cast(f"array<{entry}>")),
+                                       peers)).alias("_m"))
+    m, me = F.col("_m"), F.col("ticker")
+
+    def term(k):
+        a, b = F.element_at(m, k), F.element_at(m, k + 1)
+        hit = (a["j"] == b["j"]) & (a["tag"] == 0) & (b["tag"] == 1) & (a["j"] != me)
+        return F.when(hit, b["w"] * a["c"] * F.pow(q, st.decay_exponent(
+            F.col("n"), b["n"], F.col("g"), b["g"]).cast("double")))
+
+    ks = F.when(F.size(m) >= 2, F.sequence(F.lit(1), F.size(m) - 1)).otherwise(
+        F.array().cast("array<int>"))
+    off = F.filter(F.transform(ks, term), lambda t: t.isNotNull())
+    terms = F.when(F.col("var").isNotNull(),
+                   F.concat(off, F.array(F.col("w") * F.col("var")))).otherwise(off)
+    d = d.select(*tkey, "w", "mean", F.when(F.size(terms) > 0, sorted_sum(terms)).alias("rs"))
+    out = d.groupBy(*tkey).agg(
+        sorted_sum(F.collect_list(F.col("w") * F.coalesce("mean", F.lit(0.0)))).alias("expected_return"),
+        sorted_sum(F.collect_list(F.col("w") * F.col("rs"))).alias("variance"))
+    out = out.withColumn("variance", F.coalesce("variance", F.lit(0.0)))
     return finish_metrics(out, params)
 
 
