@@ -228,33 +228,51 @@ def statistics_records(grid: DataFrame, seed: DataFrame, params: RiskParams) ->
     """K1 batch twin, step 2: the whole statistics record after each applied
     return (``processors.STATS_OUT`` columns): mean map of the seeded
     tickers and covariance map (diagonal from the series, off-diagonal
-    ``cov0 * q**e``, written symmetric, P13). ``grid`` from ``record_grid``,
-    ideally partitioned by the trigger key; O(N^2) per record, like the
-    original's emission.
+    ``cov0 * q**e``, the same value at ``[i][j]`` and ``[j][i]``, P13).
+
+    ``grid`` from ``record_grid`` (every seed ticker at every applied
+    return), ideally partitioned by the trigger key. Row ``i`` of a record
+    is built inside grid row ``i`` by merging its seed row with the trigger's
+    ticker states (sorted array, adjacent matches), so no pair rows are
+    produced; the N^2 cells exist only as the record's own maps.
     """
     q = F.lit(params.decay)
-    c_off = st.seed_cov(seed).filter(F.col("i") != F.col("j"))
-    gi = grid.select(*TKEY, F.col("ticker").alias("i"), F.col("n").alias("n_i"),
-                     F.col("g").alias("g_i"))
-    gj = grid.select(*TKEY, F.col("ticker").alias("j"), F.col("n").alias("n_j"),
-                     F.col("g").alias("g_j"))
-    off = (join_small(gi, c_off, on=["portfolio_id", "i"]).join(gj, TKEY + ["j"])
-           .select(*TKEY, "i", "j", (F.col("cov0") * F.pow(q, st.decay_exponent(
-               F.col("n_i"), F.col("n_j"), F.col("g_i"), F.col("g_j")).cast("double"))).alias("c")))
-    diag = grid.filter(F.col("var0").isNotNull()).select(
-        *TKEY, F.col("ticker").alias("i"), F.col("ticker").alias("j"), F.col("var").alias("c"))
-    rows = (off.unionByName(diag).groupBy(*TKEY, "i")
-            .agg(F.map_from_entries(F.collect_list(F.struct("j", "c"))).alias("row")))
-    cov = rows.groupBy(*TKEY).agg(
-        F.map_from_entries(F.collect_list(F.struct("i", "row"))).alias("covarianceMatrix"))
-    means = grid.groupBy(*TKEY).agg(
+    entry = "struct<j:string,tag:int,c:double,n:bigint,g:boolean>"
+    rows = st.seed_cov_rows(seed).select(
+        "portfolio_id", "ticker",
+        F.transform(F.map_entries("row"), lambda e: F.struct(
+            e["key"].alias("j"), F.lit(0).alias("tag"), e["value"].alias("c"),
+            F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("boolean").alias("g")))
+        .alias("cells"))
+    d = join_small(grid, rows, on=["portfolio_id", "ticker"], how="left")
+    peers = F.collect_list(F.struct(
+        F.col("ticker").alias("j"), F.lit(1).alias("tag"), F.lit(None).cast("double").alias("c"),
+        F.col("n").alias("n"), F.col("g").alias("g"))).over(Window.partitionBy(*TKEY))
+    d = d.withColumn("_m", F.array_sort(F.concat(
+        F.coalesce("cells", F.array().cast(f"array<{entry}>")), peers)))
+    m, me = F.col("_m"), F.col("ticker")
+
+    def cell(k):
+        a, b = F.element_at(m, k), F.element_at(m, k + 1)
+        hit = (a["j"] == b["j"]) & (a["tag"] == 0) & (b["tag"] == 1) & (a["j"] != me)
+        return F.when(hit, F.struct(a["j"].alias("j"), (a["c"] * F.pow(q, st.decay_exponent(
+            F.col("n"), b["n"], F.col("g"), b["g"]).cast("double"))).alias("c")))
+
+    ks = F.when(F.size(m) >= 2, F.sequence(F.lit(1), F.size(m) - 1)).otherwise(
+        F.array().cast("array<int>"))
+    off = F.filter(F.transform(ks, cell), lambda x: x.isNotNull())
+    entries = F.when(F.col("var0").isNotNull(), F.concat(off, F.array(F.struct(
+        me.alias("j"), F.col("var").alias("c"))))).otherwise(off)
+    d = d.withColumn("_row", F.when(F.size(entries) > 0, F.map_from_entries(entries)))
+    out = d.groupBy(*TKEY).agg(
         F.map_from_entries(F.collect_list(F.when(F.col("mean0").isNotNull(),
                                                  F.struct("ticker", "mean")))).alias("meanReturns"),
+        F.map_from_entries(F.collect_list(F.when(F.col("_row").isNotNull(),
+                                                 F.struct("ticker", "_row")))).alias("covarianceMatrix"),
         F.max(F.when(F.col("ticker") == F.col("o_tie"), F.col("n"))).alias("n"))
-    return (means.join(cov, TKEY, "left")
-            .select("portfolio_id", "o_ts", F.col("o_tie").alias("ticker"), "n",
-                    F.unix_millis(F.col("o_ts").cast("timestamp")).alias("timestamp"),
-                    "meanReturns", "covarianceMatrix"))
+    return out.select("portfolio_id", "o_ts", F.col("o_tie").alias("ticker"), "n",
+                      F.unix_millis(F.col("o_ts").cast("timestamp")).alias("timestamp"),
+                      "meanReturns", "covarianceMatrix")
 
 
 def emit_on_change(cand: DataFrame, params: RiskParams) -> DataFrame:
