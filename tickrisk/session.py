@@ -68,9 +68,9 @@ def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str
 def configure(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on (idempotent).
 
-    ``requireAllClusterKeysForCoPartition=false`` lets a join on
-    ``(trigger, ticker)`` reuse a partitioning on the trigger key, so the
-    per-trigger pair join runs inside the partition instead of reshuffling.
+    ``requireAllClusterKeysForCoPartition=false`` lets a join on a superset
+    of an existing partitioning's keys (e.g. ``(trigger, ticker)`` after a
+    partitioning by trigger) reuse it instead of reshuffling.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
