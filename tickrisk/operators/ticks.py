@@ -95,16 +95,22 @@ def log_returns(ticks: DataFrame, window: str = "2 seconds", watermark: str | No
 
 
 def assign_portfolios(returns: DataFrame, holdings: DataFrame | None = None,
-                      portfolio_id: str = "portf1", broadcast_max_rows: int = 1_000_000) -> DataFrame:
+                      portfolio_id: str = "portf1", broadcast_max_rows: int = 1_000_000,
+                      salt_buckets: int = 64) -> DataFrame:
     """Fan a per-ticker return out to the portfolios holding it.
 
     Without ``holdings`` every return goes to the one constant portfolio.
     The holdings side is broadcast only when its row count is checked to be
-    below ``broadcast_max_rows``; beyond that it is a shuffled equi-join (AQE
-    splits a hot ticker's partition).
+    at most ``broadcast_max_rows``. Beyond that the join is salted: a ticker
+    held by a third of all portfolios is spread over ``salt_buckets`` tasks
+    (holdings salted by portfolio, returns replicated per salt).
     """
     if holdings is None:
         return returns.withColumn("portfolio_id", F.lit(portfolio_id))
-    from tickrisk.operators.joins import join_small
+    from tickrisk.operators.joins import salted_join
     h = holdings.select("portfolio_id", "ticker").distinct()
-    return join_small(returns, h, on=["ticker"], max_rows=broadcast_max_rows)
+    if h.isStreaming:
+        return returns.join(h, on=["ticker"])
+    if h.count() <= broadcast_max_rows:
+        return returns.join(F.broadcast(h), on=["ticker"])
+    return salted_join(returns, h, on=["ticker"], salt_of="portfolio_id", buckets=salt_buckets)
