@@ -6,7 +6,8 @@ same results):
 * effective sample count ``count = 1000``; every update divides by
   ``count + 1 = 1001``, so ``decay = 1000/1001`` and ``gain = 1/1001``;
 * Sharpe annualisation ``periods = 52`` (weekly) and ``risk_free = 0.0018``;
-* tumbling price window of 2 seconds, price watermark of 1 minute.
+* tumbling price window of 2 seconds, price watermark of 1 minute (on the
+  last-traded time).
 """
 
 from __future__ import annotations
@@ -21,7 +22,12 @@ class RiskParams:
     periods: int = 52
     risk_free: float = 0.0018
     window: str = "2 seconds"
+    # Event-time option (windows on the last-traded time): the original's
+    # out-of-orderness bound. Arrival-time windows (the default, standing in
+    # for the original's processing-time windows) need only a short delay,
+    # so they fire about as soon as the window ends.
     watermark: str = "1 minute"
+    arrival_watermark: str = "2 seconds"
     # Rows of one (key, block) are scanned by one task; blocks are time
     # buckets of the order timestamp (see operators.scan). Per-portfolio
     # trigger scans use ``block_seconds``; per-(portfolio, ticker) statistics

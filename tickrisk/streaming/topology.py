@@ -54,9 +54,16 @@ def restore_nan_ticker_stats(df: DataFrame) -> DataFrame:
 
 def returns_stream(ticks_raw: DataFrame, params: RiskParams, strict: bool = True,
                    event_time: bool = False) -> DataFrame:
-    """T1/T2 + A1: streaming log returns (append mode, closed windows only)."""
+    """T1/T2 + A1: streaming log returns (append mode, closed windows only).
+
+    Arrival-time windows use ``params.arrival_watermark`` (short: a window
+    is emitted shortly after it ends, like a processing-time window);
+    ``event_time=True`` windows on the last-traded time with
+    ``params.watermark`` (1 minute).
+    """
     ticks = tk.typed_ticks(ticks_raw, strict=strict, event_time=event_time)
-    return tk.log_returns(ticks, window=params.window, watermark=params.watermark)
+    wm = params.watermark if event_time else params.arrival_watermark
+    return tk.log_returns(ticks, window=params.window, watermark=wm)
 
 
 def _control_watermark(df: DataFrame, delay: str | None) -> DataFrame:
