@@ -85,6 +85,15 @@ def _java_equals(a: float, b: float) -> bool:
     return struct.pack(">d", a) == struct.pack(">d", b)
 
 
+def _sync_map(state, old: dict, new: dict) -> None:
+    """Write only the entries of a MapState that changed (keys are tuples)."""
+    for k in old.keys() - new.keys():
+        state.removeKey(k)
+    for k, v in new.items():
+        if k not in old or not _java_equals(old[k], v):
+            state.updateValue(k, (float(v),))
+
+
 def portfolio_metrics(weights: dict, means: dict, cov: dict, periods: int = 52,
                       risk_free: float = 0.0018):
     """E, variance, risk, Sharpe of one weight map against one statistics state."""
@@ -227,6 +236,9 @@ class MetricsProcessor(StatefulProcessor):
             for (i, j), (c,) in self.s_cov.iterator():
                 cov.setdefault(i, {})[j] = c
         weights = {k[0]: v[0] for k, v in self.weights.iterator()} if has_w else {}
+        means0 = {(t,): m for t, m in means.items()}
+        cov0 = {(i, j): c for i, row in cov.items() for j, c in row.items()}
+        weights0 = {(t,): w for t, w in weights.items()}
         last = self.last.get() if self.last.exists() else None
         s_changed = w_changed = False
         out = []
@@ -247,18 +259,12 @@ class MetricsProcessor(StatefulProcessor):
             last = (e, risk)
             out.append((key[0], r.o_ts, int(r.o_side), int(r.o_seq), r.o_tie, e, var, risk, sharpe))
         if s_changed:
-            self.s_mean.clear()
-            self.s_cov.clear()
-            for t, m in means.items():
-                self.s_mean.updateValue((t,), (float(m),))
-            for i, row in cov.items():
-                for j, c in row.items():
-                    self.s_cov.updateValue((i, j), (float(c),))
+            _sync_map(self.s_mean, means0, {(t,): m for t, m in means.items()})
+            _sync_map(self.s_cov, cov0, {(i, j): c for i, row in cov.items()
+                                         for j, c in row.items()})
             self.has_stats.update((True,))
         if w_changed:
-            self.weights.clear()
-            for t, w in weights.items():
-                self.weights.updateValue((t,), (float(w),))
+            _sync_map(self.weights, weights0, {(t,): w for t, w in weights.items()})
             self.has_weights.update((True,))
         if last is not None:
             self.last.update((float(last[0]), float(last[1])))
