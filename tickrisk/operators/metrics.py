@@ -46,25 +46,14 @@ def weights_long(snapshots: DataFrame) -> DataFrame:
             .filter(F.col("w").isNotNull()))
 
 
-def _risk_from_grid(grid: DataFrame, seed: DataFrame, tkey: list[str],
-                    params: RiskParams) -> DataFrame:
-    """Metrics per trigger from its grid rows.
+_ENTRY = "struct<j:string,tag:int,c:double,w:double,n:bigint,g:boolean>"
 
-    ``grid``: ``*tkey, ticker, w, mean, var, n, g`` (one row per weighted
-    ticker of the trigger; ``tkey`` includes ``portfolio_id``), ideally
-    hash-partitioned by the trigger key (``partition_by_trigger``).
 
-    No (i, j) pair rows are produced. Every grid row ``i`` carries its seed
-    covariance row (size-checked join) and the states of the trigger's
-    weighted tickers (a window over the trigger key: N entries). Both are
-    merged in one sorted array (by ticker, cell before peer) and adjacent
-    (cell, peer) entries give the terms ``w_j * cov_ij`` with
-    ``cov_ij = cov0 * q**e``; ``rs_i = sum_j w_j * cov_ij`` (diagonal from
-    the variance series) and ``var = sum_i w_i * rs_i``. O(N log N) per row,
-    O(N^2 log N) per trigger, inside the trigger's partition.
-    """
-    q = F.lit(params.decay)
-    entry = ("struct<j:string,tag:int,c:double,w:double,n:bigint,g:boolean>")
+def _merge_rows(grid: DataFrame, seed: DataFrame, tkey: list[str]) -> DataFrame:
+    """Adds ``_m`` to every grid row ``i``: its seed covariance cells
+    ``(j, cov0)`` and the states ``(j, w, n, g)`` of its trigger's tickers
+    (window over the trigger key), in one array sorted by ticker with a cell
+    before the peer of the same ticker."""
     rows = st.seed_cov_rows(seed).select(
         "portfolio_id", "ticker",
         F.transform(F.map_entries("row"), lambda e: F.struct(
@@ -72,24 +61,57 @@ def _risk_from_grid(grid: DataFrame, seed: DataFrame, tkey: list[str],
             F.lit(None).cast("double").alias("w"), F.lit(None).cast("bigint").alias("n"),
             F.lit(None).cast("boolean").alias("g"))).alias("cells"))
     d = join_small(grid, rows, on=["portfolio_id", "ticker"], how="left")
+    w = F.col("w").cast("double") if "w" in grid.columns else F.lit(None).cast("double")
     peers = F.collect_list(F.struct(
         F.col("ticker").alias("j"), F.lit(1).alias("tag"), F.lit(None).cast("double").alias("c"),
-        F.col("w").alias("w"), F.col("n").alias("n"), F.col("g").alias("g"))
+        w.alias("w"), F.col("n").alias("n"), F.col("g").alias("g"))
     ).over(Window.partitionBy(*tkey))
-    d = d.select(*tkey, "ticker", "w", "mean", "var", "n", "g",
-                 F.array_sort(F.concat(F.coalesce("cells", F.array().cast(f"array<{entry}>")),
-                                       peers)).alias("_m"))
+    return d.withColumn("_m", F.array_sort(F.concat(
+        F.coalesce("cells", F.array().cast(f"array<{_ENTRY}>")), peers))).drop("cells")
+
+
+def _row_matches(f):
+    """``f(cell, peer)`` for every ticker ``j != i`` present both as a seed
+    cell of row ``i`` and as a peer: adjacent entries of the sorted ``_m``."""
     m, me = F.col("_m"), F.col("ticker")
 
-    def term(k):
+    def step(k):
         a, b = F.element_at(m, k), F.element_at(m, k + 1)
         hit = (a["j"] == b["j"]) & (a["tag"] == 0) & (b["tag"] == 1) & (a["j"] != me)
-        return F.when(hit, b["w"] * a["c"] * F.pow(q, st.decay_exponent(
-            F.col("n"), b["n"], F.col("g"), b["g"]).cast("double")))
+        return F.when(hit, f(a, b))
 
     ks = F.when(F.size(m) >= 2, F.sequence(F.lit(1), F.size(m) - 1)).otherwise(
         F.array().cast("array<int>"))
-    off = F.filter(F.transform(ks, term), lambda t: t.isNotNull())
+    return F.filter(F.transform(ks, step), lambda x: x.isNotNull())
+
+
+def _decayed(params: RiskParams, cell, peer):
+    """``cov0 * q**e`` of the cell (row ``i`` = the current grid row)."""
+    return cell["c"] * F.pow(F.lit(params.decay), st.decay_exponent(
+        F.col("n"), peer["n"], F.col("g"), peer["g"]).cast("double"))
+
+
+def _risk_from_grid(grid: DataFrame, seed: DataFrame, tkey: list[str],
+                    params: RiskParams) -> DataFrame:
+    """Metrics per trigger from its grid rows.
+
+    ``grid``: ``*tkey, ticker, w, mean, var, n, g`` (one row per weighted
+    ticker of the trigger; ``tkey`` includes ``portfolio_id``), ideally
+    hash-partitioned by the trigger key (``partition_by_trigger``).
+
+    No (i, j) pair rows are produced. Every grid row ``i`` carries its seed
+    covariance row (size-checked join) and the states of the trigger's
+    weighted tickers (a window over the trigger key: N entries). Both are
+    merged in one sorted array (by ticker, cell before peer) and adjacent
+    (cell, peer) entries give the terms ``w_j * cov_ij`` with
+    ``cov_ij = cov0 * q**e``; ``rs_i = sum_j w_j * cov_ij`` (diagonal from
+    the variance series) and ``var = sum_i w_i * rs_i``. O(N log N) per row,
+    O(N^2 log N) per trigger, inside the trigger's partition.
+    """
+    q = F.lit(params.decay)
+    d = _merge_rows(grid, seed, tkey)
+    off = _row_matches(lambda a, b: b["w"] * a["c"] * F.pow(q, st.decay_exponent(
+        F.col("n"), b["n"], F.col("g"), b["g"]).cast("double")))
     terms = F.when(F.col("var").isNotNull(),
                    F.concat(off, F.array(F.col("w") * F.col("var")))).otherwise(off)
     d = d.select(*tkey, "w", "mean", F.when(F.size(terms) > 0, sorted_sum(terms)).alias("rs"))
@@ -236,31 +258,10 @@ def statistics_records(grid: DataFrame, seed: DataFrame, params: RiskParams) ->
     ticker states (sorted array, adjacent matches), so no pair rows are
     produced; the N^2 cells exist only as the record's own maps.
     """
-    q = F.lit(params.decay)
-    entry = "struct<j:string,tag:int,c:double,n:bigint,g:boolean>"
-    rows = st.seed_cov_rows(seed).select(
-        "portfolio_id", "ticker",
-        F.transform(F.map_entries("row"), lambda e: F.struct(
-            e["key"].alias("j"), F.lit(0).alias("tag"), e["value"].alias("c"),
-            F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("boolean").alias("g")))
-        .alias("cells"))
-    d = join_small(grid, rows, on=["portfolio_id", "ticker"], how="left")
-    peers = F.collect_list(F.struct(
-        F.col("ticker").alias("j"), F.lit(1).alias("tag"), F.lit(None).cast("double").alias("c"),
-        F.col("n").alias("n"), F.col("g").alias("g"))).over(Window.partitionBy(*TKEY))
-    d = d.withColumn("_m", F.array_sort(F.concat(
-        F.coalesce("cells", F.array().cast(f"array<{entry}>")), peers)))
-    m, me = F.col("_m"), F.col("ticker")
-
-    def cell(k):
-        a, b = F.element_at(m, k), F.element_at(m, k + 1)
-        hit = (a["j"] == b["j"]) & (a["tag"] == 0) & (b["tag"] == 1) & (a["j"] != me)
-        return F.when(hit, F.struct(a["j"].alias("j"), (a["c"] * F.pow(q, st.decay_exponent(
-            F.col("n"), b["n"], F.col("g"), b["g"]).cast("double"))).alias("c")))
-
-    ks = F.when(F.size(m) >= 2, F.sequence(F.lit(1), F.size(m) - 1)).otherwise(
-        F.array().cast("array<int>"))
-    off = F.filter(F.transform(ks, cell), lambda x: x.isNotNull())
+    d = _merge_rows(grid, seed, TKEY)
+    me = F.col("ticker")
+    off = _row_matches(lambda a, b: F.struct(a["j"].alias("j"),
+                                             _decayed(params, a, b).alias("c")))
     entries = F.when(F.col("var0").isNotNull(), F.concat(off, F.array(F.struct(
         me.alias("j"), F.col("var").alias("c"))))).otherwise(off)
     d = d.withColumn("_row", F.when(F.size(entries) > 0, F.map_from_entries(entries)))
