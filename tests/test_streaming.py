@@ -270,3 +270,23 @@ def test_whole_streaming_job_equals_batch(spark):
     assert pts.count() == 3 * k2.count()
     wp = spark.read.parquet(f"{root}/out/weight_points")
     assert wp.count() == standin.weight_snapshots(static).count() * 10
+
+
+def test_job_command_line_replay(spark):
+    """The command-line entry over wire-schema files (replay mode)."""
+    from tickrisk.streaming.job import main
+    root = tempfile.mkdtemp(prefix="cli-")
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ticks = standin.price_ticks(ev)
+    sent = spark.createDataFrame(
+        [(-1, dt.datetime(2024, 3, 1), "__sentinel__", "1", "1", "2024-03-01T00:00:00.000000Z")],
+        ticks.schema)
+    ticks.unionByName(sent).write.parquet(f"{root}/ticks")
+    standin.weight_snapshots(ev).write.parquet(f"{root}/weights")
+    standin.stats_seeds(ev).write.parquet(f"{root}/seeds")
+    standin.holdings(ev).write.parquet(f"{root}/holdings")
+    main(["--ticks", f"{root}/ticks", "--weights", f"{root}/weights", "--seeds", f"{root}/seeds",
+          "--holdings", f"{root}/holdings", "--out", f"{root}/out", "--window", "1 day",
+          "--available-now"])
+    k2 = spark.read.parquet(f"{root}/out/metrics")
+    assert k2.count() == Q.flagship(spark, SF).count() > 0
