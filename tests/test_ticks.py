@@ -131,3 +131,18 @@ def test_assign_portfolios(spark):
     assert [x[:2] for x in salted] == got and len(salted) == 3
     one = tk.assign_portfolios(r).select(F.collect_set("portfolio_id")).first()[0]
     assert one == ["portf1"]
+
+
+def test_strict_parsing_independent_of_ansi(spark):
+    from tickrisk.functions.parse import iso_offset_to_ts, parse_price
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        df = spark.createDataFrame([("12,5", "2024-01-01 10:00:00")], "p string, t string")
+        with pytest.raises(Exception):
+            df.select(parse_price("p")).collect()
+        with pytest.raises(Exception):
+            df.select(iso_offset_to_ts("t", strict=True)).collect()
+        assert df.select(parse_price("p", strict=False)).first()[0] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)

@@ -21,7 +21,10 @@ def test_rows_to_snapshots_dedupes_last_arrival(spark):
         (3, "2024-01-01T10:00:00+01:00", "P", "A", "0.1"),  # lenient rule fails: dropped
         (4, "2024-01-02 00:00:00", "Q", "A", "1"),
     ], ROWS)
-    typed = wt.typed_weight_rows(rows)
+    import pytest
+    with pytest.raises(Exception):
+        wt.typed_weight_rows(rows).collect()          # strict: the +01:00 row fails
+    typed = wt.typed_weight_rows(rows, strict=False)
     assert typed.filter(F.col("time_ms").isNull()).count() == 1
     snaps = {(r["portfolio_id"], r["timestamp"]): r for r in wt.rows_to_snapshots(typed).collect()}
     p = snaps[("P", 1704103200000)]

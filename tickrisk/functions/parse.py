@@ -23,8 +23,16 @@ def _c(x) -> Column:
 
 
 def parse_price(text, strict: bool = True) -> Column:
+    """Price text -> double (Java-like: ``1d``, ``0x1p3``, padding, ``NaN``).
+
+    ``strict`` raises on malformed text whatever the ANSI setting.
+    """
     text = _c(text)
-    return text.cast("double") if strict else text.try_cast("double")
+    v = text.try_cast("double")
+    if not strict:
+        return v
+    return F.when(v.isNotNull() | text.isNull(), v).otherwise(
+        F.raise_error(F.concat(F.lit("malformed number: "), text)).cast("double"))
 
 
 def iso_offset_to_ts(text, strict: bool = False) -> Column:
@@ -34,11 +42,11 @@ def iso_offset_to_ts(text, strict: bool = False) -> Column:
     such text raises (fail fast, like the original's timestamp assigner).
     """
     text = _c(text)
-    ok = text.rlike(_OFFSET_SUFFIX)
+    v = F.when(text.rlike(_OFFSET_SUFFIX), text.try_cast("timestamp"))
     if not strict:
-        return F.when(ok, text.try_cast("timestamp"))
-    return F.when(ok, text.cast("timestamp")).otherwise(
-        F.raise_error(F.concat(F.lit("time without zone offset: "), text)).cast("timestamp"))
+        return v
+    return F.when(v.isNotNull() | text.isNull(), v).otherwise(
+        F.raise_error(F.concat(F.lit("unparseable offset date-time: "), text)).cast("timestamp"))
 
 
 def iso_offset_to_millis(text) -> Column:
@@ -52,12 +60,12 @@ def lenient_weight_time(text) -> Column:
     return F.when(needs_zone, F.concat(F.translate(text, " ", "T"), F.lit("Z"))).otherwise(text)
 
 
-def lenient_weight_time_to_ts(text) -> Column:
-    return iso_offset_to_ts(lenient_weight_time(text))
+def lenient_weight_time_to_ts(text, strict: bool = False) -> Column:
+    return iso_offset_to_ts(lenient_weight_time(text), strict=strict)
 
 
-def lenient_weight_time_to_millis(text) -> Column:
-    return F.unix_millis(lenient_weight_time_to_ts(text))
+def lenient_weight_time_to_millis(text, strict: bool = False) -> Column:
+    return F.unix_millis(lenient_weight_time_to_ts(text, strict=strict))
 
 
 def millis_to_ts(ms) -> Column:

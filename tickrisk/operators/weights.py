@@ -18,10 +18,12 @@ from tickrisk.functions.parse import lenient_weight_time_to_millis, parse_price
 def typed_weight_rows(rows: DataFrame, strict: bool = True, order_col: str = "seq") -> DataFrame:
     """``seq, portfolio_id, ticker, time, time_ms, ts, weight``.
 
-    ``time_ms`` is NULL for text the lenient rule cannot parse (an explicit
-    ``+01:00`` offset, for instance); ``strict`` raises on a malformed weight.
+    Text the lenient time rule cannot parse (an explicit ``+01:00`` offset
+    gets an extra ``Z``) and a malformed weight raise with ``strict`` (fail
+    fast, as the original); otherwise they become NULL and
+    ``rows_to_snapshots`` skips rows without a time.
     """
-    ms = lenient_weight_time_to_millis("time")
+    ms = lenient_weight_time_to_millis("time", strict=strict)
     return rows.select(
         F.col(order_col).alias("seq"), "portfolio_id", "ticker", "time",
         ms.alias("time_ms"), F.timestamp_millis(ms).alias("ts"),
