@@ -284,3 +284,18 @@ def test_pipeline_block_invariance(spark):
                     for r in j.series.collect())
         outs.append((em, se))
     assert len(outs[0][0]) > 0 and outs[0] == outs[1] == outs[2]
+
+
+def test_negative_variance_emitted_once(spark):
+    """cov AA = -1, weight A = 1: risk and Sharpe NaN; a repeated snapshot
+    is suppressed because NaN equals NaN (FIXTURES: 'negative variance')."""
+    seed = spark.createDataFrame([(1, ms(D0), "P", {"A": 0.01}, {"A": {"A": -1.0}})], STATS_T)
+    rets = spark.createDataFrame([("P", "B", D0 + dt.timedelta(hours=1), 0.02)], RET_T)
+    snaps = spark.createDataFrame(
+        [(10 + k, ms(D0 + dt.timedelta(hours=2 + k)), "P", {"A": 1.0}) for k in range(2)], SNAP_T)
+    p = RiskParams()
+    applied = st.apply_to_seed(rets, seed)
+    cand = mt.metrics_asof(applied, st.ew_series(applied, seed, p), seed, snaps, p)
+    rows = cand.collect()
+    assert len(rows) == 2 and all(math.isnan(r["risk"]) and math.isnan(r["sharpe"]) for r in rows)
+    assert mt.emit_on_change(cand, p).count() == 1
