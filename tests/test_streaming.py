@@ -30,6 +30,8 @@ def _rows(df, cols):
     ("stream_ew_variance", "ew_variance", ["portfolio_id", "ticker", "order_ts", "n", "var"]),
     ("stream_stats_records", "stats_records",
      ["portfolio_id", "order_ts", "ticker", "kind", "i", "j", "value"]),
+    ("stream_metrics_factored", "metrics_emit_on_change",
+     ["portfolio_id", "o_ts", "o_side", "o_seq", "expected_return", "risk"]),
 ])
 def test_stream_equals_batch(spark, stream_q, batch_q, cols):
     s = SQ.STREAM_QUERIES[stream_q](spark, SF)

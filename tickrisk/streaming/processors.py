@@ -341,3 +341,97 @@ class TickerStatsProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class FactoredMetricsProcessor(StatefulProcessor):
+    """Factored mode of the metrics connect, keyed by ``portfolio_id``.
+
+    State: the seed (covariance cells, means, live flags; from the initial
+    state, written once), per-ticker ``(n, mean, var)`` from the factored
+    series stream, the latest weights and the last emitted pair. A series row
+    (an applied return) or a weight snapshot triggers; the statistics of the
+    trigger are derived: ``cov_ij = cov0_ij * q**(n_i*[m_j != 0] +
+    n_j*[m_i != 0])`` off the diagonal, the series variance on it. Only the
+    changed ticker entries are written back.
+    """
+
+    def __init__(self, count: int = 1000, periods: int = 52, risk_free: float = 0.0018):
+        self.q = count / (count + 1)
+        self.periods = periods
+        self.risk_free = risk_free
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.cov0 = handle.getMapState("cov0", "i string, j string", "c double")
+        self.mean0 = handle.getMapState("mean0", "ticker string", "m double")
+        self.tick = handle.getMapState(
+            "tick", "ticker string",
+            "n long, has_mean boolean, mean double, has_var boolean, var double")
+        self.weights = handle.getMapState("weights", "ticker string", "w double")
+        self.flags = handle.getValueState("flags", "has_stats boolean, has_weights boolean")
+        self.last = handle.getValueState("last", "e double, risk double")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        for r in initialState.itertuples(index=False):
+            if r.kind == "cov":
+                self.cov0.updateValue((r.i, r.j), (float(r.value),))
+            elif r.kind == "mean":
+                self.mean0.updateValue((r.i,), (float(r.value),))
+
+    def _stats(self, mean0: dict, cov0: dict, tick: dict):
+        live = {t for t, m in mean0.items() if m != 0.0}
+        means = {t: (tick[t][2] if t in tick and tick[t][1] else m) for t, m in mean0.items()}
+        n = {t: v[0] for t, v in tick.items()}
+        cov: dict = {}
+        for (i, j), c in cov0.items():
+            if i == j:
+                v = tick[i][4] if i in tick and tick[i][3] else c
+            else:
+                e = n.get(i, 0) * (j in live) + n.get(j, 0) * (i in live)
+                v = c * self.q ** e
+            cov.setdefault(i, {})[j] = v
+        return means, cov
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows)
+        has_s, has_w = self.flags.get() if self.flags.exists() else (False, False)
+        cov0 = {k: v[0] for k, v in self.cov0.iterator()}
+        mean0 = {k[0]: v[0] for k, v in self.mean0.iterator()}
+        tick = {k[0]: v for k, v in self.tick.iterator()}
+        weights = {k[0]: v[0] for k, v in self.weights.iterator()} if has_w else {}
+        weights_before = dict(weights)
+        last = self.last.get() if self.last.exists() else None
+        changed = set()
+        out = []
+        for r in pdf.itertuples(index=False):
+            if r.kind == "series":
+                hm, hv = bool(r.has_mean), bool(r.has_var)
+                tick[r.ticker] = (int(r.n), hm, float(r.mean) if hm else 0.0,
+                                  hv, float(r.var) if hv else 0.0)
+                changed.add(r.ticker)
+                has_s = True
+            else:
+                weights = {t: w for t, w in (r.weights or {}).items() if w is not None}
+                has_w = True
+            if not (has_s and has_w):
+                continue
+            means, cov = self._stats(mean0, cov0, tick)
+            e, var, risk, sharpe = portfolio_metrics(weights, means, cov, self.periods,
+                                                     self.risk_free)
+            if last is not None and _java_equals(last[0], e) and _java_equals(last[1], risk):
+                continue
+            last = (e, risk)
+            out.append((key[0], r.o_ts, int(r.o_side), int(r.o_seq), r.o_tie, e, var, risk, sharpe))
+        for t in changed:
+            self.tick.updateValue((t,), tick[t])
+        if weights != weights_before:
+            _sync_map(self.weights, {(t,): w for t, w in weights_before.items()},
+                      {(t,): w for t, w in weights.items()})
+        self.flags.update((has_s, has_w))
+        if last is not None:
+            self.last.update((float(last[0]), float(last[1])))
+        if out:
+            yield pd.DataFrame(out, columns=["portfolio_id", "o_ts", "o_side", "o_seq", "o_tie",
+                                             "expected_return", "variance", "risk", "sharpe"])
+
+    def close(self) -> None:
+        pass

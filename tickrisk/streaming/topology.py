@@ -24,8 +24,8 @@ from tickrisk.operators import stats as st
 from tickrisk.operators import ticks as tk
 from tickrisk.params import RiskParams
 from tickrisk.streaming.processors import (METRICS_OUT, STATS_OUT, TICKER_STATS_OUT,
-                                           MetricsProcessor, StatsUpdateProcessor,
-                                           TickerStatsProcessor)
+                                           FactoredMetricsProcessor, MetricsProcessor,
+                                           StatsUpdateProcessor, TickerStatsProcessor)
 
 
 def _nan_if_null(c):
@@ -47,9 +47,10 @@ def restore_nan_metrics(df: DataFrame) -> DataFrame:
 
 
 def restore_nan_ticker_stats(df: DataFrame) -> DataFrame:
+    """NaN for present-but-NULL values; the presence flags stay (pandas
+    cannot tell NULL from NaN in a float column)."""
     return (df.withColumn("mean", F.when(F.col("has_mean"), _nan_if_null(F.col("mean"))))
-            .withColumn("var", F.when(F.col("has_var"), _nan_if_null(F.col("var"))))
-            .drop("has_mean", "has_var"))
+            .withColumn("var", F.when(F.col("has_var"), _nan_if_null(F.col("var")))))
 
 
 def returns_stream(ticks_raw: DataFrame, params: RiskParams, strict: bool = True,
@@ -167,6 +168,35 @@ def metrics_stream(stats_records: DataFrame, weight_snapshots: DataFrame,
         outputStructType=METRICS_OUT, outputMode="Append", timeMode="None"))
 
 
+def metrics_stream_factored(series: DataFrame, weight_snapshots: DataFrame, seeds: DataFrame,
+                            params: RiskParams) -> DataFrame:
+    """Query B, factored mode: ``series`` is ``ticker_stats_stream`` output
+    (per (portfolio, ticker) rows after each applied return); the seed cells
+    and means become the processor's initial state. Output: METRICS_OUT."""
+    seed = st.first_seed(seeds)
+    init = (st.seed_cov(seed).select("portfolio_id", F.lit("cov").alias("kind"), "i", "j",
+                                     F.col("cov0").alias("value"))
+            .unionByName(st.seed_means(seed).select(
+                "portfolio_id", F.lit("mean").alias("kind"), F.col("ticker").alias("i"),
+                F.lit(None).cast("string").alias("j"), F.col("mean0").alias("value"))))
+    s = series.select(
+        "portfolio_id", F.lit("series").alias("kind"), F.col("o_ts").cast("timestamp").alias("o_ts"),
+        F.lit(1).alias("o_side"), F.lit(0).cast("bigint").alias("o_seq"),
+        F.col("ticker").alias("o_tie"), "ticker", "n", "has_mean", "mean", "has_var", "var",
+        F.lit(None).cast("map<string,double>").alias("weights"))
+    w = weight_snapshots.select(
+        "portfolio_id", F.lit("weights").alias("kind"), F.timestamp_millis("timestamp").alias("o_ts"),
+        F.lit(2).alias("o_side"), F.col("seq").cast("bigint").alias("o_seq"),
+        F.lit("").alias("o_tie"), F.lit(None).cast("string").alias("ticker"),
+        F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("boolean").alias("has_mean"),
+        F.lit(None).cast("double").alias("mean"), F.lit(None).cast("boolean").alias("has_var"),
+        F.lit(None).cast("double").alias("var"), "weights")
+    return restore_nan_metrics(s.unionByName(w).groupBy("portfolio_id").transformWithStateInPandas(
+        statefulProcessor=FactoredMetricsProcessor(params.count, params.periods, params.risk_free),
+        outputStructType=METRICS_OUT, outputMode="Append", timeMode="None",
+        initialState=init.groupBy("portfolio_id")))
+
+
 def run_available_now(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                       timeout_s: int = 1800) -> None:
     """Run a streaming DataFrame over everything available, into files."""
