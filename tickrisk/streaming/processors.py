@@ -353,6 +353,13 @@ class FactoredMetricsProcessor(StatefulProcessor):
     trigger are derived: ``cov_ij = cov0_ij * q**(n_i*[m_j != 0] +
     n_j*[m_i != 0])`` off the diagonal, the series variance on it. Only the
     changed ticker entries are written back.
+
+    Same assumptions as the batch factored form (symmetric seed; the NaN
+    poisoning of off-diagonal cells by an infinite return is not derived).
+    A return of a ticker absent from the seed changes no statistic and
+    reaches no key here, so it triggers nothing; in record mode it triggers
+    a candidate equal to the previous one (suppressed), except as the very
+    first statistics of a portfolio.
     """
 
     def __init__(self, count: int = 1000, periods: int = 52, risk_free: float = 0.0018):
