@@ -91,7 +91,7 @@ def _decayed(params: RiskParams, cell, peer):
         F.col("n"), peer["n"], F.col("g"), peer["g"]).cast("double"))
 
 
-def _risk_from_grid(grid: DataFrame, seed: DataFrame, tkey: list[str],
+def metrics_from_grid(grid: DataFrame, seed: DataFrame, tkey: list[str],
                     params: RiskParams) -> DataFrame:
     """Metrics per trigger from its grid rows.
 
@@ -143,7 +143,7 @@ def metrics_vs_state(weights: DataFrame, state: DataFrame, seed: DataFrame,
     ``weights``: long form; ``state``: ``portfolio_id, ticker, n, mean, var``
     (e.g. ``stats.final_state``). Output per ``(portfolio_id, seq)``.
     """
-    return _risk_from_grid(state_grid(weights, state, seed), seed, ["portfolio_id", "seq"], params)
+    return metrics_from_grid(state_grid(weights, state, seed), seed, ["portfolio_id", "seq"], params)
 
 
 def state_grid(weights: DataFrame, state: DataFrame, seed: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def metrics_asof(applied: DataFrame, series: DataFrame, seed: DataFrame,
 
 def risk_from_grid(grid: DataFrame, seed: DataFrame, params: RiskParams) -> DataFrame:
     """Metrics per trigger from ``trigger_grid`` rows."""
-    return _risk_from_grid(grid, seed, TKEY, params)
+    return metrics_from_grid(grid, seed, TKEY, params)
 
 
 def trigger_grid(applied: DataFrame, series: DataFrame, seed: DataFrame,

@@ -99,7 +99,7 @@ class RiskJob:
         grid = mt.state_grid(self.weights, self.final_state, self.seed)
         g = mt.partition_by_trigger(grid, ["portfolio_id", "seq"])
         try:
-            return materialize(mt._risk_from_grid(g, self.seed, ["portfolio_id", "seq"], self.params),
+            return materialize(mt.metrics_from_grid(g, self.seed, ["portfolio_id", "seq"], self.params),
                                "vs_final", self.materialize)
         finally:
             g.unpersist()
