@@ -85,3 +85,23 @@ def test_map_metrics_matches_python_rule(spark):
     e, var, risk, sharpe = py_metrics(w, means, cov)
     assert (r["expected_return"], r["variance"], r["risk"], r["sharpe"]) == \
         __import__("pytest").approx((e, var, risk, sharpe))
+
+
+def test_wire_record_projection(spark):
+    """Sink payloads keep exactly the record's fields, order and types."""
+    import datetime as dt
+    from tickrisk.operators.metrics import to_metrics_record
+    from tickrisk.sources.sinks import wire_record
+    em = spark.createDataFrame([("P", dt.datetime(2024, 1, 1), 0.1, 0.2, 0.3, 1, 2, "x")],
+                               "portfolio_id string, o_ts timestamp, risk double, "
+                               "expected_return double, sharpe double, o_side int, "
+                               "o_seq long, o_tie string")
+    rec = wire_record(to_metrics_record(em), "portfolio_metrics")
+    assert rec.schema.simpleString() == ("struct<portfolioId:string,risk:double,expectedReturn:"
+                                         "double,sharpRatio:double,timestamp:bigint>")
+    stats = spark.createDataFrame(
+        [("P", dt.datetime(2024, 1, 1), "A", 1, 5, {"A": 0.1}, {"A": {"A": 0.2}})],
+        "portfolio_id string, o_ts timestamp, ticker string, n long, timestamp long, "
+        "meanReturns map<string,double>, covarianceMatrix map<string,map<string,double>>")
+    assert wire_record(stats, "portfolio_stats").columns == \
+        ["timestamp", "portfolio_id", "meanReturns", "covarianceMatrix"]
