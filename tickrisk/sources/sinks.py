@@ -16,14 +16,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickrisk.operators import points as pt
 from tickrisk.schemas import AVRO, STRUCTS
 
 
 def wire_record(df: DataFrame, record: str) -> DataFrame:
-    """Select and cast the columns of a wire record, in schema order."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STRUCTS[record].fields])
+    """Select the columns of a wire record in schema order; atomic fields are
+    cast to the record's types (maps keep their type: the record's maps
+    declare non-null values, which a cast from nullable values rejects)."""
+    def col(f):
+        if isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType)):
+            return F.col(f.name)
+        return F.col(f.name).cast(f.dataType).alias(f.name)
+    return df.select(*[col(f) for f in STRUCTS[record].fields])
 
 
 def avro_value(df: DataFrame, record: str) -> DataFrame:
