@@ -55,3 +55,20 @@ def test_sorted_sum_is_order_free(spark, xs):
     for v in sorted(xs):
         exp += v
     assert got[0] == exp
+
+
+def test_cluster_conf_keys_are_accepted(spark):
+    from tickrisk.session import cluster_conf
+    conf = cluster_conf(executors=1000, cores_per_executor=8)
+    assert conf["spark.sql.shuffle.partitions"] == "24000"
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+            assert spark.conf.get(k) == v
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
