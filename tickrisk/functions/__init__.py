@@ -1,0 +1 @@
+"""Column-expression helpers: IEEE arithmetic, parsing of wire fields."""

@@ -1,0 +1 @@
+"""Sources and sinks: file twins, Kafka + Avro adapters, point writers."""

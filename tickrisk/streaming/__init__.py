@@ -1,0 +1 @@
+"""Structured Streaming: stateful processors, topology, the streaming job."""
