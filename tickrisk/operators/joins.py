@@ -6,6 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_COUNTS: dict = {}
+
+
+def checked_count(df: DataFrame) -> int:
+    """Row count of a small side, remembered per application and plan
+    (semantic hash): the same materialised table is counted once. A stale
+    count could only change the broadcast choice, never the result."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+    if key not in _COUNTS:
+        _COUNTS[key] = df.count()
+    return _COUNTS[key]
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = 1_000_000) -> DataFrame:
     """Equi-join that broadcasts ``small`` only after checking its size.
@@ -17,7 +30,7 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """
     if small.isStreaming:
         return big.join(small, on=on, how=how)
-    n = small.count()
+    n = checked_count(small)
     if n <= max_rows:
         return big.join(F.broadcast(small), on=on, how=how)
     return big.join(small, on=on, how=how)

@@ -107,10 +107,10 @@ def assign_portfolios(returns: DataFrame, holdings: DataFrame | None = None,
     """
     if holdings is None:
         return returns.withColumn("portfolio_id", F.lit(portfolio_id))
-    from tickrisk.operators.joins import salted_join
+    from tickrisk.operators.joins import checked_count, salted_join
     h = holdings.select("portfolio_id", "ticker").distinct()
     if h.isStreaming:
         return returns.join(h, on=["ticker"])
-    if h.count() <= broadcast_max_rows:
+    if checked_count(h) <= broadcast_max_rows:
         return returns.join(F.broadcast(h), on=["ticker"])
     return salted_join(returns, h, on=["ticker"], salt_of="portfolio_id", buckets=salt_buckets)
