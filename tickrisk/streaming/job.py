@@ -44,6 +44,7 @@ class StreamingJob:
     portfolio_id: str = "portf1"
     console: bool = False
     points_fmt: str = "parquet"
+    stamp: str = "event"                   # "processing": wall-clock record times (P14)
 
     def _ck(self, name: str) -> str:
         return f"{self.out}/_checkpoints/{name}"
@@ -51,11 +52,12 @@ class StreamingJob:
     def query_a(self):
         configure(self.spark)
         s = tp.stats_stream(self.ticks, self.params, holdings=self.holdings, seeds=self.seeds,
-                            seed_stream=self.seed_stream, portfolio_id=self.portfolio_id)
+                            seed_stream=self.seed_stream, portfolio_id=self.portfolio_id,
+                            stamp=self.stamp)
         return sinks.file_sink(s, f"{self.out}/stats", self._ck("stats"))
 
     def _metrics_batch(self, batch: DataFrame, epoch_id: int) -> None:
-        rec = mt.to_metrics_record(batch).persist()
+        rec = mt.to_metrics_record(batch, stamp=self.stamp).persist()
         try:
             rec.write.mode("overwrite").parquet(f"{self.out}/metrics/batch={epoch_id}")
             pts = pt.metric_points(rec)
@@ -136,6 +138,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trigger", default="2 seconds")
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--processing-time-stamps", action="store_true",
+                    help="stamp records with the wall clock instead of event time")
     a = ap.parse_args(argv)
 
     spark = build_session(master=a.master) if a.master else build_session()
@@ -148,7 +152,8 @@ def main(argv: list[str] | None = None) -> None:
     seeds = file_source(spark, a.seeds, seed_t, fmt=a.format)
     holdings = (spark.read.format(a.format).load(a.holdings) if a.holdings else None)
     job = StreamingJob(spark, ticks, weights, out=a.out, seeds=seeds, holdings=holdings,
-                       params=RiskParams(window=a.window), portfolio_id=a.portfolio_id)
+                       params=RiskParams(window=a.window), portfolio_id=a.portfolio_id,
+                       stamp="processing" if a.processing_time_stamps else "event")
     if a.available_now:
         job.run_available_now()
     else:
