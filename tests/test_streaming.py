@@ -319,3 +319,22 @@ def test_streaming_job_start_continuous(spark):
     k2 = spark.read.parquet(f"{root}/out/metrics")
     assert k2.count() > 0
     assert spark.read.parquet(f"{root}/out/weight_points").count() > 0
+
+
+def test_record_and_factored_modes_agree(spark):
+    """SURVEY 4: record mode (whole record per portfolio) and factored mode
+    (state per (portfolio, ticker)) give the same means and variances."""
+    rec = spark.read.parquet(f"{SQ._stats_records(spark, SF)}/stats").collect()
+    fac = spark.read.parquet(f"{SQ._factored_series(spark, SF)}/series").collect()
+    f = {(r["portfolio_id"], r["ticker"], r["o_ts"]): r for r in fac}
+    n = 0
+    for r in rec:
+        t = r["ticker"]
+        if t not in r["meanReturns"]:
+            continue
+        g = f[(r["portfolio_id"], t, r["o_ts"])]
+        assert g["mean"] == pytest.approx(r["meanReturns"][t], rel=1e-9, abs=1e-15)
+        if g["var"] is not None:
+            assert g["var"] == pytest.approx(r["covarianceMatrix"][t][t], rel=1e-9, abs=1e-15)
+        n += 1
+    assert n > 20
