@@ -5,8 +5,9 @@ of ``plans.standin`` and runs the library's operators over the whole table.
 The test data are one month of ticks, so the price window is one day
 (FIXTURES.md: two seconds would leave one tick per window), and the scan
 blocks are a week long so that the two-level scans carry state across
-blocks on a month of data; the model's constants are unchanged. Doubles are rounded to 8 decimals and
-timestamps are returned as TIMESTAMP_NTZ so results compare across engines.
+blocks on a month of data; the model's constants are unchanged. Doubles
+are rounded to 8 decimals and timestamps are returned as TIMESTAMP_NTZ so
+results compare across engines.
 """
 
 from __future__ import annotations
