@@ -8,6 +8,11 @@ published whenever they change.
 Every operator is a ``DataFrame -> DataFrame`` function that runs in batch on
 tables; the same rules run as Structured Streaming queries in
 ``tickrisk.streaming``.
+
+Entry points: ``tickrisk.plans.batch.RiskJob`` (batch job),
+``tickrisk.streaming.job.StreamingJob`` (streaming job, also
+``python -m tickrisk.streaming.job``), ``tickrisk.params.RiskParams``
+(constants and execution parameters), ``tickrisk.schemas`` (wire records).
 """
 
 from tickrisk.params import RiskParams
