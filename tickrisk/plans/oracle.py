@@ -260,6 +260,8 @@ METRICS_COLS = """portfolio_id, o_ts, o_side, o_seq, o_tie,
 
 ORACLE: dict[str, str] = {
     "log_return": LOG_RETURN,
+    "log_return_event_time": LOG_RETURN.replace(
+        "date_trunc('day', ts)", "date_trunc('day', CAST(last_traded_time AS TIMESTAMP))"),
     "stats_seed_join": "WITH " + STATS + """
 SELECT portfolio_id, ticker, order_ts, round(return_value, 8) AS return_value, seed_ts
 FROM applied""",

@@ -44,6 +44,14 @@ def q_log_return(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_log_return_select(tk.log_returns(ticks, window=TEST_WINDOW))
 
 
+def q_log_return_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 + T1 event-time option: windows on the parsed last-traded time
+    (ISO text with offset) instead of the arrival time."""
+    ev = _ev(spark, sf_dir)
+    ticks = tk.typed_ticks(standin.price_ticks(ev), event_time=True)
+    return q_log_return_select(tk.log_returns(ticks, window=TEST_WINDOW))
+
+
 def q_log_return_select(r: DataFrame) -> DataFrame:
     return r.select(
         "ticker",
@@ -193,6 +201,7 @@ def q_metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_return": q_log_return,
+    "log_return_event_time": q_log_return_event_time,
     "stats_seed_join": q_stats_seed_join,
     "ew_mean": q_ew_mean,
     "ew_variance": q_ew_variance,
