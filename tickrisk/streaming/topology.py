@@ -7,7 +7,11 @@
 * Query B (``metrics_stream``): K1 records U weight snapshots -> keyed
   metrics with emit on change -> metrics records (K2, K4, K6).
 * Query C: weight snapshots -> point table (K5) via ``sinks.points_writer``.
+* Factored mode: ``ticker_stats_stream`` (state per (portfolio, ticker))
+  and ``metrics_stream_factored`` (covariances derived from the seed and
+  the tick counts) replace Query A's and B's processors.
 
+``streaming.job.StreamingJob`` wires the record-mode queries to their sinks.
 Watermarks go on the price stream only: a quiet control stream would pin
 the global watermark (minimum over sources) and no window would close.
 The processors sort each micro-batch by the order key; a replay that
