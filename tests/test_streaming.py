@@ -249,9 +249,10 @@ def test_driver_like_session_from_other_directory():
     assert int(out.stdout.split("ROWS")[1].split()[0]) > 0
 
 
-def test_whole_streaming_job_equals_batch(spark):
+@pytest.mark.parametrize("mode", ["record", "factored"])
+def test_whole_streaming_job_equals_batch(spark, mode):
     """Query A -> K1, Query B -> K2 + K4, Query C -> K5 over a replay; the
-    published metrics equal the batch job's."""
+    published metrics equal the batch job's (record and factored modes)."""
     from tickrisk.streaming.job import StreamingJob
     root = tempfile.mkdtemp(prefix="job-")
     static = spark.read.parquet(f"{SF}/events.parquet")
@@ -260,7 +261,7 @@ def test_whole_streaming_job_equals_batch(spark):
     ticks = SQ._tick_stream(spark, static, stream, root)
     job = StreamingJob(spark, ticks, standin.weight_snapshots(stream), out=f"{root}/out",
                        seeds=standin.stats_seeds(static), holdings=standin.holdings(static),
-                       params=Q.TEST_PARAMS)
+                       params=Q.TEST_PARAMS, mode=mode)
     job.run_available_now()
     k2 = spark.read.parquet(f"{root}/out/metrics")
     batch = Q.flagship(spark, SF)

@@ -28,7 +28,7 @@ from tickrisk.session import configure
 from tickrisk.sources import sinks
 from tickrisk.sources.streams import file_source
 from tickrisk.streaming import topology as tp
-from tickrisk.streaming.processors import STATS_OUT
+from tickrisk.streaming.processors import STATS_OUT, TICKER_STATS_OUT
 
 
 @dataclass
@@ -45,12 +45,22 @@ class StreamingJob:
     console: bool = False
     points_fmt: str = "parquet"
     stamp: str = "event"                   # "processing": wall-clock record times (P14)
+    # "record": per-portfolio statistics records (K1 as the original);
+    # "factored": statistics per (portfolio, ticker), K1 written as series
+    # rows, covariances derived in the metrics processor (needs ``seeds``).
+    mode: str = "record"
 
     def _ck(self, name: str) -> str:
         return f"{self.out}/_checkpoints/{name}"
 
     def query_a(self):
         configure(self.spark)
+        if self.mode == "factored":
+            if self.seeds is None:
+                raise ValueError("factored mode needs static seeds")
+            s = tp.ticker_stats_stream(self.ticks, self.params, seeds=self.seeds,
+                                       holdings=self.holdings, portfolio_id=self.portfolio_id)
+            return sinks.file_sink(s, f"{self.out}/series", self._ck("series"))
         s = tp.stats_stream(self.ticks, self.params, holdings=self.holdings, seeds=self.seeds,
                             seed_stream=self.seed_stream, portfolio_id=self.portfolio_id,
                             stamp=self.stamp)
@@ -74,8 +84,12 @@ class StreamingJob:
 
     def query_b(self):
         configure(self.spark)
-        stats_in = file_source(self.spark, f"{self.out}/stats", STATS_OUT, stream=True)
-        m = tp.metrics_stream(stats_in, self.weights, self.params)
+        if self.mode == "factored":
+            ser = file_source(self.spark, f"{self.out}/series", TICKER_STATS_OUT, stream=True)
+            m = tp.metrics_stream_factored(ser, self.weights, self.seeds, self.params)
+        else:
+            stats_in = file_source(self.spark, f"{self.out}/stats", STATS_OUT, stream=True)
+            m = tp.metrics_stream(stats_in, self.weights, self.params)
         return (m.writeStream.foreachBatch(self._metrics_batch)
                 .option("checkpointLocation", self._ck("metrics")))
 
@@ -91,8 +105,9 @@ class StreamingJob:
         out = {}
         for name, make in (("stats", self.query_a), ("metrics", self.query_b),
                            ("weight_points", self.query_c)):
-            if name == "metrics" and "://" not in self.out:
-                os.makedirs(f"{self.out}/stats", exist_ok=True)   # B follows A's sink
+            if name == "metrics" and "://" not in self.out:       # B follows A's sink
+                os.makedirs(f"{self.out}/{'series' if self.mode == 'factored' else 'stats'}",
+                            exist_ok=True)
             w = make()
             if processing_time:
                 w = w.trigger(processingTime=processing_time)
@@ -138,6 +153,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trigger", default="2 seconds")
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--mode", default="record", choices=["record", "factored"])
     ap.add_argument("--processing-time-stamps", action="store_true",
                     help="stamp records with the wall clock instead of event time")
     a = ap.parse_args(argv)
@@ -153,7 +169,8 @@ def main(argv: list[str] | None = None) -> None:
     holdings = (spark.read.format(a.format).load(a.holdings) if a.holdings else None)
     job = StreamingJob(spark, ticks, weights, out=a.out, seeds=seeds, holdings=holdings,
                        params=RiskParams(window=a.window), portfolio_id=a.portfolio_id,
-                       stamp="processing" if a.processing_time_stamps else "event")
+                       stamp="processing" if a.processing_time_stamps else "event",
+                       mode=a.mode)
     if a.available_now:
         job.run_available_now()
     else:
