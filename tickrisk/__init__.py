@@ -17,4 +17,15 @@ Entry points: ``tickrisk.plans.batch.RiskJob`` (batch job),
 
 from tickrisk.params import RiskParams
 
-__all__ = ["RiskParams"]
+__all__ = ["RiskParams", "RiskJob", "StreamingJob"]
+
+
+def __getattr__(name):
+    """Lazy exports: the job classes import their modules on first use."""
+    if name == "RiskJob":
+        from tickrisk.plans.batch import RiskJob
+        return RiskJob
+    if name == "StreamingJob":
+        from tickrisk.streaming.job import StreamingJob
+        return StreamingJob
+    raise AttributeError(name)
