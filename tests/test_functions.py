@@ -72,3 +72,20 @@ def test_cluster_conf_keys_are_accepted(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_small_helpers(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tickrisk.functions.ieee import map_get_or_zero
+    from tickrisk.operators.scan import block_of
+    from tickrisk.sources.streams import single_file_glob
+    assert single_file_glob("/d/events.parquet") == "/d/[e]vents.parquet"
+    df = spark.createDataFrame([({"A": 1.5}, dt.datetime(1970, 1, 1, 2, 30))],
+                               "m map<string,double>, ts timestamp")
+    r = df.select(map_get_or_zero("m", F.lit("A")).alias("a"),
+                  map_get_or_zero("m", F.lit("Z")).alias("z"),
+                  block_of("ts", 3600).alias("b")).first()
+    assert (r["a"], r["z"], r["b"]) == (1.5, 0.0, 2)
