@@ -2,7 +2,10 @@
 
 ``RiskJob`` wires the operators over four input tables (wire schemas):
 price ticks, statistics records (seeds), weight snapshots and optional
-holdings. Each property is a lazily built DataFrame; nothing is collected.
+holdings. Each property is built on first access: stages read several times
+(seed, applied returns, series, grids, candidates, records) are materialised
+then as parquet under the checkpoint folder, the rest stay lazy. Nothing is
+collected to the driver beyond row counts (broadcast checks, input guards).
 """
 
 from __future__ import annotations
