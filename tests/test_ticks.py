@@ -146,3 +146,10 @@ def test_strict_parsing_independent_of_ansi(spark):
         assert df.select(parse_price("p", strict=False)).first()[0] is None
     finally:
         spark.conf.set("spark.sql.ansi.enabled", prev)
+
+
+def test_offset_forms(spark):
+    df = spark.createDataFrame([("2024-01-01T10:00:00-05:00",), ("2024-01-01T10:00:00.5Z",),
+                                ("2024-01-01",), ("2024-01-01 10:00",)], "t string")
+    got = [r[0] for r in df.select(iso_offset_to_millis("t")).collect()]
+    assert got == [1704103200000 + 5 * 3600_000, 1704103200500, None, None]
