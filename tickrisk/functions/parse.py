@@ -1,7 +1,8 @@
 """Text-to-value parsing of wire fields (prices and times).
 
-* P1 price text -> double. ``strict=True`` keeps fail-fast parity (ANSI cast
-  raises on malformed text); ``strict=False`` yields NULL for quarantine.
+* P1 price text -> double. ``strict=True`` keeps fail-fast parity (malformed
+  text raises, whatever the ANSI setting); ``strict=False`` yields NULL for
+  quarantine.
 * P2 ISO-8601 text with offset -> epoch millis (price event time).
 * P3 lenient weight time: text lacking ``T`` or lacking ``Z`` has its spaces
   replaced by ``T`` and a ``Z`` appended (UTC) before parsing, so a
@@ -15,7 +16,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-
 def _has_zone(text: Column) -> Column:
     """Text ends with a zone designator: ``Z``, ``+HH:MM`` or ``+HH:MM:SS``.
 
