@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from tickrisk.llm.bitpack import op8_token_bitpack
 from tickrisk.llm.byte_bpe import op9_byte_bpe
+from tickrisk.llm.chunks import op3_substring_dedup
+from tickrisk.llm.collisions import op2_collision_neardup
 from tickrisk.llm.packing import op10_best_fit_packing
+from tickrisk.llm.quality import op1_quality_rules
+from tickrisk.llm.secrets import op7_secret_scan
+from tickrisk.llm.setsketch import op5_setsketch_neardup
+from tickrisk.llm.urls import op4_url_filter
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_collision_neardup": op2_collision_neardup,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_url_filter": op4_url_filter,
+    "op5_setsketch_neardup": op5_setsketch_neardup,
+    "op7_secret_scan": op7_secret_scan,
     "op8_token_bitpack": op8_token_bitpack,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
