@@ -10,6 +10,7 @@ from tickrisk.llm.packing import op10_best_fit_packing
 from tickrisk.llm.quality import op1_quality_rules
 from tickrisk.llm.secrets import op7_secret_scan
 from tickrisk.llm.setsketch import op5_setsketch_neardup
+from tickrisk.llm.suffixes import op6_induced_suffix_dedup
 from tickrisk.llm.urls import op4_url_filter
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_setsketch_neardup": op5_setsketch_neardup,
+    "op6_induced_suffix_dedup": op6_induced_suffix_dedup,
     "op7_secret_scan": op7_secret_scan,
     "op8_token_bitpack": op8_token_bitpack,
     "op9_byte_bpe": op9_byte_bpe,
