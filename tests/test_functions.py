@@ -89,3 +89,14 @@ def test_small_helpers(spark):
                   map_get_or_zero("m", F.lit("Z")).alias("z"),
                   block_of("ts", 3600).alias("b")).first()
     assert (r["a"], r["z"], r["b"]) == (1.5, 0.0, 2)
+
+
+def test_offset_time_needs_date_and_t(spark):
+    """A time alone would become today's, a space would pass for a T: both are refused."""
+    import pytest
+    from tickrisk.functions.parse import iso_offset_to_ts
+    df = spark.createDataFrame([("T10:00:00Z",), ("2024-01-01 10:00:00Z",), ("2024-01-01T10:00:00Z",)], "t string")
+    assert [r[0] is not None for r in df.select(iso_offset_to_ts("t")).collect()] == [False, False, True]
+    for bad in ("T10:00:00Z", "2024-01-01 10:00:00Z"):
+        with pytest.raises(Exception, match="unparseable"):
+            df.where(df.t == bad).select(iso_offset_to_ts("t", strict=True)).collect()

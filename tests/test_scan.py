@@ -74,3 +74,25 @@ def test_ew_scan_matches_recurrence(data, seconds, seg_rows, epoch_rows):
     assert list(got["n"]) == ns
     assert got["y"].tolist() == pytest.approx(ys, rel=1e-12, abs=1e-15)
     assert got["yp"].tolist() == pytest.approx(yps, rel=1e-12, abs=1e-15)
+
+
+def test_fast_decay_stays_finite_and_exact(spark):
+    """count = 100 over 120 000 rows of one key: no overflow, equal to the step fold."""
+    n, q, g = 120_000, 100 / 101, 1 / 101
+    df = (spark.range(n).selectExpr("'k' as k", "id as o", "cast(id % 7 as double) / 100 as x", "0.5D as y0",
+                                    "id div 50000 as blk"))
+    got = ew_scan(df, ["k"], ["o"], "blk", "x", "y0", q, g, out="y").select("o", "y").toPandas().sort_values("o")
+    y, exp = 0.5, []
+    for i in range(n):
+        y = q * y + g * ((i % 7) / 100)
+        exp.append(y)
+    assert max(abs(a - b) for a, b in zip(got["y"], exp)) < 1e-12
+
+
+def test_scan_lengths_follow_the_decay():
+    from tickrisk.operators.scan import scan_lengths
+    assert scan_lengths(1000 / 1001) == (100_000, 300_000)
+    seg, epoch = scan_lengths(100 / 101)
+    assert seg < epoch and (100 / 101) ** -(seg + epoch) < float("inf")
+    with __import__("pytest").raises(ValueError):
+        scan_lengths(1e-300)

@@ -225,28 +225,174 @@ def test_sticky_zero_and_unknown_ticker(spark):
     assert off[("A", "Z")] == 0.01
 
 
-def test_job_guards_nonfinite_and_asymmetric(spark):
+TICK_T = ("seq long, arrival_ts timestamp, ticker string, field_opening_price string, "
+          "field_cours_courant string, field_last_traded_time string")
+
+
+def _job(spark, ticks, seeds, snaps, **kw):
+    """RiskJob over (second, ticker, opening, current) ticks of one portfolio, 2 s windows."""
+    from tickrisk.plans.batch import RiskJob
+    rows = [(k, D0 + dt.timedelta(seconds=s), t, o, c, (D0 + dt.timedelta(seconds=s)).strftime("%Y-%m-%dT%H:%M:%SZ"))
+            for k, (s, t, o, c) in enumerate(ticks)]
+    return RiskJob(spark.createDataFrame(rows, TICK_T), spark.createDataFrame(seeds, STATS_T),
+                   spark.createDataFrame(snaps, SNAP_T), params=kw.pop("params", RiskParams(window="2 seconds")), **kw)
+
+
+def _expected(job, seeds, snaps, count=1000):
+    """The step fold over the job's own returns."""
+    rets = [(r["portfolio_id"], r["ticker"], r["order_ts"], r["return_value"]) for r in job.portfolio_returns.collect()]
+    return fold(events_for_fold(seeds, rets, snaps), count)
+
+
+def _same(a, b, rel=1e-9):
+    return (math.isnan(a) and math.isnan(b)) or a == b or a == pytest.approx(b, rel=rel, abs=1e-12)
+
+
+SYM = {"A": {"A": 0.04, "B": 0.01}, "B": {"A": 0.01, "B": 0.09}}
+MOVES = [(0, "A", "10", "10"), (1, "A", "10", "11"), (0, "B", "10", "10"), (1, "B", "10", "12"),
+         (4, "A", "10", "10"), (5, "A", "10", "9"), (8, "B", "10", "10"), (9, "B", "10", "11"),
+         (12, "A", "7", "7"), (13, "A", "7", "8")]
+CASES = {
+    "infinite return": (MOVES[:4] + [(4, "A", "10", "10"), (5, "A", "10", "0")] + MOVES[6:], {"A": 0.01, "B": 0.02}, SYM),
+    "asymmetric seed": (MOVES, {"A": 0.01, "B": 0.02}, {"A": {"A": 0.04, "B": 0.01}, "B": {"A": 0.03, "B": 0.09}}),
+    "one-sided cell": (MOVES, {"A": 0.01, "B": 0.02}, {"A": {"A": 0.04, "B": 0.01}, "B": {"B": 0.09}}),
+    "negative variance": (MOVES, {"A": 0.01, "B": 0.02}, {"A": {"A": -0.04}, "B": {"B": 0.09}}),
+}
+
+
+@pytest.mark.parametrize("name", sorted(CASES))
+def test_job_outside_closed_form_equals_step_fold(spark, name):
+    """Series, candidates, records, final cells and metrics follow the step rule for every input."""
+    ticks, means, cov = CASES[name]
+    seeds = [(0, ms(D0), "portf1", means, cov)]
+    snaps = [(10, ms(D0 + dt.timedelta(seconds=3)), "portf1", {"A": 0.5, "B": 0.5}),
+             (11, ms(D0 + dt.timedelta(seconds=11)), "portf1", {"A": 0.2, "B": 0.7})]
+    job = _job(spark, ticks, seeds, snaps)
+    exp = _expected(job, seeds, snaps)
+    series = {(r["ticker"], r["order_ts"]): r for r in job.series.collect()}
+    records = {(r["ticker"], r["o_ts"]): r for r in job.records.collect()}
+    assert len(series) == len(records) == len(exp["stats"]) > 0
+    for _, t, key, (m, c) in exp["stats"]:
+        r, rec = series[t, key[0]], records[t, key[0]]
+        assert _same(r["mean"], m[t]) and _same(r["var"], c[t][t])
+        assert {k: round(v, 9) if v == v else "nan" for k, v in rec["meanReturns"].items()} == \
+            {k: round(v, 9) if v == v else "nan" for k, v in m.items()}
+        assert {(i, j) for i, x in rec["covarianceMatrix"].items() for j in x} == {(i, j) for i, x in c.items() for j in x}
+        assert all(_same(rec["covarianceMatrix"][i][j], v) for i, x in c.items() for j, v in x.items())
+    got = sorted(job.candidates.collect(), key=lambda r: (r["o_ts"], r["o_side"], r["o_seq"], r["o_tie"]))
+    assert len(got) == len(exp["candidates"]) > 0
+    for r, (_, key, e, var, risk, sharpe) in zip(got, exp["candidates"]):
+        assert r["o_ts"] == key[0] and _same(r["expected_return"], e) and _same(r["risk"], risk)
+        assert _same(r["sharpe"], sharpe)
+    assert job.emitted.count() == len(exp["emitted"])
+    means, cov = exp["final"]["portf1"]
+    off = {(r["i"], r["j"]): r["cov"] for r in job.offdiag.collect()}
+    assert off.keys() == {(i, j) for i, x in cov.items() for j in x if i != j}
+    assert all(_same(v, cov[i][j]) for (i, j), v in off.items())
+    final = {r["seq"]: r for r in job.vs_final.collect()}
+    for seq, _, _, w in snaps:
+        e, var, risk, sharpe = py_metrics(w, means, cov)
+        assert _same(final[seq]["expected_return"], e) and _same(final[seq]["risk"], risk)
+
+
+def test_mean_that_becomes_zero_stays_zero(spark):
+    """Mean m, return -1000 m: the new mean is exactly 0 and stays, the variance too."""
+    m = 2.0 ** -10
+    seed = spark.createDataFrame([(1, ms(D0), "P", {"X": m}, {"X": {"X": 0.04}})], STATS_T)
+    rets = spark.createDataFrame([("P", "X", D0 + dt.timedelta(hours=h), r) for h, r in
+                                  ((1, -1000 * m), (2, 0.05), (3, -0.02))], RET_T)
+    applied = st.apply_to_seed(rets, seed)
+    from tickrisk.operators import exact
+    means = st.ew_mean_series(applied, seed, RiskParams())
+    assert [r[0] for r in st.uncovered_portfolios(applied, seed, means).collect()] == ["P"]
+    events = exact.fold_events(applied, seed, spark.createDataFrame([], SNAP_T), RiskParams())
+    got = sorted(exact.series_of(events).collect(), key=lambda r: r["n"])
+    assert [r["mean"] for r in got] == [0.0, 0.0, 0.0] and [r["var"] for r in got] == [0.04] * 3
+
+
+def test_covered_and_uncovered_portfolios_side_by_side(spark):
+    """Only the portfolios that need it are folded; the others keep the closed form."""
     from tickrisk.plans.batch import RiskJob
-    sch = ("seq long, arrival_ts timestamp, ticker string, field_opening_price string, "
-           "field_cours_courant string, field_last_traded_time string")
-    t0 = dt.datetime(2024, 1, 2)
-    ticks = spark.createDataFrame(
-        [(1, t0, "A", "5", "1", "2024-01-02T00:00:00.000000Z"),
-         (2, t0 + dt.timedelta(seconds=1), "A", "1", "0", "2024-01-02T00:00:01.000000Z"),
-         (3, t0, "B", "5", "1", "2024-01-02T00:00:00.000000Z"),
-         (4, t0 + dt.timedelta(seconds=1), "B", "1", "6", "2024-01-02T00:00:01.000000Z")], sch)
-    sym = {"A": {"A": 0.04, "B": 0.01}, "B": {"A": 0.01, "B": 0.09}}
-    seeds = spark.createDataFrame([(0, 0, "portf1", {"A": 0.01, "B": 0.02}, sym)], STATS_T)
-    snaps = spark.createDataFrame([(1, 0, "portf1", {"A": 0.5, "B": 0.5})], SNAP_T)
-    p = RiskParams(window="1 day")
-    with pytest.raises(ValueError, match="infinite"):
-        RiskJob(ticks, seeds, snaps, params=p).applied
-    ok = RiskJob(ticks, seeds, snaps, params=p, nonfinite="drop").applied
-    assert [r["ticker"] for r in ok.collect()] == ["B"]
-    asym = spark.createDataFrame([(0, 0, "portf1", {"A": 0.01},
-                                   {"A": {"A": 0.04, "B": 0.01}, "B": {"B": 0.09}})], STATS_T)
-    with pytest.raises(ValueError, match="asymmetric"):
-        RiskJob(ticks, asym, snaps, params=p, nonfinite="drop").applied
+    seeds = [(0, ms(D0), "P0", {"A": 0.01, "B": 0.02}, SYM),
+             (1, ms(D0), "P1", {"A": 0.01, "B": 0.02}, CASES["asymmetric seed"][2])]
+    snaps = [(10 + k, ms(D0 + dt.timedelta(seconds=3)), p, {"A": 0.5, "B": 0.5}) for k, p in enumerate(("P0", "P1"))]
+    base = _job(spark, MOVES, seeds, snaps)
+    holdings = spark.createDataFrame([(p, t) for p in ("P0", "P1") for t in "AB"], "portfolio_id string, ticker string")
+    job = RiskJob(base.ticks_raw, base.stats_records, base.weight_snapshots, holdings, params=base.params)
+    assert [r[0] for r in job.uncovered.collect()] == ["P1"]
+    exp = _expected(job, seeds, snaps)
+    got = sorted(job.candidates.collect(), key=lambda r: (r["portfolio_id"], r["o_ts"], r["o_side"], r["o_tie"]))
+    assert len(got) == len(exp["candidates"])
+    for r, (p, key, e, var, risk, sharpe) in zip(got, exp["candidates"]):
+        assert r["portfolio_id"] == p and _same(r["expected_return"], e) and _same(r["risk"], risk)
+
+
+def test_malformed_prices_are_kept_apart(spark):
+    """A window whose prices do not parse gives no return: statistics as without it."""
+    ticks = MOVES[:4] + [(4, "A", "ten", "10"), (5, "A", "10", "n/a")] + MOVES[6:]
+    seeds = [(0, ms(D0), "portf1", {"A": 0.01, "B": 0.02}, SYM)]
+    snaps = [(10, ms(D0 + dt.timedelta(seconds=3)), "portf1", {"A": 0.5, "B": 0.5})]
+    job = _job(spark, ticks, seeds, snaps, strict=False)
+    without = _job(spark, MOVES[:4] + MOVES[6:], seeds, snaps)
+    assert job.bad_ticks.count() == 2
+    cols = ["ticker", "order_ts", "n", "mean", "var"]
+    assert sorted(map(tuple, job.series.select(*cols).collect())) == sorted(map(tuple, without.series.select(*cols).collect()))
+    assert job.candidates.count() == without.candidates.count() > 0
+
+
+def test_empty_snapshot_triggers(spark):
+    """An empty weight map: E = 0, risk = 0, Sharpe = -Infinity, until the next one."""
+    seeds = [(0, ms(D0), "portf1", {"A": 0.01, "B": 0.02}, SYM)]
+    snaps = [(10, ms(D0 + dt.timedelta(seconds=3)), "portf1", {"A": 0.5}),
+             (11, ms(D0 + dt.timedelta(seconds=7)), "portf1", {}),
+             (12, ms(D0 + dt.timedelta(seconds=11)), "portf1", {})]
+    job = _job(spark, MOVES, seeds, snaps)
+    got = {(r["o_ts"], r["o_side"], r["o_tie"]): r for r in job.candidates.collect()}
+    after = [r for k, r in got.items() if k[0] >= D0 + dt.timedelta(seconds=7)]
+    assert len(after) == 4
+    assert all((r["expected_return"], r["risk"], r["sharpe"]) == (0.0, 0.0, float("-inf")) for r in after)
+
+
+def test_snapshots_with_equal_seq(spark):
+    """Two snapshots with one offset (of two partitions): each is current from its own time on."""
+    seeds = [(0, ms(D0), "portf1", {"A": 0.01}, {"A": {"A": 0.04}})]
+    snaps = [(7, ms(D0 + dt.timedelta(seconds=3)), "portf1", {"A": 0.2}),
+             (7, ms(D0 + dt.timedelta(seconds=7)), "portf1", {"A": 0.5})]
+    job = _job(spark, MOVES, seeds, snaps)
+    mean = {r["order_ts"]: r["mean"] for r in job.series.collect()}
+    rows = sorted(job.candidates.collect(), key=lambda r: (r["o_ts"], r["o_side"]))
+    ratio = {r["o_ts"].second: r["expected_return"] for r in rows}
+    assert ratio[3] == pytest.approx(0.2 * mean[D0 + dt.timedelta(seconds=2)])
+    assert ratio[7] == pytest.approx(0.5 * mean[D0 + dt.timedelta(seconds=6)])
+
+
+def test_struct_order_of_unkeyed_topics(spark):
+    """seq = (timestamp, partition, offset): seeds and snapshots compare the whole of it."""
+    place = T.StructType([T.StructField("timestamp", T.TimestampType()), T.StructField("partition", T.IntegerType()),
+                          T.StructField("offset", T.LongType())])
+    stats_t = T.StructType([T.StructField("seq", place)] + PORTFOLIO_STATS.fields)
+    snap_t = T.StructType([T.StructField("seq", place)] + WEIGHT_SNAPSHOT.fields)
+    t = D0 + dt.timedelta(seconds=1)
+    seeds = spark.createDataFrame([((t, 1, 3), ms(D0), "P", {"A": 5.0}, {"A": {"A": 1.0}}),
+                                   ((t, 0, 9), ms(D0), "P", {"A": 0.01}, {"A": {"A": 0.04}})], stats_t)
+    seed = st.first_seed(seeds)
+    assert seed.first()["meanReturns"] == {"A": 0.01}
+    snaps = spark.createDataFrame([((t, 1, 5), ms(D0 + dt.timedelta(hours=2)), "P", {"A": 0.5}),
+                                   ((t, 0, 5), ms(D0 + dt.timedelta(hours=2)), "P", {"A": 0.2})], snap_t)
+    rets = spark.createDataFrame([("P", "A", D0 + dt.timedelta(hours=h), 0.02) for h in (1, 3)], RET_T)
+    applied = st.apply_to_seed(rets, seed)
+    cand = mt.metrics_asof(applied, st.ew_series(applied, seed, RiskParams()), seed, snaps, RiskParams())
+    rows = sorted(cand.collect(), key=lambda r: (r["o_ts"], r["o_side"], r["o_seq"], r["o_tie"]))
+    assert [round(r["expected_return"] / 0.01) if r["o_side"] == 9 else r["o_side"] for r in rows] == [2, 2, 1]
+    assert rows[0]["expected_return"] < rows[1]["expected_return"]      # 0.2 before 0.5
+    assert rows[2]["expected_return"] > 2 * rows[0]["expected_return"]  # 0.5 is current
+
+
+def test_seeds_before_all_returns(spark):
+    seed = spark.createDataFrame([(1, ms(D0 + dt.timedelta(days=1)), "P", {"A": 0.01}, {"A": {"A": 0.04}})], STATS_T)
+    rets = spark.createDataFrame([("P", "A", D0, 0.02)], RET_T)
+    assert st.apply_to_seed(rets, seed).count() == 0
+    assert st.apply_to_seed(rets, seed, seed_time=False).count() == 1
 
 
 def test_emit_a_b_a_and_repeat(spark):

@@ -13,7 +13,7 @@ from tickrisk.plans import queries as Q
 from tickrisk.plans import stream_queries as SQ
 from tickrisk.sources.streams import file_source
 from tickrisk.streaming import topology as tp
-from tickrisk.streaming.processors import portfolio_metrics
+from tickrisk.functions.fold import portfolio_metrics
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,7 +54,7 @@ def test_restart_from_checkpoint(spark):
 
     def run(out):
         stream = file_source(spark, f"{src}/*", schema, stream=True)
-        s = tp.stats_stream(stream, Q.TEST_PARAMS, holdings=holdings, seeds=seeds)
+        s = tp.stats_stream(stream, Q.TEST_PARAMS, holdings=holdings, seeds=seeds, seed_time=True)
         tp.run_available_now(s, out, f"{out}-ckpt")
 
     run(f"{root}/out")
@@ -141,6 +141,7 @@ def test_points_writer_foreach_batch(spark):
     q = (snaps.writeStream.foreachBatch(points_writer(f"{root}/pts", kind="weights"))
          .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
     q.awaitTermination(300)
+    points_writer(f"{root}/pts", kind="weights")(spark.read.parquet(f"{root}/w"), 0)   # the batch, retried
     pts = spark.read.parquet(f"{root}/pts").collect()
     assert [(p["bucket"], p["measurement"], p["value"]) for p in pts] == [("weights", "A", 0.5)]
 
@@ -261,7 +262,7 @@ def test_whole_streaming_job_equals_batch(spark, mode):
     ticks = SQ._tick_stream(spark, static, stream, root)
     job = StreamingJob(spark, ticks, standin.weight_snapshots(stream), out=f"{root}/out",
                        seeds=standin.stats_seeds(static), holdings=standin.holdings(static),
-                       params=Q.TEST_PARAMS, mode=mode)
+                       params=Q.TEST_PARAMS, mode=mode, seed_time=True)
     job.run_available_now()
     k2 = spark.read.parquet(f"{root}/out/metrics")
     batch = Q.flagship(spark, SF)
@@ -290,7 +291,7 @@ def test_job_command_line_replay(spark):
     standin.holdings(ev).write.parquet(f"{root}/holdings")
     main(["--ticks", f"{root}/ticks", "--weights", f"{root}/weights", "--seeds", f"{root}/seeds",
           "--holdings", f"{root}/holdings", "--out", f"{root}/out", "--window", "1 day",
-          "--available-now"])
+          "--available-now", "--seed-time"])
     k2 = spark.read.parquet(f"{root}/out/metrics")
     assert k2.count() == Q.flagship(spark, SF).count() > 0
 
@@ -306,7 +307,7 @@ def test_streaming_job_start_continuous(spark):
     job = StreamingJob(spark, SQ._tick_stream(spark, static, stream, root),
                        standin.weight_snapshots(stream), out=f"{root}/out",
                        seeds=standin.stats_seeds(static), holdings=standin.holdings(static),
-                       params=Q.TEST_PARAMS)
+                       params=Q.TEST_PARAMS, seed_time=True)
     qs = job.start(processing_time="1 second")
     try:
         for name in ("stats", "metrics", "weight_points"):

@@ -126,7 +126,7 @@ def test_assign_portfolios(spark):
                  .select("portfolio_id", "ticker").collect())
     assert got == [("P1", "A"), ("P2", "A"), ("P2", "B")]
     # beyond the broadcast limit: salted join, same rows
-    salted = sorted(tuple(x) for x in tk.assign_portfolios(r, h, broadcast_max_rows=0, salt_buckets=4)
+    salted = sorted(tuple(x) for x in tk.assign_portfolios(r, h, salt_above_bytes=-1, salt_buckets=4)
                     .select("portfolio_id", "ticker", "return_value").collect())
     assert [x[:2] for x in salted] == got and len(salted) == 3
     one = tk.assign_portfolios(r).select(F.collect_set("portfolio_id")).first()[0]

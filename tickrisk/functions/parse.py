@@ -7,7 +7,7 @@
 * P3 lenient weight time: text lacking ``T`` or lacking ``Z`` has its spaces
   replaced by ``T`` and a ``Z`` appended (UTC) before parsing, so a
   ``+01:00`` offset ends up with an extra ``Z`` and does not parse.
-* P4 epoch millis -> event timestamp.
+* P4 epoch millis -> event timestamp: Spark's ``timestamp_millis``.
 """
 
 from __future__ import annotations
@@ -50,11 +50,13 @@ def parse_price(text, strict: bool = True) -> Column:
 def iso_offset_to_ts(text, strict: bool = False) -> Column:
     """ISO offset date-time text -> TIMESTAMP.
 
-    Lenient: NULL when no zone is given or the text does not parse. Strict:
+    Lenient: NULL when the date, the ``T`` or the zone is missing or the text does not
+    parse (a time alone would be read as today's, a space as a ``T``). Strict:
     such text raises (fail fast, like the original's timestamp assigner).
     """
     text = _c(text)
-    v = F.when(_has_zone(text), text.try_cast("timestamp"))
+    whole = (F.substring(text, 11, 1) == "T") & _has_zone(text)      # date, T, time, zone
+    v = F.when(whole, text.try_cast("timestamp"))
     if not strict:
         return v
     return F.when(v.isNotNull() | text.isNull(), v).otherwise(
@@ -80,10 +82,6 @@ def lenient_weight_time_to_millis(text, strict: bool = False) -> Column:
     return F.unix_millis(lenient_weight_time_to_ts(text, strict=strict))
 
 
-def millis_to_ts(ms) -> Column:
-    return F.timestamp_millis(_c(ms))
-
-
 def to_ntz(ts) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ (UTC wall clock) for zone-free outputs."""
     return _c(ts).cast("timestamp_ntz")

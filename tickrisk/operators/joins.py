@@ -1,4 +1,4 @@
-"""Join helpers with a checked broadcast."""
+"""Join helpers."""
 
 from __future__ import annotations
 
@@ -6,33 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-_COUNTS: dict = {}
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of ``df`` (file sizes for a written table)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def checked_count(df: DataFrame) -> int:
-    """Row count of a small side, remembered per application and plan
-    (semantic hash): the same materialised table is counted once. A stale
-    count could only change the broadcast choice, never the result."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
-    if key not in _COUNTS:
-        _COUNTS[key] = df.count()
-    return _COUNTS[key]
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Equi-join with a side that is expected to be small.
 
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = 1_000_000) -> DataFrame:
-    """Equi-join that broadcasts ``small`` only after checking its size.
-
-    ``small`` is counted (one cheap job over a small table); when it holds at
-    most ``max_rows`` rows it is broadcast, otherwise the join is a shuffled
-    sort-merge join and AQE's skew handling splits hot keys. A streaming
-    ``big`` side with a static ``small`` side gives a stream-static join.
+    No hint is given: Spark broadcasts ``small`` only if its measured bytes (at
+    planning, or at run time under adaptive execution) are below
+    ``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides are shuffled and
+    skewed keys are split. A streaming ``big`` side with a static ``small`` side
+    gives a stream-static join.
     """
-    if small.isStreaming:
-        return big.join(small, on=on, how=how)
-    n = checked_count(small)
-    if n <= max_rows:
-        return big.join(F.broadcast(small), on=on, how=how)
     return big.join(small, on=on, how=how)
 
 

@@ -40,10 +40,11 @@ TKEY = ["portfolio_id"] + ORDER
 
 
 def weights_long(snapshots: DataFrame) -> DataFrame:
-    """Weight snapshots -> ``(portfolio_id, seq, timestamp, ticker, w)``."""
-    return (snapshots.select("portfolio_id", "seq", "timestamp",
-                             F.explode("weights").alias("ticker", "w"))
-            .filter(F.col("w").isNotNull()))
+    """Weight snapshots -> ``(portfolio_id, seq, timestamp, ticker, w)``. A snapshot
+    without a weight (an empty or all-null map) keeps one row with null ticker and
+    weight, since it triggers and is current like any other."""
+    w = F.map_filter("weights", lambda k, v: v.isNotNull())
+    return snapshots.select("portfolio_id", "seq", "timestamp", F.explode_outer(w).alias("ticker", "w"))
 
 
 _ENTRY = "struct<j:string,tag:int,c:double,w:double,n:bigint,g:boolean>"
@@ -156,20 +157,21 @@ def state_grid(weights: DataFrame, state: DataFrame, seed: DataFrame) -> DataFra
 
 def triggers(applied: DataFrame, snapshots: DataFrame, params: RiskParams) -> DataFrame:
     """Union of the two connect inputs with the as-of state of each trigger:
-    ``wid`` (current weight snapshot) and ``n_stats`` (updated statistics
+    ``wid`` (current weight snapshot, by its whole order key) and ``n_stats`` (updated statistics
     records so far)."""
+    w_seq, w_tie = st.order_columns(snapshots)
+    wid = F.struct(F.col("timestamp").alias("ms"), w_seq.alias("seq"), w_tie.alias("tie"))
     st_tr = applied.select(
         "portfolio_id", F.col("order_ts").alias("o_ts"), F.lit(1).alias("o_side"),
         F.lit(0).cast("bigint").alias("o_seq"), F.col("ticker").alias("o_tie"),
-        F.lit(None).cast("bigint").alias("wseq"), F.lit(1).alias("is_stats"))
+        F.lit(None).cast("struct<ms:bigint,seq:bigint,tie:string>").alias("wid0"), F.lit(1).alias("is_stats"))
     w_tr = snapshots.select(
         "portfolio_id", F.timestamp_millis("timestamp").alias("o_ts"), F.lit(2).alias("o_side"),
-        F.col("seq").cast("bigint").alias("o_seq"), F.lit("").alias("o_tie"),
-        F.col("seq").cast("bigint").alias("wseq"), F.lit(0).alias("is_stats"))
+        w_seq.alias("o_seq"), w_tie.alias("o_tie"), wid.alias("wid0"), F.lit(0).alias("is_stats"))
     tr = st_tr.unionByName(w_tr).withColumn("_blk", block_of("o_ts", params.block_seconds))
     tr = running(tr, ["portfolio_id"], ORDER, "_blk",
-                 sums={"n_stats": "is_stats"}, lasts={"wid": "wseq"})
-    return tr.drop("_blk")
+                 sums={"n_stats": "is_stats"}, lasts={"wid": "wid0"})
+    return tr.drop("_blk", "wid0")
 
 
 def metrics_asof(applied: DataFrame, series: DataFrame, seed: DataFrame,
@@ -193,9 +195,12 @@ def trigger_grid(applied: DataFrame, series: DataFrame, seed: DataFrame,
     """One row per (candidate trigger, weighted ticker) with the ticker's
     as-of state: ``*TKEY, ticker, w, n, mean, var, g``."""
     cand = triggers(applied, snapshots, params).filter(
-        F.col("wid").isNotNull() & (F.col("n_stats") > 0)).select(*TKEY, "wid")
-    wl = weights_long(snapshots).select("portfolio_id", F.col("seq").alias("wid"), "ticker", "w")
-    grid = cand.join(wl, ["portfolio_id", "wid"]).drop("wid")
+        F.col("wid").isNotNull() & (F.col("n_stats") > 0)).select(
+        *TKEY, F.col("wid.ms").alias("wms"), F.col("wid.seq").alias("wseq"), F.col("wid.tie").alias("wtie"))
+    w_seq, w_tie = st.order_columns(snapshots)
+    wl = weights_long(snapshots).select("portfolio_id", F.col("timestamp").alias("wms"), w_seq.alias("wseq"),
+                                        w_tie.alias("wtie"), "ticker", "w")
+    grid = cand.join(wl, ["portfolio_id", "wms", "wseq", "wtie"]).drop("wms", "wseq", "wtie")
     return ticker_state_at(grid, applied, series, seed, params, extra=["w"])
 
 

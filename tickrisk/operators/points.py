@@ -3,8 +3,8 @@
 A point is ``(bucket, measurement, tag_key, portfolio_id, field, value,
 time_ms)``. Metrics give three points per record (P12 unpivot); weight
 snapshots give one point per non-null weight with the ticker as the
-measurement (K5). ``write_points`` appends them as parquet (or line-protocol
-text) partitioned by bucket and measurement; a time-series database can load
+measurement (K5). ``write_points`` writes them as parquet (or line-protocol
+text) partitioned by bucket; a time-series database can load
 either. No database client lives here.
 """
 
@@ -59,8 +59,12 @@ def line_protocol(points: DataFrame) -> DataFrame:
     """Points -> line-protocol text ``measurement,tag=v field=value ms``.
 
     Measurement escapes commas and spaces; tag keys, tag values and field
-    keys escape commas, equals signs and spaces. Times are milliseconds.
+    keys escape commas, equals signs and spaces. Times are milliseconds. The
+    format has no NaN or infinity: such points (a Sharpe ratio at risk 0) are only
+    in the table form.
     """
+    finite = ~F.isnan("value") & (F.abs("value") != float("inf"))
+    points = points.filter(finite)
     meas = _escape(F.col("measurement"), ", ")
     tag = F.concat(_escape(F.col("tag_key"), ",= "), F.lit("="), _escape(F.col("portfolio_id"), ",= "))
     field = F.concat(_escape(F.col("field"), ",= "), F.lit("="), F.col("value").cast("string"))
@@ -69,9 +73,9 @@ def line_protocol(points: DataFrame) -> DataFrame:
 
 
 def write_points(points: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
-    """Append points partitioned by bucket and measurement (``parquet`` or ``text``)."""
+    """Write points partitioned by bucket (``parquet`` or ``text``). The measurement stays a
+    column: with tickers as measurements a folder each would make very many small files."""
     if fmt == "text":
-        (line_protocol(points).select("bucket", "measurement", "line")
-         .write.mode(mode).partitionBy("bucket", "measurement").text(path))
+        line_protocol(points).select("bucket", "line").write.mode(mode).partitionBy("bucket").text(path)
     else:
-        points.write.mode(mode).partitionBy("bucket", "measurement").parquet(path)
+        points.write.mode(mode).partitionBy("bucket").parquet(path)

@@ -18,16 +18,27 @@ a key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one level-1 segment of the exponential scan: decay**-SEG_ROWS stays
-# finite (1000/1001 ** -100000 ~ 2.5e43), so no rebasing error builds up.
-SEG_ROWS = 100_000
-# Rows of one level-2 epoch: decay**-(EPOCH_ROWS + SEG_ROWS) ~ e**400 is finite.
-EPOCH_ROWS = 300_000
+# Most rows of one level-1 segment and one level-2 epoch of the exponential scan.
+SEG_ROWS, EPOCH_ROWS = 100_000, 300_000
+# decay**-(segment + epoch) stays below e**MAX_EXPONENT, far from overflow (e**709).
+MAX_EXPONENT = 400.0
+
+
+def scan_lengths(decay: float) -> tuple[int, int]:
+    """(segment, epoch) rows for a decay: the constants above, or less for a fast one."""
+    if not 0.0 < decay < 1.0:
+        raise ValueError("decay must lie between 0 and 1")
+    rows = int(MAX_EXPONENT / -math.log(decay))
+    seg, epoch = min(SEG_ROWS, rows // 4), min(EPOCH_ROWS, rows - rows // 4)
+    if seg < 1 or seg >= epoch:
+        raise ValueError(f"decay {decay} is too fast for the closed form")
+    return seg, epoch
 
 
 def block_of(ts, seconds: int) -> Column:
@@ -115,7 +126,7 @@ def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], block
 def ew_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str,
             x, init: str, decay: float, gain: float, out: str,
             prev_out: str | None = None, idx_out: str | None = None,
-            seg_rows: int = SEG_ROWS, epoch_rows: int = EPOCH_ROWS) -> DataFrame:
+            seg_rows: int | None = None, epoch_rows: int | None = None) -> DataFrame:
     """Exponential recurrence ``y_k = decay*y_(k-1) + gain*x_k``, ``y_0 = init``.
 
     Level 1, per segment (at most ``seg_rows`` rows of one (key, block);
@@ -135,11 +146,14 @@ def ew_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str
     Work is linear in the rows; only epoch totals (rows / ``epoch_rows`` per
     key) meet in one task.
 
+    Segment and epoch lengths follow from the decay (``scan_lengths``) unless given.
     ``init`` must be constant per key. Adds ``out`` (and optionally the value
     before this row, ``prev_out``, and the 1-based row index, ``idx_out``).
     """
-    if seg_rows >= epoch_rows or seg_rows + epoch_rows > 650_000:
-        raise ValueError("need seg_rows < epoch_rows and seg_rows + epoch_rows <= 650000")
+    lengths = scan_lengths(decay)
+    seg_rows, epoch_rows = seg_rows or lengths[0], epoch_rows or lengths[1]
+    if seg_rows >= epoch_rows or (seg_rows + epoch_rows) * -math.log(decay) > 650.0:
+        raise ValueError("need seg_rows < epoch_rows and decay**-(seg_rows + epoch_rows) < e**650")
     keys, order = list(keys), list(order)
     kb = keys + [block]
     kbs = kb + ["_sub"]

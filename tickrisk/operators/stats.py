@@ -17,15 +17,16 @@ Factored state: mean and variance depend only on the returns of one
 ``(portfolio, ticker)``, computed by the two-level exponential scan; an
 off-diagonal cell is ``cov0 * q**(n_i*[m_j != 0] + n_j*[m_i != 0])`` with the
 tick counts ``n``. The state is O(tickers) per portfolio, never the N x N
-record per return. Assumes a symmetric seed, finite returns and no mean that
-becomes exactly 0 mid-stream; ``streaming.processors`` keeps the per-record
-rule for anything else.
+record per return. Holds for a symmetric seed with variances of 0 or more, finite
+returns and no mean that becomes exactly 0 mid-stream; portfolios without these
+(``uncovered_portfolios``) are folded record by record in ``operators.exact``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickrisk.operators.joins import join_small
 from tickrisk.operators.scan import block_of, ew_scan
@@ -34,8 +35,20 @@ from tickrisk.params import RiskParams
 PT = ["portfolio_id", "ticker"]
 
 
-def first_seed(stats: DataFrame, order=("timestamp", "seq")) -> DataFrame:
-    """b7: the first statistics record of each portfolio (first write wins)."""
+def order_columns(df: DataFrame, col: str = "seq"):
+    """``(o_seq long, o_tie string)`` of an arrival order column: a number, or the struct
+    (timestamp, partition, offset) of an unkeyed topic, compared in that order."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.StructType):
+        c = F.col(col)
+        place = F.concat(F.lpad(c["partition"].cast("string"), 10, "0"), F.lit("/"),
+                         F.lpad(c["offset"].cast("string"), 19, "0"))
+        return F.unix_micros(c["timestamp"]), place
+    return F.col(col).cast("bigint"), F.lit("")
+
+
+def first_seed(stats: DataFrame, order=("seq",)) -> DataFrame:
+    """b7: the first statistics record of each portfolio by arrival (first write wins)."""
     rec = F.struct(*stats.columns)
     return (stats.groupBy("portfolio_id")
             .agg(F.min_by(rec, F.struct(*order)).alias("r"))
@@ -63,16 +76,17 @@ def seed_diag(seed: DataFrame) -> DataFrame:
             .select("portfolio_id", F.col("i").alias("ticker"), F.col("cov0").alias("var0")))
 
 
-def apply_to_seed(port_returns: DataFrame, seed: DataFrame) -> DataFrame:
+def apply_to_seed(port_returns: DataFrame, seed: DataFrame, seed_time: bool = True) -> DataFrame:
     """Returns of each portfolio that arrive at or after its seed.
 
-    ``port_returns`` carries ``portfolio_id, ticker, order_ts, return_value``;
-    a return ordered before the seed (or of a portfolio without seed) is
-    dropped. At equal time the seed sorts first.
+    ``port_returns`` carries ``portfolio_id, ticker, order_ts, return_value``; a return of
+    a portfolio without seed is dropped. A table has no arrival order between seeds and
+    returns: with ``seed_time`` the seed arrives at its own time (a return ordered before
+    it is dropped; at equal time the seed sorts first), without it before all returns.
     """
     s = seed.select("portfolio_id", F.timestamp_millis("timestamp").alias("seed_ts"))
     j = join_small(port_returns, s, on=["portfolio_id"])
-    return j.filter(F.col("order_ts") >= F.col("seed_ts"))
+    return j.filter(F.col("order_ts") >= F.col("seed_ts")) if seed_time else j
 
 
 def ew_series(applied: DataFrame, seed: DataFrame, params: RiskParams) -> DataFrame:
@@ -130,6 +144,17 @@ def nonfinite_returns(applied: DataFrame) -> DataFrame:
     return applied.filter(F.isnan(r) | (F.abs(r) == float("inf")))
 
 
+def uncovered_portfolios(applied: DataFrame, seed: DataFrame, means: DataFrame) -> DataFrame:
+    """``portfolio_id`` of portfolios that the closed form does not cover: an asymmetric
+    seed or a negative seed variance, an infinite return, or a mean that comes within
+    rounding of 0 (it may be exactly 0 under the step rule, and then stays 0)."""
+    vanishes = (F.col("mean0") != 0) & (F.abs("mean") <= 1e-9 * F.abs("mean_prev"))
+    return (asymmetric_cells(seed).select("portfolio_id")
+            .unionByName(seed_diag(seed).filter("var0 < 0").select("portfolio_id"))
+            .unionByName(nonfinite_returns(applied).select("portfolio_id"))
+            .unionByName(means.filter(vanishes).select("portfolio_id")).distinct())
+
+
 def tick_counts(applied: DataFrame) -> DataFrame:
     return applied.groupBy(*PT).agg(F.count(F.lit(1)).alias("n"))
 

@@ -35,6 +35,10 @@ def typed_ticks(raw: DataFrame, strict: bool = True, order_col: str = "seq",
     ``ts`` is the windowing time: arrival time by default (replayable
     processing time), or the parsed last-traded time with ``event_time``.
     Only the four used wire fields are read (column pruning reaches the scan).
+    With ``strict`` both prices of every tick must parse, also those that no
+    window uses: parsing before the aggregate keeps its buffers fixed-width, so
+    it stays hash-based. ``strict=False`` with ``quarantine_split`` is the way
+    to run over malformed ticks.
     """
     ev_ts = iso_offset_to_ts(F.col(TICK_TIME), strict=strict)
     return raw.select(
@@ -49,8 +53,9 @@ def typed_ticks(raw: DataFrame, strict: bool = True, order_col: str = "seq",
 
 
 def quarantine_split(ticks: DataFrame):
-    """(good, bad) split of ``typed_ticks(strict=False)`` output."""
-    bad = F.col("opening_price").isNull() | F.col("current_price").isNull()
+    """(good, bad) split of ``typed_ticks(strict=False)`` output: a bad row has a price
+    or a windowing time that did not parse."""
+    bad = F.col("opening_price").isNull() | F.col("current_price").isNull() | F.col("ts").isNull()
     return ticks.filter(~bad), ticks.filter(bad)
 
 
@@ -95,22 +100,23 @@ def log_returns(ticks: DataFrame, window: str = "2 seconds", watermark: str | No
 
 
 def assign_portfolios(returns: DataFrame, holdings: DataFrame | None = None,
-                      portfolio_id: str = "portf1", broadcast_max_rows: int = 1_000_000,
+                      portfolio_id: str = "portf1", salt_above_bytes: int = 64 << 20,
                       salt_buckets: int = 64) -> DataFrame:
     """Fan a per-ticker return out to the portfolios holding it.
 
     Without ``holdings`` every return goes to the one constant portfolio.
-    The holdings side is broadcast only when its row count is checked to be
-    at most ``broadcast_max_rows``. Beyond that the join is salted: a ticker
-    held by a third of all portfolios is spread over ``salt_buckets`` tasks
-    (holdings salted by portfolio, returns replicated per salt).
+    Spark broadcasts the holdings if their bytes allow it. Holdings estimated
+    above ``salt_above_bytes`` are joined with a salt: a ticker held by a third of
+    all portfolios is spread over ``salt_buckets`` tasks (holdings salted by
+    portfolio, returns replicated per salt). A stream of returns needs static
+    holdings: two streams joined without a time bound would keep all rows.
     """
     if holdings is None:
         return returns.withColumn("portfolio_id", F.lit(portfolio_id))
-    from tickrisk.operators.joins import checked_count, salted_join
+    from tickrisk.operators.joins import plan_bytes, salted_join
     h = holdings.select("portfolio_id", "ticker").distinct()
     if h.isStreaming:
+        raise ValueError("holdings must be a static table")
+    if plan_bytes(holdings.select("portfolio_id", "ticker")) <= salt_above_bytes:
         return returns.join(h, on=["ticker"])
-    if checked_count(h) <= broadcast_max_rows:
-        return returns.join(F.broadcast(h), on=["ticker"])
     return salted_join(returns, h, on=["ticker"], salt_of="portfolio_id", buckets=salt_buckets)

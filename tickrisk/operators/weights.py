@@ -20,8 +20,8 @@ def typed_weight_rows(rows: DataFrame, strict: bool = True, order_col: str = "se
 
     Text the lenient time rule cannot parse (an explicit ``+01:00`` offset
     gets an extra ``Z``) and a malformed weight raise with ``strict`` (fail
-    fast, as the original); otherwise they become NULL and
-    ``rows_to_snapshots`` skips rows without a time.
+    fast, as the original); otherwise they become NULL; ``quarantine_rows``
+    splits such rows off, so that they are kept apart and not lost.
     """
     ms = lenient_weight_time_to_millis("time", strict=strict)
     return rows.select(
@@ -30,6 +30,12 @@ def typed_weight_rows(rows: DataFrame, strict: bool = True, order_col: str = "se
         parse_price("weight", strict).alias("weight"))
 
 
+def quarantine_rows(typed: DataFrame):
+    """(good, bad) split of ``typed_weight_rows(strict=False)`` output."""
+    bad = F.col("time_ms").isNull() | F.col("weight").isNull()
+    return typed.filter(~bad), typed.filter(bad)
+
+
 def rows_to_snapshots(typed: DataFrame) -> DataFrame:
     """One weight snapshot per ``(portfolio_id, time_ms)``.
 
@@ -37,7 +43,8 @@ def rows_to_snapshots(typed: DataFrame) -> DataFrame:
     ``weights`` map. The map of one snapshot holds one entry per ticker of
     the portfolio, so the collected group is bounded by the portfolio size.
     """
-    last = (typed.filter(F.col("time_ms").isNotNull())
+    # one partitioning by (portfolio, time) serves both aggregates
+    last = (typed.filter(F.col("time_ms").isNotNull()).repartition("portfolio_id", "time_ms")
             .groupBy("portfolio_id", "time_ms", "ticker")
             .agg(F.max_by("weight", "seq").alias("weight"), F.max("seq").alias("seq")))
     return (last.groupBy("portfolio_id", "time_ms")

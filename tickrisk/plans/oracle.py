@@ -18,6 +18,22 @@ ticks AS (
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS last_traded_time
   FROM events)"""
 
+SIGNED_TICKS = """ticks AS (
+  SELECT event_id AS seq, ts, 'T' || CAST(user_id % 10 AS VARCHAR) AS ticker,
+         CASE WHEN event_id % 11 = 0 THEN 0 WHEN event_id % 5 = 0 THEN -value ELSE value END AS opening_price,
+         CASE WHEN event_id % 7 = 0 THEN 0 WHEN event_id % 3 = 0 THEN -value ELSE value END AS current_price,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS last_traded_time
+  FROM events)"""
+
+DIRTY_TICKS = """everything AS (
+  SELECT event_id AS seq, ts, 'T' || CAST(user_id % 10 AS VARCHAR) AS ticker,
+         TRY_CAST(CASE WHEN event_id % 13 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS opening_price,
+         TRY_CAST(CASE WHEN event_id % 17 = 0 THEN replace(CAST(value AS VARCHAR), '.', ',')
+                       ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS current_price,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS last_traded_time
+  FROM events),
+ticks AS (SELECT * FROM everything WHERE opening_price IS NOT NULL AND current_price IS NOT NULL)"""
+
 RETURNS = TICKS + """,
 win AS (
   SELECT ticker, date_trunc('day', ts) AS window_start, count(*) AS n_ticks,
@@ -332,4 +348,24 @@ SELECT 'my-bucket', 'Risk', 'Portfolio ID', portfolio_id, 'Risk', round(risk, 8)
 UNION ALL
 SELECT 'my-bucket', 'Expected_Return', 'Portfolio ID', portfolio_id, 'Expected Return',
        round(expected_return, 8), epoch_ms(o_ts) FROM emitted""",
+    "metrics_record": "WITH " + ASOF + """
+SELECT portfolio_id AS portfolioId, round(risk, 8) AS risk, round(expected_return, 8) AS expectedReturn,
+       round(sharpe, 8) AS sharpRatio, epoch_ms(o_ts) AS timestamp
+FROM emit WHERE rn = 1 OR expected_return IS DISTINCT FROM pe OR risk IS DISTINCT FROM pr""",
+    "processing_stamp": "WITH " + ASOF + """
+SELECT portfolio_id AS portfolioId, round(risk, 8) AS risk, round(expected_return, 8) AS expectedReturn,
+       true AS stamped_now
+FROM emit WHERE rn = 1 OR expected_return IS DISTINCT FROM pe OR risk IS DISTINCT FROM pr""",
+    "constant_portfolio": "WITH " + RETURNS + """
+SELECT 'portf1' AS portfolio_id, ticker, window_end, round(return_value, 8) AS return_value
+FROM returns WHERE NOT isnan(return_value)""",
+    "log_return_edge": LOG_RETURN.replace(TICKS, SIGNED_TICKS),
+    "lenient_ticks": "WITH " + RETURNS.replace(TICKS, DIRTY_TICKS) + """,
+bad AS (
+  SELECT ticker, date_trunc('day', ts) AS day, count(*) AS n_bad
+  FROM everything WHERE opening_price IS NULL OR current_price IS NULL GROUP BY ALL)
+SELECT r.ticker, r.window_start AS day, r.n_ticks, round(r.return_value, 8) AS return_value,
+       coalesce(b.n_bad, 0) AS n_bad
+FROM returns r LEFT JOIN bad b ON b.ticker = r.ticker AND b.day = r.window_start
+WHERE NOT isnan(r.return_value)""",
 }

@@ -26,7 +26,8 @@ from tickrisk.operators import weights as wt
 from tickrisk.params import RiskParams
 from tickrisk.plans import standin
 from tickrisk.plans.batch import RiskJob
-from tickrisk.session import configure
+from tickrisk.session import configure, files_of
+from tickrisk.sources.sinks import wire_record
 
 TEST_WINDOW = "1 day"
 TEST_PARAMS = RiskParams(window=TEST_WINDOW, block_seconds=7 * 86400,
@@ -68,11 +69,11 @@ _JOBS: dict = {}
 def job(spark: SparkSession, sf_dir: str, params: RiskParams = TEST_PARAMS) -> RiskJob:
     """The batch job over the stand-in inputs of ``sf_dir``.
 
-    One job per (session, directory, parameters): the registered queries are
+    One job per (session, present files, parameters): the registered queries are
     outputs of the same job and share its materialised stages, as the
-    original job computes all its outputs in one topology.
+    original job computes all its outputs in one topology. Changed files make a new job.
     """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), params)
+    key = (id(spark), spark.sparkContext.applicationId, files_of(spark, f"{sf_dir.rstrip('/')}/events.parquet"), params)
     if key not in _JOBS:
         ev = _ev(spark, sf_dir)
         _JOBS[key] = RiskJob(ticks_raw=standin.price_ticks(ev),
@@ -199,6 +200,50 @@ def q_metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(*[round8(c).alias(c) if c == "value" else c for c in pt.POINT_COLS])
 
 
+def q_metrics_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: published metrics as wire records (event stamp)."""
+    rec = wire_record(mt.to_metrics_record(job(spark, sf_dir).emitted), "portfolio_metrics")
+    return rec.select("portfolioId", *[round8(c).alias(c) for c in ("risk", "expectedReturn", "sharpRatio")],
+                      "timestamp")
+
+
+def q_processing_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published metrics stamped by the wall clock; the stamp itself changes from run
+    to run, so the query tells whether it is later than every event."""
+    rec = mt.to_metrics_record(job(spark, sf_dir).emitted, stamp="processing")
+    return rec.select("portfolioId", round8("risk").alias("risk"), round8("expectedReturn").alias("expectedReturn"),
+                      (F.col("timestamp") > F.unix_millis(F.lit("2024-12-31 00:00:00").cast("timestamp")))
+                      .alias("stamped_now"))
+
+
+def q_constant_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without holdings every return goes to the one constant portfolio."""
+    ticks = tk.typed_ticks(standin.price_ticks(_ev(spark, sf_dir)))
+    r = tk.assign_portfolios(tk.log_returns(ticks, window=TEST_WINDOW))
+    return r.select("portfolio_id", "ticker", to_ntz("window_end").alias("window_end"),
+                    round8("return_value").alias("return_value"))
+
+
+def q_log_return_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of both signs and zero: a zero base gives no row, a zero last price
+    -Infinity, prices of different sign no row, two negative prices a return."""
+    ticks = tk.typed_ticks(standin.signed_price_ticks(_ev(spark, sf_dir)))
+    return q_log_return_select(tk.log_returns(ticks, window=TEST_WINDOW))
+
+
+def q_lenient_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 with ``strict=False``: ticks whose text does not parse are split off before the
+    window; returns of the others, and the number of ticks kept apart per ticker and day."""
+    typed = tk.typed_ticks(standin.dirty_price_ticks(_ev(spark, sf_dir)), strict=False)
+    good, bad = tk.quarantine_split(typed)
+    r = tk.log_returns(good, window=TEST_WINDOW).select(
+        "ticker", F.col("window_start").alias("day"), "n_ticks", round8("return_value").alias("return_value"))
+    b = bad.groupBy("ticker", F.date_trunc("day", "ts").alias("day")).agg(F.count("*").alias("n_bad"))
+    out = r.join(b, ["ticker", "day"], "left")
+    return out.select("ticker", to_ntz("day").alias("day"), "n_ticks", "return_value",
+                      F.coalesce("n_bad", F.lit(0)).cast("bigint").alias("n_bad"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_return": q_log_return,
     "log_return_event_time": q_log_return_event_time,
@@ -216,6 +261,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weight_time_parse": q_weight_time_parse,
     "weights_rows_to_map": q_weights_rows_to_map,
     "metric_points": q_metric_points,
+    "metrics_record": q_metrics_record,
+    "processing_stamp": q_processing_stamp,
+    "constant_portfolio": q_constant_portfolio,
+    "log_return_edge": q_log_return_edge,
+    "lenient_ticks": q_lenient_ticks,
 }
 
 

@@ -40,20 +40,40 @@ def _ticker(i) -> str:
     return f"T{i}"
 
 
-def price_ticks(ev: DataFrame) -> DataFrame:
+def price_ticks(ev: DataFrame, opening: str | None = None, current: str | None = None) -> DataFrame:
     """Tick rows: arrival order ``seq``, arrival time ``arrival_ts`` and the
-    four wire fields the job reads, all as text."""
+    four wire fields the job reads, all as text (``opening``, ``current``: text columns
+    to use instead of the mapping's prices)."""
     cur = F.col("value") + (F.col("event_id") % 7).cast("double") / F.lit(100.0)
     return ev.select(
         F.col("event_id").alias("seq"),
         F.col("ts").cast("timestamp").alias("arrival_ts"),
         F.concat(F.lit("T"), (F.col("user_id") % N_TICKERS).cast("string")).alias("ticker"),
-        F.col("value").cast("string").alias("field_opening_price"),
-        cur.cast("string").alias("field_cours_courant"),
+        (F.col(opening) if opening else F.col("value").cast("string")).alias("field_opening_price"),
+        (F.col(current) if current else cur.cast("string")).alias("field_cours_courant"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("field_last_traded_time"),
     )
 
 
+def signed_price_ticks(ev: DataFrame) -> DataFrame:
+    """``price_ticks`` with signs and zeros: the opening price is 0 on every 11th event and
+    negative on every 5th, the current price 0 on every 7th and negative on every 3rd."""
+    n = F.col("event_id")
+    opening = F.when(n % 11 == 0, 0.0).when(n % 5 == 0, -F.col("value")).otherwise(F.col("value"))
+    current = F.when(n % 7 == 0, 0.0).when(n % 3 == 0, -F.col("value")).otherwise(F.col("value"))
+    return price_ticks(ev.withColumn("_o", opening.cast("string")).withColumn("_c", current.cast("string")),
+                       opening="_o", current="_c")
+
+
+def dirty_price_ticks(ev: DataFrame) -> DataFrame:
+    """``price_ticks`` whose opening price is no number on every 13th event and whose
+    current price has a decimal comma on every 17th."""
+    n, value = F.col("event_id"), F.col("value").cast("string")
+    return price_ticks(ev.withColumn("_o", F.when(n % 13 == 0, "n/a").otherwise(value))
+                       .withColumn("_c", F.when(n % 17 == 0, F.translate(value, ".", ",")).otherwise(value)),
+                       opening="_o", current="_c")
+
+
 def weight_snapshots(ev: DataFrame) -> DataFrame:
     """Weight snapshot records ``(seq, timestamp ms, portfolio_id, weights)``."""
     entries = []

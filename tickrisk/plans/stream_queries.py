@@ -18,7 +18,7 @@ from tickrisk.functions.ieee import round8
 from tickrisk.functions.parse import to_ntz
 from tickrisk.plans import standin
 from tickrisk.plans.queries import TEST_PARAMS, _metrics_out, q_log_return_select
-from tickrisk.session import configure, scratch_path
+from tickrisk.session import configure, files_of, scratch_path
 from tickrisk.sources.streams import file_source, single_file_glob
 from tickrisk.streaming import topology as tp
 from tickrisk.streaming.processors import STATS_OUT
@@ -68,12 +68,13 @@ _RUNS: dict = {}
 def _stats_records(spark: SparkSession, sf_dir: str) -> str:
     """Run Query A (record mode) once per session and directory; returns the
     folder holding its ``stats`` sink."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (id(spark), spark.sparkContext.applicationId, files_of(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     if key not in _RUNS:
         root = scratch_path(spark, "stream-stats")
         static, stream = _events(spark, sf_dir)
         s = tp.stats_stream(_tick_stream(spark, static, stream, root), TEST_PARAMS,
-                            holdings=standin.holdings(static), seeds=standin.stats_seeds(static))
+                            holdings=standin.holdings(static), seeds=standin.stats_seeds(static),
+                            seed_time=True)
         _run(s, root, "stats")
         _RUNS[key] = root
     return _RUNS[key]
@@ -113,13 +114,13 @@ _FACTORED: dict = {}
 
 def _factored_series(spark: SparkSession, sf_dir: str) -> str:
     """Run the factored Query A once per session and directory."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (id(spark), spark.sparkContext.applicationId, files_of(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     if key not in _FACTORED:
         static, stream = _events(spark, sf_dir)
         root = scratch_path(spark, "stream-factored")
         s = tp.ticker_stats_stream(_tick_stream(spark, static, stream, root), TEST_PARAMS,
                                    seeds=standin.stats_seeds(static),
-                                   holdings=standin.holdings(static))
+                                   holdings=standin.holdings(static), seed_time=True)
         _run(s, root, "series")
         _FACTORED[key] = root
     return _FACTORED[key]
@@ -148,6 +149,16 @@ def q_stream_ew_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
                     round8("var").alias("var")))
 
 
+def q_stream_control_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query B with a watermark on the weight stream; it removes nothing."""
+    stats_root = _stats_records(spark, sf_dir)
+    root = scratch_path(spark, "stream-control-watermark")
+    static, stream = _events(spark, sf_dir)
+    stats_in = file_source(spark, f"{stats_root}/stats", STATS_OUT, stream=True)
+    m = tp.metrics_stream(stats_in, standin.weight_snapshots(stream), TEST_PARAMS, control_watermark="1 minute")
+    return _metrics_out(_run(m, root, "metrics"))
+
+
 STREAM_QUERIES = {
     "stream_log_return": q_stream_log_return,
     "stream_ew_mean": q_stream_ew_mean,
@@ -155,4 +166,5 @@ STREAM_QUERIES = {
     "stream_ew_variance": q_stream_ew_variance,
     "stream_stats_records": q_stream_stats_records,
     "stream_metrics_factored": q_stream_metrics_factored,
+    "stream_control_watermark": q_stream_control_watermark,
 }

@@ -1,14 +1,14 @@
 """Spark session helpers.
 
-``configure`` only sets what the library's semantics depend on (UTC session
-time, AQE). ``checkpoint_root`` returns the shared folder named by
-``spark.checkpoint.dir``; a local scratch folder is created only when the
-setting is absent (tests, local runs).
+``configure`` only sets what the library's semantics depend on.
+``checkpoint_root`` returns the shared folder named by ``spark.checkpoint.dir``.
+A cluster without that setting is refused, since a folder on one machine is not
+seen by the others; only a local master, where there is one machine, gets a
+scratch folder of its own.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -17,19 +17,23 @@ from pyspark.sql import SparkSession
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def build_session(master: str = "local[8]", app: str = "tickrisk",
-                  shuffle_partitions: int = 8, **conf: str) -> SparkSession:
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.ui.enabled", "false")
+def build_session(master: str | None = None, app: str = "tickrisk",
+                  shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
+    """A session with the library's settings. Without ``master`` the one given to
+    spark-submit (or in spark-defaults) holds, as do its resources."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master).config("spark.driver.memory", "16g")
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = (b.config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-         .config("spark.driver.memory", "16g"))
+         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB))
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
     spark = b.getOrCreate()
@@ -76,15 +80,14 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     # transformWithState needs the RocksDB state store (multiple column families)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; set a local one only when unset.
+    Read from ``spark.checkpoint.dir``. Unset, a local master gets a scratch folder;
+    any other master raises.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -94,6 +97,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset
             root = None
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share: "
+                               "intermediate tables and stream checkpoints are written there")
         root = tempfile.mkdtemp(prefix="tickrisk-ckpt-")
         sc.setCheckpointDir(root)
     return root
@@ -105,11 +111,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(p: str) -> bool:
-    return "://" not in p or p.startswith("file:")
+def ensure_folder(spark: SparkSession, path: str) -> str:
+    """Create ``path`` in its own file system (the default one for a path without scheme)."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).mkdirs(p)
+    return path
 
 
-def ensure_dir(p: str) -> str:
-    if is_local_path(p):
-        os.makedirs(p.replace("file:", ""), exist_ok=True)
-    return p
+def files_of(spark: SparkSession, path: str) -> tuple:
+    """What identifies the present content of ``path``: name, length and change time of its files."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    found = fs.listStatus(p)
+    return tuple(sorted((x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in found))

@@ -3,9 +3,10 @@
 * ``file_sink``: parquet/json twin of a Kafka topic (stream or batch);
 * ``kafka_sink`` (K1/K2/K3): record -> Avro (``to_avro``) value, no key;
 * ``console_sink`` (K6);
-* ``points_writer`` (K4/K5): a ``foreachBatch`` function that persists the
-  micro-batch once and appends its point tables (metrics -> three points,
-  weights -> one point per ticker) partitioned by bucket and measurement.
+* ``points_writer`` (K4/K5): a ``foreachBatch`` function that writes the
+  micro-batch's point table (metrics -> three points, weights -> one point per
+  ticker) under its own ``batch=<id>`` folder, so a retried batch replaces its
+  own output and no point is written twice.
 
 Kafka/Avro need the ``spark-sql-kafka``/``spark-avro`` packages at run time.
 """
@@ -53,7 +54,9 @@ def file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
 
 
 def console_sink(df: DataFrame, output_mode: str = "append"):
-    return df.writeStream.format("console").outputMode(output_mode).option("truncate", "false")
+    """Prints every row (the console format's own limit is 20 a batch)."""
+    return (df.writeStream.format("console").outputMode(output_mode)
+            .option("truncate", "false").option("numRows", 2 ** 31 - 1))
 
 
 def points_writer(path: str, kind: str = "metrics", fmt: str = "parquet",
@@ -64,13 +67,9 @@ def points_writer(path: str, kind: str = "metrics", fmt: str = "parquet",
     ``kind="weights"``: rows are weight snapshots (K5).
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if kind == "metrics":
-                pts = pt.metric_points(batch, bucket or pt.DEFAULT_METRICS_BUCKET)
-            else:
-                pts = pt.weight_points(batch, bucket or pt.DEFAULT_WEIGHTS_BUCKET)
-            pt.write_points(pts, path, fmt=fmt, mode="append")
-        finally:
-            batch.unpersist()
+        if kind == "metrics":
+            pts = pt.metric_points(batch, bucket or pt.DEFAULT_METRICS_BUCKET)
+        else:
+            pts = pt.weight_points(batch, bucket or pt.DEFAULT_WEIGHTS_BUCKET)
+        pt.write_points(pts, f"{path}/batch={epoch_id}", fmt=fmt, mode="overwrite")
     return write

@@ -43,15 +43,16 @@ def single_file_glob(path: str) -> str:
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, record: str,
                  starting_offsets: str = "latest", stream: bool = True,
                  mode: str = "FAILFAST", group_id: str | None = None,
-                 order: str = "offset") -> DataFrame:
+                 order: str = "timestamp") -> DataFrame:
     """Kafka topic of Avro binary datums -> record columns.
 
     ``record`` is a key of ``schemas.AVRO`` (``price_tick``, ``weight_snapshot``,
     ``weight_row``, ``portfolio_stats``). Adds ``seq`` and ``arrival_ts``
-    (Kafka timestamp). ``order="offset"``: ``seq`` is the offset, the arrival
-    order when records are keyed by ticker (one partition per ticker); a
-    long keeps the window aggregate hash-based. ``order="timestamp"``:
-    ``seq`` is the struct (timestamp, partition, offset) for unkeyed topics.
+    (Kafka timestamp). ``order="timestamp"`` (default): ``seq`` is the struct
+    (timestamp, partition, offset), an order on any topic; consumers compare it as
+    a whole (``stats.order_columns``). ``order="offset"``: ``seq`` is the offset, an
+    order only where the records of one key share a partition; a long keeps the window
+    aggregate hash-based. A batch read has no ``latest``: it starts at ``earliest``.
     """
     try:
         from pyspark.sql.avro.functions import from_avro
@@ -59,7 +60,7 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str, record: str,
         raise RuntimeError("pyspark.sql.avro is unavailable") from e
     reader = spark.readStream if stream else spark.read
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting_offsets}
+            "startingOffsets": starting_offsets if stream or starting_offsets != "latest" else "earliest"}
     if group_id:
         opts["kafka.group.id"] = group_id
     raw = reader.format("kafka").options(**opts).load()

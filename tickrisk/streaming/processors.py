@@ -8,9 +8,11 @@ micro-batches the order is arrival.
 
 ``StatsUpdateProcessor`` (J1, A4-A6, T4, T6): seeds (first wins; from
 ``initialState`` or ``kind='seed'`` rows) and returns (``kind='ret'``). A
-return of a portfolio without a seed, or ordered before the seed's time, is
-dropped; every applied return updates means and covariances with the
-original per-record rule and emits the whole statistics record.
+return of a portfolio without a seed is dropped; every other return updates
+means and covariances with the original per-record rule and emits the whole
+statistics record. What counts is that the seed has arrived, not its stamp: a seed given
+as initial state is there before any return. A replay that knows no arrival order
+can ask for the seed's time to count instead (``seed_time=True``).
 
 ``MetricsProcessor`` (J2, W1, T5, T6): updated statistics records
 (``kind='stats'``) and weight snapshots (``kind='weights'``), each last write
@@ -19,7 +21,7 @@ when ``(E, risk)`` differs from the last emitted pair (Java ``Double.equals``:
 NaN equals NaN, 0.0 differs from -0.0).
 
 State is loaded into dicts once per key and batch, folded in Python, and the
-changed entries written back. NaN doubles become NULL on the way from pandas
+changed entries written back; results leave in pieces of bounded size. NaN doubles become NULL on the way from pandas
 to Arrow; the record fields are never NULL, so ``topology`` restores NaN
 right after each processor (``restore_nan``).
 
@@ -29,8 +31,6 @@ keeps ``(n, mean, var)`` per key; off-diagonal cells follow from the counts.
 
 from __future__ import annotations
 
-import math
-import struct
 import sys
 from collections.abc import Iterator
 
@@ -38,6 +38,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tickrisk.functions.fold import apply_return, java_equals, portfolio_metrics
+
 # The processors run in Python workers that need not have this package
 # installed: ship this module's classes and helpers by value in the task.
 # (The module depends only on the standard library, pandas and pyspark.)
@@ -50,99 +52,36 @@ STATS_OUT = ("portfolio_id string, o_ts timestamp, ticker string, n long, timest
 METRICS_OUT = ("portfolio_id string, o_ts timestamp, o_side int, o_seq long, o_tie string, "
                "expected_return double, variance double, risk double, sharpe double")
 
+METRICS_COLUMNS = ["portfolio_id", *ORDER, "expected_return", "variance", "risk", "sharpe"]
+
 
 def _ms(ts) -> int:
     return int(pd.Timestamp(ts).value // 1_000_000)
 
 
+# emitted rows held at once: whole statistics records, and flat rows
+RECORDS_AT_ONCE, ROWS_AT_ONCE = 64, 10_000
+
+
 def _rows(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     pdf = pd.concat(list(rows), ignore_index=True)
     return pdf.sort_values(ORDER, kind="mergesort").reset_index(drop=True)
 
 
-def _sorted_sum(values) -> float:
-    acc = 0.0
-    for v in sorted(values, key=lambda x: (math.isnan(x), x)):
-        acc += v
-    return acc
-
-
-def _ieee_div(a: float, b: float) -> float:
-    if math.isnan(a) or math.isnan(b):
-        return float("nan")
-    if b != 0:
-        return a / b
-    if a > 0:
-        return float("inf")
-    if a < 0:
-        return float("-inf")
-    return float("nan")
-
-
-def _java_equals(a: float, b: float) -> bool:
-    if math.isnan(a) and math.isnan(b):
-        return True
-    return struct.pack(">d", a) == struct.pack(">d", b)
-
-
 def _sync_map(state, old: dict, new: dict) -> None:
     """Write only the entries of a MapState that changed (keys are tuples)."""
     for k in old.keys() - new.keys():
         state.removeKey(k)
     for k, v in new.items():
-        if k not in old or not _java_equals(old[k], v):
+        if k not in old or not java_equals(old[k], v):
             state.updateValue(k, (float(v),))
 
 
-def portfolio_metrics(weights: dict, means: dict, cov: dict, periods: int = 52,
-                      risk_free: float = 0.0018):
-    """E, variance, risk, Sharpe of one weight map against one statistics state."""
-    e = _sorted_sum([w * means.get(t, 0.0) for t, w in weights.items()])
-    row_sums = []
-    for i, wi in weights.items():
-        row = cov.get(i, {})
-        terms = [wj * row[j] for j, wj in weights.items() if j in row]
-        if terms:
-            row_sums.append(wi * _sorted_sum(terms))
-    var = _sorted_sum(row_sums)
-    risk = math.sqrt(var) if var >= 0 or math.isnan(var) else float("nan")
-    return e, var, risk, _ieee_div(math.sqrt(periods) * (e - risk_free), risk)
-
-
-def apply_return(means: dict, cov: dict, s: str, r: float, n_div: int) -> set:
-    """One return ``r`` of ticker ``s`` applied to a statistics record in place.
-
-    * the mean of ``s`` moves by ``(r - m)/n_div`` only when it is non-zero
-      (unknown tickers stay unknown, a zero mean stays zero);
-    * the cells of row ``s`` whose column has a non-zero mean (read after the
-      mean update) and a non-zero value move by ``(d_s*d_o - c)/n_div`` with
-      ``d_s = r - m_old`` and ``d_o = r - m_s`` on the diagonal, ``m_o - m_o``
-      (0, or NaN for a non-finite mean) elsewhere; each new value is written
-      to ``[s][o]`` and ``[o][s]``.
-
-    Every update reads only row ``s`` (as it was before this return), so the
-    order over cells does not matter. Returns the written cells.
-    """
-    m_old = means.get(s, 0.0)
-    if m_old != 0.0:
-        means[s] = m_old + (r - m_old) / n_div
-    row = dict(cov.get(s, {}))
-    live = {o for o, m in means.items() if m != 0.0}
-    written = set()
-    for o in live & {o for o, c in row.items() if c != 0.0}:
-        c = row[o]
-        d_o = (r - means[s]) if o == s else (means[o] - means[o])
-        v = c + ((r - m_old) * d_o - c) / n_div
-        cov.setdefault(s, {})[o] = v
-        cov.setdefault(o, {})[s] = v
-        written |= {(s, o), (o, s)}
-    return written
-
-
 class StatsUpdateProcessor(StatefulProcessor):
-    def __init__(self, count: int = 1000, stamp: str = "event"):
+    def __init__(self, count: int = 1000, stamp: str = "event", seed_time: bool = False):
         self.n_div = count + 1
         self.stamp = stamp
+        self.seed_time = seed_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seed = handle.getValueState("seed", "seed_ms long")
@@ -162,7 +101,7 @@ class StatsUpdateProcessor(StatefulProcessor):
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         if self.seed.exists():
             return
-        first = initialState.sort_values(["timestamp", "seq"], kind="mergesort").iloc[0]
+        first = initialState.iloc[0]             # one record: the topology picks the first
         self._store_seed(first["timestamp"], first["meanReturns"], first["covarianceMatrix"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -177,6 +116,7 @@ class StatsUpdateProcessor(StatefulProcessor):
         dirty_m, dirty_c, dirty_n = set(), set(), set()
         out = []
         n_div = self.n_div
+        columns = ["portfolio_id", "o_ts", "ticker", "n", "timestamp", "meanReturns", "covarianceMatrix"]
         for r in pdf.itertuples(index=False):
             if r.kind == "seed":
                 if seed_ms is None:
@@ -187,7 +127,7 @@ class StatsUpdateProcessor(StatefulProcessor):
                     dirty_c |= {(i, j) for i, row in cov.items() for j in row}
                     self.seed.update((seed_ms,))
                 continue
-            if seed_ms is None or _ms(r.o_ts) < seed_ms:
+            if seed_ms is None or (self.seed_time and _ms(r.o_ts) < seed_ms):
                 continue                          # no statistics yet: dropped
             s, ret = r.ticker, float(r.return_value)
             dirty_c |= apply_return(means, cov, s, ret, n_div)
@@ -199,6 +139,9 @@ class StatsUpdateProcessor(StatefulProcessor):
                      else _ms(r.o_ts))
             out.append((key[0], r.o_ts, s, counts[s], stamp, dict(means),
                         {i: dict(row) for i, row in cov.items()}))
+            if len(out) >= RECORDS_AT_ONCE:
+                yield pd.DataFrame(out, columns=columns)
+                out = []
         for t in dirty_m:
             self.means.updateValue((t,), (float(means[t]),))
         for i, j in dirty_c:
@@ -206,8 +149,7 @@ class StatsUpdateProcessor(StatefulProcessor):
         for t in dirty_n:
             self.counts.updateValue((t,), (int(counts[t]),))
         if out:
-            yield pd.DataFrame(out, columns=["portfolio_id", "o_ts", "ticker", "n", "timestamp",
-                                             "meanReturns", "covarianceMatrix"])
+            yield pd.DataFrame(out, columns=columns)
 
     def close(self) -> None:
         pass
@@ -254,10 +196,13 @@ class MetricsProcessor(StatefulProcessor):
                 continue
             e, var, risk, sharpe = portfolio_metrics(weights, means, cov, self.periods,
                                                      self.risk_free)
-            if last is not None and _java_equals(last[0], e) and _java_equals(last[1], risk):
+            if last is not None and java_equals(last[0], e) and java_equals(last[1], risk):
                 continue
             last = (e, risk)
             out.append((key[0], r.o_ts, int(r.o_side), int(r.o_seq), r.o_tie, e, var, risk, sharpe))
+            if len(out) >= ROWS_AT_ONCE:
+                yield pd.DataFrame(out, columns=METRICS_COLUMNS)
+                out = []
         if s_changed:
             _sync_map(self.s_mean, means0, {(t,): m for t, m in means.items()})
             _sync_map(self.s_cov, cov0, {(i, j): c for i, row in cov.items()
@@ -269,8 +214,7 @@ class MetricsProcessor(StatefulProcessor):
         if last is not None:
             self.last.update((float(last[0]), float(last[1])))
         if out:
-            yield pd.DataFrame(out, columns=["portfolio_id", "o_ts", "o_side", "o_seq", "o_tie",
-                                             "expected_return", "variance", "risk", "sharpe"])
+            yield pd.DataFrame(out, columns=METRICS_COLUMNS)
 
     def close(self) -> None:
         pass
@@ -290,18 +234,19 @@ class TickerStatsProcessor(StatefulProcessor):
     per-record rule is applied as is (same arithmetic): the mean is stored
     only for a non-zero old mean, the diagonal is updated only for a non-zero
     new mean and non-zero cell. Off-diagonal cells follow from the tick
-    counts ``n`` (``stats.decay_exponent``). Keys without a seed entry are
-    dropped (such a ticker has no cell to update). Emits one row per applied
-    return.
+    counts ``n`` (``stats.decay_exponent``). A ticker that its portfolio's seed does
+    not name has no cell to update; its returns are counted and emitted, since they
+    trigger metrics like any other. Rows carry ``seed_ms`` of their portfolio (the
+    topology drops those of portfolios without a seed). Emits one row per applied return.
     """
 
-    def __init__(self, count: int = 1000):
+    def __init__(self, count: int = 1000, seed_time: bool = False):
         self.n_div = count + 1
+        self.seed_time = seed_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState(
-            "ticker_state", "seed_ms long, n long, has_mean boolean, mean double, "
-                            "has_var boolean, var double")
+            "ticker_state", "n long, has_mean boolean, mean double, has_var boolean, var double")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         if self.state.exists():
@@ -309,19 +254,16 @@ class TickerStatsProcessor(StatefulProcessor):
         r = initialState.iloc[0]
         has_m = not pd.isna(r["mean0"])
         has_v = not pd.isna(r["var0"])
-        self.state.update((int(r["seed_ms"]), 0, has_m, float(r["mean0"]) if has_m else 0.0,
+        self.state.update((0, has_m, float(r["mean0"]) if has_m else 0.0,
                            has_v, float(r["var0"]) if has_v else 0.0))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if not self.state.exists():
-            for _ in rows:
-                pass
-            return
-        seed_ms, n, has_m, m, has_v, c = self.state.get()
+        n, has_m, m, has_v, c = self.state.get() if self.state.exists() else (0, False, 0.0, False, 0.0)
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("o_ts", kind="mergesort")
         out = []
+        columns = ["portfolio_id", "ticker", "o_ts", "n", "return_value", "has_mean", "mean", "has_var", "var"]
         for r in pdf.itertuples(index=False):
-            if _ms(r.o_ts) < seed_ms:
+            if self.seed_time and _ms(r.o_ts) < r.seed_ms:
                 continue
             ret = float(r.return_value)
             old = m if has_m else 0.0
@@ -334,10 +276,13 @@ class TickerStatsProcessor(StatefulProcessor):
             n += 1
             out.append((key[0], key[1], r.o_ts, n, ret, has_m, m if has_m else None,
                         has_v, c if has_v else None))
-        self.state.update((seed_ms, n, has_m, m, has_v, c))
+            if len(out) >= ROWS_AT_ONCE:
+                yield pd.DataFrame(out, columns=columns)
+                out = []
+        if n:
+            self.state.update((n, has_m, m, has_v, c))
         if out:
-            yield pd.DataFrame(out, columns=["portfolio_id", "ticker", "o_ts", "n",
-                                             "return_value", "has_mean", "mean", "has_var", "var"])
+            yield pd.DataFrame(out, columns=columns)
 
     def close(self) -> None:
         pass
@@ -354,12 +299,9 @@ class FactoredMetricsProcessor(StatefulProcessor):
     n_j*[m_i != 0])`` off the diagonal, the series variance on it. Only the
     changed ticker entries are written back.
 
-    Same assumptions as the batch factored form (symmetric seed; the NaN
-    poisoning of off-diagonal cells by an infinite return is not derived).
-    A return of a ticker absent from the seed changes no statistic and
-    reaches no key here, so it triggers nothing; in record mode it triggers
-    a candidate equal to the previous one (suppressed), except as the very
-    first statistics of a portfolio.
+    Same assumptions as the closed form (symmetric seed, finite returns, no mean that
+    becomes exactly 0 mid-stream); the record mode has none of them. A return of a ticker
+    absent from the seed changes no statistic but triggers like any other.
     """
 
     def __init__(self, count: int = 1000, periods: int = 52, risk_free: float = 0.0018):
@@ -424,10 +366,13 @@ class FactoredMetricsProcessor(StatefulProcessor):
             means, cov = self._stats(mean0, cov0, tick)
             e, var, risk, sharpe = portfolio_metrics(weights, means, cov, self.periods,
                                                      self.risk_free)
-            if last is not None and _java_equals(last[0], e) and _java_equals(last[1], risk):
+            if last is not None and java_equals(last[0], e) and java_equals(last[1], risk):
                 continue
             last = (e, risk)
             out.append((key[0], r.o_ts, int(r.o_side), int(r.o_seq), r.o_tie, e, var, risk, sharpe))
+            if len(out) >= ROWS_AT_ONCE:
+                yield pd.DataFrame(out, columns=METRICS_COLUMNS)
+                out = []
         for t in changed:
             self.tick.updateValue((t,), tick[t])
         if weights != weights_before:
@@ -437,8 +382,7 @@ class FactoredMetricsProcessor(StatefulProcessor):
         if last is not None:
             self.last.update((float(last[0]), float(last[1])))
         if out:
-            yield pd.DataFrame(out, columns=["portfolio_id", "o_ts", "o_side", "o_seq", "o_tie",
-                                             "expected_return", "variance", "risk", "sharpe"])
+            yield pd.DataFrame(out, columns=METRICS_COLUMNS)
 
     def close(self) -> None:
         pass

@@ -61,12 +61,13 @@ def returns_stream(ticks_raw: DataFrame, params: RiskParams, strict: bool = True
                    event_time: bool = False) -> DataFrame:
     """T1/T2 + A1: streaming log returns (append mode, closed windows only).
 
-    Arrival-time windows use ``params.arrival_watermark`` (short: a window
-    is emitted shortly after it ends, like a processing-time window);
-    ``event_time=True`` windows on the last-traded time with
-    ``params.watermark`` (1 minute).
+    Arrival-time windows use ``params.arrival_watermark``; ``event_time=True``
+    windows on the last-traded time with ``params.watermark``. Both are 1 minute: a tick
+    that arrives later than that is dropped and counted by Spark.
     """
     ticks = tk.typed_ticks(ticks_raw, strict=strict, event_time=event_time)
+    if not strict:
+        ticks = tk.quarantine_split(ticks)[0]
     wm = params.watermark if event_time else params.arrival_watermark
     return tk.log_returns(ticks, window=params.window, watermark=wm)
 
@@ -86,14 +87,16 @@ def _control_watermark(df: DataFrame, delay: str | None) -> DataFrame:
 def stats_stream(ticks_raw: DataFrame, params: RiskParams, holdings: DataFrame | None = None,
                  seeds: DataFrame | None = None, seed_stream: DataFrame | None = None,
                  portfolio_id: str = "portf1", stamp: str = "event",
-                 control_watermark: str | None = None) -> DataFrame:
+                 control_watermark: str | None = None, strict: bool = True,
+                 seed_time: bool = False) -> DataFrame:
     """Query A body: updated statistics records, one per applied return.
 
     ``seeds`` (static statistics records) become the processor's initial
-    state; ``seed_stream`` (streaming statistics records) is unioned in as
+    state, there before any return (``seed_time``: at their own time, for replays);
+    ``seed_stream`` (streaming statistics records) is unioned in as
     ``kind='seed'`` rows. Output columns: ``processors.STATS_OUT``.
     """
-    r = returns_stream(ticks_raw, params)
+    r = returns_stream(ticks_raw, params, strict=strict)
     r = r.select("ticker", F.col("window_end").alias("o_ts"), "return_value")
     r = tk.assign_portfolios(r, holdings, portfolio_id)
     rows = r.select("portfolio_id", F.lit("ret").alias("kind"), "o_ts",
@@ -104,10 +107,11 @@ def stats_stream(ticks_raw: DataFrame, params: RiskParams, holdings: DataFrame |
                     F.lit(None).cast("map<string,map<string,double>>").alias("covarianceMatrix"))
     if seed_stream is not None:
         seed_stream = _control_watermark(seed_stream, control_watermark)
+        o_seq, o_tie = st.order_columns(seed_stream)
         s = seed_stream.select(
             "portfolio_id", F.lit("seed").alias("kind"),
             F.timestamp_millis("timestamp").alias("o_ts"), F.lit(0).alias("o_side"),
-            F.col("seq").cast("bigint").alias("o_seq"), F.lit("").alias("o_tie"),
+            o_seq.alias("o_seq"), o_tie.alias("o_tie"),
             F.lit(None).cast("string").alias("ticker"),
             F.lit(None).cast("double").alias("return_value"),
             "timestamp", "meanReturns", "covarianceMatrix")
@@ -116,33 +120,35 @@ def stats_stream(ticks_raw: DataFrame, params: RiskParams, holdings: DataFrame |
     if seeds is not None:
         init = st.first_seed(seeds).groupBy("portfolio_id")
     return restore_nan_stats(rows.groupBy("portfolio_id").transformWithStateInPandas(
-        statefulProcessor=StatsUpdateProcessor(params.count, stamp),
+        statefulProcessor=StatsUpdateProcessor(params.count, stamp, seed_time),
         outputStructType=STATS_OUT, outputMode="Append", timeMode="None",
         initialState=init))
 
 
 def ticker_stats_stream(ticks_raw: DataFrame, params: RiskParams, seeds: DataFrame,
                         holdings: DataFrame | None = None,
-                        portfolio_id: str = "portf1") -> DataFrame:
+                        portfolio_id: str = "portf1", strict: bool = True,
+                        seed_time: bool = False) -> DataFrame:
     """Query A, factored mode: per (portfolio, ticker) series rows
     (``processors.TICKER_STATS_OUT``), state keyed by (portfolio, ticker).
 
     ``seeds``: static statistics records; their first record per portfolio
-    is exploded to one initial state per (portfolio, ticker) of its maps.
+    is exploded to one initial state per (portfolio, ticker) of its maps, there before
+    any return unless ``seed_time``.
     """
-    r = returns_stream(ticks_raw, params)
+    r = returns_stream(ticks_raw, params, strict=strict)
     r = r.select("ticker", F.col("window_end").alias("o_ts"), "return_value")
     r = tk.assign_portfolios(r, holdings, portfolio_id)
     seed = st.first_seed(seeds)
+    r = r.join(seed.select("portfolio_id", F.col("timestamp").alias("seed_ms")), "portfolio_id")
     keys = (st.seed_means(seed).select(*st.PT)
             .unionByName(st.seed_cov_rows(seed).select(*st.PT)).distinct())
     init = (keys.join(st.seed_means(seed), st.PT, "left")
-            .join(st.seed_diag(seed), st.PT, "left")
-            .join(seed.select("portfolio_id", F.col("timestamp").alias("seed_ms")), "portfolio_id"))
+            .join(st.seed_diag(seed), st.PT, "left"))
     return restore_nan_ticker_stats(
-        r.select("portfolio_id", "ticker", "o_ts", "return_value").groupBy(
+        r.select("portfolio_id", "ticker", "o_ts", "return_value", "seed_ms").groupBy(
             "portfolio_id", "ticker").transformWithStateInPandas(
-            statefulProcessor=TickerStatsProcessor(params.count),
+            statefulProcessor=TickerStatsProcessor(params.count, seed_time),
             outputStructType=TICKER_STATS_OUT, outputMode="Append", timeMode="None",
             initialState=init.groupBy("portfolio_id", "ticker")))
 
@@ -155,6 +161,7 @@ def metrics_stream(stats_records: DataFrame, weight_snapshots: DataFrame,
     ``weight_snapshots``: ``seq, timestamp, portfolio_id, weights``.
     """
     weight_snapshots = _control_watermark(weight_snapshots, control_watermark)
+    w_seq, w_tie = st.order_columns(weight_snapshots)
     s = stats_records.select(
         "portfolio_id", F.lit("stats").alias("kind"), F.col("o_ts").cast("timestamp").alias("o_ts"),
         F.lit(1).alias("o_side"), F.lit(0).cast("bigint").alias("o_seq"),
@@ -162,8 +169,7 @@ def metrics_stream(stats_records: DataFrame, weight_snapshots: DataFrame,
         F.lit(None).cast("map<string,double>").alias("weights"))
     w = weight_snapshots.select(
         "portfolio_id", F.lit("weights").alias("kind"), F.timestamp_millis("timestamp").alias("o_ts"),
-        F.lit(2).alias("o_side"), F.col("seq").cast("bigint").alias("o_seq"),
-        F.lit("").alias("o_tie"),
+        F.lit(2).alias("o_side"), w_seq.alias("o_seq"), w_tie.alias("o_tie"),
         F.lit(None).cast("map<string,double>").alias("meanReturns"),
         F.lit(None).cast("map<string,map<string,double>>").alias("covarianceMatrix"),
         "weights")
@@ -183,6 +189,7 @@ def metrics_stream_factored(series: DataFrame, weight_snapshots: DataFrame, seed
             .unionByName(st.seed_means(seed).select(
                 "portfolio_id", F.lit("mean").alias("kind"), F.col("ticker").alias("i"),
                 F.lit(None).cast("string").alias("j"), F.col("mean0").alias("value"))))
+    w_seq, w_tie = st.order_columns(weight_snapshots)
     s = series.select(
         "portfolio_id", F.lit("series").alias("kind"), F.col("o_ts").cast("timestamp").alias("o_ts"),
         F.lit(1).alias("o_side"), F.lit(0).cast("bigint").alias("o_seq"),
@@ -190,8 +197,7 @@ def metrics_stream_factored(series: DataFrame, weight_snapshots: DataFrame, seed
         F.lit(None).cast("map<string,double>").alias("weights"))
     w = weight_snapshots.select(
         "portfolio_id", F.lit("weights").alias("kind"), F.timestamp_millis("timestamp").alias("o_ts"),
-        F.lit(2).alias("o_side"), F.col("seq").cast("bigint").alias("o_seq"),
-        F.lit("").alias("o_tie"), F.lit(None).cast("string").alias("ticker"),
+        F.lit(2).alias("o_side"), w_seq.alias("o_seq"), w_tie.alias("o_tie"), F.lit(None).cast("string").alias("ticker"),
         F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("boolean").alias("has_mean"),
         F.lit(None).cast("double").alias("mean"), F.lit(None).cast("boolean").alias("has_var"),
         F.lit(None).cast("double").alias("var"), "weights")
@@ -201,15 +207,20 @@ def metrics_stream_factored(series: DataFrame, weight_snapshots: DataFrame, seed
         initialState=init.groupBy("portfolio_id")))
 
 
-def run_available_now(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                      timeout_s: int = 1800) -> None:
-    """Run a streaming DataFrame over everything available, into files."""
-    q = (df.writeStream.format(fmt).option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+def finish(q, timeout_s: int | None = None) -> None:
+    """Wait until an available-now query has read everything (``timeout_s``: give up then)."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"streaming query did not finish within {timeout_s}s")
     if q.exception() is not None:
         raise q.exception()
+
+
+def run_available_now(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
+                      timeout_s: int | None = None) -> None:
+    """Run a streaming DataFrame over everything available, into files."""
+    finish(df.writeStream.format(fmt).option("path", path)
+           .option("checkpointLocation", checkpoint).outputMode("append")
+           .trigger(availableNow=True).start(), timeout_s)

@@ -35,7 +35,7 @@ def summary(name, df):
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session(shuffle_partitions=8, spark__ui__showConsoleProgress="false")
+    spark = build_session(master="local[8]", shuffle_partitions=8, spark__ui__showConsoleProgress="false")
     j = Q.job(spark, sf)
     summary("log_return (A1)", j.returns)
     summary("applied (J3 + J1)", j.portfolio_returns)
