@@ -39,7 +39,7 @@ class Forest:
 
 
 def fit(x: np.ndarray, y: np.ndarray, monotone: list[int], trees: int = 60, depth: int = 4,
-        rate: float = 0.15, bins: int = 64, least: float = 5.0, ridge: float = 1.0) -> Forest:
+        rate: float = 0.15, bins: int = 64, least: float = 1.0, ridge: float = 1.0) -> Forest:
     """``monotone[f]``: 1 (the margin may only rise with feature f), -1 (only fall) or 0.
 
     A split that breaks its feature's direction is not made, and both children are

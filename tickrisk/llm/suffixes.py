@@ -103,10 +103,14 @@ def each_snippet(docs: DataFrame) -> DataFrame:
             doc, start, anchor, windows, gram = snippets(texts)
             hashes = np.fromiter((digest(texts[d][s:e]) for d, s, e in zip(
                 doc.tolist(), start.tolist(), (start + windows + LENGTH - 1).tolist())), np.uint64, len(doc))
-            order = np.lexsort((hashes, gram))                  # stable: earliest first
-            again = np.zeros(len(doc), bool)
-            again[order[1:]] = ((gram[order[1:]] == gram[order[:-1]]) & (hashes[order[1:]] == hashes[order[:-1]]))
-            new = ~again
+            order = np.lexsort((start, keys[doc], hashes, gram))     # earliest first
+            again, twin = (np.zeros(len(doc), bool) for _ in range(2))
+            same = (gram[order[1:]] == gram[order[:-1]]) & (hashes[order[1:]] == hashes[order[:-1]])
+            # the same place of a repeated row is no other occurrence
+            twin[order[1:]] = same & (keys[doc[order[1:]]] == keys[doc[order[:-1]]]) & (start[order[1:]] == start[order[:-1]])
+            again[order[1:]] = same
+            again &= ~twin
+            new = ~again & ~twin
             d, s, e = _spans(doc[again], start[again], (start + windows + LENGTH - 1)[again])
             gone = np.zeros(len(d), np.int64)
             with np.errstate(over="ignore"):
@@ -133,6 +137,10 @@ def settle_copies(each: DataFrame, partitions: int) -> DataFrame:
             gram, h = t.column("gram").to_numpy(), t.column("hash").to_numpy()
             key = t.column("key").to_numpy()
             start, anchor, windows = (t.column(c).to_numpy() for c in ("start", "anchor", "windows"))
+            if len(gram):                                       # the same place of repeated rows counts once
+                one = np.r_[True, (gram[1:] != gram[:-1]) | (h[1:] != h[:-1]) | (key[1:] != key[:-1])
+                            | (start[1:] != start[:-1])]
+                gram, h, key, start, anchor, windows = (x[one] for x in (gram, h, key, start, anchor, windows))
             new_gram = np.r_[True, gram[1:] != gram[:-1]] if len(gram) else np.empty(0, bool)
             first = new_gram | np.r_[True, h[1:] != h[:-1]] if len(gram) else new_gram
             group = np.cumsum(new_gram) - 1
@@ -337,8 +345,15 @@ def induced_spans(found: DataFrame, shards: int, memory_rows: int = 1 << 19) ->
         schema = pa.schema([("key", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
         with tempfile.TemporaryDirectory() as folder:           # this task's own spill files
             files = {c: open(os.path.join(folder, c), "wb") for c in [*names, "size", "data"]}
-            n = 0
+            n, last = 0, None
             for batch in batches:
+                if not batch.num_rows:
+                    continue
+                # repeated rows bring the same snippet again: it counts once
+                place = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("gram", "key", "start")], 1)
+                before = np.vstack([place[:1] - 1 if last is None else last, place[:-1]])
+                last = place[-1:]
+                batch = batch.filter(pa.array((place != before).any(1)))
                 for c in names:
                     files[c].write(batch.column(c).to_numpy().astype(np.int64).tobytes())
                 bodies = batch.column("body").to_pylist()
@@ -371,7 +386,7 @@ def induced_spans(found: DataFrame, shards: int, memory_rows: int = 1 << 19) ->
                 yield merged()
 
     return (found.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)))
-            .repartition(shards, "shard").sortWithinPartitions("gram", "key", "anchor")
+            .repartition(shards, "shard").sortWithinPartitions("gram", "key", "start")
             .mapInArrow(work, "key long, start int, end int"))
 
 
