@@ -117,7 +117,7 @@ def test_seed_stream_first_wins_and_drops_early_returns(spark):
     params = RiskParams(window="2 seconds", watermark="1 second")
     ts_stream = file_source(spark, f"{root}/ticks", tick_schema, stream=True)
     sd_stream = file_source(spark, f"{root}/seeds", seed_t, stream=True)
-    s = tp.stats_stream(ts_stream, params, seed_stream=sd_stream)
+    s = tp.stats_stream(ts_stream, params, seed_stream=sd_stream, seed_time=True)
     tp.run_available_now(s, f"{root}/out", f"{root}/ckpt")
     out = spark.read.parquet(f"{root}/out").collect()
     assert len(out) == 1                                  # only the [4,6) window is applied
@@ -129,6 +129,34 @@ def test_seed_stream_first_wins_and_drops_early_returns(spark):
         0.04 + ((ret - 0.01) * (ret - m1) - 0.04) / 1001, rel=1e-12)
 
 
+@pytest.mark.parametrize("mode", ["record", "factored"])
+def test_initial_seed_is_there_before_any_return(spark, mode):
+    """A static seed stamped 50 s after the first windows still applies to all of them; a
+    ticker that the seed does not name triggers too (factored mode)."""
+    from tickrisk.params import RiskParams
+    from tickrisk.schemas import PORTFOLIO_STATS
+    from pyspark.sql import types as T
+    root = tempfile.mkdtemp(prefix="seed50-")
+    t0 = dt.datetime(2024, 1, 1)
+    sch = ("seq long, arrival_ts timestamp, ticker string, field_opening_price string, "
+           "field_cours_courant string, field_last_traded_time string")
+    ticks = []
+    for k, (sec, tkr) in enumerate([(0.5, "A"), (4.5, "A"), (8.5, "Z"), (600, "S")]):
+        ts = t0 + dt.timedelta(seconds=sec)
+        ticks.append((k, ts, tkr, "10", "11", ts.strftime("%Y-%m-%dT%H:%M:%S.%fZ")))
+    _write(spark, ticks, sch, f"{root}/ticks")
+    seed_t = T.StructType([T.StructField("seq", T.LongType())] + PORTFOLIO_STATS.fields)
+    ms = int((t0 - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+    seeds = spark.createDataFrame([(1, ms + 50_000, "portf1", {"A": 0.01}, {"A": {"A": 0.04}})], seed_t)
+    params = RiskParams(window="2 seconds")
+    stream = file_source(spark, f"{root}/ticks", sch, stream=True)
+    s = (tp.stats_stream(stream, params, seeds=seeds) if mode == "record"
+         else tp.ticker_stats_stream(stream, params, seeds=seeds))
+    tp.run_available_now(s, f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out").collect()
+    assert sorted((r["ticker"], r["n"]) for r in out) == [("A", 1), ("A", 2), ("Z", 1)]
+
+
 def test_points_writer_foreach_batch(spark):
     from tickrisk.sources.sinks import points_writer
     root = tempfile.mkdtemp(prefix="points-stream-")
