@@ -6,7 +6,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pytest
 
 from edge import empty, frame, rows
 from tickrisk.llm import secrets, urls
