@@ -22,9 +22,10 @@ from tickrisk.llm.common import table
 
 # base patterns (fixed values)
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-ASSIGN_WORDS = ["password", "passwd", "secret", "token", "apikey", "api_key"]
-ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
+ASSIGN_SIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]"""    # in every assignment
+# a match takes its whole run, so asking for the least length at once drops the same ones
+ACCESS = r"AKIA[A-Z0-9]{14,}"
+HEX = r"[0-9a-f]{16,}"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
 SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
@@ -58,10 +59,10 @@ class ScanRules:
         r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"])
 
 
-def _placed(df: DataFrame, out: str, pattern: str, guard: Column, group: int = 0) -> DataFrame:
-    """Adds ``out``: all matches of ``pattern`` in ``_t``, in order, as (start, found, value);
-    value is the match's ``group``. ``guard`` is a cheap test that holds for every text
-    with a match."""
+def _placed(df: DataFrame, out: str, pattern: str, guard: Column, group: int, least: int) -> DataFrame:
+    """Adds ``out``: the matches of ``pattern`` in ``_t``, in order, as (start, found, value)
+    whose value, the match's ``group``, has at least ``least`` characters. ``guard`` is a
+    cheap test that holds for every text with a match."""
     none = F.array().cast("array<string>")
     df = (df.withColumn("_f", F.when(guard, F.regexp_extract_all("_t", F.lit(pattern), F.lit(0))).otherwise(none))
           .withColumn("_some", F.size("_f") > 0)
@@ -72,9 +73,9 @@ def _placed(df: DataFrame, out: str, pattern: str, guard: Column, group: int = 0
 
     def step(a, x):
         begin = a["at"] + F.length(x["_g"])
+        more = F.concat(a["out"], F.array(F.struct(begin.alias("start"), x["_f"].alias("found"), x["_v"].alias("value"))))
         return F.struct((begin + F.length(x["_f"])).alias("at"),
-                        F.concat(a["out"], F.array(F.struct(begin.alias("start"), x["_f"].alias("found"),
-                                                            x["_v"].alias("value")))).alias("out"))
+                        F.when(F.length(x["_v"]) >= least, more).otherwise(a["out"]).alias("out"))
 
     # split gives one more piece than there are matches: the text after the last
     return (df.withColumn("_z", F.slice(F.arrays_zip("_f", "_g", "_v"), 1, F.greatest(F.size("_f"), F.lit(0))))
@@ -88,9 +89,8 @@ def _span(start: Column, rank: int, kind: str, end: Column) -> Column:
 
 
 def _base_kind(df: DataFrame, out: str, rank: int, pattern: str, guard: Column, group: int = 0) -> DataFrame:
-    df = _placed(df, "_p", pattern, guard, group)
-    good = F.filter("_p", lambda x: F.length(x["value"]) >= LEAST[out])
-    return df.withColumn(out, F.transform(good, lambda x: _span(
+    df = _placed(df, "_p", pattern, guard, group, LEAST[out])
+    return df.withColumn(out, F.transform("_p", lambda x: _span(
         x["start"], rank, out, x["start"] + F.length(x["found"])))).drop("_p")
 
 
@@ -137,7 +137,7 @@ def _dense(found: Column, c: EntropyClass) -> Column:
 def _entropy_kind(df: DataFrame, rank: int, c: EntropyClass, allow: list[str], earlier: list[str]) -> DataFrame:
     """Adds column ``c.kind``: spans of this class that no span of ``earlier`` columns touches."""
     run = f"(?<![{c.pattern}])[{c.pattern}]{{{c.window},}}"
-    df = _placed(df, "_p", run, F.col("_t").rlike(run))
+    df = _placed(df, "_p", run, F.col("_t").rlike(run), 0, c.window)
 
     def allowed(x):
         out = F.lit(False)
@@ -166,19 +166,14 @@ def find_spans(docs: DataFrame, text_col: str = "text", rules: ScanRules | None
     """
     rules = rules or ScanRules()
     df = docs.withColumn("_t", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    df = df.withColumn("_low", F.lower("_t"))
-    named = F.lit(False)
-    for word in ASSIGN_WORDS:
-        named = named | F.contains("_low", F.lit(word))
-    df = df.withColumn("_named", named).drop("_low")
-    df = _base_kind(df, "assign", 0, ASSIGN, F.col("_named"), group=2)
+    df = _base_kind(df, "assign", 0, ASSIGN, F.col("_t").rlike(ASSIGN_SIGN), group=2)
     df = _base_kind(df, "access", 1, ACCESS, F.contains("_t", F.lit("AKIA")))
     df = _base_kind(df, "hex", 2, HEX, F.col("_t").rlike("[0-9a-f]{16}"))
     kinds = ["assign", "access", "hex"]
     for rank, c in enumerate(rules.classes, 3):
         df = _entropy_kind(df, rank, c, rules.allow, list(kinds))
         kinds.append(c.kind)
-    return (df.withColumn(out, F.array_sort(F.concat(*kinds)).cast(SPANS)).drop("_t", "_named", *kinds))
+    return (df.withColumn(out, F.array_sort(F.concat(*kinds)).cast(SPANS)).drop("_t", *kinds))
 
 
 def span_text(spans: Column) -> Column:
