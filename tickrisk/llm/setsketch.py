@@ -195,6 +195,47 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
         work, "a long, b long")
 
 
+def shared_counts(texts: DataFrame, size: int) -> DataFrame:
+    """(node, lone): how many of a node's shingles no other node of ``texts`` has (nodes
+    with at least one such)."""
+    def work(batches):
+        schema = pa.schema([("hash", pa.int64()), ("node", pa.int64())])
+        for batch in slices(batches, 1 << 20):
+            sets = shingle_sets(texts_as_bytes(batch.column("text")), size)
+            n = [len(s) for s in sets]
+            yield rows(schema, np.concatenate(sets).view(np.int64) if sets else [],
+                       np.repeat(batch.column("node").to_numpy(), n))
+
+    each = texts.select("node", "text").mapInArrow(work, "hash long, node long")
+    return (each.groupBy("hash").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+            .groupBy("node").agg(F.count("*").alias("lone")))
+
+
+def unsettled_pairs(mixed: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components that can reach ``percent`` at all.
+
+    ``mixed`` has (key, node, label). A shingle that only one of the open nodes has is in no
+    intersection, so that of two nodes is at most the smaller count of shared shingles, s, and a
+    link needs (100 + percent) * s >= percent * (size of the one + size of the other). Nodes for
+    which even the bucket's smallest set is too large are dropped first. No link is lost, and copies
+    that differ from everything by more than the threshold, however many, leave no pairs."""
+    open_texts = texts.join(mixed.select("node").distinct(), "node", "left_semi")
+    lone = shared_counts(open_texts, size)
+    sized = (classes.select("node", F.col("n_shingles").alias("n")).join(lone, "node", "left")
+             .select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("s")))
+    placed = mixed.select("key", "node", "label").join(sized, "node")
+    least = placed.groupBy("key").agg(F.min("n").alias("least"))
+    able = materialize(placed.join(least, "key").where(f"{100 + percent} * s >= {percent} * (n + least)")
+                       .drop("least"), "able")
+    still = able.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    able = able.join(still.select("key"), "key", "left_semi")
+    other = able.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "label", "n", "s")])
+    reach = (f"label < label2 and {100 + percent} * least(s, s2) >= {percent} * (n + n2) "
+             f"and 100 * least(n, n2) >= {percent} * greatest(n, n2)")
+    return (able.alias("x").join(other.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr(reach))
+            .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_rounds: int = 3,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
@@ -203,8 +244,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
     A bucket (classes that share a band) is first compared with its smallest class; classes
     joined by confirmed links share a component. In further rounds, classes outside the
     component of the bucket's smallest class are compared with another of its members.
-    Last, classes of one bucket that are still in different components are
-    compared pair by pair. So no pair of a bucket that could join two components is left
+    Last, classes of one bucket that are still in different components are compared
+    with each other, if their sizes and shared shingles allow a link at all
+    (``unsettled_pairs``). So no pair of a bucket that could join two components is left
     out, while a large group of copies costs a few comparisons per member, not all pairs.
 
     A null, empty or blank text has no shingles and links with nothing. A row without id
@@ -240,9 +282,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
             pairs = mixed.where("label > low").join(centres, "key").select(
                 F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         else:
-            other = mixed.select("key", F.col("node").alias("other"), F.col("label").alias("other_label"))
-            pairs = mixed.join(other, "key").where("label < other_label").select(
-                F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+            pairs = unsettled_pairs(materialize(mixed.select("key", "node", "label"), "mixed"), classes, texts,
+                                    size, percent)
         found = materialize(confirm(hopeful(pairs.distinct(), classes, percent), texts, size, percent), "links")
         links = found if links is None else links.unionByName(found)
         roots = connected_components(links)
