@@ -19,6 +19,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     e = materialize(edges.where(F.col(a) != F.col(b)).select(
         F.greatest(a, b).alias("x"), F.least(a, b).alias("y")).distinct(), "edges")
+    total = _sum(e)
     while True:
         both = e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = both.groupBy(F.col("x").alias("u")).agg(F.least(F.min("y"), F.col("u")).alias("m"))
@@ -30,7 +31,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             small.where("y != m").select(F.col("y").alias("x"), F.col("m").alias("y"))
             .unionByName(least.select(F.col("u").alias("x"), F.col("m").alias("y")))
             .where("x != y").distinct(), "edges")
-        if _sum(after) == _sum(e):
+        before, total = total, _sum(after)
+        if total == before:
             roots = after.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("root"))
             return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
         e = after

@@ -270,10 +270,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
 
     links, roots = None, None
     for turn in range(star_rounds + 1):
-        placed = members if roots is None else members.join(roots, "node", "left")
-        placed = placed.withColumn("label", F.coalesce("root", "node") if roots is not None else F.col("node"))
+        placed = members.select("key", "node", F.col("node").alias("label"))
+        if roots is not None:
+            placed = materialize(members.join(roots, "node", "left").select(
+                "key", "node", F.coalesce("root", "node").alias("label")), "placed")
         open_ = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        mixed = placed.join(open_.select("key", "low"), "key")
+        mixed = materialize(placed.join(open_.select("key", "low"), "key"), "mixed")
         if turn < star_rounds:
             # the centre is a member of the bucket's lowest component, another one each round
             rank = F.struct((F.xxhash64("node", F.lit(turn)) if turn else F.lit(0)).alias("h"), "node")
@@ -282,8 +284,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
             pairs = mixed.where("label > low").join(centres, "key").select(
                 F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         else:
-            pairs = unsettled_pairs(materialize(mixed.select("key", "node", "label"), "mixed"), classes, texts,
-                                    size, percent)
+            pairs = unsettled_pairs(mixed, classes, texts, size, percent)
         found = materialize(confirm(hopeful(pairs.distinct(), classes, percent), texts, size, percent), "links")
         links = found if links is None else links.unionByName(found)
         roots = connected_components(links)
