@@ -41,10 +41,11 @@ TKEY = ["portfolio_id"] + ORDER
 
 def weights_long(snapshots: DataFrame) -> DataFrame:
     """Weight snapshots -> ``(portfolio_id, seq, timestamp, ticker, w)``. A snapshot
-    without a weight (an empty or all-null map) keeps one row with null ticker and
-    weight, since it triggers and is current like any other."""
+    without a weight (an empty or all-null map) keeps one row with an empty ticker (joins
+    drop null keys) and a null weight, since it triggers and is current like any other."""
     w = F.map_filter("weights", lambda k, v: v.isNotNull())
-    return snapshots.select("portfolio_id", "seq", "timestamp", F.explode_outer(w).alias("ticker", "w"))
+    long = snapshots.select("portfolio_id", "seq", "timestamp", F.explode_outer(w).alias("ticker", "w"))
+    return long.withColumn("ticker", F.coalesce("ticker", F.lit("")))
 
 
 _ENTRY = "struct<j:string,tag:int,c:double,w:double,n:bigint,g:boolean>"
