@@ -179,6 +179,35 @@ def test_shared_passage_is_found(spark):
     assert got[0] == 0 == got[9] and all(got[i] >= 0.5 * len(passage) for i in range(1, 5))
 
 
+def test_no_passage_of_51_words_escapes():
+    """Each shared passage keeps a run of at least 100 bytes of equal chunks, wherever it stands."""
+    rnd, gear = random.Random(11), chunks.gear_table()
+    kinds = (lambda n: words(rnd, n), lambda n: " ".join(rnd.choice(["été", "日本", "a", "of", "word"]) for _ in range(n)),
+             lambda n: " ".join(rnd.choice(["-" * 12, "...", "==", "a", "word"]) + words(rnd, 1) for _ in range(n)))
+    for k in range(1500):
+        passage = kinds[k % 3](51)
+        if len(passage.encode()) < 250:
+            passage += words(rnd, 60)[:250 - len(passage.encode())]
+        texts = [f"{words(rnd, rnd.randrange(40))} {passage} {words(rnd, rnd.randrange(40))}".encode() for _ in range(2)]
+        (first, second) = ([(a, b, t[a:b]) for a, b in zip([0, *e], e)] for t, e in
+                           ((t, e.tolist()) for t, e in zip(texts, chunks.chunk_ends(texts, gear))))
+        known, run, best = {c for _, _, c in first}, 0, 0
+        for a, b, c in second:
+            run = run + b - a if c in known else 0
+            best = max(best, run)
+        assert best >= 100, (k, passage)
+        assert max(b - a for a, b, _ in second) < chunks.WINDOW + chunks.REACH + chunks.LEAST_GAP + chunks.WINDOW
+
+
+def test_passages_of_51_words_are_removed(spark):
+    rnd = random.Random(12)
+    passages = [words(rnd, 51) for _ in range(200)]
+    docs = [(c * 1000 + k, f"{words(rnd, 30)} {p} {words(rnd, 30)}") for c in range(2) for k, p in enumerate(passages)]
+    got = {r["doc_id"]: r["n_removed"] for r in
+           chunks.substring_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(got[k] == 0 for k in range(200)) and all(got[1000 + k] >= 100 for k in range(200))
+
+
 # --- op6
 
 

@@ -1,10 +1,15 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash of the last 32 bytes rolls over each text; a chunk ends where its top
-bits are zero, so boundaries move with the content and an insertion changes
-only the chunks around it. Chunks are deduplicated by digest: the first
-occurrence (smallest document id, then position) stays. Runs of neighbouring
-repeated chunks of at least ``least_run`` bytes are removed.
+A gear hash of the last 8 bytes rolls over each text; a chunk ends where it is the least of
+some window of 40 bytes, so boundaries move with the content, an insertion changes only the
+chunks around it and none is longer than a window and a gap. Chunks are deduplicated by
+digest: the first occurrence (smallest document id, then position) stays. Runs of
+neighbouring repeated chunks of at least ``least_run`` bytes are removed.
+
+The cuts in a shared passage are the same in each copy from its first whole window to its
+last, so all but REACH + 2 * WINDOW bytes of it meet (more only where cuts closer than
+LEAST_GAP straddle its edges): a passage of ``least_run`` and that many bytes does not
+escape. Its first and last partial chunks stay.
 """
 
 from __future__ import annotations
@@ -18,9 +23,10 @@ from pyspark.sql import functions as F
 from tickrisk.llm.common import heavy_keys, mix64, rows, slices, table, texts_as_bytes
 from tickrisk.plans.materialize import materialize
 
-REACH = 32                # bytes that the rolling hash covers
-CUT_BITS = 5              # a chunk has about 2 ** CUT_BITS bytes beyond its least gap
-LEAST_GAP = 8             # a cut needs no other candidate in so many bytes before it
+REACH = 8                 # bytes that the rolling hash covers
+WINDOW = 40               # any so many bytes of a text have a candidate, about 20 are apart
+LEAST_GAP = 8             # a candidate is no cut if the cut before it is nearer
+BLOCK = 1 << 20           # bytes whose windows are held at a time
 
 
 def gear_table() -> np.ndarray:
@@ -30,19 +36,51 @@ def gear_table() -> np.ndarray:
     return g
 
 
+def least_places(h: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Place of the least hash (leftmost if tied) of each window that starts in a .. b - 1."""
+    part = h[a:b + WINDOW - 1]
+    least = part.astype(np.uint64) << np.uint64(32) | np.arange(len(part), dtype=np.uint64)
+    span = 1
+    while 2 * span <= WINDOW:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    if span < WINDOW:
+        least = np.minimum(least[:-(WINDOW - span)], least[WINDOW - span:])
+    return a + (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def apart(hit: np.ndarray) -> np.ndarray:
+    """Candidates from left to right without those nearer than LEAST_GAP to the one kept before."""
+    keep, places, last = np.ones(len(hit), bool), hit.tolist(), 0
+    for i in (np.flatnonzero(np.diff(hit) < LEAST_GAP) + 1).tolist():
+        if keep[i - 1]:
+            last = places[i - 1]
+        keep[i] = places[i] - last >= LEAST_GAP
+    return hit[keep]
+
+
 def chunk_ends(texts: list[bytes], gear: np.ndarray) -> list[np.ndarray]:
     """Ends of the chunks of each text; the last is its length (none for an empty text)."""
     pad = bytes(REACH)
     data = np.frombuffer(pad + pad.join(texts) + pad, np.uint8)
     h = gear[data]
-    for k in (1, 2, 4, 8, 16):                               # window doubles: 2, 4, ... 32 bytes
+    for k in (1, 2, 4):                                      # window doubles: 2, 4, 8 bytes
         h[k:] += h[:-k] << np.uint32(k)
-    hit = np.flatnonzero(h[:-1] >> np.uint32(32 - CUT_BITS) == 0)
-    hit = hit[data[hit + 1] & 0xC0 != 0x80]                  # not inside a UTF-8 character
-    if len(hit):
-        hit = hit[np.r_[True, np.diff(hit) >= LEAST_GAP]]
+    h[:-1][data[1:] & 0xC0 == 0x80] = 0xFFFFFFFF             # not inside a UTF-8 character
     sizes = np.array([len(t) for t in texts], np.int64)
     begins = REACH + np.r_[0, np.cumsum(sizes + REACH)[:-1]] if len(texts) else np.empty(0, np.int64)
+    some = sizes >= WINDOW
+    step = np.zeros(len(data) + 1, np.int8)                  # windows lie inside one text
+    step[begins[some]] = 1
+    step[(begins + sizes)[some] - WINDOW + 1] = -1
+    inside = np.cumsum(step, dtype=np.int8).astype(bool)
+    found = [np.empty(0, np.int64)]
+    for a in range(0, len(data) - WINDOW + 1, BLOCK):
+        b = min(a + BLOCK, len(data) - WINDOW + 1)
+        at = least_places(h, a, b)[inside[a:b]]
+        found.append(at[np.diff(at, prepend=-1) != 0])
+    hit = np.concatenate(found)
+    hit = apart(hit[np.diff(hit, prepend=-1) != 0])
     lo, hi = np.searchsorted(hit, begins), np.searchsorted(hit, begins + sizes - 1)
     return [np.append(hit[a:b] - begin + 1, size) if size else np.empty(0, np.int64)
             for a, b, begin, size in zip(lo, hi, begins, sizes)]
