@@ -208,9 +208,43 @@ def test_passages_of_51_words_are_removed(spark):
     assert all(got[k] == 0 for k in range(200)) and all(got[1000 + k] >= 100 for k in range(200))
 
 
+def rows_without_id(spark):
+    """Texts without id, texts of one id, repeated rows; and the same with ids in the order of (id, text hash)."""
+    rnd = random.Random(13)
+    shared = [words(rnd, 60) for _ in range(3)]
+    items = [(3, shared[0] + " " + words(rnd, 40)), (5, words(rnd, 50) + " " + shared[1]), (5, "日本語" * 30 + words(rnd, 70))]
+    items += [(None, "é" * (7 + k) + words(rnd, 20) + " 日本 " + shared[k % 3] + "ü" * (90 + k) + words(rnd, 30)) for k in range(9)]
+    items += [(None, "éü" * 200 + str(k)) for k in range(3)] + [(None, None), (None, ""), items[5], items[0]]
+    docs = spark.createDataFrame(items, "doc_id long, text string").repartition(3)
+    tag = {r["text"]: r["t"] for r in docs.selectExpr("text", "xxhash64(text) as t").collect()}
+    order = sorted(set(items), key=lambda r: (r[0] is None, r[0] or 0, tag[r[1]]))
+    return docs, items, {r: 10 * k for k, r in enumerate(order)}
+
+
+def test_substring_dedup_of_rows_without_id(spark):
+    docs, items, place = rows_without_id(spark)
+    key = {r: place[r] if r[0] is None else r[0] - 100 for r in items}     # those of one id stay one id
+    exp = brute_chunks([(key[r], r[1]) for r in items], 100)
+    cut = {r: r[1] and chunks.without_spans(r[1].encode(), [{"start": a, "end": b} for a, b in exp[key[r], r[1]]]).decode()
+           for r in items}
+    assert sum(cut[r] != r[1] for r in set(items) if r[0] is None) > 6
+    kept = chunks.remove_repeats(docs).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(((r[0], cut[r]) for r in items), key=str)
+    got = chunks.substring_report(docs).collect()
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in got), key=str) == sorted(
+        ((r[0], len((r[1] or "").encode()), len((r[1] or "").encode()) - len((cut[r] or "").encode())) for r in items), key=str)
+
+
 # --- op6
 
 
+def test_repeated_strings_of_rows_without_id(spark):
+    docs, items, place = rows_without_id(spark)
+    exp = brute_strings([(place[r], r[1]) for r in sorted(items, key=place.get)])
+    got = suffixes.remove_repeated_strings(docs).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((r[0],) + exp[place[r], r[1]][1:] for r in items), key=str)
+
+
 def brute_strings(items):
     seen, out = set(), {}
     for i, t in sorted(dict.fromkeys(items), key=lambda r: (r[0] is None, r[0] or 0)):

@@ -87,12 +87,12 @@ def chunk_ends(texts: list[bytes], gear: np.ndarray) -> list[np.ndarray]:
 
 
 def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_chunks and, per chunk, start, digest (64 bits)
-    and whether the document had it before."""
+    """One row per document: doc_id, tag (hash of its text), n_bytes, n_chunks and, per chunk,
+    start, digest (64 bits) and whether the document had it before."""
     def work(batches):
         import xxhash
         digest_of, gear = xxhash.xxh3_64_intdigest, gear_table()
-        schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_chunks", pa.int32()),
+        schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("n_bytes", pa.int64()), ("n_chunks", pa.int32()),
                             ("starts", pa.list_(pa.int32())), ("digests", pa.list_(pa.int64())),
                             ("again", pa.list_(pa.bool_()))])
         for batch in slices(batches):
@@ -108,51 +108,55 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             again[order[1:]] = (digests[order[1:]] == digests[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
             offsets = pa.array(np.r_[0, np.cumsum(n)], pa.int32())
             flat = np.concatenate(starts) if starts else np.empty(0, np.int64)
-            yield rows(schema, batch.column(0), [len(t) for t in texts], n.astype(np.int32),
+            yield rows(schema, batch.column(0), batch.column(2), [len(t) for t in texts], n.astype(np.int32),
                        pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32))),
                        pa.ListArray.from_arrays(offsets, pa.array(digests)),
                        pa.ListArray.from_arrays(offsets, pa.array(again)))
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(work, "doc_id long, n_bytes long, n_chunks int, starts array<int>, digests array<long>, "
+    text = F.col(text_col).cast("string")
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tag"))
+            .mapInArrow(work, "doc_id long, tag long, n_bytes long, n_chunks int, starts array<int>, digests array<long>, "
                         "again array<boolean>"))
 
 
 def repeated_runs(chunks: DataFrame, least_run: int = 100) -> DataFrame:
-    """doc_id and ``spans`` (byte start and end of removed runs), for documents that have any.
+    """id, tag and ``spans`` (byte start and end of removed runs), for documents that have any.
 
-    ``chunks`` is a written ``chunk_table``. Rows that share an id count as one document:
-    none removes another's text; rows without id come after all others. A digest of more
-    than 1/2000 of all chunks (there are fewer than 2000 such) meets its chunks by a
-    broadcast, the others by a shuffled join, so no frequent passage lands in one task.
+    ``chunks`` is a written ``chunk_table``. A document is an id with the tag of its text, so
+    spans belong to one text only. Texts that share an id do not remove each other's chunks;
+    texts without id come after all others, by tag. A digest of more than 1/2000 of all
+    chunks (there are fewer than 2000 such) meets its chunks by a broadcast, the others by
+    a shuffled join, so no frequent passage lands in one task.
     """
-    order = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    each = (chunks.withColumn("_order", order)
-            .select("_order", "n_bytes", F.explode(F.arrays_zip(
+    each = (chunks.select("doc_id", "tag", F.explode(F.arrays_zip(
                 "starts", "digests", "again",
                 F.slice(F.concat("starts", F.array(F.col("n_bytes").cast("int"))), 2, F.size("starts")).alias("ends")))
                 .alias("c"))
-            .select("_order", F.col("c.starts").alias("start"), F.col("c.ends").alias("end"),
+            .select("doc_id", "tag", F.col("c.starts").alias("start"), F.col("c.ends").alias("end"),
                     F.col("c.digests").alias("digest"), F.col("c.again").alias("again")))
     fresh = each.where("not again")
-    counts = fresh.groupBy("digest").agg(F.min("_order").alias("first"), F.max("_order").alias("last"),
+    no_id = F.when(F.col("doc_id").isNull(), F.col("tag"))
+    counts = fresh.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
+                                         F.min(no_id).alias("first_tag"), F.max(no_id).alias("last_tag"),
                                          F.count("*").alias("n"))
-    shared = materialize(counts.where("last > first").select(F.col("digest").alias("d"), "first", "n"), "shared-chunks")
-    hot = heavy_keys(shared, "d", "n").select("d", "first")
-    cold = shared.join(F.broadcast(hot.select("d")), "d", "left_anti").select("d", "first")
+    shared = materialize(counts.where("last > first or first_tag is not null and (first is not null or last_tag > first_tag)")
+                         .select(F.col("digest").alias("d"), "first", "first_tag", "n"), "shared-chunks")
+    hot = heavy_keys(shared, "d", "n").select("d", "first", "first_tag")
+    cold = shared.join(F.broadcast(hot.select("d")), "d", "left_anti").select("d", "first", "first_tag")
     from_hot = fresh.join(F.broadcast(hot), fresh.digest == F.col("d"))
     from_cold = (fresh.join(F.broadcast(hot.select("d")), fresh.digest == F.col("d"), "left_anti")
                  .join(cold, F.col("digest") == F.col("d")))
-    later = [x.where(F.col("_order") > F.col("first")).select("_order", "start", "end") for x in (from_hot, from_cold)]
-    flagged = later[0].unionByName(later[1]).unionByName(each.where("again").select("_order", "start", "end"))
-    per_doc = flagged.groupBy("_order").agg(F.collect_set(F.struct("start", "end")).alias("c"))
+    later = [x.where("doc_id > first or doc_id is null and (first is not null or tag > first_tag)")
+             .select("doc_id", "tag", "start", "end") for x in (from_hot, from_cold)]
+    flagged = later[0].unionByName(later[1]).unionByName(each.where("again").select("doc_id", "tag", "start", "end"))
+    per_doc = flagged.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "end")).alias("c"))
 
     def runs(batches):
-        schema = pa.schema([("key", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()),
+        schema = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()),
                                                                                ("end", pa.int32())])))])
         for batch in slices(batches):
-            keys, found = [], []
-            for key, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids, tags, found = [], [], []
+            for i, tag, part in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 spans = []
                 for x in sorted((x["start"], x["end"]) for x in part):
                     if spans and x[0] <= spans[-1][1]:
@@ -161,11 +165,12 @@ def repeated_runs(chunks: DataFrame, least_run: int = 100) -> DataFrame:
                         spans.append(list(x))
                 spans = [{"start": a, "end": b} for a, b in spans if b - a >= least_run]
                 if spans:
-                    keys.append(key)
+                    ids.append(i)
+                    tags.append(tag)
                     found.append(spans)
-            yield rows(schema, keys, found)
+            yield rows(schema, ids, tags, found)
 
-    return per_doc.mapInArrow(runs, "key long, spans array<struct<start:int,end:int>>")
+    return per_doc.mapInArrow(runs, "id long, tag long, spans array<struct<start:int,end:int>>")
 
 
 def substring_report(docs: DataFrame, least_run: int = 100, id_col: str = "doc_id",
@@ -174,8 +179,8 @@ def substring_report(docs: DataFrame, least_run: int = 100, id_col: str = "doc_i
     text has no chunks; other columns are ignored."""
     chunks = materialize(chunk_table(docs, id_col, text_col), "chunks")
     spans = repeated_runs(chunks, least_run)
-    joined = chunks.select("doc_id", "n_bytes", "n_chunks").join(
-        spans, F.coalesce("doc_id", F.lit((1 << 63) - 1)) == F.col("key"), "left")
+    joined = chunks.select("doc_id", F.col("tag").alias("_tag"), "n_bytes", "n_chunks").join(
+        spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_tag") == F.col("tag")), "left")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + (x["end"] - x["start"]))
     return joined.select("doc_id", "n_bytes", F.col("n_chunks").cast("long").alias("n_chunks"),
                          F.coalesce(removed, F.lit(0)).alias("n_removed"),
@@ -192,13 +197,15 @@ def without_spans(text: bytes, spans: list[dict]) -> bytes:
 
 def remove_repeats(docs: DataFrame, least_run: int = 100, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated runs cut out of the texts; all rows and columns stay."""
+    """``docs`` with repeated runs cut out of the texts; all rows and columns stay. Rows with
+    the same id (or none) and the same text are one document."""
     spans = materialize(repeated_runs(materialize(chunk_table(docs, id_col, text_col), "chunks"), least_run), "spans")
     columns = docs.columns
     named = docs.select(*[F.col(f"`{c}`").alias(f"in{i}") for i, c in enumerate(columns)])
-    key = F.coalesce(F.col(f"in{columns.index(id_col)}").cast("long"), F.lit((1 << 63) - 1))
-    joined = named.join(spans, key == spans["key"], "left").drop("key")
     at = columns.index(text_col)
+    same_row = (F.col(f"in{columns.index(id_col)}").cast("long").eqNullSafe(spans["id"])
+                & (F.xxhash64(F.col(f"in{at}").cast("string")) == spans["tag"]))
+    joined = named.join(spans, same_row, "left").drop("id", "tag")
     out = docs.schema
 
     def cut(batches):

@@ -38,7 +38,6 @@ from tickrisk.plans.materialize import materialize
 LENGTH, GRAM = 100, 24
 PLACES = LENGTH - GRAM + 1             # places of an anchor in a window
 END = 256                              # stands for the byte after a snippet's end; equals nothing
-LAST = (1 << 63) - 1
 
 
 def snippets(texts: list[bytes]):
@@ -416,18 +415,30 @@ def removed_spans(docs: DataFrame, memory_rows: int = 1 << 19, shard_rows: int =
     return whole.unionByName(induced_spans(found, shards, memory_rows))
 
 
+def row_keys(named: DataFrame) -> DataFrame:
+    """(doc_id, key, text) from (doc_id, text): a key names one text and orders by id. The id
+    itself serves where each has one text and none is null; otherwise keys are places in the
+    order of (id, text hash), null ids last."""
+    tagged = named.withColumn("tag", F.xxhash64("text"))
+    unclear = tagged.groupBy("doc_id").agg(F.min("tag").alias("a"), F.max("tag").alias("b")).where("doc_id is null or a < b")
+    if unclear.isEmpty():
+        return named.select("doc_id", F.col("doc_id").alias("key"), "text")
+    placed = materialize(tagged.select(F.col("doc_id").alias("id"), F.col("tag").alias("id_tag")).distinct()
+                         .orderBy(F.col("id").asc_nulls_last(), "id_tag")
+                         .withColumn("key", F.monotonically_increasing_id()), "row-keys")
+    return materialize(tagged.join(placed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tag") == F.col("id_tag")))
+                       .select("doc_id", "key", "text"), "keyed-texts")
+
+
 def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False,
                             memory_rows: int = 1 << 19) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (and ``kept``, binary, on request).
 
-    A null text is empty. An id names one text: repeated rows are not copies of each other and
-    give repeated results; rows without id come last and count as one document. If rows of one
-    id differ in text, the spans found in any of them are cut from all (as far as they reach).
-    Texts shorter than ``LENGTH`` stay whole. Other columns are ignored.
+    A null text is empty. Rows with the same id (or none) and the same text are not copies of
+    each other and give repeated results. Different texts of one id are different documents, in
+    the order of their hashes; rows without id come last, in the same order. Texts shorter than ``LENGTH`` stay whole. Other columns are ignored.
     """
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("key"),
-                        F.col(text_col).cast("string").alias("text"))
+    named = row_keys(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     spans = removed_spans(named.select("key", "text"), memory_rows)
     per_key = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
