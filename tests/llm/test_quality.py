@@ -1,12 +1,13 @@
 """op1: statistics against plain Python, constraints and held-out accuracy of the trees."""
 
+import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from edge import empty, frame, rows, texts
+from edge import empty, frame, rows, texts, words
 from tickrisk.llm import boosting, quality
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -104,3 +105,18 @@ def test_held_out_accuracy(spark):
     bad = [r["kept"] for r in got if r["quality"] == 0]
     assert len(good) > 50 and len(bad) > 5
     assert sum(good) / len(good) >= 0.99 and sum(bad) / len(bad) <= 0.15
+
+
+def test_a_hot_labelled_id_counts_once(spark):
+    """Copies of one bad row do not push the other class out of the sample."""
+    rnd = random.Random(5)
+    good = [(k, words(rnd, 60)) for k in range(20)]
+    bad = [(100 + k, words(rnd, 5) + " # $ % |" * 30) for k in range(20)]
+    docs = spark.createDataFrame(good + bad + [bad[0]] * 100, "doc_id long, text string").repartition(3)
+    once = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad], "doc_id long, quality int")
+    model, plain_model = (quality.train(d, labels, sample=50) for d in (docs, once))
+    assert model is not None
+    _, x = quality.statistics([t.encode() for _, t in good + bad])
+    assert (model.probability(x) == plain_model.probability(x)).all()
+    assert quality.train(docs, labels, sample=40) is not None

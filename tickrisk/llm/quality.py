@@ -126,13 +126,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str
           text_col: str = "text", label_col: str = "quality") -> Forest | None:
     """Trees fitted on at most ``sample`` labelled documents (those with the smallest
     hash of their id). Rows without id or label are left out; an id labelled twice
-    counts as bad if one label says so. None if only one class is labelled."""
+    counts as bad if one label says so, one on several rows gives one (the smallest hash
+    of the text). None if only one class is labelled."""
     chosen = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
               .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.min(label_col).cast("double").alias("_y"))
               .orderBy(F.xxhash64("_id"), "_id").limit(sample))
     # at most ``sample`` rows of two numbers are broadcast
     joined = (docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-              .join(F.broadcast(chosen), "_id").select("_text", "_y"))
+              .join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+              .select("_text", "_y"))
 
     def measure(batches):
         schema = pa.schema([("y", pa.float64()), ("x", pa.list_(pa.float64()))])
@@ -140,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str
             _, x = statistics(texts_as_bytes(batch.column(0)))
             yield rows(schema, batch.column(1), x.tolist())
 
-    found = joined.mapInArrow(measure, "y double, x array<double>").orderBy("y", "x").limit(sample).toArrow()
+    found = joined.mapInArrow(measure, "y double, x array<double>").orderBy("y", "x").toArrow()
     y = found.column("y").to_numpy()
     if len(np.unique(y > 0)) < 2:
         return None
