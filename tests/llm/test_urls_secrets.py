@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -130,6 +131,18 @@ def test_spans_equal_plain_python(spark):
     assert entropic >= 3 and secrets.report(empty(spark)).count() == 0
 
 
+def test_letters_in_random_case_are_no_words(spark):
+    rnd = random.Random(6)
+    keys = ["".join(rnd.sample(secrets.UPPER + secrets.LOWER, 32)) for _ in range(40)]      # all windows dense
+    keys += ["QWZXKJVBPYGFMUHCRLODTNSEIAQWZX"]
+    names = ["getElementByIdentifierFromDocument", "MAXIMUM_NUMBER_OF_CONNECTIONS", "Some/Longer-path_with+Words/inside",
+             "thisisaverylongwordwithoutanythingsecret"]
+    docs = spark.createDataFrame([(i, f"x {t} y") for i, t in enumerate(keys + names)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_entropy"] for r in secrets.report(docs).collect()}
+    assert sum(got[i] for i in range(len(keys))) == len(keys)
+    assert not any(got[len(keys) + i] for i in range(len(names)))
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(CASES + [None, ""])], "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}

@@ -44,6 +44,8 @@ class EntropyClass:
     threshold: float
 
 
+# a word in one case, capitalised or joined as in camelCase; no letters in random case
+WORD = "(?:[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]{1,20})"
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
 
@@ -55,7 +57,7 @@ class ScanRules:
     # candidates that fit one of these as a whole are no secrets: words, words joined by
     # signs, numbers, paths of lower-case names, UUIDs
     allow: list[str] = field(default_factory=lambda: [
-        r"^[A-Z]?[a-z]+$", r"^[A-Za-z]+([_/+-][A-Za-z]+)*$", r"^[0-9_/+-]+$", r"^/?([a-z0-9_-]+/)+[a-z0-9_-]*$",
+        r"^[A-Z]?[a-z]+$", f"^{WORD}(?:[_/+-]{WORD})*$", r"^[0-9_/+-]+$", r"^/?([a-z0-9_-]+/)+[a-z0-9_-]*$",
         r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"])
 
 
