@@ -7,9 +7,10 @@ digest: the first occurrence (smallest document id, then position) stays. Runs o
 neighbouring repeated chunks of at least ``least_run`` bytes are removed.
 
 The cuts in a shared passage are the same in each copy from its first whole window to its
-last, so all but REACH + 2 * WINDOW bytes of it meet (more only where cuts closer than
-LEAST_GAP straddle its edges): a passage of ``least_run`` and that many bytes does not
-escape. Its first and last partial chunks stay.
+last, so all but REACH + 2 * WINDOW bytes of it meet and a passage of ``least_run`` and that
+many bytes is found. The exception are chains of candidates closer than LEAST_GAP, as in one
+short word repeated dozens of times: which of them are kept may differ between copies.
+A passage's first and last partial chunks stay.
 """
 
 from __future__ import annotations
