@@ -92,6 +92,27 @@ def test_byte_bpe_rows(spark):
     assert byte_bpe.bpe_round_trip(empty(spark), BYTE).count() == 0
 
 
+def optimum(lengths, capacity):
+    """Fewest bins, by trying all placements."""
+    lengths, best = sorted(lengths, reverse=True), len(lengths)
+
+    def place(k, fills):
+        nonlocal best
+        if len(fills) >= best:
+            return
+        if k == len(lengths):
+            best = len(fills)
+            return
+        for f in {f for f in fills if f + lengths[k] <= capacity}:
+            rest = list(fills)
+            rest.remove(f)
+            place(k + 1, rest + [f + lengths[k]])
+        place(k + 1, fills + [lengths[k]])
+
+    place(0, [])
+    return best
+
+
 def check_packing(out, pieces, capacity):
     assert sorted(((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out), key=str) == \
         sorted(pieces, key=str)
@@ -118,6 +139,14 @@ def test_packing_rows(spark, per_partition):
     n = check_packing(out, pieces, capacity)
     bound = -(-sum(p[3] for p in pieces) // capacity)
     assert bound <= n <= bound + (2 if per_partition > 7 else len(pieces))
+    # each partition needs no more sequences than the optimum of its own pieces
+    parts = {}
+    for r in out:
+        parts.setdefault(r["sequence_id"] >> 32, []).append(r)
+    assert max(map(len, parts.values())) <= per_partition + 1
+    for held in parts.values():
+        if len(held) <= 9:
+            assert len({r["sequence_id"] for r in held}) == optimum([r["length"] for r in held], capacity)
     assert packing.pack_documents(empty(spark), WORD, 0, capacity).count() == 0
 
 
@@ -147,3 +176,31 @@ def test_search_raises_squared_fill():
     before = sum(x * x for x in lengths)
     after = packing.LocalSearch(lengths, [list(b) for b in bins], 100).run()
     assert sum(sum(lengths[i] for i in b) ** 2 for b in after) > before
+
+
+@pytest.mark.parametrize("seed, most", [(1, 2079), (3, 2078)])
+def test_search_where_it_matters(seed, most):
+    """Best fit needs 2104 and 2101 bins here; the sums of lengths need 2048 and 2045."""
+    rnd = random.Random(seed)
+    lengths = [rnd.randint(300, 1100) for _ in range(6000)]
+    assert len(packing.best_fit(lengths, 2048)) > 2100
+    assert len(packing.pack_lengths(lengths, 2048)) <= most
+
+
+def test_search_reaches_the_optimum_of_small_cases():
+    more = 0
+    for seed in range(300):
+        rnd = random.Random(seed)
+        capacity = rnd.choice([10, 20, 50])
+        lengths = [rnd.randint(1, capacity * 2 // 3) for _ in range(rnd.randint(3, 8))]
+        more += len(packing.best_fit(lengths, capacity)) > optimum(lengths, capacity)
+        assert len(packing.pack_lengths(lengths, capacity)) == optimum(lengths, capacity), lengths
+    assert more                                              # cases that best fit alone misses
+
+
+def test_bins_of_many_items_take_part():
+    """A bin of 100 items gives and takes like any other."""
+    lengths = [1] * 102 + [49, 49, 50, 50]
+    bins = [list(range(100)), [100, 102, 103], [101, 104], [105]]
+    search = packing.LocalSearch(lengths, bins, 101)
+    assert len(search.run()) == 3

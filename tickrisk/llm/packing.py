@@ -50,95 +50,112 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 class LocalSearch:
-    """Bins under improvement. The emptiest bin is the donor: it tries to give its
-    items to fuller bins by a move, a one-for-one exchange (a longer item goes to the
-    fuller bin) or a two-for-one exchange (two items for one). Each step raises the sum
-    of squared fills, so the search ends; a donor that cannot change is set aside."""
-
-    def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int, reach: int = 16):
-        self.reach, self.lengths, self.capacity, self.bins = reach, lengths, capacity, bins
+    """Bins under improvement, in passes over all underfull bins, the emptiest first. A bin
+    tries to give its items to others by a move, a one-for-one exchange (a longer item
+    against a shorter one) or a two-for-one exchange (two items against a shorter one).
+    Each step raises the sum of squared fills. A bin that nothing helps goes back among
+    the others and is tried again in the next pass, as exchanges elsewhere change what
+    fits; the search ends with a pass that changes nothing, or when no packing can have
+    fewer bins.
+
+    Only the distinct lengths in a bin matter (at most 63 of them sum to less than 2048), so
+    bins of any number of items take part on both sides."""
+
+    def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int):
+        self.lengths, self.capacity = lengths, capacity
+        self.items: list[dict[int, list[int]]] = []          # bin -> length -> indices
+        for b in bins:
+            held: dict[int, list[int]] = {}
+            for i in b:
+                held.setdefault(lengths[i], []).append(i)
+            self.items.append(held)
         self.fill = [sum(lengths[i] for i in b) for b in bins]
-        self.open = {b for b, f in enumerate(self.fill) if f < capacity}
+        self.left = sum(1 for f in self.fill if f)
+        self.bound = -(-sum(self.fill) // capacity)
         self.rooms = [set() for _ in range(capacity + 1)]    # room -> bins
         # (room + length of one item) -> bins: what one longer item would make full
         self.full_if: dict[int, set[int]] = {}
-        for b in self.open:
+        for b in range(len(bins)):
             self._enter(b)
 
     def _enter(self, b: int) -> None:
         room = self.capacity - self.fill[b]
-        self.rooms[room].add(b)
-        for i in self.bins[b]:
-            self.full_if.setdefault(room + self.lengths[i], set()).add(b)
+        if 0 < room < self.capacity:
+            self.rooms[room].add(b)
+            for length in self.items[b]:
+                self.full_if.setdefault(room + length, set()).add(b)
 
     def _leave(self, b: int) -> None:
         room = self.capacity - self.fill[b]
         self.rooms[room].discard(b)
-        for i in self.bins[b]:
-            self.full_if[room + self.lengths[i]].discard(b)
-
-    def _exchange(self, donor: int, given: list[int], b: int, taken: list[int]) -> None:
-        self._leave(b)
-        self.bins[donor] = [i for i in self.bins[donor] if i not in given] + taken
-        self.bins[b] = [i for i in self.bins[b] if i not in taken] + given
-        gain = sum(self.lengths[i] for i in given) - sum(self.lengths[i] for i in taken)
-        self.fill[donor] -= gain
-        self.fill[b] += gain
-        if self.fill[b] < self.capacity:
-            self._enter(b)
-        else:
-            self.open.discard(b)
+        for length in self.items[b]:
+            self.full_if.get(room + length, set()).discard(b)
+
+    def _give(self, donor: int, b: int, length: int) -> None:
+        held = self.items[donor][length]
+        self.items[b].setdefault(length, []).append(held.pop())
+        if not held:
+            del self.items[donor][length]
+        self.fill[donor] -= length
+        self.fill[b] += length
 
     def _move(self, donor: int) -> bool:
         """An item goes to the bin where it leaves the least room."""
-        for i in sorted(self.bins[donor], key=lambda i: -self.lengths[i]):
-            for room in range(self.lengths[i], self.capacity):
-                if self.capacity - room + self.lengths[i] <= self.fill[donor]:
-                    break                                     # squared fill would not rise
+        for length in sorted(self.items[donor], reverse=True):
+            # squared fill rises as long as the other bin ends fuller than this one was
+            for room in range(length, min(self.capacity, self.capacity + length - self.fill[donor])):
                 if self.rooms[room]:
-                    self._exchange(donor, [i], min(self.rooms[room]), [])
+                    b = min(self.rooms[room])
+                    self._leave(b)
+                    self._give(donor, b, length)
+                    self._enter(b)
                     return True
         return False
 
     def _swap(self, donor: int) -> bool:
-        """One or two items against a shorter one, so that the other bin becomes full or
-        is left with at most ``reach`` room."""
-        items = self.bins[donor]
-        offers = [[i] for i in items] + [[i, j] for k, i in enumerate(items) for j in items[k + 1:]]
-        offers.sort(key=lambda g: (-sum(self.lengths[i] for i in g), len(g)))
-        for left in range(self.reach + 1):
-            for given in offers:
-                length = sum(self.lengths[i] for i in given)
+        """One or two items against a shorter one, so that the other bin is left with the
+        least room; it must end fuller than this one was, which raises squared fill."""
+        own = sorted(self.items[donor], reverse=True)
+        offers = {length: (length,) for length in own}
+        for k, x in enumerate(own):
+            for y in own[k:]:
+                if x != y or len(self.items[donor][x]) > 1:
+                    offers.setdefault(x + y, (x, y))
+        order = sorted(offers, reverse=True)
+        for left in range(self.capacity - self.fill[donor]):
+            for length in order:
                 for b in self.full_if.get(length + left, ()):
                     room = self.capacity - self.fill[b]
-                    if room > left and self.fill[b] + room - left > self.fill[donor]:
-                        taken = next(i for i in self.bins[b] if self.lengths[i] == length + left - room)
-                        self._exchange(donor, given, b, [taken])
+                    if room > left:                           # the item taken is shorter
+                        self._leave(b)
+                        self._give(b, donor, length + left - room)
+                        for x in offers[length]:
+                            self._give(donor, b, x)
+                        self._enter(b)
                         return True
         return False
 
     def run(self) -> list[list[int]]:
-        import heapq
-        queue = [(self.fill[b], b) for b in self.open]
-        heapq.heapify(queue)
-        while queue:
-            fill, donor = heapq.heappop(queue)
-            if donor not in self.open or fill != self.fill[donor]:
-                continue                                      # filled, or queued again since
-            self._leave(donor)
-            while self.bins[donor] and (self._move(donor) or self._swap(donor)):
-                pass
-            self.open.discard(donor)                          # emptied, or nothing helps: set aside
-        return [b for b in self.bins if b]
-
-
-def pack_lengths(lengths: list[int], capacity: int, pair_items: int = 64) -> list[list[int]]:
-    """Bins (lists of indices) of at most ``capacity`` each. Bins of more than
-    ``pair_items`` items take part in the search only with room for moves, since
-    exchanges by pairs grow with the square of a bin's items."""
-    bins = best_fit(lengths, capacity)
-    small = [b for b in bins if len(b) <= pair_items]
-    return LocalSearch(lengths, small, capacity).run() + [b for b in bins if len(b) > pair_items]
+        changed = True
+        while changed and self.left > self.bound:
+            changed = False
+            for donor in sorted((b for held in self.rooms for b in held), key=lambda b: (self.fill[b], b)):
+                self._leave(donor)
+                while 0 < self.fill[donor] < self.capacity and (self._move(donor) or self._swap(donor)):
+                    changed = True
+                self._enter(donor)
+                if not self.fill[donor]:
+                    self.left -= 1
+                    if self.left == self.bound:
+                        break
+        return [[i for held in b.values() for i in held] for b in self.items if b]
+
+
+def pack_lengths(lengths: list[int], capacity: int) -> list[list[int]]:
+    """Bins (lists of indices) of at most ``capacity`` each: best fit, longest first, then
+    the local search over all underfull bins, unless best fit already needs no more bins
+    than the sum of lengths does."""
+    return LocalSearch(lengths, best_fit(lengths, capacity), capacity).run()
 
 
 def tokenise_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
