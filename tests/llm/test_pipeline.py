@@ -75,7 +75,7 @@ def test_stage_names_and_entry():
     names = list(E.queries())
     assert [n for n in names if n.startswith("op")] == sorted(
         (n for n in names if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert sum(n.startswith("op") for n in names) == 10 and "pipeline" in names
+    assert sum(n.startswith("op") for n in names) == 13 and "pipeline" in names
     assert SCHEMA.startswith("doc_id")
 
 
