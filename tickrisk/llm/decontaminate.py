@@ -127,7 +127,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
     if not 1 <= k <= window:
         raise ValueError("k is from 1 to window")
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    keyed = base.withColumn("key", F.md5("text"))
+    keyed = base.withColumn("key", F.unhex(F.md5("text")))
     items = materialize(item_windows(items, window, item_id_col, item_text_col), "items")
     counted = _let(words_of(F.col("text")), lambda w: F.struct(
         F.size(w).alias("n_words"), fingerprints(hashes_of(w), k, window).alias("prints")))
@@ -141,9 +141,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
               .agg(F.collect_set(F.struct("start", "n")).alias("starts")))
     starts = materialize(starts, "candidates")
 
-    # the texts with candidates, once each, and their windows as written
-    texts = (keyed.select("key", "text").join(starts, "key").groupBy("key", "starts")
-             .agg(F.min("text").alias("text")))
+    # the texts with candidates, once each, and their windows as written; only these texts move
+    texts = (keyed.select("key", "text").join(starts.select("key"), "key", "left_semi")
+             .groupBy("key").agg(F.min("text").alias("text")).join(starts, "key"))
     placed = texts.select("key", F.explode(windows_at(words_of(F.col("text")), F.col("starts"))).alias("s")).select("key", "s.*")
     whole = F.transform(F.sequence(F.lit(0), F.size("words") - F.col("n")), lambda i: F.struct(
         i.alias("start"), F.col("n").alias("n")))
