@@ -87,29 +87,29 @@ def windows_at(words: Column, places: Column) -> Column:
 
 
 def candidate_windows(texts: DataFrame, items: DataFrame, k: int, window: int) -> DataFrame:
-    """(key, start, n): places of documents where a window may begin. ``texts`` has (key, n_words,
-    prints), ``items`` comes from ``item_windows``."""
+    """(key, who, start, n): places of documents where a window may begin. ``texts`` has (key, who,
+    n_words, prints), ``items`` comes from ``item_windows``."""
     marks = (items.where(F.size("words") >= window)
              .select(F.explode(fingerprints(hashes_of(F.col("words")), k, window)).alias("f"))
              .select(F.col("f.h").alias("h")).distinct())
-    hits = (texts.select("key", "n_words", F.explode("prints").alias("f"))
-            .select("key", "n_words", F.col("f.p").alias("p"), F.col("f.h").alias("h"))
+    hits = (texts.select("key", "who", "n_words", F.explode("prints").alias("f"))
+            .select("key", "who", "n_words", F.col("f.p").alias("p"), F.col("f.h").alias("h"))
             .join(marks, "h", "left_semi"))
     # the windows that hold the k-gram at p
     around = F.sequence(F.greatest(F.col("p") - (window - k), F.lit(0)),
                         F.greatest(F.least(F.col("p"), F.col("n_words") - window), F.lit(0)))
-    return hits.select("key", F.explode(around).alias("start"), F.lit(window).alias("n"))
+    return hits.select("key", "who", F.explode(around).alias("start"), F.lit(window).alias("n"))
 
 
 def candidate_short_windows(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
-    """(key, start, n) for items of fewer words than a window: places of their longest word."""
+    """(key, who, start, n) for items of fewer words than a window: places of their longest word."""
     key_word = F.array_max(F.transform("words", lambda w, i: F.struct(
         F.length(w).alias("length"), (-i).alias("at"), F.xxhash64(w).alias("h"))))
     short = (items.where(F.size("words") < window).select("n", key_word.alias("w"))
              .select("n", (-F.col("w.at")).alias("before"), F.col("w.h").alias("h")).distinct())
-    each = docs.select("key", "n_words", F.posexplode(hashes_of(words_of(F.col("text")))).alias("p", "h"))
+    each = docs.select("key", "who", "n_words", F.posexplode(hashes_of(words_of(F.col("text")))).alias("p", "h"))
     return (each.join(short, "h").withColumn("start", F.col("p") - F.col("before"))
-            .where("start >= 0 and start + n <= n_words").select("key", "start", "n"))
+            .where("start >= 0 and start + n <= n_words").select("key", "who", "start", "n"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5, id_col: str = "doc_id",
@@ -127,23 +127,25 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
     if not 1 <= k <= window:
         raise ValueError("k is from 1 to window")
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    keyed = base.withColumn("key", F.unhex(F.md5("text")))
+    keyed = base.withColumn("key", F.unhex(F.md5("text"))).withColumn("who", F.xxhash64("doc_id"))
     items = materialize(item_windows(items, window, item_id_col, item_text_col), "items")
     counted = _let(words_of(F.col("text")), lambda w: F.struct(
         F.size(w).alias("n_words"), fingerprints(hashes_of(w), k, window).alias("prints")))
-    prints = materialize(keyed.select("doc_id", "key", counted.alias("c")).select("doc_id", "key", "c.*"), "prints")
+    prints = materialize(keyed.select("doc_id", "key", "who", counted.alias("c")).select("doc_id", "key", "who", "c.*"),
+                         "prints")
 
     maybe = [candidate_windows(prints, items, k, window)]
     if not items.where(F.size("words") < window).isEmpty():
         numbered = keyed.withColumn("n_words", F.size(words_of(F.col("text"))))
         maybe.append(candidate_short_windows(numbered, items, window))
     starts = (reduce(DataFrame.unionByName, maybe).groupBy("key")
-              .agg(F.collect_set(F.struct("start", "n")).alias("starts")))
+              .agg(F.collect_set(F.struct("start", "n")).alias("starts"), F.min("who").alias("who")))
     starts = materialize(starts, "candidates")
 
-    # the texts with candidates, once each, and their windows as written; only these texts move
-    texts = (keyed.select("key", "text").join(starts.select("key"), "key", "left_semi")
-             .groupBy("key").agg(F.min("text").alias("text")).join(starts, "key"))
+    # One document of each text with candidates tells the text. Documents meet the candidates by text
+    # and id, so copies are dealt evenly; the candidates grow with the corpus and are never broadcast.
+    texts = (keyed.select("key", "who", "text").join(starts.hint("shuffle_hash"), ["key", "who"])
+             .groupBy("key", "starts").agg(F.min("text").alias("text")))
     placed = texts.select("key", F.explode(windows_at(words_of(F.col("text")), F.col("starts"))).alias("s")).select("key", "s.*")
     whole = F.transform(F.sequence(F.lit(0), F.size("words") - F.col("n")), lambda i: F.struct(
         i.alias("start"), F.col("n").alias("n")))
