@@ -235,6 +235,46 @@ def test_substring_dedup_of_rows_without_id(spark):
         ((r[0], len((r[1] or "").encode()), len((r[1] or "").encode()) - len((cut[r] or "").encode())) for r in items), key=str)
 
 
+def test_texts_of_one_id_are_compared_each_as_itself(spark):
+    rnd = random.Random(21)
+    a, b = words(rnd, 80), words(rnd, 80)
+    items = [(5, a), (5, b), (9, b + " more"), (11, a + " more"), (12, words(rnd, 80)), (12, None)]
+    got = setsketch.near_duplicates(spark.createDataFrame(items, "doc_id long, text string"), size=4).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == [
+        (5, 5, True), (5, 5, True), (9, 5, False), (11, 5, False), (12, 12, True), (12, 12, True)]
+
+
+def test_linked_counts_all_intersections():
+    rnd = np.random.default_rng(4)
+    for k in range(60):
+        sets = [np.unique(rnd.integers(0, 40, rnd.integers(0, 60))).astype(np.uint64) for _ in range(rnd.integers(1, 25))]
+        label = rnd.integers(0, 4, len(sets))
+        side = np.full(len(sets), 2) if k % 2 else rnd.integers(0, 2, len(sets))
+        i, j = setsketch.linked(sets, label, side, 60, width=7)
+        exp = {(x, y) for x in range(len(sets)) for y in range(len(sets))
+               if label[x] != label[y] and side[x] != 1 and side[y] != 0 and
+               100 * len(np.intersect1d(sets[x], sets[y])) >= 60 * len(np.union1d(sets[x], sets[y]))}
+        assert set(zip(i.tolist(), j.tolist())) == exp
+
+
+@pytest.mark.parametrize("block", [1024, 40])
+def test_links_between_edits_of_one_text(spark, block):
+    """Many edits of one text, most pairs just below the threshold: the components are those of brute force."""
+    rnd = random.Random(22)
+    base = words(rnd, 100, 3000).split(" ")
+    items = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rnd.choice([2, 3, 3, 4])):
+            w[rnd.randrange(len(w))] = f"edit{i}x{rnd.randrange(3)}"
+        items.append((i, " ".join(w)))
+    docs = spark.createDataFrame(items, "doc_id long, text string").repartition(3)
+    got = setsketch.near_duplicates(docs, size=4, star_rounds=1 if block < 1024 else 3, block=block).collect()
+    exp = brute_near(items, 4, 80)
+    assert sorted(map(tuple, got)) == sorted(exp)
+    assert 1 < len({r[2] for r in exp}) < 150
+
+
 # --- op6
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickrisk.llm.common import rows, slices, table
+from tickrisk.llm.common import rows, slices, smallest_reachable, table
 from tickrisk.llm.components import connected_components
 from tickrisk.plans.materialize import materialize
 
@@ -113,19 +113,6 @@ def candidate_pairs(unit: np.ndarray, group: np.ndarray, side: np.ndarray, plan:
         begin = end
 
 
-def _smallest_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Component number (its smallest member) of 0..n-1 under the links (i, j)."""
-    root = np.arange(n)
-    while True:
-        before = root.copy()
-        low = np.minimum(root[i], root[j])
-        np.minimum.at(root, i, low)
-        np.minimum.at(root, j, low)
-        root = root[root]
-        if (root == before).all():
-            return root
-
-
 def _whole_groups(batches, key_columns: list[str], least: int):
     """Tables of at least ``least`` rows (but the last) that end with the end of a group; the
     input is sorted by the key columns."""
@@ -256,7 +243,7 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec
                     np.add.at(links, j[first], n[at[i[first]]])
                 if not fi or not sum(map(len, fi)):
                     continue
-                root = _smallest_reachable(len(at), np.concatenate(fi), np.concatenate(fj))
+                root = smallest_reachable(len(at), np.concatenate(fi), np.concatenate(fj))
                 told = np.flatnonzero((links > 0) | (root != np.arange(len(at))))
                 yield rows(schema, h[at[told]], links[told], h[at[root[told]]])
 

@@ -66,3 +66,38 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def smallest_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Component number (its smallest member) of 0..n-1 under the links (i, j)."""
+    root = np.arange(n)
+    while True:
+        before = root.copy()
+        low = np.minimum(root[i], root[j])
+        np.minimum.at(root, i, low)
+        np.minimum.at(root, j, low)
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """One table per run of equal keys (numbers) of sorted batches; each row is looked at once."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        edges = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+        edges = [0, *edges.tolist(), batch.num_rows]
+        if held and last != [c[0] for c in columns]:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        for begin, end in zip(edges, edges[1:]):
+            if begin and held:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(begin, end - begin))
+        last = [c[-1] for c in columns]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

@@ -38,6 +38,24 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         e = after
 
 
+def joined_components(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) after ``links`` (a, b) came to the components ``roots``: the links are taken
+    between components, so only those that join two are worked on."""
+    if roots is None:
+        return materialize(connected_components(links), "roots")
+
+    def of(name):
+        return roots.select(F.col("node").alias(name), F.col("root").alias(f"r{name}"))
+
+    ends = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+            .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    over = materialize(connected_components(ends).select("node", F.col("root").alias("further")), "over")
+    moved = (roots.join(over.select(F.col("node").alias("root"), "further"), "root", "left")
+             .select("node", F.coalesce("further", "root").alias("root")))
+    fresh = over.join(roots.select("node"), "node", "left_anti").select("node", F.col("further").alias("root"))
+    return materialize(moved.unionByName(fresh), "roots")
+
+
 def _sum(e: DataFrame) -> tuple:
     """Row count and an order-free checksum."""
     return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first())

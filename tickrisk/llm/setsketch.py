@@ -15,11 +15,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickrisk.llm.common import mix64, per_worker, rows, slices, table, texts_as_bytes
-from tickrisk.llm.components import connected_components
+from tickrisk.llm.common import groups, mix64, per_worker, rows, slices, smallest_reachable, table, texts_as_bytes
+from tickrisk.llm.components import joined_components
 from tickrisk.plans.materialize import materialize
 
 BASE, RATE = 1.02, 20.0          # register base b; rate of the exponential variables
@@ -32,7 +32,7 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         if len(word) <= 64:
             self[word] = h
@@ -118,9 +118,10 @@ def joint_estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray)
 
 
 def sketch_table(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, a 128-bit digest of the set (h1, h2) and the registers of every row."""
+    """doc_id, tag (hash of the text), n_shingles, a 128-bit digest of the set (h1, h2) and the
+    registers of every row."""
     def work(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()),
+        schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()),
                             ("h2", pa.int64()), ("registers", pa.binary())])
         for batch in slices(batches, 4 << 20):
             sets = shingle_sets(texts_as_bytes(batch.column(1)), size)
@@ -128,10 +129,12 @@ def sketch_table(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: s
             with np.errstate(over="ignore"):
                 h1 = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 h2 = np.array([mix64(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-            yield rows(schema, batch.column(0), [len(s) for s in sets], h1, h2, [r.tobytes() for r in registers])
+            yield rows(schema, batch.column(0), batch.column(2), [len(s) for s in sets], h1, h2,
+                       [r.tobytes() for r in registers])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(work, "doc_id long, n_shingles long, h1 long, h2 long, registers binary"))
+    text = F.col(text_col).cast("string")
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tag"))
+            .mapInArrow(work, "doc_id long, tag long, n_shingles long, h1 long, h2 long, registers binary"))
 
 
 def band_table(classes: DataFrame) -> DataFrame:
@@ -211,14 +214,17 @@ def shared_counts(texts: DataFrame, size: int) -> DataFrame:
             .groupBy("node").agg(F.count("*").alias("lone")))
 
 
-def unsettled_pairs(mixed: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components that can reach ``percent`` at all.
+def unsettled_links(mixed: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int,
+                    block: int = 1024) -> DataFrame:
+    """Links (a, b) between classes of one bucket and different components, as many as tell what is
+    reachable. Buckets are compared block by block inside tasks, on full sets, and only links leave.
 
     ``mixed`` has (key, node, label). A shingle that only one of the open nodes has is in no
     intersection, so that of two nodes is at most the smaller count of shared shingles, s, and a
     link needs (100 + percent) * s >= percent * (size of the one + size of the other). Nodes for
-    which even the bucket's smallest set is too large are dropped first. No link is lost, and copies
-    that differ from everything by more than the threshold, however many, leave no pairs."""
+    which even the bucket's smallest set is too large are dropped first. No link is lost. A task holds
+    two blocks at a time; the work within one bucket of m such classes grows with m * m, its memory
+    and its rows (m * m / block) do not."""
     open_texts = texts.join(mixed.select("node").distinct(), "node", "left_semi")
     lone = shared_counts(open_texts, size)
     sized = (classes.select("node", F.col("n_shingles").alias("n")).join(lone, "node", "left")
@@ -227,48 +233,104 @@ def unsettled_pairs(mixed: DataFrame, classes: DataFrame, texts: DataFrame, size
     least = placed.groupBy("key").agg(F.min("n").alias("least"))
     able = materialize(placed.join(least, "key").where(f"{100 + percent} * s >= {percent} * (n + least)")
                        .drop("least"), "able")
-    still = able.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    able = able.join(still.select("key"), "key", "left_semi")
-    other = able.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "label", "n", "s")])
-    reach = (f"label < label2 and {100 + percent} * least(s, s2) >= {percent} * (n + n2) "
-             f"and 100 * least(n, n2) >= {percent} * greatest(n, n2)")
-    return (able.alias("x").join(other.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr(reach))
-            .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")))
+    still = able.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                    F.count("*").alias("classes"), F.sum("n").alias("total")).where("low < high")
+    # blocks of a bucket: about ``block`` classes and 2 ** 20 shingles each
+    blocks = F.greatest(F.ceil(F.col("classes") / block), F.ceil(F.col("total") / (1 << 20))).cast("int")
+    met = (able.join(still.select("key", blocks.alias("blocks")), "key")
+           .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+           .select("key", "node", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+           .select("key", "node", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                   F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side")))
+    sets = materialize(set_table(open_texts.join(able.select("node").distinct(), "node", "left_semi"), size), "sets")
+
+    def compare(batches):
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        for group in groups(slices(batches, 4 << 20), ["key", "i", "j"]):
+            node, label, side = (group.column(c).to_numpy() for c in ("node", "label", "side"))
+            found = linked([np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()],
+                           label, side, percent)
+            if len(found[0]):
+                # what they reach is told by one link a class; the others follow from it
+                root = smallest_reachable(len(node), *found)
+                told = np.flatnonzero(root != np.arange(len(node)))
+                yield rows(schema, node[root[told]], node[told])
+
+    return (met.join(sets, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(compare, "a long, b long"))
+
+
+def set_table(texts: DataFrame, size: int) -> DataFrame:
+    """(node, shingles): the sorted distinct shingle hashes of (node, text)."""
+    def work(batches):
+        schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+        for batch in slices(batches, 1 << 20):
+            yield rows(schema, batch.column("node"), [s.tobytes() for s in shingle_sets(texts_as_bytes(batch.column("text")), size)])
+
+    return texts.select("node", "text").mapInArrow(work, "node long, shingles binary")
+
+
+def linked(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, percent: int,
+           width: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of different labels whose sets reach ``percent``; sides 0 and 1 meet each other
+    only, 2 meets all. Intersections are counted for all pairs at once, ``width`` shingles
+    at a time."""
+    n = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate(sets)
+    who = np.repeat(np.arange(len(sets)), n)
+    _, number, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = count[number] > 1                               # others are in no intersection
+    number = (np.cumsum(count > 1) - 1)[number[shared]]
+    order = np.argsort(number, kind="stable")
+    number, who = number[order], who[shared][order]
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    both = np.zeros((len(left), len(right)), np.int64)
+    for a in range(0, int(number[-1]) + 1 if len(number) else 0, width):
+        lo, hi = np.searchsorted(number, [a, a + width])
+        held = np.zeros((len(sets), width), np.float32)
+        held[who[lo:hi], number[lo:hi] - a] = 1
+        both += (held[left] @ held[right].T).astype(np.int64)
+    good = 100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)
+    good &= label[left][:, None] != label[right][None, :]
+    i, j = np.nonzero(good)
+    return left[i], right[j]
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_rounds: int = 3,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    block: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
-    Rows with equal sets form one class, named by its smallest id; only classes are compared.
+    Rows with equal sets form one class, told by a text of its smallest id; only classes are compared.
     A bucket (classes that share a band) is first compared with its smallest class; classes
     joined by confirmed links share a component. In further rounds, classes outside the
     component of the bucket's smallest class are compared with another of its members.
     Last, classes of one bucket that are still in different components are compared
     with each other, if their sizes and shared shingles allow a link at all
-    (``unsettled_pairs``). So no pair of a bucket that could join two components is left
+    (``unsettled_links``). So no pair of a bucket that could join two components is left
     out, while a large group of copies costs a few comparisons per member, not all pairs.
 
     A null, empty or blank text has no shingles and links with nothing. A row without id
-    links with nothing and has no component; it is kept. Rows that share an id and a
-    text stay or go together; if they have different texts, links of their classes are
-    confirmed on the smallest of these. Other columns are ignored.
+    links with nothing and has no component; it is kept. Texts that share an id are classes of
+    their own, each compared as itself; a link to one of them is a link to the id.
+    Other columns are ignored.
     """
     sketches = materialize(sketch_table(docs, size, id_col, text_col), "sketches")
     classes = materialize(
         sketches.where("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2", "n_shingles")
-        .agg(F.min("doc_id").alias("node"), F.min("registers").alias("registers")), "classes")
+        .agg(F.min(F.struct("doc_id", "tag")).alias("c"), F.min("registers").alias("registers"))
+        .select("h1", "h2", "n_shingles", "registers", F.col("c.doc_id").alias("low"), F.col("c.tag").alias("tag")), "classes")
+    classes = numbered_classes(classes)
     bands = materialize(band_table(classes), "bands")
     buckets = bands.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     members = materialize(bands.join(buckets.select("key"), "key"), "members")
 
     # texts of the classes that share a bucket
-    active = members.select("node").distinct()
-    numbered = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
-    texts = materialize(numbered.join(active, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")),
-                        "texts")
+    active = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "low", "tag")
+    told = F.col(text_col).cast("string")
+    named = docs.select(F.col(id_col).cast("long").alias("low"), told.alias("text"), F.xxhash64(told).alias("tag"))
+    texts = materialize(named.join(active, ["low", "tag"]).groupBy("node").agg(F.min("text").alias("text")), "texts")
 
-    links, roots = None, None
+    roots = None
     for turn in range(star_rounds + 1):
         placed = members.select("key", "node", F.col("node").alias("label"))
         if roots is not None:
@@ -283,23 +345,40 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, star_roun
                        .select("key", F.col("c.node").alias("a")))
             pairs = mixed.where("label > low").join(centres, "key").select(
                 F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+            found = confirm(hopeful(pairs.distinct(), classes, percent), texts, size, percent)
         else:
-            pairs = unsettled_pairs(mixed, classes, texts, size, percent)
-        found = materialize(confirm(hopeful(pairs.distinct(), classes, percent), texts, size, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        roots = connected_components(links)
-
-    roots = roots.select(F.col("node").alias("n"), "root")
-    named = sketches.join(classes.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"),
-                                         F.col("n_shingles").alias("cn"), "node"),
-                          (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))
+            found = unsettled_links(mixed, classes, texts, size, percent, block)
+        roots = joined_components(roots, materialize(found, "links"))
+
+    # nodes are in the order of their smallest ids, so the smallest node of a component has its smallest id
+    placed = classes.select("h1", "h2", "n_shingles", "node", "low").join(roots, "node", "left")
+    lows = classes.select(F.col("node").alias("root"), F.col("low").alias("root_low"))
+    placed = placed.join(lows, "root", "left").select(
+        F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.col("n_shingles").alias("cn"),
+        F.coalesce("root_low", "low").alias("component"))
+    named = sketches.join(placed, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))
                           & (F.col("n_shingles") == F.col("cn")) & F.col("doc_id").isNotNull(), "left")
-    named = named.join(roots, F.col("node") == F.col("n"), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id"))
+    component = F.coalesce("component", "doc_id")
     return named.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def numbered_classes(classes: DataFrame) -> DataFrame:
+    """Adds ``node``: a number of each class, in the order of the smallest ids. That is this id itself
+    while no two classes share it; else the class's place, counted over sorted partitions."""
+    if classes.groupBy("low").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return classes.withColumn("node", F.col("low"))
+    # sorted once and written; each file holds a range
+    parts = materialize(classes.repartitionByRange("low", "h1", "h2", "n_shingles").withColumn(
+        "part", F.spark_partition_id()), "class-parts")
+    sizes = parts.groupBy("part").agg(F.count("*").alias("n"))
+    before = sizes.select("part", F.sum("n").over(Window.orderBy("part")).alias("upto"), "n").select(
+        "part", (F.col("upto") - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("low", "h1", "h2", "n_shingles"))
+    return materialize(parts.withColumn("place", place).join(F.broadcast(before), "part")
+                       .withColumn("node", F.col("place") + F.col("before")).drop("part", "place", "before"), "classes")
+
+
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns. Rows without id stay."""
