@@ -3,7 +3,7 @@
 import zlib
 
 import numpy as np
-import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from edge import SCHEMA, empty, frame, rows
@@ -11,7 +11,7 @@ from test_dedup import brute_chunks, brute_near
 from test_quality import plain
 from test_tokens import WORD, Tokenizer, check_packing, ids_of
 from test_urls_secrets import all_spans
-from tickrisk.llm import chunks, secrets
+from tickrisk.llm import chunks, quality, secrets
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -97,10 +97,32 @@ def test_without_the_subpackage():
     assert "N 28 False" in out.stdout, out.stderr[-1500:]
 
 
-@pytest.mark.parametrize("column", ["text", "doc_id"])
-def test_all_null_column(spark, tmp_path, column):
-    docs = frame(spark).limit(6).withColumn(column, frame(spark).schema[column].dataType and __import__(
-        "pyspark.sql.functions", fromlist=["lit"]).lit(None).cast(frame(spark).schema[column].dataType))
-    sf = folder(spark, tmp_path, docs)
-    out = corpus_pipeline.run(spark, sf)
-    assert out.count() == 0 if column == "text" else out.count() >= 0
+def test_trees_decide_in_the_pipeline(spark, tmp_path):
+    """With labels of both classes the trees run, and the stage keeps what the operator keeps."""
+    data = [r for r in rows() if r[0] is not None]
+    labels = [(r[0], int("a" in (r[1] or "")[:3]), 0) for r in data]
+    sf = folder(spark, tmp_path, frame(spark), labels)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert model is not None
+    judged = {(r["doc_id"], r["n_words"]): r["kept"] for r in quality.judge(docs, model).collect()}
+    kept = corpus_pipeline.quality_rules(spark, docs, sf)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(
+        (r for r in rows() if judged[r[0], plain(r[1])[0]]), key=str)
+    assert 0 < kept.count() < sum(plain(r[1])[0] >= 10 for r in rows())
+    assert corpus_pipeline.run(spark, sf).where("piece = 0").count() > 0
+
+
+def test_all_null_texts(spark, tmp_path):
+    docs = frame(spark).limit(6).withColumn("text", F.lit(None).cast("string"))
+    assert corpus_pipeline.run(spark, folder(spark, tmp_path, docs)).count() == 0
+
+
+def test_all_null_ids(spark, tmp_path):
+    """Rows without id have no near-duplicates: each good one has a first piece."""
+    data = [(None, *r[1:]) for r in rows() if plain(r[1])[0] >= 10][:8]
+    sf = folder(spark, tmp_path, spark.createDataFrame(data, SCHEMA))
+    good = [r for r in data if not 100 * plain(r[1])[4] > 20 * plain(r[1])[0]]
+    out = corpus_pipeline.run(spark, sf).collect()
+    assert all(r["doc_id"] is None for r in out) and sum(r["piece"] == 0 for r in out) == len(good) > 3

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -12,26 +13,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# of the batches between the JVM and Python workers: rows at most, and bytes at most
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def per_worker(key: tuple, make: Callable):
-    """A value kept by a Python worker across its tasks (vocabulary files, word caches)."""
+    """A value kept by a Python worker across its tasks (vocabulary files, word caches). A worker
+    keeps the one it used last, so those of earlier stages are given back."""
     store = sys.modules.setdefault("_tickrisk_worker", types.ModuleType("_tickrisk_worker"))
     values = store.__dict__.setdefault("values", {})
     if key not in values:
+        values.clear()
         values[key] = make()
     return values[key]
 
 
+def release() -> None:
+    """Memory that Arrow and the C library hold free goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):          # another C library
+        pass
+
+
 def texts_as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; a null text is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
 def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``most_bytes`` (a larger row stands alone)."""
+    """Cut batches so that each holds about ``most_bytes`` (a larger row stands alone). At the
+    end of the partition, memory no longer used is given back."""
+    yield from _slices(batches, most_bytes)
+    release()
+
+
+def _slices(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.num_rows
         if n <= 1 or batch.nbytes <= most_bytes:
@@ -41,7 +65,7 @@ def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iter
         for at in range(0, n, step):
             part = batch.slice(at, step)
             if part.num_rows > 1 and part.nbytes > 4 * most_bytes:
-                yield from slices(iter([part]), most_bytes)
+                yield from _slices(iter([part]), most_bytes)
             else:
                 yield part
 

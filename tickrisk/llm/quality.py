@@ -8,6 +8,7 @@ training sample, whose size is the parameter ``sample``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -179,16 +180,19 @@ def judge(docs: DataFrame, model: Forest | None, threshold: float = 0.5, id_col:
 
 def keep_good(docs: DataFrame, model: Forest | None, threshold: float = 0.5,
               text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns, filtered where they are read."""
-    at = docs.columns.index(text_col)
-
-    def work(batches):
-        for batch in slices(batches):
-            if batch.num_rows:
-                *_, kept = _verdicts(texts_as_bytes(batch.column(at)), model, threshold)
-                yield batch.filter(pa.array(kept))
-
-    return docs.mapInArrow(work, docs.schema)
+    """The rows of ``docs`` that pass, with all their columns. Only the texts go to Python, and
+    only the verdicts come back."""
+    @F.arrow_udf("boolean")
+    def good(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            verdicts = [pa.array([], pa.bool_())]
+            for batch in slices(iter([pa.RecordBatch.from_arrays([part], ["text"])])):
+                if batch.num_rows:
+                    *_, kept = _verdicts(texts_as_bytes(batch.column(0)), model, threshold)
+                    verdicts.append(pa.array(kept))
+            yield pa.concat_arrays(verdicts)
+
+    return docs.where(good(F.col(f"`{text_col}`").cast("string")))
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
