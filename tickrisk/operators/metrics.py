@@ -19,8 +19,8 @@ equal time. The as-of state of every trigger comes from two-level scans
 state of a ticker at a trigger is looked up by its tick count ``n`` in the
 statistics series; covariances are ``cov0 * q**e`` (``operators.stats``).
 
-Sums run in ascending order of their terms (``sorted_sum``) so that equal
-states give bit-identical metrics, which exact change detection relies on.
+Equal states give bit-identical metrics (``operators.quadratic``), which exact change
+detection relies on.
 """
 
 from __future__ import annotations
@@ -29,9 +29,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickrisk.functions.ieee import ieee_div, sorted_sum
+from tickrisk.functions.ieee import ieee_div
 from tickrisk.operators import stats as st
 from tickrisk.operators.joins import join_small
+from tickrisk.operators.quadratic import trigger_metrics
 from tickrisk.operators.scan import block_of, previous_row, running, running_sum
 from tickrisk.params import RiskParams
 
@@ -101,33 +102,16 @@ def metrics_from_grid(grid: DataFrame, seed: DataFrame, tkey: list[str],
     ticker of the trigger; ``tkey`` includes ``portfolio_id``), ideally
     hash-partitioned by the trigger key (``partition_by_trigger``).
 
-    No (i, j) pair rows are produced. Every grid row ``i`` carries its seed
-    covariance row (size-checked join) and the states of the trigger's
-    weighted tickers (a window over the trigger key: N entries). Both are
-    merged in one sorted array (by ticker, cell before peer) and adjacent
-    (cell, peer) entries give the terms ``w_j * cov_ij`` with
-    ``cov_ij = cov0 * q**e``; ``rs_i = sum_j w_j * cov_ij`` (diagonal from
-    the variance series) and ``var = sum_i w_i * rs_i``. O(N log N) per row,
-    O(N^2 log N) per trigger, inside the trigger's partition.
+    Each trigger is one product of the portfolio's dense seed matrix with its weights
+    (``operators.quadratic``): O(N^2) multiplications in numpy, O(N) rows and memory; no (i, j) pair rows.
     """
-    q = F.lit(params.decay)
-    d = _merge_rows(grid, seed, tkey)
-    off = _row_matches(lambda a, b: b["w"] * a["c"] * F.pow(q, st.decay_exponent(
-        F.col("n"), b["n"], F.col("g"), b["g"]).cast("double")))
-    terms = F.when(F.col("var").isNotNull(),
-                   F.concat(off, F.array(F.col("w") * F.col("var")))).otherwise(off)
-    d = d.select(*tkey, "w", "mean", F.when(F.size(terms) > 0, sorted_sum(terms)).alias("rs"))
-    out = d.groupBy(*tkey).agg(
-        sorted_sum(F.collect_list(F.col("w") * F.coalesce("mean", F.lit(0.0)))).alias("expected_return"),
-        sorted_sum(F.collect_list(F.col("w") * F.col("rs"))).alias("variance"))
-    out = out.withColumn("variance", F.coalesce("variance", F.lit(0.0)))
-    return finish_metrics(out, params)
+    return finish_metrics(trigger_metrics(grid, seed, tkey, params.decay), params)
 
 
 def partition_by_trigger(grid: DataFrame, tkey: list[str] | None = None) -> DataFrame:
     """Hash-partition a grid by its trigger key once and keep it (memory and
-    disk; recomputable from lineage) so that every branch of the quadratic
-    form reuses that partitioning. Unpersist after use."""
+    disk; recomputable from lineage) so that its readers reuse that
+    partitioning. Unpersist after use."""
     return grid.repartition(*(tkey or TKEY)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
