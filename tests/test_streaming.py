@@ -368,3 +368,58 @@ def test_record_and_factored_modes_agree(spark):
             assert g["var"] == pytest.approx(r["covarianceMatrix"][t][t], rel=1e-9, abs=1e-15)
         n += 1
     assert n > 20
+
+
+def _factored_metrics(spark, tmp_path, cov, rows):
+    """Query B, factored mode, over series rows (ticker, n, mean, var) of one portfolio."""
+    from tickrisk.params import RiskParams
+    from tickrisk.streaming.processors import TICKER_STATS_OUT
+    seeds = spark.createDataFrame([(1, 0, "p", {"A": 0.01, "B": 0.02}, cov)],
+                                  "seq long, timestamp long, portfolio_id string, meanReturns map<string,double>, "
+                                  "covarianceMatrix map<string,map<string,double>>")
+    series = spark.createDataFrame(
+        [("p", t, dt.datetime(2024, 1, 1, 0, 0, k), n, 0.0, True, m, True, v) for k, (t, n, m, v) in enumerate(rows)],
+        TICKER_STATS_OUT)
+    series.write.parquet(str(tmp_path / "series"))
+    weights = spark.createDataFrame([(1, 0, "p", {"A": 0.5, "B": 0.25, "Z": 1.0})],
+                                    "seq long, timestamp long, portfolio_id string, weights map<string,double>")
+    weights.write.parquet(str(tmp_path / "weights"))
+    m = tp.metrics_stream_factored(
+        spark.readStream.schema(series.schema).parquet(str(tmp_path / "series")),
+        spark.readStream.schema(weights.schema).parquet(str(tmp_path / "weights")), seeds, RiskParams())
+    tp.run_available_now(m, str(tmp_path / "out"), str(tmp_path / "ck"))
+    return spark.read.parquet(str(tmp_path / "out")).orderBy("o_ts").collect()
+
+
+def test_factored_metrics_of_each_trigger(spark, tmp_path):
+    """The pair after each return; a return of a ticker without weight changes nothing."""
+    cov = {"A": {"A": 0.04, "B": 0.01, "C": 0.3}, "B": {"A": 0.01, "B": 0.09}, "C": {"A": 0.3, "C": 0.5}}
+    rows = [("A", 1, 0.011, 0.041), ("C", 1, 0.5, 0.4), ("B", 1, 0.021, 0.088), ("A", 2, 0.012, 0.042)]
+    out = _factored_metrics(spark, tmp_path, cov, rows)
+    q, exp = 1000 / 1001, []
+    mean, var, n = {"A": 0.01, "B": 0.02}, {"A": 0.04, "B": 0.09}, {"A": 0, "B": 0}
+    for t, k, m, v in rows:
+        if t == "C":
+            continue
+        mean[t], var[t], n[t] = m, v, k
+        exp.append((0.5 * mean["A"] + 0.25 * mean["B"], 0.25 * var["A"] + 0.0625 * var["B"]
+                    + 2 * 0.125 * 0.01 * q ** (n["A"] + n["B"])))
+    assert [(pytest.approx(r["expected_return"], rel=1e-12), pytest.approx(r["variance"], rel=1e-12)) for r in out] == exp
+
+
+def test_factored_mode_refuses_what_it_cannot_derive(spark, tmp_path):
+    for name, cov, rows in (("asymmetric", {"A": {"B": 0.01}, "B": {"A": 0.03}}, [("A", 1, 0.01, 0.01)]),
+                            ("mean", {"A": {"B": 0.01}, "B": {"A": 0.01}}, [("A", 1, 0.0, 0.01)])):
+        (tmp_path / name).mkdir()
+        with pytest.raises(Exception, match="use mode='record'"):
+            _factored_metrics(spark, tmp_path / name, cov, rows)
+
+
+def test_default_mode_follows_the_rule_on_asymmetric_seeds(spark):
+    """The default mode gives the rule's cells where the factored form cannot."""
+    from tickrisk.streaming.job import StreamingJob
+    assert StreamingJob.__dataclass_fields__["mode"].default == "record"
+    from tickrisk.functions.fold import apply_return
+    means, cov = {"A": 0.01, "B": 0.02}, {"A": {"A": 0.04, "B": 0.01}, "B": {"A": 0.03, "B": 0.09}}
+    apply_return(means, cov, "A", 0.05, 1001)
+    assert cov["A"]["B"] == cov["B"]["A"] == pytest.approx(0.01 * 1000 / 1001, rel=1e-12)

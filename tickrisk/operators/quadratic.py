@@ -54,6 +54,22 @@ def sorted_sums(terms: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
+class OffDiagonal:
+    """Quadratic form of the off-diagonal cells for tickers that are ``alive`` (mean not 0) or not."""
+
+    def __init__(self, matrix: np.ndarray, alive: np.ndarray):
+        self.alive = alive
+        self.same = np.where(alive[:, None] == alive[None, :], matrix, 0.0)
+        self.cross = None if alive.all() else matrix[np.ix_(alive, ~alive)]
+
+    def __call__(self, by_class: np.ndarray, crossed: np.ndarray) -> float:
+        """``by_class``: y of the living, w of the dead; ``crossed``: the other way round."""
+        value = by_class @ (self.same @ by_class)
+        if self.cross is not None:
+            value += 2.0 * (crossed[self.alive] @ (self.cross @ crossed[~self.alive]))
+        return value
+
+
 def block_metrics(states: pa.ListArray, number: dict[str, int], matrix: np.ndarray, q: float) -> tuple[np.ndarray, np.ndarray]:
     """(expected return, variance) of triggers; ``states``: their (ticker, w, mean, var, n, g)."""
     flat = states.flatten()
@@ -72,19 +88,15 @@ def block_metrics(states: pa.ListArray, number: dict[str, int], matrix: np.ndarr
 
     alive = np.zeros(len(number), bool)
     alive[at[live & (at >= 0)]] = True
-    same = np.where(alive[:, None] == alive[None, :], matrix, 0.0)
-    cross = matrix[np.ix_(alive, ~alive)] if not alive.all() else None
+    form = OffDiagonal(matrix, alive)
     by_class, crossed = np.where(live, y, w), np.where(live, w, y)
     begin = 0
     for t, end in enumerate(ends.tolist()):
         inside = np.flatnonzero(at[begin:end] >= 0) + begin
         if len(inside):
-            x = np.zeros(len(number))
-            x[at[inside]] = by_class[inside]
-            variance[t] += x @ (same @ x)
-            if cross is not None:
-                x[at[inside]] = crossed[inside]
-                variance[t] += 2.0 * (x[alive] @ (cross @ x[~alive]))
+            x, z = np.zeros(len(number)), np.zeros(len(number))
+            x[at[inside]], z[at[inside]] = by_class[inside], crossed[inside]
+            variance[t] += form(x, z)
         begin = end
     return expected, variance
 

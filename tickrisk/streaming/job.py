@@ -49,11 +49,13 @@ class StreamingJob:
     console: bool = False
     points_fmt: str = "parquet"
     stamp: str = "event"                   # "processing": wall-clock record times (P14)
+    # "record": per-portfolio statistics records (K1 as the original), the step rules on any
+    # input, seeds static or as a stream.
     # "factored": statistics per (portfolio, ticker), so one portfolio's returns
     # spread over its tickers; K1 written as series rows, covariances derived in the
-    # metrics processor (needs static ``seeds``; exact where the closed form is).
-    # "record": per-portfolio statistics records (K1 as the original, any input).
-    mode: str = "factored"
+    # metrics processor (needs static ``seeds``). Exact where the closed form is; other
+    # input (asymmetric seed, infinite return, a mean that becomes 0) stops the query.
+    mode: str = "record"
     seed_time: bool = False                # replays: static seeds count from their own time on
     strict: bool = True                    # malformed ticks raise; False: go to ``bad_ticks``
     kafka: str | None = None               # bootstrap servers for the topics below
@@ -99,7 +101,8 @@ class StreamingJob:
 
     @staticmethod
     def late_ticks(query: StreamingQuery) -> int:
-        """Ticks that a query (Query A) has dropped as later than the watermark so far."""
+        """Rows that a query (Query A) has dropped as later than the watermark, in the batches that Spark still
+        tells of (the last 100 by default); several late ticks of one window and task count as one."""
         return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress
                    for op in p["stateOperators"])
 
@@ -159,7 +162,7 @@ def main(argv: list[str] | None = None) -> None:
     --out DIR [--holdings FILE] [--format parquet|json] [--available-now]``.
     Tick files carry ``seq`` and ``arrival_ts`` next to the 28 wire fields
     (or at least the four used ones). With ``--bootstrap SERVERS``, ``--ticks`` and
-    ``--weights`` name topics of Avro records (``--starting-offsets``, ``--unkeyed`` for
+    ``--weights`` (and ``--seeds`` with ``--seed-stream``) name topics of Avro records (``--starting-offsets``, ``--unkeyed`` for
     topics whose records of one ticker spread over partitions), and
     ``--stats-topic``/``--metrics-topic`` publish K1/K2. The master and its resources are
     spark-submit's unless ``--master`` is given.
@@ -175,6 +178,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ticks", required=True)
     ap.add_argument("--weights", required=True)
     ap.add_argument("--seeds", required=True, help="statistics records (static)")
+    ap.add_argument("--seed-stream", action="store_true", help="seeds arrive as a stream (a topic with --bootstrap)")
     ap.add_argument("--holdings", default=None, help="(portfolio_id, ticker) table")
     ap.add_argument("--portfolio-id", default="portf1")
     ap.add_argument("--out", required=True)
@@ -183,7 +187,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trigger", default="2 seconds")
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--master", default=None)
-    ap.add_argument("--mode", default="factored", choices=["record", "factored"])
+    ap.add_argument("--mode", default="record", choices=["record", "factored"])
     ap.add_argument("--seed-time", action="store_true", help="replay: seeds count from their own time on")
     ap.add_argument("--lenient", action="store_true", help="keep malformed ticks apart instead of failing")
     ap.add_argument("--bootstrap", default=None, help="Kafka servers; --ticks and --weights are topics then")
@@ -207,9 +211,14 @@ def main(argv: list[str] | None = None) -> None:
     else:
         ticks = file_source(spark, a.ticks, tick_t, fmt=a.format, stream=True)
         weights = file_source(spark, a.weights, snap_t, fmt=a.format, stream=True)
-    seeds = file_source(spark, a.seeds, seed_t, fmt=a.format)
+    seeds, seed_stream = None, None
+    if a.seed_stream:
+        seed_stream = (kafka_source(spark, a.bootstrap, a.seeds, "portfolio_stats", a.starting_offsets, order=order)
+                       if a.bootstrap else file_source(spark, a.seeds, seed_t, fmt=a.format, stream=True))
+    else:
+        seeds = file_source(spark, a.seeds, seed_t, fmt=a.format)
     holdings = (spark.read.format(a.format).load(a.holdings) if a.holdings else None)
-    job = StreamingJob(spark, ticks, weights, out=a.out, seeds=seeds, holdings=holdings,
+    job = StreamingJob(spark, ticks, weights, out=a.out, seeds=seeds, seed_stream=seed_stream, holdings=holdings,
                        params=RiskParams(window=a.window), portfolio_id=a.portfolio_id,
                        stamp="processing" if a.processing_time_stamps else "event",
                        mode=a.mode, strict=not a.lenient, seed_time=a.seed_time, kafka=a.bootstrap,

@@ -31,14 +31,17 @@ keeps ``(n, mean, var)`` per key; off-diagonal cells follow from the counts.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickrisk.functions.fold import apply_return, java_equals, portfolio_metrics
+from tickrisk.operators.quadratic import OffDiagonal
 
 # The processors run in Python workers that need not have this package
 # installed: ship this module's classes and helpers by value in the task.
@@ -225,6 +228,10 @@ TICKER_STATS_OUT = ("portfolio_id string, ticker string, o_ts timestamp, n long,
                     "has_var boolean, var double")
 
 
+class UnfactoredInput(ValueError):
+    """Input whose statistics the factored mode cannot derive; the record mode can."""
+
+
 class TickerStatsProcessor(StatefulProcessor):
     """Factored mode of the statistics update, keyed by ``(portfolio_id, ticker)``.
 
@@ -266,6 +273,8 @@ class TickerStatsProcessor(StatefulProcessor):
             if self.seed_time and _ms(r.o_ts) < r.seed_ms:
                 continue
             ret = float(r.return_value)
+            if not math.isfinite(ret):
+                raise UnfactoredInput(f"a return of {key[1]} in portfolio {key[0]} is {ret}: use mode='record'")
             old = m if has_m else 0.0
             new = old + (ret - old) / self.n_div
             if old != 0.0:
@@ -291,17 +300,18 @@ class TickerStatsProcessor(StatefulProcessor):
 class FactoredMetricsProcessor(StatefulProcessor):
     """Factored mode of the metrics connect, keyed by ``portfolio_id``.
 
-    State: the seed (covariance cells, means, live flags; from the initial
-    state, written once), per-ticker ``(n, mean, var)`` from the factored
+    State: the seed as one dense matrix with its tickers and means (from the initial
+    state, written once, read as one value), per-ticker ``(n, mean, var)`` from the factored
     series stream, the latest weights and the last emitted pair. A series row
-    (an applied return) or a weight snapshot triggers; the statistics of the
-    trigger are derived: ``cov_ij = cov0_ij * q**(n_i*[m_j != 0] +
-    n_j*[m_i != 0])`` off the diagonal, the series variance on it. Only the
-    changed ticker entries are written back.
-
-    Same assumptions as the closed form (symmetric seed, finite returns, no mean that
-    becomes exactly 0 mid-stream); the record mode has none of them. A return of a ticker
-    absent from the seed changes no statistic but triggers like any other.
+    (an applied return) or a weight snapshot triggers; the variance is the quadratic form of
+    ``operators.quadratic``: one product of the matrix with a vector a trigger, none where
+    the updated ticker has no weight (the pair is unchanged then). Only the changed ticker
+    entries are written back.
+
+    Same assumptions as the closed form: a symmetric seed, finite returns, no mean that
+    becomes exactly 0 mid-stream. Input that breaks one raises ``UnfactoredInput``; the record
+    mode has none of them. A return of a ticker absent from the seed changes no statistic but
+    triggers like any other.
     """
 
     def __init__(self, count: int = 1000, periods: int = 52, risk_free: float = 0.0018):
@@ -310,8 +320,8 @@ class FactoredMetricsProcessor(StatefulProcessor):
         self.risk_free = risk_free
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cov0 = handle.getMapState("cov0", "i string, j string", "c double")
-        self.mean0 = handle.getMapState("mean0", "ticker string", "m double")
+        # tickers joined by NUL; cells and means as 8-byte floats, NaN where the seed has no mean
+        self.seed = handle.getValueState("seed", "names string, cells binary, means binary")
         self.tick = handle.getMapState(
             "tick", "ticker string",
             "n long, has_mean boolean, mean double, has_var boolean, var double")
@@ -320,56 +330,96 @@ class FactoredMetricsProcessor(StatefulProcessor):
         self.last = handle.getValueState("last", "e double, risk double")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        for r in initialState.itertuples(index=False):
-            if r.kind == "cov":
-                self.cov0.updateValue((r.i, r.j), (float(r.value),))
-            elif r.kind == "mean":
-                self.mean0.updateValue((r.i,), (float(r.value),))
-
-    def _stats(self, mean0: dict, cov0: dict, tick: dict):
-        live = {t for t, m in mean0.items() if m != 0.0}
-        means = {t: (tick[t][2] if t in tick and tick[t][1] else m) for t, m in mean0.items()}
-        n = {t: v[0] for t, v in tick.items()}
-        cov: dict = {}
-        for (i, j), c in cov0.items():
-            if i == j:
-                v = tick[i][4] if i in tick and tick[i][3] else c
-            else:
-                e = n.get(i, 0) * (j in live) + n.get(j, 0) * (i in live)
-                v = c * self.q ** e
-            cov.setdefault(i, {})[j] = v
-        return means, cov
+        if self.seed.exists():
+            return
+        first = initialState.iloc[0]
+        means, cov = dict(first["meanReturns"] or {}), first["covarianceMatrix"] or {}
+        names = sorted({*means, *cov, *(j for row in cov.values() for j in (row or {}))})
+        number = {t: k for k, t in enumerate(names)}
+        cells = np.zeros((len(names), len(names)))
+        for i, row in cov.items():
+            for j, c in (row or {}).items():
+                cells[number[i], number[j]] = c
+        if not np.array_equal(cells, cells.T):
+            raise UnfactoredInput(f"the seed of portfolio {key[0]} is asymmetric or not a number: use mode='record'")
+        self.seed.update(("\0".join(names), cells.tobytes(),
+                          np.array([means.get(t, np.nan) for t in names], float).tobytes()))
+
+    def _form(self):
+        """Tickers, their seed means (NaN: none), seed variances and the form of the other cells."""
+        if not self.seed.exists():
+            return {}, np.zeros(0), np.zeros(0), None
+        names, cells, means = self.seed.get()
+        number = {t: k for k, t in enumerate(names.split("\0"))} if names else {}
+        matrix = np.frombuffer(cells).reshape(len(number), len(number)).copy()
+        var0 = np.diag(matrix).copy()
+        np.fill_diagonal(matrix, 0.0)
+        mean0 = np.frombuffer(means)
+        return number, mean0, var0, OffDiagonal(matrix, ~np.isnan(mean0) & (mean0 != 0.0))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
         has_s, has_w = self.flags.get() if self.flags.exists() else (False, False)
-        cov0 = {k: v[0] for k, v in self.cov0.iterator()}
-        mean0 = {k[0]: v[0] for k, v in self.mean0.iterator()}
+        number, mean0, var0, form = self._form()
         tick = {k[0]: v for k, v in self.tick.iterator()}
         weights = {k[0]: v[0] for k, v in self.weights.iterator()} if has_w else {}
         weights_before = dict(weights)
         last = self.last.get() if self.last.exists() else None
-        changed = set()
+        # the state as vectors over the seed's tickers
+        n, mean, var = np.zeros(len(number)), np.nan_to_num(mean0, nan=0.0), var0
+        w = np.zeros(len(number))
+
+        def place(ticker):
+            k = number.get(ticker)
+            if k is None:
+                return
+            n[k], has_mean, m, has_var, c = tick[ticker]
+            if has_mean:
+                mean[k] = m
+            if has_var:
+                var[k] = c
+
+        def weigh():
+            w[:] = [weights.get(t, 0.0) for t in number]
+
+        for t in tick:
+            place(t)
+        weigh()
+        changed, fresh = set(), last is None
         out = []
         for r in pdf.itertuples(index=False):
             if r.kind == "series":
                 hm, hv = bool(r.has_mean), bool(r.has_var)
+                k = number.get(r.ticker)
+                if hm and (not np.isfinite(r.mean) or (k is not None and form.alive[k] and r.mean == 0.0)):
+                    raise UnfactoredInput(f"the mean of {r.ticker} in portfolio {key[0]} became {r.mean}: use mode='record'")
                 tick[r.ticker] = (int(r.n), hm, float(r.mean) if hm else 0.0,
                                   hv, float(r.var) if hv else 0.0)
+                place(r.ticker)
                 changed.add(r.ticker)
                 has_s = True
+                same = not fresh and not weights.get(r.ticker)
             else:
-                weights = {t: w for t, w in (r.weights or {}).items() if w is not None}
-                has_w = True
+                weights = {t: x for t, x in (r.weights or {}).items() if x is not None}
+                weigh()
+                has_w, same = True, False
             if not (has_s and has_w):
                 continue
-            means, cov = self._stats(mean0, cov0, tick)
-            e, var, risk, sharpe = portfolio_metrics(weights, means, cov, self.periods,
-                                                     self.risk_free)
+            if same:
+                continue                          # a ticker without weight: the pair stays as it was
+            fresh = False
+            y = w * np.power(self.q, n)
+            e = float(np.sort(w * mean).sum())
+            v = float(np.sort(w * w * var).sum())
+            if form is not None:
+                v += float(form(np.where(form.alive, y, w), np.where(form.alive, w, y)))
+            with np.errstate(all="ignore"):
+                risk = float(np.sqrt(v))
+                sharpe = float(np.float64(math.sqrt(self.periods) * (e - self.risk_free)) / risk)
             if last is not None and java_equals(last[0], e) and java_equals(last[1], risk):
                 continue
             last = (e, risk)
-            out.append((key[0], r.o_ts, int(r.o_side), int(r.o_seq), r.o_tie, e, var, risk, sharpe))
+            out.append((key[0], r.o_ts, int(r.o_side), int(r.o_seq), r.o_tie, e, v, risk, sharpe))
             if len(out) >= ROWS_AT_ONCE:
                 yield pd.DataFrame(out, columns=METRICS_COLUMNS)
                 out = []

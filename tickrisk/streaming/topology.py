@@ -181,14 +181,9 @@ def metrics_stream(stats_records: DataFrame, weight_snapshots: DataFrame,
 def metrics_stream_factored(series: DataFrame, weight_snapshots: DataFrame, seeds: DataFrame,
                             params: RiskParams) -> DataFrame:
     """Query B, factored mode: ``series`` is ``ticker_stats_stream`` output
-    (per (portfolio, ticker) rows after each applied return); the seed cells
-    and means become the processor's initial state. Output: METRICS_OUT."""
-    seed = st.first_seed(seeds)
-    init = (st.seed_cov(seed).select("portfolio_id", F.lit("cov").alias("kind"), "i", "j",
-                                     F.col("cov0").alias("value"))
-            .unionByName(st.seed_means(seed).select(
-                "portfolio_id", F.lit("mean").alias("kind"), F.col("ticker").alias("i"),
-                F.lit(None).cast("string").alias("j"), F.col("mean0").alias("value"))))
+    (per (portfolio, ticker) rows after each applied return); the seed, one row a
+    portfolio, becomes the processor's initial state. Output: METRICS_OUT."""
+    init = st.first_seed(seeds).select("portfolio_id", "meanReturns", "covarianceMatrix")
     w_seq, w_tie = st.order_columns(weight_snapshots)
     s = series.select(
         "portfolio_id", F.lit("series").alias("kind"), F.col("o_ts").cast("timestamp").alias("o_ts"),
