@@ -423,3 +423,54 @@ def test_default_mode_follows_the_rule_on_asymmetric_seeds(spark):
     means, cov = {"A": 0.01, "B": 0.02}, {"A": {"A": 0.04, "B": 0.01}, "B": {"A": 0.03, "B": 0.09}}
     apply_return(means, cov, "A", 0.05, 1001)
     assert cov["A"]["B"] == cov["B"]["A"] == pytest.approx(0.01 * 1000 / 1001, rel=1e-12)
+
+
+class _State(dict):
+    """A MapState over a plain dictionary."""
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+    updateValue, removeKey, containsKey = dict.__setitem__, dict.__delitem__, dict.__contains__
+
+
+class _Value:
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+def test_weight_rows_are_gathered_by_time_timer_and_late(spark):
+    """A time comes out once a later one is seen; the newest by the timer; rows of an emitted time
+    as a late snapshot. Nothing is lost, and the last weight of a ticker counts."""
+    import pandas as pd
+
+    from tickrisk.streaming.processors import WeightRowsProcessor
+    p, timers = WeightRowsProcessor(wait_ms=500), []
+    p.pending, p.told, p.due = _State(), _Value(), _Value()
+    p.handle = type("H", (), {"registerTimer": staticmethod(timers.append), "deleteTimer": staticmethod(timers.remove)})
+    clock = type("T", (), {"getCurrentProcessingTimeInMs": staticmethod(lambda: 1000 + len(timers))})
+
+    def feed(*rows):
+        frame = pd.DataFrame(rows, columns=["time_ms", "ticker", "weight", "seq"])
+        return [tuple(r) for part in p.handleInputRows(("p",), iter([frame]), clock) for r in part.itertuples(index=False)]
+
+    assert feed((10, "A", .1, 1), (10, "B", .2, 2)) == []
+    assert feed((10, "A", .3, 4), (10, "A", .9, 3)) == []
+    assert feed((20, "A", .5, 5), (30, "C", .6, 6)) == [(4, 10, "p", {"A": .3, "B": .2}, False), (5, 20, "p", {"A": .5}, False)]
+    assert len(timers) == 1 and set(p.pending) == {(30, "C")}
+    assert feed((10, "D", .7, 7)) == [(7, 10, "p", {"D": .7}, True)]
+    fired = [tuple(r) for part in p.handleExpiredTimer(("p",), clock, None) for r in part.itertuples(index=False)]
+    assert fired == [(6, 30, "p", {"C": .6}, False)] and not p.pending and not p.due.exists()
+    assert feed((30, "E", .8, 8)) == [(8, 30, "p", {"E": .8}, True)] and not p.pending

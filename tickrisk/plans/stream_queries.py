@@ -159,7 +159,26 @@ def q_stream_control_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics_out(_run(m, root, "metrics"))
 
 
+def q_stream_weights_rows_to_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6/A7 streaming: text weight rows -> snapshots, gathered in state, exploded. A row of a far later
+    time per portfolio (derived from the data) ends the last snapshot and stays pending itself."""
+    from tickrisk.operators import weights as wt
+    static, stream = _events(spark, sf_dir)
+    root = scratch_path(spark, "stream-weight-rows")
+    ends = (standin.weight_rows(static).groupBy("portfolio_id", "ticker").agg(F.max("seq").alias("seq"))
+            .groupBy("portfolio_id").agg(F.max("seq").alias("seq"), F.min("ticker").alias("ticker"))
+            .select("seq", F.lit("2999-01-01 00:00:00").alias("time"), "portfolio_id", "ticker", F.lit("0").alias("weight")))
+    ends.write.mode("overwrite").parquet(f"{root}/ends")
+    rows = standin.weight_rows(stream).unionByName(file_source(spark, f"{root}/ends", ends.schema, stream=True))
+    snaps = _run(tp.weight_snapshot_stream(wt.typed_weight_rows(rows), wait_ms=None), root, "snapshots")
+    return (snaps.select("portfolio_id", F.col("timestamp").alias("time_ms"),
+                         F.size("weights").cast("bigint").alias("n_tickers"),
+                         F.explode("weights").alias("ticker", "weight"))
+            .select("portfolio_id", "time_ms", "ticker", round8("weight").alias("weight"), "n_tickers"))
+
+
 STREAM_QUERIES = {
+    "stream_weights_rows_to_map": q_stream_weights_rows_to_map,
     "stream_log_return": q_stream_log_return,
     "stream_ew_mean": q_stream_ew_mean,
     "stream_metrics": q_stream_metrics,

@@ -436,3 +436,77 @@ class FactoredMetricsProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+SNAPSHOTS_OUT = "seq long, timestamp long, portfolio_id string, weights map<string,double>, late boolean"
+
+
+class WeightRowsProcessor(StatefulProcessor):
+    """A7 on a stream of weight rows, keyed by ``portfolio_id``: one snapshot per time.
+
+    The rows of a time are gathered in state (one weight per ticker, the one that arrived
+    last) and emitted as one map once a row of a later time has come, or by a timer ``wait_ms`` after the
+    portfolio's last row, so that a quiet portfolio's newest snapshot is not held back. Rows of a
+    time that has been emitted come out as a snapshot of their own, marked ``late``: it
+    holds those rows only, and none is lost. State is bounded by the rows of the pending times.
+    """
+
+    def __init__(self, wait_ms: int = 2000):
+        self.wait_ms = wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getMapState("pending", "time_ms long, ticker string", "weight double, seq long")
+        self.told = handle.getValueState("told", "time_ms long")
+        self.due = handle.getValueState("due", "at long")
+
+    def _snapshots(self, key, held: dict, upto: int | None, told: int | None) -> pd.DataFrame:
+        """Snapshots of the times before ``upto`` (None: all); their rows leave ``held`` and the state."""
+        times: dict = {}
+        for (time_ms, ticker), (weight, seq) in held.items():
+            if upto is None or time_ms < upto:
+                times.setdefault(time_ms, {})[ticker] = (weight, seq)
+        out = []
+        for time_ms in sorted(times):
+            rows = times[time_ms]
+            out.append((max(seq for _, seq in rows.values()), time_ms, key[0],
+                        {t: w for t, (w, _) in rows.items()}, told is not None and time_ms <= told))
+            for ticker in rows:
+                del held[time_ms, ticker]
+                if self.pending.containsKey((time_ms, ticker)):
+                    self.pending.removeKey((time_ms, ticker))
+        if times and (told is None or max(times) > told):
+            self.told.update((max(times),))
+        return pd.DataFrame(out, columns=["seq", "timestamp", "portfolio_id", "weights", "late"])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = {k: v for k, v in self.pending.iterator()}
+        told = self.told.get()[0] if self.told.exists() else None
+        for part in rows:
+            for time_ms, ticker, weight, seq in zip(part["time_ms"], part["ticker"], part["weight"], part["seq"]):
+                at = (int(time_ms), ticker)
+                if at not in held or held[at][1] <= seq:
+                    held[at] = (float(weight), int(seq))
+        newest = max(time_ms for time_ms, _ in held)
+        # a time that was emitted has no later rows to wait for
+        out = self._snapshots(key, held, newest if told is None or newest > told else None, told)
+        for at, value in held.items():
+            self.pending.updateValue(at, value)
+        if self.wait_ms is not None and held:
+            if self.due.exists():
+                self.handle.deleteTimer(self.due.get()[0])
+            at = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
+            self.handle.registerTimer(at)
+            self.due.update((at,))
+        if len(out):
+            yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.due.clear()
+        told = self.told.get()[0] if self.told.exists() else None
+        out = self._snapshots(key, {k: v for k, v in self.pending.iterator()}, None, told)
+        if len(out):
+            yield out
+
+    def close(self) -> None:
+        pass

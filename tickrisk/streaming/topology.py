@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from tickrisk.operators import stats as st
 from tickrisk.operators import ticks as tk
 from tickrisk.params import RiskParams
-from tickrisk.streaming.processors import (METRICS_OUT, STATS_OUT, TICKER_STATS_OUT,
+from tickrisk.streaming.processors import (METRICS_OUT, SNAPSHOTS_OUT, STATS_OUT, TICKER_STATS_OUT,
                                            FactoredMetricsProcessor, MetricsProcessor,
-                                           StatsUpdateProcessor, TickerStatsProcessor)
+                                           StatsUpdateProcessor, TickerStatsProcessor, WeightRowsProcessor)
 
 
 def _nan_if_null(c):
@@ -153,6 +153,17 @@ def ticker_stats_stream(ticks_raw: DataFrame, params: RiskParams, seeds: DataFra
             initialState=init.groupBy("portfolio_id", "ticker")))
 
 
+def weight_snapshot_stream(typed_rows: DataFrame, wait_ms: int | None = 2000) -> DataFrame:
+    """Streaming long-form weight rows (``weights.typed_weight_rows``) -> weight snapshots
+    (``processors.SNAPSHOTS_OUT``), for ``metrics_stream`` like those of a topic. ``wait_ms``: how long
+    the newest snapshot of a quiet portfolio waits for more rows; None: until a later time comes."""
+    rows = typed_rows.filter(F.col("time_ms").isNotNull()).select(
+        "portfolio_id", "time_ms", "ticker", "weight", F.col("seq").cast("bigint").alias("seq"))
+    return rows.groupBy("portfolio_id").transformWithStateInPandas(
+        statefulProcessor=WeightRowsProcessor(wait_ms), outputStructType=SNAPSHOTS_OUT, outputMode="Append",
+        timeMode="None" if wait_ms is None else "ProcessingTime")
+
+
 def metrics_stream(stats_records: DataFrame, weight_snapshots: DataFrame,
                    params: RiskParams, control_watermark: str | None = None) -> DataFrame:
     """Query B body: emitted metrics (``processors.METRICS_OUT``).
