@@ -143,11 +143,19 @@ def _one_edit(left: np.ndarray, right: np.ndarray, size: np.ndarray, i: np.ndarr
     return np.minimum(ahead, size[i]) + np.minimum(behind, size[i]) >= np.maximum(size[i], size[j]) - 1
 
 
-def _met(group: np.ndarray, side: np.ndarray):
-    """Pairs of rows (i < j) of one group (sorted), about MET at a time; sides 0 and 1 meet each
-    other only, rows of side 2 meet all."""
+def _letters(text: list[bytes]) -> np.ndarray:
+    """The set of letters of each word as 64 bits; one edit takes one letter and brings one at most."""
+    size = np.array([len(w) for w in text], np.int64)
+    bits = np.uint64(1) << (np.frombuffer(b"".join(text), np.uint8) & 63).astype(np.uint64)
+    return np.bitwise_or.reduceat(bits, np.r_[0, np.cumsum(size)[:-1]])
+
+
+def _met(group: np.ndarray, size: np.ndarray, side: np.ndarray):
+    """Pairs of rows (i < j) of one group whose words' lengths differ by one at most, about MET at a
+    time; sorted by (group, size). Sides 0 and 1 meet each other only, rows of side 2 meet all."""
     n = len(group)
-    until = np.searchsorted(group, group, "right")
+    place = group * (int(size.max()) + 2) + size
+    until = np.searchsorted(place, place + 1, "right")
     after = until - np.arange(n) - 1
     total = np.cumsum(after)
     begin = 0
@@ -198,11 +206,12 @@ def near_words(words: DataFrame, least_length: int = 5, longest: int = 5, share:
             group = np.cumsum(np.r_[0, group[order][1:] != group[order][:-1]])
             size, place, side = size[order], place[order], side[order]
             text = [text[k] for k in order]
-            found_a, found_b = [], []
-            for i, j in _met(group, side):
+            found_a, found_b, letters = [], [], _letters(text)
+            for i, j in _met(group, size, side):
+                good = np.bitwise_count(letters[i] ^ letters[j]) <= 2
+                i, j = i[good], j[good]
                 # an unchanged gram moves by one place at most
-                good = (np.abs(size[i] - size[j]) <= 1) & (
-                    (np.abs(place[i] - place[j]) <= 1) | (place[i] < 0) | (place[j] < 0))
+                good = (np.abs(place[i] - place[j]) <= 1) | (place[i] < 0) | (place[j] < 0)
                 i, j = i[good], j[good]
                 by_width = np.argsort(size[j], kind="stable")
                 i, j = i[by_width], j[by_width]
