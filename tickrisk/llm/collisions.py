@@ -269,3 +269,24 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec
 def op2_collision_neardup(spark, sf_dir: str) -> DataFrame:
     """Near-duplicates of ``embeddings`` within a label, cosine 0.93 or more."""
     return embedding_links(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+ORACLE = r"""
+WITH RECURSIVE e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+ok AS MATERIALIZED (
+  SELECT r, label, v FROM e
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+  SELECT r AS a, r AS b FROM e
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+low AS (SELECT a AS r, min(vec_id) AS component_id FROM reach JOIN e ON e.r = reach.b GROUP BY a),
+num AS (SELECT a AS r, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM e JOIN low USING (r) LEFT JOIN num USING (r)
+"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tickrisk.llm.bitpack import op8_token_bitpack
 from tickrisk.llm.byte_bpe import op9_byte_bpe
 from tickrisk.llm.chunks import op3_substring_dedup
+from tickrisk.llm.collisions import ORACLE as LINKS_SQL
 from tickrisk.llm.collisions import op2_collision_neardup
 from tickrisk.llm.decontaminate import ORACLE as DECONTAMINATION_SQL
 from tickrisk.llm.decontaminate import op11_winnowing_decontamination
@@ -12,8 +13,10 @@ from tickrisk.llm.packing import op10_best_fit_packing
 from tickrisk.llm.quality import op1_quality_rules
 from tickrisk.llm.runs import op13_periodic_runs
 from tickrisk.llm.secrets import op7_secret_scan
+from tickrisk.llm.setsketch import ORACLE as NEAR_DUPLICATES_SQL
 from tickrisk.llm.setsketch import op5_setsketch_neardup
 from tickrisk.llm.spelling import op12_gram_spelling
+from tickrisk.llm.suffixes import ORACLE as REPEATS_SQL
 from tickrisk.llm.suffixes import op6_induced_suffix_dedup
 from tickrisk.llm.urls import op4_url_filter
 
@@ -33,4 +36,9 @@ QUERIES = {
     "op13_periodic_runs": op13_periodic_runs,
 }
 
-ORACLE: dict[str, str] = {"op11_winnowing_decontamination": DECONTAMINATION_SQL}
+ORACLE: dict[str, str] = {
+    "op2_collision_neardup": LINKS_SQL,
+    "op5_setsketch_neardup": NEAR_DUPLICATES_SQL,
+    "op6_induced_suffix_dedup": REPEATS_SQL,
+    "op11_winnowing_decontamination": DECONTAMINATION_SQL,
+}

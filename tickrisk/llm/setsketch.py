@@ -394,3 +394,27 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_c
 def op5_setsketch_neardup(spark, sf_dir: str) -> DataFrame:
     """Near-duplicates of ``documents`` on 4-word shingles, similarity 0.8 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(w[a:a + n - 1], ' ') AS t
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS a
+        FROM (SELECT r, w, least(len(w), 4) AS n FROM d WHERE len(w) > 0))),
+size AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+link AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS m FROM s x JOIN s y ON x.t = y.t AND x.r <> y.r GROUP BY x.r, y.r)
+  JOIN size p ON p.r = a JOIN size q ON q.r = b
+  WHERE 100 * m >= 80 * (p.n + q.n - m)),
+reach AS (
+  SELECT r AS a, r AS b FROM d
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+low AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN low USING (r) LEFT JOIN size USING (r)
+"""

@@ -473,3 +473,34 @@ def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: s
 def op6_induced_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` without bytes of 100-byte strings that start earlier."""
     return remove_repeated_strings(table(spark, sf_dir, "documents"))
+
+
+# strings of 100 bytes stand as 200 hexadecimal digits, cut out of two neighbouring pieces
+ORACLE = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+piece AS (
+  SELECT doc_id, k, s || coalesce(lead(s) OVER (PARTITION BY doc_id ORDER BY k), '') AS s
+  FROM (SELECT doc_id, unnest(l) AS s, unnest(range(len(l))) AS k
+        FROM (SELECT doc_id, regexp_extract_all(x, '.{1,200}') AS l FROM d))),
+gram AS MATERIALIZED (
+  SELECT doc_id, 100 * k + j AS p, md5_number(s[2 * j + 1:2 * j + 200]) AS h
+  FROM (SELECT doc_id, k, s, unnest(range(0, least(100, len(s) // 2 - 99))) AS j FROM piece WHERE len(s) >= 200)),
+again AS (
+  SELECT g.doc_id, g.p FROM gram g
+  JOIN (SELECT h, min(struct_pack(doc_id, p)) AS first FROM gram GROUP BY h HAVING count(*) > 1) USING (h)
+  WHERE struct_pack(doc_id := g.doc_id, p := g.p) > first),
+run AS (
+  SELECT doc_id, min(p) AS a, max(p) + 100 AS b
+  FROM (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS i
+        FROM (SELECT doc_id, p, (p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100, -1))::INT AS fresh FROM again))
+  GROUP BY doc_id, i),
+gap AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b
+  FROM (SELECT * FROM run UNION ALL SELECT doc_id, n, n FROM d)),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS y FROM gap JOIN d USING (doc_id) GROUP BY doc_id),
+gone AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM run GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(y)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
