@@ -474,3 +474,57 @@ def test_weight_rows_are_gathered_by_time_timer_and_late(spark):
     fired = [tuple(r) for part in p.handleExpiredTimer(("p",), clock, None) for r in part.itertuples(index=False)]
     assert fired == [(6, 30, "p", {"C": .6}, False)] and not p.pending and not p.due.exists()
     assert feed((30, "E", .8, 8)) == [(8, 30, "p", {"E": .8}, True)] and not p.pending
+
+
+def test_windows_fold_batches_and_late_ticks_come_out_once():
+    """First and last by arrival over pieces and batches in any order; the timer ends the window; a tick of a window
+    that the watermark has passed is a row of its own."""
+    import pandas as pd
+
+    from tickrisk.streaming.processors import TickWindowProcessor
+    p, timers = TickWindowProcessor(), []
+    p.held, p.handle = _Value(), type("H", (), {"registerTimer": staticmethod(timers.append)})
+    key, mark = ("A", 0, 2_000_500), [0]
+    clock = type("T", (), {"getCurrentWatermarkInMs": staticmethod(lambda: mark[0])})
+
+    def feed(*parts):
+        frames = [pd.DataFrame(rows, columns=["o_seq", "o_tie", "opening_price", "current_price", "event_us"]) for rows in parts]
+        return [r for f in p.handleInputRows(key, iter(frames), clock) for r in f.itertuples(index=False)]
+
+    assert feed([(5, "", 50.0, 51.0, 5), (4, "", 40.0, 41.0, 4)], [], [(6, "", 60.0, 61.0, 6)]) == []
+    mark[0] = 2001                                        # passed, but the window is still held
+    assert feed([(3, "", 30.0, 31.0, 3)], [(9, "", 90.0, math.nan, 9), (7, "", 70.0, 71.0, 7)]) == []
+    assert timers == [2001]
+    row, = [r for f in p.handleExpiredTimer(key, clock, None) for r in f.itertuples(index=False)]
+    assert tuple(row)[:5] == ("A", 0, 2_000_500, 6, 30.0) and math.isnan(row.last_current)
+    assert (row.last_us, row.o_seq, row.late) == (9, 9, False) and not p.held.exists()
+    late = feed([(1, "", 10.0, 11.0, 1)], [(2, "", 20.0, 21.0, 2)])
+    assert [(r.o_seq, r.n_ticks, r.first_open, r.last_current, r.late) for r in late] == [
+        (1, 1, 10.0, 11.0, True), (2, 1, 20.0, 21.0, True)]
+    assert timers == [2001] and not p.held.exists()
+
+
+@pytest.mark.parametrize("mode", ["record", "factored"])
+def test_job_that_keeps_late_ticks(spark, mode):
+    """Same metrics as the replay without it; ticks delivered after their windows are stored, every tick once."""
+    from tickrisk.streaming.job import StreamingJob
+    root = tempfile.mkdtemp(prefix="keep-late-")
+    static = spark.read.parquet(f"{SF}/events.parquet")
+    ticks = standin.price_ticks(static)
+    ticks.unionByName(SQ._sentinel(static)).write.parquet(f"{root}/ticks/part=1")
+    stream = file_source(spark, f"{root}/ticks/*", ticks.schema, stream=True)
+    snaps = standin.weight_snapshots(static)
+    snaps.write.parquet(f"{root}/weights")
+    job = StreamingJob(spark, stream, file_source(spark, f"{root}/weights", snaps.schema, stream=True), out=f"{root}/out",
+                       seeds=standin.stats_seeds(static), holdings=standin.holdings(static), params=Q.TEST_PARAMS,
+                       seed_time=True, keep_late=True, mode=mode)
+    job.run_available_now()
+    assert spark.read.parquet(f"{root}/out/metrics").count() == Q.flagship(spark, SF).count() > 0
+    assert job.late_ticks().count() == 0
+    ticks.withColumn("seq", F.col("seq") + 1_000_000).write.parquet(f"{root}/ticks/part=2")     # all of them, too late
+    job.run_available_now()
+    late = job.late_ticks()
+    assert late.count() == late.select("o_seq").distinct().count() == ticks.count()
+    assert spark.read.parquet(f"{root}/out/metrics").count() == Q.flagship(spark, SF).count()
+    with pytest.raises(ValueError):
+        StreamingJob(spark, stream, stream, out=f"{root}/out").late_ticks()

@@ -82,13 +82,20 @@ def log_returns(ticks: DataFrame, window: str = "2 seconds", watermark: str | No
     if watermark:
         ticks = ticks.withWatermark("ts", watermark)
     g = window_first_last(ticks, window, keep_text)
+    return returns_of_windows(g.select("*", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")),
+                              keep_text)
+
+
+def returns_of_windows(g: DataFrame, keep_text: bool = False) -> DataFrame:
+    """Log returns (rules 2, 4 and 5) of windows given by ``ticker, window_start, window_end, n_ticks,
+    first_open, last_current, last_traded_ts``."""
     base = F.col("first_open")
     last = F.when(F.col("n_ticks") > 1, F.col("last_current")).otherwise(base)
     ratio = F.when(base != 0, last / base)
     cols = [
         "ticker",
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
+        "window_start",
+        "window_end",
         "n_ticks",
         base.alias("base_price"),
         last.alias("last_price"),

@@ -25,8 +25,8 @@ class RiskParams:
     # Out-of-orderness bound of the event-time option (windows on the
     # last-traded time) and of arrival-time windows (the default, standing in
     # for the original's processing-time windows, which lose no tick). A tick
-    # later than the bound is dropped by Spark's aggregate and counted in the
-    # query's progress (``StreamingJob.late_ticks``).
+    # later than the bound is dropped by Spark's aggregate, or stored
+    # (``StreamingJob.keep_late``).
     watermark: str = "1 minute"
     arrival_watermark: str = "1 minute"
     # Rows of one (key, block) are scanned by one task; blocks are time

@@ -274,7 +274,24 @@ METRICS_COLS = """portfolio_id, o_ts, o_side, o_seq, o_tie,
        round(expected_return, 8) AS expected_return, round(risk, 8) AS risk,
        round(sharpe, 8) AS sharpe"""
 
+# the last hour's ticks come after all others: late if their window's end is a minute below the greatest other time
+LATE_TICKS = "WITH " + RETURNS.replace(TICKS, TICKS.replace("ticks AS (", "every_tick AS (") + """,
+marked AS (
+  SELECT *, hour(ts) >= 23 AND date_trunc('day', ts) + INTERVAL 1 DAY
+            <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM every_tick WHERE hour(ts) < 23) AS late
+  FROM every_tick),
+ticks AS (SELECT * FROM marked WHERE NOT late)""") + """
+SELECT ticker, window_start, window_end, n_ticks, base_price, last_price, round(return_value, 8) AS return_value,
+       last_traded_ts, false AS late, CAST(-1 AS BIGINT) AS seq
+FROM returns WHERE NOT isnan(return_value)
+UNION ALL
+SELECT ticker, date_trunc('day', ts), date_trunc('day', ts) + INTERVAL 1 DAY, 1, opening_price, current_price,
+       NULL, CAST(last_traded_time AS TIMESTAMP), true, seq
+FROM marked WHERE late
+"""
+
 ORACLE: dict[str, str] = {
+    "stream_late_ticks": LATE_TICKS,
     "log_return": LOG_RETURN,
     "log_return_event_time": LOG_RETURN.replace(
         "date_trunc('day', ts)", "date_trunc('day', CAST(last_traded_time AS TIMESTAMP))"),

@@ -34,9 +34,8 @@ def _events(spark: SparkSession, sf_dir: str):
     return static, stream
 
 
-def _tick_stream(spark: SparkSession, static: DataFrame, stream: DataFrame, root: str) -> DataFrame:
-    ticks = standin.price_ticks(stream)
-    sent = (static.agg(F.max("ts").cast("timestamp").alias("mx"))
+def _sentinel(static: DataFrame) -> DataFrame:
+    return (static.agg(F.max("ts").cast("timestamp").alias("mx"))
             .select(F.lit(-1).cast("bigint").alias("seq"),
                     (F.col("mx") + F.expr("INTERVAL 2 DAYS")).alias("arrival_ts"),
                     F.lit(SENTINEL_TICKER).alias("ticker"),
@@ -44,6 +43,11 @@ def _tick_stream(spark: SparkSession, static: DataFrame, stream: DataFrame, root
                     F.lit("1").alias("field_cours_courant"),
                     F.date_format(F.col("mx") + F.expr("INTERVAL 2 DAYS"),
                                   "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("field_last_traded_time")))
+
+
+def _tick_stream(spark: SparkSession, static: DataFrame, stream: DataFrame, root: str) -> DataFrame:
+    ticks = standin.price_ticks(stream)
+    sent = _sentinel(static)
     sent.write.mode("overwrite").parquet(f"{root}/sentinel")
     sent_stream = file_source(spark, f"{root}/sentinel", sent.schema, stream=True)
     return ticks.unionByName(sent_stream)
@@ -177,7 +181,31 @@ def q_stream_weights_rows_to_map(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("portfolio_id", "time_ms", "ticker", round8("weight").alias("weight"), "n_tickers"))
 
 
+def q_stream_late_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1/T2 streaming without a lost tick: the ticks of each day's last hour are delivered after all others, so the
+    watermark has passed all windows but the last day's. Closed windows with their returns, and the late ticks."""
+    static, _ = _events(spark, sf_dir)
+    root = scratch_path(spark, "stream-late-ticks")
+    last_hour = F.hour("ts") >= 23
+    stream = file_source(spark, f"{root}/ticks/*", standin.price_ticks(static).schema, stream=True)
+    for delivery in (1, 2):                 # the second run restarts from the checkpoint
+        ticks = standin.price_ticks(static.filter(~last_hour if delivery == 1 else last_hour))
+        if delivery == 2:
+            ticks = ticks.unionByName(_sentinel(static))
+        ticks.write.parquet(f"{root}/ticks/delivery={delivery}")
+        found = _run(tp.tick_windows_stream(stream, TEST_PARAMS), root, "windows")
+    closed = q_log_return_select(tp.window_returns(found)).withColumn("late", F.lit(False)).withColumn(
+        "seq", F.lit(-1).cast("bigint"))
+    late = tp.late_ticks(found).select(
+        "ticker", to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"),
+        F.lit(1).cast("bigint").alias("n_ticks"), F.col("opening_price").alias("base_price"),
+        F.col("current_price").alias("last_price"), F.lit(None).cast("double").alias("return_value"),
+        to_ntz("last_traded_ts").alias("last_traded_ts"), F.lit(True).alias("late"), F.col("o_seq").alias("seq"))
+    return closed.unionByName(late)
+
+
 STREAM_QUERIES = {
+    "stream_late_ticks": q_stream_late_ticks,
     "stream_weights_rows_to_map": q_stream_weights_rows_to_map,
     "stream_log_return": q_stream_log_return,
     "stream_ew_mean": q_stream_ew_mean,

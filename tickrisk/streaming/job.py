@@ -32,7 +32,7 @@ from tickrisk.session import configure, ensure_folder
 from tickrisk.sources import sinks
 from tickrisk.sources.streams import file_source, kafka_source
 from tickrisk.streaming import topology as tp
-from tickrisk.streaming.processors import STATS_OUT, TICKER_STATS_OUT
+from tickrisk.streaming.processors import STATS_OUT, TICK_WINDOWS_OUT, TICKER_STATS_OUT
 
 
 @dataclass
@@ -58,6 +58,7 @@ class StreamingJob:
     mode: str = "record"
     seed_time: bool = False                # replays: static seeds count from their own time on
     strict: bool = True                    # malformed ticks raise; False: go to ``bad_ticks``
+    keep_late: bool = False                # windows keep ticks later than the watermark, see ``late_ticks``
     kafka: str | None = None               # bootstrap servers for the topics below
     stats_topic: str | None = None         # K1 as Avro (record mode)
     metrics_topic: str | None = None       # K2 as Avro
@@ -65,17 +66,26 @@ class StreamingJob:
     def _ck(self, name: str) -> str:
         return f"{self.out}/_checkpoints/{name}"
 
+    def query_windows(self):
+        """Windows whose late ticks are kept (``keep_late``); Query A reads them."""
+        configure(self.spark)
+        return sinks.file_sink(tp.tick_windows_stream(self.ticks, self.params, strict=self.strict),
+                               f"{self.out}/tick_windows", self._ck("tick_windows"))
+
     def query_a(self):
         configure(self.spark)
+        returns = None
+        if self.keep_late:
+            returns = tp.window_returns(file_source(self.spark, f"{self.out}/tick_windows", TICK_WINDOWS_OUT, stream=True))
         if self.mode == "factored":
             if self.seeds is None:
                 raise ValueError("factored mode needs static seeds")
             s = tp.ticker_stats_stream(self.ticks, self.params, seeds=self.seeds, strict=self.strict, seed_time=self.seed_time,
-                                       holdings=self.holdings, portfolio_id=self.portfolio_id)
+                                       holdings=self.holdings, portfolio_id=self.portfolio_id, returns=returns)
             return sinks.file_sink(s, f"{self.out}/series", self._ck("series"))
         s = tp.stats_stream(self.ticks, self.params, holdings=self.holdings, seeds=self.seeds,
                             seed_stream=self.seed_stream, portfolio_id=self.portfolio_id,
-                            stamp=self.stamp, strict=self.strict, seed_time=self.seed_time)
+                            stamp=self.stamp, strict=self.strict, seed_time=self.seed_time, returns=returns)
         return sinks.file_sink(s, f"{self.out}/stats", self._ck("stats"))
 
     def query_bad(self):
@@ -90,7 +100,8 @@ class StreamingJob:
 
     def queries(self) -> list:
         """(name, maker) of the job's queries, in the order of their data."""
-        made = [("stats", self.query_a), ("metrics", self.query_b), ("weight_points", self.query_c)]
+        made = [("tick_windows", self.query_windows)] if self.keep_late else []
+        made += [("stats", self.query_a), ("metrics", self.query_b), ("weight_points", self.query_c)]
         if not self.strict:
             made.append(("bad_ticks", self.query_bad))
         if self.stats_topic:
@@ -99,10 +110,16 @@ class StreamingJob:
             made.append(("stats_topic", self.query_k1))
         return made
 
+    def late_ticks(self) -> DataFrame:
+        """Every tick that came later than the watermark so far, with the window it missed (``keep_late``)."""
+        if not self.keep_late:
+            raise ValueError("late ticks are stored with keep_late=True only")
+        return tp.late_ticks(self.spark.read.schema(TICK_WINDOWS_OUT).parquet(f"{self.out}/tick_windows"))
+
     @staticmethod
-    def late_ticks(query: StreamingQuery) -> int:
-        """Rows that a query (Query A) has dropped as later than the watermark, in the batches that Spark still
-        tells of (the last 100 by default); several late ticks of one window and task count as one."""
+    def dropped_rows(query: StreamingQuery) -> int:
+        """Without ``keep_late``: rows that Query A has dropped as later than the watermark, in the batches that Spark
+        still tells of (the last 100 by default); several late ticks of one window and task count as one."""
         return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress
                    for op in p["stateOperators"])
 
@@ -141,6 +158,8 @@ class StreamingJob:
         """Start the three queries (continuously, micro-batches)."""
         out = {}
         for name, make in self.queries():
+            if name == "stats" and self.keep_late:
+                ensure_folder(self.spark, f"{self.out}/tick_windows")
             if name == "metrics":                                 # B follows A's sink
                 ensure_folder(self.spark, f"{self.out}/{'series' if self.mode == 'factored' else 'stats'}")
             w = make()
@@ -190,6 +209,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--mode", default="record", choices=["record", "factored"])
     ap.add_argument("--seed-time", action="store_true", help="replay: seeds count from their own time on")
     ap.add_argument("--lenient", action="store_true", help="keep malformed ticks apart instead of failing")
+    ap.add_argument("--keep-late", action="store_true", help="store ticks later than the watermark instead of dropping them")
     ap.add_argument("--bootstrap", default=None, help="Kafka servers; --ticks and --weights are topics then")
     ap.add_argument("--starting-offsets", default="latest", choices=["latest", "earliest"])
     ap.add_argument("--unkeyed", action="store_true")
@@ -221,7 +241,7 @@ def main(argv: list[str] | None = None) -> None:
     job = StreamingJob(spark, ticks, weights, out=a.out, seeds=seeds, seed_stream=seed_stream, holdings=holdings,
                        params=RiskParams(window=a.window), portfolio_id=a.portfolio_id,
                        stamp="processing" if a.processing_time_stamps else "event",
-                       mode=a.mode, strict=not a.lenient, seed_time=a.seed_time, kafka=a.bootstrap,
+                       mode=a.mode, strict=not a.lenient, keep_late=a.keep_late, seed_time=a.seed_time, kafka=a.bootstrap,
                        stats_topic=a.stats_topic, metrics_topic=a.metrics_topic)
     if a.available_now:
         job.run_available_now()

@@ -510,3 +510,64 @@ class WeightRowsProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+# one row per closed window, and one per late tick
+TICK_WINDOWS_OUT = ("ticker string, start_us long, end_us long, n_ticks long, first_open double, last_current double, "
+                    "last_us long, o_seq long, o_tie string, late boolean")
+WINDOW_COLUMNS = ["ticker", "start_us", "end_us", "n_ticks", "first_open", "last_current", "last_us", "o_seq", "o_tie",
+                  "late"]
+
+
+class TickWindowProcessor(StatefulProcessor):
+    """A1/T1/T2 without a lost tick, keyed by (ticker, window start, window end in microseconds).
+
+    State is the first and the last tick by arrival order and the count; batches of any size fold into it piece by
+    piece. An event-time timer at the window's end emits one row and clears the state. A tick
+    whose window the watermark has passed, and that no state waits for, comes out as a
+    row of its own, marked ``late``: every tick is in exactly one row.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState(
+            "held", "n long, first_seq long, first_tie string, first_open double, "
+                    "last_seq long, last_tie string, last_current double, last_us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        ticker, start_us, end_us = key[0], int(key[1]), int(key[2])
+        end_ms = -(-end_us // 1000)
+        held = tuple(self.held.get()) if self.held.exists() else None
+        if held is None:
+            if end_ms <= timerValues.getCurrentWatermarkInMs():
+                for part in rows:
+                    yield pd.DataFrame({
+                        "ticker": ticker, "start_us": start_us, "end_us": end_us, "n_ticks": 1,
+                        "first_open": part["opening_price"], "last_current": part["current_price"],
+                        "last_us": part["event_us"], "o_seq": part["o_seq"], "o_tie": part["o_tie"],
+                        "late": True})[WINDOW_COLUMNS]
+                return
+            self.handle.registerTimer(end_ms)
+        for part in rows:
+            if not len(part):
+                continue
+            part = part.sort_values(["o_seq", "o_tie"], kind="mergesort")
+            a, b = part.iloc[0], part.iloc[-1]
+            first = (int(a["o_seq"]), a["o_tie"], float(a["opening_price"]))
+            last = (int(b["o_seq"]), b["o_tie"], float(b["current_price"]), int(b["event_us"]))
+            if held is None:
+                held = (len(part), *first, *last)
+            else:
+                held = (held[0] + len(part), *(first if first[:2] < held[1:3] else held[1:4]),
+                        *(last if last[:2] > held[4:6] else held[4:8]))
+        if held is not None:
+            self.held.update(held)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        n, _, _, first_open, last_seq, last_tie, last_current, last_us = self.held.get()
+        self.held.clear()
+        yield pd.DataFrame([(key[0], int(key[1]), int(key[2]), n, first_open, last_current, last_us, last_seq, last_tie,
+                             False)], columns=WINDOW_COLUMNS)
+
+    def close(self) -> None:
+        pass

@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 from tickrisk.operators import stats as st
 from tickrisk.operators import ticks as tk
 from tickrisk.params import RiskParams
-from tickrisk.streaming.processors import (METRICS_OUT, SNAPSHOTS_OUT, STATS_OUT, TICKER_STATS_OUT,
+from tickrisk.streaming.processors import (METRICS_OUT, SNAPSHOTS_OUT, STATS_OUT, TICK_WINDOWS_OUT, TICKER_STATS_OUT,
                                            FactoredMetricsProcessor, MetricsProcessor,
-                                           StatsUpdateProcessor, TickerStatsProcessor, WeightRowsProcessor)
+                                           StatsUpdateProcessor, TickerStatsProcessor, TickWindowProcessor,
+                                           WeightRowsProcessor)
 
 
 def _nan_if_null(c):
@@ -63,7 +64,7 @@ def returns_stream(ticks_raw: DataFrame, params: RiskParams, strict: bool = True
 
     Arrival-time windows use ``params.arrival_watermark``; ``event_time=True``
     windows on the last-traded time with ``params.watermark``. Both are 1 minute: a tick
-    that arrives later than that is dropped and counted by Spark.
+    that arrives later than that is dropped and counted by Spark (``tick_windows_stream`` keeps it).
     """
     ticks = tk.typed_ticks(ticks_raw, strict=strict, event_time=event_time)
     if not strict:
@@ -72,6 +73,52 @@ def returns_stream(ticks_raw: DataFrame, params: RiskParams, strict: bool = True
     return tk.log_returns(ticks, window=params.window, watermark=wm)
 
 
+NO_TIME = -(1 << 62)                    # stands for an unknown last-traded time on its way through pandas
+
+
+def tick_windows_stream(ticks_raw: DataFrame, params: RiskParams, strict: bool = True,
+                        event_time: bool = False) -> DataFrame:
+    """T1/T2 + A1 that lose no tick (``processors.TICK_WINDOWS_OUT``): the closed windows, and the ticks later
+    than the watermark as rows of their own (``window_returns``, ``late_ticks`` tell them apart).
+
+    State is kept per (ticker, window), so a hot ticker spreads over its windows. Ticks are not
+    combined before the shuffle, unlike in ``returns_stream``. The key carries no event-time
+    mark, else Spark would remove late rows before the processor sees them.
+    """
+    ticks = tk.typed_ticks(ticks_raw, strict=strict, event_time=event_time)
+    if not strict:
+        ticks = tk.quarantine_split(ticks)[0]
+    o_seq, o_tie = st.order_columns(ticks)
+    wm = params.watermark if event_time else params.arrival_watermark
+    rows = ticks.withWatermark("ts", wm).withColumn("w", F.window("ts", params.window)).select(
+        "ticker", F.unix_micros("w.start").alias("start_us"), F.unix_micros("w.end").alias("end_us"),
+        o_seq.alias("o_seq"), o_tie.alias("o_tie"), "opening_price", "current_price",
+        F.coalesce(F.unix_micros("event_ts"), F.lit(NO_TIME)).alias("event_us"))
+    return rows.groupBy("ticker", "start_us", "end_us").transformWithStateInPandas(
+        statefulProcessor=TickWindowProcessor(), outputStructType=TICK_WINDOWS_OUT, outputMode="Append",
+        timeMode="EventTime")
+
+
+def _typed_windows(windows: DataFrame) -> DataFrame:
+    return windows.select(
+        "ticker", F.timestamp_micros("start_us").alias("window_start"), F.timestamp_micros("end_us").alias("window_end"),
+        "n_ticks", _nan_if_null(F.col("first_open")).alias("first_open"),
+        _nan_if_null(F.col("last_current")).alias("last_current"),
+        F.timestamp_micros(F.nullif("last_us", F.lit(NO_TIME))).alias("last_traded_ts"), "o_seq", "o_tie", "late")
+
+
+def window_returns(windows: DataFrame) -> DataFrame:
+    """Log returns of the closed windows of ``tick_windows_stream``."""
+    return tk.returns_of_windows(_typed_windows(windows).filter(~F.col("late")))
+
+
+def late_ticks(windows: DataFrame) -> DataFrame:
+    """The late ticks of ``tick_windows_stream``, one row each, with the window they missed."""
+    return _typed_windows(windows).filter("late").select(
+        "ticker", "window_start", "window_end", "o_seq", "o_tie", F.col("first_open").alias("opening_price"),
+        F.col("last_current").alias("current_price"), "last_traded_ts")
+
+
 def _control_watermark(df: DataFrame, delay: str | None) -> DataFrame:
     """Optional watermark on a control stream (statistics, weights).
 
@@ -88,15 +135,16 @@ def stats_stream(ticks_raw: DataFrame, params: RiskParams, holdings: DataFrame |
                  seeds: DataFrame | None = None, seed_stream: DataFrame | None = None,
                  portfolio_id: str = "portf1", stamp: str = "event",
                  control_watermark: str | None = None, strict: bool = True,
-                 seed_time: bool = False) -> DataFrame:
+                 seed_time: bool = False, returns: DataFrame | None = None) -> DataFrame:
     """Query A body: updated statistics records, one per applied return.
 
     ``seeds`` (static statistics records) become the processor's initial
     state, there before any return (``seed_time``: at their own time, for replays);
     ``seed_stream`` (streaming statistics records) is unioned in as
-    ``kind='seed'`` rows. Output columns: ``processors.STATS_OUT``.
+    ``kind='seed'`` rows. ``returns``: a stream of log returns to use instead of windows
+    over ``ticks_raw``. Output columns: ``processors.STATS_OUT``.
     """
-    r = returns_stream(ticks_raw, params, strict=strict)
+    r = returns_stream(ticks_raw, params, strict=strict) if returns is None else returns
     r = r.select("ticker", F.col("window_end").alias("o_ts"), "return_value")
     r = tk.assign_portfolios(r, holdings, portfolio_id)
     rows = r.select("portfolio_id", F.lit("ret").alias("kind"), "o_ts",
@@ -128,15 +176,15 @@ def stats_stream(ticks_raw: DataFrame, params: RiskParams, holdings: DataFrame |
 def ticker_stats_stream(ticks_raw: DataFrame, params: RiskParams, seeds: DataFrame,
                         holdings: DataFrame | None = None,
                         portfolio_id: str = "portf1", strict: bool = True,
-                        seed_time: bool = False) -> DataFrame:
+                        seed_time: bool = False, returns: DataFrame | None = None) -> DataFrame:
     """Query A, factored mode: per (portfolio, ticker) series rows
     (``processors.TICKER_STATS_OUT``), state keyed by (portfolio, ticker).
 
     ``seeds``: static statistics records; their first record per portfolio
     is exploded to one initial state per (portfolio, ticker) of its maps, there before
-    any return unless ``seed_time``.
+    any return unless ``seed_time``. ``returns``: as in ``stats_stream``.
     """
-    r = returns_stream(ticks_raw, params, strict=strict)
+    r = returns_stream(ticks_raw, params, strict=strict) if returns is None else returns
     r = r.select("ticker", F.col("window_end").alias("o_ts"), "return_value")
     r = tk.assign_portfolios(r, holdings, portfolio_id)
     seed = st.first_seed(seeds)
