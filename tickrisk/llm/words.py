@@ -39,9 +39,10 @@ class WordIds(dict):
 
 class WordEncoder:
     """Ids of whole texts. ``path``: vocabulary file of the tokenizers library whose
-    pre-tokenizer drops white space; ``most_words`` bounds the memory of the word cache."""
+    pre-tokenizer drops white space; ``most_words`` bounds the memory of the word cache (about
+    200 bytes a word)."""
 
-    def __init__(self, path: str, most_words: int = 300_000):
+    def __init__(self, path: str, most_words: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
