@@ -528,3 +528,57 @@ def test_job_that_keeps_late_ticks(spark, mode):
     assert spark.read.parquet(f"{root}/out/metrics").count() == Q.flagship(spark, SF).count()
     with pytest.raises(ValueError):
         StreamingJob(spark, stream, stream, out=f"{root}/out").late_ticks()
+
+
+def _peak_mb(emitted) -> tuple[int, float]:
+    """Rows of the emitted frames, and the largest memory held while they came."""
+    import tracemalloc
+    tracemalloc.start()
+    try:
+        n = sum(len(part) for part in emitted)
+        return n, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_weight_rows_of_one_batch_are_not_held(monkeypatch):
+    """Rows of many times in one micro-batch, in any order: only a run of them is in memory, each comes out once."""
+    import numpy as np
+    import pandas as pd
+
+    from tickrisk.streaming import processors as pr
+    monkeypatch.setattr(pr, "RUN_BYTES", 1 << 16, raising=False)
+    monkeypatch.setattr(pr, "ROWS_AT_ONCE", 500)
+    p, size, parts = pr.WeightRowsProcessor(wait_ms=None), 2000, 20
+    p.pending, p.told, p.due = _State(), _Value(), _Value()
+    order = np.random.default_rng(3).permutation(size * parts)
+
+    def rows():
+        for k in range(parts):
+            at = order[k * size:(k + 1) * size]
+            yield pd.DataFrame({"time_ms": at // 2, "ticker": ["AB"[x % 2] for x in at], "weight": at / 8, "seq": at})
+
+    found = []
+
+    def emitted():
+        for part in p.handleInputRows(("p",), rows(), None):
+            found.extend(hash((t, s, tuple(sorted(w.items())))) for t, s, w in zip(part["timestamp"], part["seq"], part["weights"]))
+            yield part
+
+    n, peak = _peak_mb(emitted())
+    last = size * parts // 2 - 1
+    assert n == last and set(p.pending) == {(last, "A"), (last, "B")}
+    assert found == [hash((t, 2 * t + 1, (("A", 2 * t / 8), ("B", (2 * t + 1) / 8)))) for t in range(last)]
+    assert peak < 8
+
+
+def test_sorted_runs_keep_arrival_order_and_nulls(monkeypatch):
+    """Equal keys in several runs come out as they arrived; null keys come last."""
+    import pandas as pd
+
+    from tickrisk.streaming import processors as pr
+    parts = [pd.DataFrame({"o_seq": [2, 1, 2], "o_tie": ["b", None, "a"], "x": [3 * k, 3 * k + 1, 3 * k + 2]}) for k in range(40)]
+    whole = [r.x for r in pr._in_order(iter(parts), ["o_seq", "o_tie"])]
+    monkeypatch.setattr(pr, "RUN_BYTES", 200)
+    assert [r.x for r in pr._in_order(iter(parts), ["o_seq", "o_tie"])] == whole
+    assert whole == [*range(1, 120, 3), *range(2, 120, 3), *range(0, 120, 3)]

@@ -4,7 +4,8 @@ Record mode: two processors keyed by ``portfolio_id``; their state lives in the
 state store (RocksDB provider). Within a micro-batch the rows of a key are
 sorted by the order key ``(o_ts, o_side, o_seq, o_tie)`` before folding, so
 a batch that holds the whole input gives the batch results exactly; across
-micro-batches the order is arrival.
+micro-batches the order is arrival. A key's rows may be many more than a worker holds:
+they are sorted in runs of bounded size that lie in a temporary file (``_in_order``).
 
 ``StatsUpdateProcessor`` (J1, A4-A6, T4, T6): seeds (first wins; from
 ``initialState`` or ``kind='seed'`` rows) and returns (``kind='ret'``). A
@@ -31,9 +32,14 @@ keeps ``(n, mean, var)`` per key; off-diagonal cells follow from the counts.
 
 from __future__ import annotations
 
+import heapq
 import math
+import pickle
 import sys
+import tempfile
+from collections import namedtuple
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -66,6 +72,78 @@ def _ms(ts) -> int:
 RECORDS_AT_ONCE, ROWS_AT_ONCE = 64, 10_000
 
 
+# bytes (pickled) of a run of sorted rows, and pieces in which it is read back
+RUN_BYTES, RUN_PIECES = 8 << 20, 64
+
+
+def _size(part: pd.DataFrame) -> float:
+    """Bytes of a part as pickled, from every n-th of its rows."""
+    some = part.iloc[::max(1, len(part) // 16)]
+    return len(pickle.dumps(list(some.itertuples(index=False, name=None)))) * len(part) / len(some)
+
+
+def _sorted(parts: list[pd.DataFrame], by: list[str]) -> pd.DataFrame:
+    return pd.concat(parts, ignore_index=True).sort_values(by, kind="mergesort")
+
+
+def _order_keys(part: pd.DataFrame, by: list[str]) -> list[tuple]:
+    """What the rows of a part compare by; nulls come last, as in ``_sorted``."""
+    keys = []
+    for c in by:
+        values = part[c]
+        if pd.api.types.is_datetime64_dtype(values.dtype):
+            values = values.astype("datetime64[ns]")
+        keys.append([(True, None) if null else (False, v) for null, v in zip(values.isna(), values.tolist())])
+    return list(zip(*keys))
+
+
+def _write_run(file, run: pd.DataFrame, by: list[str]) -> list[int]:
+    """Stores a sorted run, each row with its order key; returns where its pieces begin."""
+    begins, step = [], -(-len(run) // RUN_PIECES)
+    file.seek(0, 2)
+    for a in range(0, len(run), step):
+        begins.append(file.tell())
+        piece = run.iloc[a:a + step]
+        pickle.dump(list(zip(_order_keys(piece, by), piece.itertuples(index=False, name=None))), file, -1)
+    return begins
+
+
+def _read_run(file, begins: list[int]) -> Iterator[tuple]:
+    for at in begins:
+        file.seek(at)
+        yield from pickle.load(file)
+
+
+def _in_order(rows: Iterator[pd.DataFrame], by: list[str]) -> Iterator[tuple]:
+    """The rows of a key as named tuples, sorted by ``by`` (equal ones as they arrived).
+
+    No more than a run of ``RUN_BYTES`` is held at once: longer input goes run by run to a
+    temporary file and is merged while the runs are read back piece by piece.
+    """
+    held, size, runs = [], 0, []
+    with tempfile.TemporaryFile() as file:
+        for part in rows:
+            if not len(part):
+                continue
+            held.append(part)
+            size += _size(part)
+            columns = part.columns
+            del part
+            if size >= RUN_BYTES:
+                runs.append(_write_run(file, _sorted(held, by), by))
+                held, size = [], 0
+        if not runs:
+            if held:
+                yield from _sorted(held, by).itertuples(index=False)
+            return
+        if held:
+            runs.append(_write_run(file, _sorted(held, by), by))
+            held = []
+        row = namedtuple("Row", columns)._make
+        for _, values in heapq.merge(*(_read_run(file, run) for run in runs), key=itemgetter(0)):
+            yield row(values)
+
+
 def _rows(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     pdf = pd.concat(list(rows), ignore_index=True)
     return pdf.sort_values(ORDER, kind="mergesort").reset_index(drop=True)
@@ -439,6 +517,7 @@ class FactoredMetricsProcessor(StatefulProcessor):
 
 
 SNAPSHOTS_OUT = "seq long, timestamp long, portfolio_id string, weights map<string,double>, late boolean"
+SNAPSHOT_COLUMNS = ["seq", "timestamp", "portfolio_id", "weights", "late"]
 
 
 class WeightRowsProcessor(StatefulProcessor):
@@ -448,7 +527,8 @@ class WeightRowsProcessor(StatefulProcessor):
     last) and emitted as one map once a row of a later time has come, or by a timer ``wait_ms`` after the
     portfolio's last row, so that a quiet portfolio's newest snapshot is not held back. Rows of a
     time that has been emitted come out as a snapshot of their own, marked ``late``: it
-    holds those rows only, and none is lost. State is bounded by the rows of the pending times.
+    holds those rows only, and none is lost. State is bounded by the rows of the pending times. A micro-batch is
+    read in the order of its times, so a worker holds the rows of the pending times besides a run of sorted rows.
     """
 
     def __init__(self, wait_ms: int = 2000):
@@ -460,53 +540,72 @@ class WeightRowsProcessor(StatefulProcessor):
         self.told = handle.getValueState("told", "time_ms long")
         self.due = handle.getValueState("due", "at long")
 
-    def _snapshots(self, key, held: dict, upto: int | None, told: int | None) -> pd.DataFrame:
-        """Snapshots of the times before ``upto`` (None: all); their rows leave ``held`` and the state."""
-        times: dict = {}
-        for (time_ms, ticker), (weight, seq) in held.items():
-            if upto is None or time_ms < upto:
-                times.setdefault(time_ms, {})[ticker] = (weight, seq)
-        out = []
-        for time_ms in sorted(times):
-            rows = times[time_ms]
-            out.append((max(seq for _, seq in rows.values()), time_ms, key[0],
-                        {t: w for t, (w, _) in rows.items()}, told is not None and time_ms <= told))
+    def _waiting(self) -> dict:
+        """Rows in state: time -> ticker -> (weight, seq)."""
+        waiting: dict = {}
+        for (time_ms, ticker), value in self.pending.iterator():
+            waiting.setdefault(time_ms, {})[ticker] = value
+        return waiting
+
+    @staticmethod
+    def _snapshot(key, time_ms: int, rows: dict, told: int | None) -> tuple:
+        return (max(seq for _, seq in rows.values()), time_ms, key[0], {t: w for t, (w, _) in rows.items()},
+                told is not None and time_ms <= told)
+
+    def _leave(self, gone: dict, told: int | None, newest: int) -> None:
+        """``gone``: the rows in state that have been emitted; ``newest``: the latest emitted time."""
+        for time_ms, rows in gone.items():
             for ticker in rows:
-                del held[time_ms, ticker]
-                if self.pending.containsKey((time_ms, ticker)):
-                    self.pending.removeKey((time_ms, ticker))
-        if times and (told is None or max(times) > told):
-            self.told.update((max(times),))
-        return pd.DataFrame(out, columns=["seq", "timestamp", "portfolio_id", "weights", "late"])
+                self.pending.removeKey((time_ms, ticker))
+        if told is None or newest > told:
+            self.told.update((newest,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = {k: v for k, v in self.pending.iterator()}
         told = self.told.get()[0] if self.told.exists() else None
-        for part in rows:
-            for time_ms, ticker, weight, seq in zip(part["time_ms"], part["ticker"], part["weight"], part["seq"]):
-                at = (int(time_ms), ticker)
-                if at not in held or held[at][1] <= seq:
-                    held[at] = (float(weight), int(seq))
-        newest = max(time_ms for time_ms, _ in held)
-        # a time that was emitted has no later rows to wait for
-        out = self._snapshots(key, held, newest if told is None or newest > told else None, told)
-        for at, value in held.items():
-            self.pending.updateValue(at, value)
-        if self.wait_ms is not None and held:
+        waiting, out, done = self._waiting(), [], None
+        stored = {time_ms: list(held) for time_ms, held in waiting.items()}
+        now = None
+        for r in _in_order(rows, ["time_ms"]):      # equal times as they arrived
+            if r.time_ms != now:
+                # rows of a later time: the earlier ones are whole
+                now = int(r.time_ms)
+                for time_ms in sorted(t for t in waiting if t < now):
+                    out.append(self._snapshot(key, time_ms, waiting.pop(time_ms), told))
+                    done = time_ms
+                if len(out) >= ROWS_AT_ONCE:
+                    yield pd.DataFrame(out, columns=SNAPSHOT_COLUMNS)
+                    out = []
+            held = waiting.setdefault(now, {})
+            if r.ticker not in held or held[r.ticker][1] <= r.seq:
+                held[r.ticker] = (float(r.weight), int(r.seq))
+        newest = max(waiting)
+        for time_ms in sorted(waiting):
+            # a time that was emitted has no later rows to wait for
+            if time_ms < newest or (told is not None and newest <= told):
+                out.append(self._snapshot(key, time_ms, waiting.pop(time_ms), told))
+                done = time_ms
+        if done is not None:
+            self._leave({t: held for t, held in stored.items() if t not in waiting}, told, done)
+        for time_ms, held in waiting.items():
+            for ticker, value in held.items():
+                self.pending.updateValue((time_ms, ticker), value)
+        if self.wait_ms is not None and waiting:
             if self.due.exists():
                 self.handle.deleteTimer(self.due.get()[0])
             at = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
             self.handle.registerTimer(at)
             self.due.update((at,))
-        if len(out):
-            yield out
+        if out:
+            yield pd.DataFrame(out, columns=SNAPSHOT_COLUMNS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.due.clear()
         told = self.told.get()[0] if self.told.exists() else None
-        out = self._snapshots(key, {k: v for k, v in self.pending.iterator()}, None, told)
-        if len(out):
-            yield out
+        waiting = self._waiting()
+        if waiting:
+            self._leave(waiting, told, max(waiting))
+            yield pd.DataFrame([self._snapshot(key, t, waiting[t], told) for t in sorted(waiting)],
+                               columns=SNAPSHOT_COLUMNS)
 
     def close(self) -> None:
         pass
