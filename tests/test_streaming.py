@@ -572,6 +572,49 @@ def test_weight_rows_of_one_batch_are_not_held(monkeypatch):
     assert peak < 8
 
 
+@pytest.mark.parametrize("factored", [True])
+def test_metrics_of_one_batch_are_not_held(monkeypatch, factored):
+    """Weight snapshots of one micro-batch, in any order: only a run of them is in memory, and the
+    emitted metrics are those of a run that holds all of them."""
+    import numpy as np
+    import pandas as pd
+
+    from tickrisk.streaming import processors as pr
+    size, parts, names = 200, 20, [f"T{k}" for k in range(10)]
+    order = np.random.default_rng(4).permutation(size * parts)
+    cov = {i: {j: 0.01 if i == j else 0.001 for j in names} for i in names}
+    first = {"o_ts": pd.Timestamp(0), "o_side": 0, "o_seq": 0, "o_tie": None, "kind": "seed" if factored else "stats",
+             "meanReturns": {t: 0.01 for t in names}, "covarianceMatrix": cov, "weights": None, "ticker": None}
+    series = first | {"o_ts": pd.Timestamp(1), "o_side": 1, "o_tie": "T0", "kind": "series", "ticker": "T0", "n": 1,
+                      "has_mean": True, "mean": 0.011, "has_var": True, "var": 0.01, "meanReturns": None, "covarianceMatrix": None}
+
+    def rows():
+        for k in range(parts):
+            at = order[k * size:(k + 1) * size]
+            snaps = [first | {"o_ts": pd.Timestamp(1000 * int(x)), "o_side": 2, "o_seq": int(x), "o_tie": "", "kind": "weights",
+                              "meanReturns": None, "covarianceMatrix": None, "ticker": None,
+                              "weights": {f"T{j}": float(x + j + 1) for j in range(10)}} for x in at // 2 + 1]
+            yield pd.DataFrame(snaps + ([first, series][:1 + factored] if k == parts - 1 else []), columns=list(series))
+
+    def run(out):
+        p = pr.FactoredMetricsProcessor() if factored else pr.MetricsProcessor()
+        for name in ("seed", "flags", "last", "has_stats", "has_weights"):
+            setattr(p, name, _Value())
+        for name in ("tick", "weights", "s_mean", "s_cov"):
+            setattr(p, name, _State())
+        for part in p.handleInputRows(("p",), rows(), None):
+            out.extend(part.itertuples(index=False, name=None))
+            yield part
+
+    monkeypatch.setattr(pr, "ROWS_AT_ONCE", 200)
+    exp, got = [], []
+    sum(len(part) for part in run(exp))
+    monkeypatch.setattr(pr, "RUN_BYTES", 1 << 15, raising=False)
+    n, peak = _peak_mb(run(got))
+    assert got == exp and n == size * parts // 2
+    assert peak < 4
+
+
 def test_sorted_runs_keep_arrival_order_and_nulls(monkeypatch):
     """Equal keys in several runs come out as they arrived; null keys come last."""
     import pandas as pd

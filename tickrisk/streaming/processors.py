@@ -33,6 +33,7 @@ keeps ``(n, mean, var)`` per key; off-diagonal cells follow from the counts.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import pickle
 import sys
@@ -344,10 +345,9 @@ class TickerStatsProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n, has_m, m, has_v, c = self.state.get() if self.state.exists() else (0, False, 0.0, False, 0.0)
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("o_ts", kind="mergesort")
         out = []
         columns = ["portfolio_id", "ticker", "o_ts", "n", "return_value", "has_mean", "mean", "has_var", "var"]
-        for r in pdf.itertuples(index=False):
+        for r in _in_order(rows, ["o_ts"]):
             if self.seed_time and _ms(r.o_ts) < r.seed_ms:
                 continue
             ret = float(r.return_value)
@@ -378,8 +378,8 @@ class TickerStatsProcessor(StatefulProcessor):
 class FactoredMetricsProcessor(StatefulProcessor):
     """Factored mode of the metrics connect, keyed by ``portfolio_id``.
 
-    State: the seed as one dense matrix with its tickers and means (from the initial
-    state, written once, read as one value), per-ticker ``(n, mean, var)`` from the factored
+    State: the seed as one dense matrix with its tickers and means (from a row ``kind='seed'``
+    that comes before all others, written once, read as one value), per-ticker ``(n, mean, var)`` from the factored
     series stream, the latest weights and the last emitted pair. A series row
     (an applied return) or a weight snapshot triggers; the variance is the quadratic form of
     ``operators.quadratic``: one product of the matrix with a vector a trigger, none where
@@ -407,11 +407,8 @@ class FactoredMetricsProcessor(StatefulProcessor):
         self.flags = handle.getValueState("flags", "has_stats boolean, has_weights boolean")
         self.last = handle.getValueState("last", "e double, risk double")
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        if self.seed.exists():
-            return
-        first = initialState.iloc[0]
-        means, cov = dict(first["meanReturns"] or {}), first["covarianceMatrix"] or {}
+    def _store_seed(self, key, means: dict | None, cov: dict | None) -> None:
+        means, cov = dict(means or {}), cov or {}
         names = sorted({*means, *cov, *(j for row in cov.values() for j in (row or {}))})
         number = {t: k for k, t in enumerate(names)}
         cells = np.zeros((len(names), len(names)))
@@ -436,7 +433,12 @@ class FactoredMetricsProcessor(StatefulProcessor):
         return number, mean0, var0, OffDiagonal(matrix, ~np.isnan(mean0) & (mean0 != 0.0))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
+        ordered = _in_order(rows, ORDER)
+        first = next(ordered, None)
+        while first is not None and first.kind == "seed":          # before all others
+            if not self.seed.exists():
+                self._store_seed(key, first.meanReturns, first.covarianceMatrix)
+            first = next(ordered, None)
         has_s, has_w = self.flags.get() if self.flags.exists() else (False, False)
         number, mean0, var0, form = self._form()
         tick = {k[0]: v for k, v in self.tick.iterator()}
@@ -465,7 +467,7 @@ class FactoredMetricsProcessor(StatefulProcessor):
         weigh()
         changed, fresh = set(), last is None
         out = []
-        for r in pdf.itertuples(index=False):
+        for r in itertools.chain([] if first is None else [first], ordered):
             if r.kind == "series":
                 hm, hv = bool(r.has_mean), bool(r.has_var)
                 k = number.get(r.ticker)

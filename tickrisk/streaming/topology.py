@@ -237,12 +237,18 @@ def metrics_stream(stats_records: DataFrame, weight_snapshots: DataFrame,
         outputStructType=METRICS_OUT, outputMode="Append", timeMode="None"))
 
 
+SEED_PLACE = "1700-01-01 00:00:00"        # before any trigger; pandas has no time before 1677
+
+
 def metrics_stream_factored(series: DataFrame, weight_snapshots: DataFrame, seeds: DataFrame,
                             params: RiskParams) -> DataFrame:
     """Query B, factored mode: ``series`` is ``ticker_stats_stream`` output
-    (per (portfolio, ticker) rows after each applied return); the seed, one row a
-    portfolio, becomes the processor's initial state. Output: METRICS_OUT."""
-    init = st.first_seed(seeds).select("portfolio_id", "meanReturns", "covarianceMatrix")
+    (per (portfolio, ticker) rows after each applied return). Output: METRICS_OUT.
+
+    The seed reaches the processor as a row, in the micro-batch in which its portfolio comes up for the
+    first time, ordered before all others. It is no ``initialState``, since PySpark then
+    holds all rows of a key in the worker until its initial rows are read."""
+    seed = st.first_seed(seeds).select(F.col("portfolio_id").alias("_p"), "meanReturns", "covarianceMatrix")
     w_seq, w_tie = st.order_columns(weight_snapshots)
     s = series.select(
         "portfolio_id", F.lit("series").alias("kind"), F.col("o_ts").cast("timestamp").alias("o_ts"),
@@ -255,10 +261,14 @@ def metrics_stream_factored(series: DataFrame, weight_snapshots: DataFrame, seed
         F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("boolean").alias("has_mean"),
         F.lit(None).cast("double").alias("mean"), F.lit(None).cast("boolean").alias("has_var"),
         F.lit(None).cast("double").alias("var"), "weights")
-    return restore_nan_metrics(s.unionByName(w).groupBy("portfolio_id").transformWithStateInPandas(
+    new = s.select("portfolio_id").unionByName(w.select("portfolio_id")).dropDuplicates(["portfolio_id"])
+    first = (new.join(seed, new["portfolio_id"].eqNullSafe(seed["_p"]))
+             .select("portfolio_id", F.lit("seed").alias("kind"), F.lit(SEED_PLACE).cast("timestamp").alias("o_ts"),
+                     F.lit(0).alias("o_side"), "meanReturns", "covarianceMatrix"))
+    rows = s.unionByName(w).unionByName(first, allowMissingColumns=True)
+    return restore_nan_metrics(rows.groupBy("portfolio_id").transformWithStateInPandas(
         statefulProcessor=FactoredMetricsProcessor(params.count, params.periods, params.risk_free),
-        outputStructType=METRICS_OUT, outputMode="Append", timeMode="None",
-        initialState=init.groupBy("portfolio_id")))
+        outputStructType=METRICS_OUT, outputMode="Append", timeMode="None"))
 
 
 def finish(q, timeout_s: int | None = None) -> None:
