@@ -572,7 +572,7 @@ def test_weight_rows_of_one_batch_are_not_held(monkeypatch):
     assert peak < 8
 
 
-@pytest.mark.parametrize("factored", [True])
+@pytest.mark.parametrize("factored", [True, False])
 def test_metrics_of_one_batch_are_not_held(monkeypatch, factored):
     """Weight snapshots of one micro-batch, in any order: only a run of them is in memory, and the
     emitted metrics are those of a run that holds all of them."""

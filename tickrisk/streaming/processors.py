@@ -145,11 +145,6 @@ def _in_order(rows: Iterator[pd.DataFrame], by: list[str]) -> Iterator[tuple]:
             yield row(values)
 
 
-def _rows(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    pdf = pd.concat(list(rows), ignore_index=True)
-    return pdf.sort_values(ORDER, kind="mergesort").reset_index(drop=True)
-
-
 def _sync_map(state, old: dict, new: dict) -> None:
     """Write only the entries of a MapState that changed (keys are tuples)."""
     for k in old.keys() - new.keys():
@@ -187,7 +182,6 @@ class StatsUpdateProcessor(StatefulProcessor):
         self._store_seed(first["timestamp"], first["meanReturns"], first["covarianceMatrix"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
         seed_ms = self.seed.get()[0] if self.seed.exists() else None
         means = {k[0]: v[0] for k, v in self.means.iterator()} if seed_ms is not None else {}
         cov: dict = {}
@@ -199,7 +193,7 @@ class StatsUpdateProcessor(StatefulProcessor):
         out = []
         n_div = self.n_div
         columns = ["portfolio_id", "o_ts", "ticker", "n", "timestamp", "meanReturns", "covarianceMatrix"]
-        for r in pdf.itertuples(index=False):
+        for r in _in_order(rows, ORDER):
             if r.kind == "seed":
                 if seed_ms is None:
                     seed_ms = int(r.timestamp)
@@ -251,7 +245,6 @@ class MetricsProcessor(StatefulProcessor):
         self.last = handle.getValueState("last", "e double, risk double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
         has_s = self.has_stats.exists()
         has_w = self.has_weights.exists()
         means = {k[0]: v[0] for k, v in self.s_mean.iterator()} if has_s else {}
@@ -266,7 +259,7 @@ class MetricsProcessor(StatefulProcessor):
         last = self.last.get() if self.last.exists() else None
         s_changed = w_changed = False
         out = []
-        for r in pdf.itertuples(index=False):
+        for r in _in_order(rows, ORDER):
             if r.kind == "stats":
                 means = dict(r.meanReturns or {})
                 cov = {i: dict(row or {}) for i, row in (r.covarianceMatrix or {}).items()}
