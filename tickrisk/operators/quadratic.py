@@ -81,6 +81,9 @@ def block_metrics(states: pa.ListArray, number: dict[str, int], matrix: np.ndarr
         return flat.field(name).fill_null(missing).to_numpy(zero_copy_only=False)
 
     w, live = values("w", np.nan), values("g", False).astype(bool)
+    # the one row of a snapshot without weights (``metrics.weights_long``)
+    empty = np.array([x == "" for x in code.dictionary.to_pylist()] or [False])[code.indices.fill_null(0).to_numpy()]
+    w = np.where(empty & np.isnan(w) & ~flat.field("w").is_valid().to_numpy(zero_copy_only=False), 0.0, w)
     y = w * np.power(q, values("n", 0).astype(float))
     expected = sorted_sums(w * values("mean", 0.0), ends)
     known = flat.field("var").is_valid().to_numpy(zero_copy_only=False)
@@ -106,7 +109,8 @@ def trigger_metrics(grid: DataFrame, seed: DataFrame, tkey: list[str], q: float,
 
     A portfolio's triggers are dealt over blocks of about ``entries`` grid rows by their hash; each block
     is one task's group and meets the portfolio's seed matrix, so a portfolio with a third of
-    all triggers is spread over its blocks. A missing weight makes the trigger's sums NaN."""
+    all triggers is spread over its blocks. A missing weight makes the trigger's sums NaN, but for that
+    of the empty ticker: a snapshot without weights has sums of 0."""
     state = F.struct("ticker", F.col("w").cast("double").alias("w"), "mean", "var",
                      F.col("n").cast("long").alias("n"), F.col("g").alias("g"))
     each = grid.groupBy(*tkey).agg(F.collect_list(state).alias("states"))
